@@ -10,6 +10,8 @@ and cast to DOUBLE only at the end, as the Spark side does.
 
 from __future__ import annotations
 
+from martline.functions.text import STRIP_PATTERN
+
 CTES = {
     "orders_src": """
   SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_number, l.l_suppkey AS supplier_id,
@@ -44,10 +46,24 @@ CTES = {
   SELECT customer_id, customer_name, email, city, country FROM customers_src""",
     "dim_products": """
   SELECT product_id, product_name, category, brand, price FROM products_src""",
+    "orders_feed": """
+  SELECT order_id, line_number, supplier_id, customer_id, product_id, order_date, shipped_at, quantity,
+         unit_price, CASE WHEN discount <> 0 THEN discount END AS discount
+  FROM orders_src""",
+    "events_feed": """
+  SELECT event_id, ts, user_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value, props
+  FROM events""",
+    "dim_date": """
+  SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_id, d AS date,
+         CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+         CAST(month(d) AS INTEGER) AS month, CAST(weekofyear(d) AS INTEGER) AS week,
+         CAST(isodow(d) - 1 AS INTEGER) AS day_of_week
+  FROM (SELECT CAST(unnest(generate_series(min(CAST(order_date AS DATE)), max(CAST(order_date AS DATE)),
+                                           INTERVAL 1 DAY)) AS DATE) AS d FROM orders_src)""",
 }
 
 _ORDER = ["orders_src", "customers_src", "products_src", "sales_amounts", "fact",
-          "dim_customers", "dim_products"]
+          "dim_customers", "dim_products", "orders_feed", "events_feed", "dim_date"]
 
 
 def with_ctes(body: str, *extra: tuple[str, str]) -> str:
@@ -76,13 +92,7 @@ FROM sales_amounts s LEFT JOIN customers_src c ON s.customer_id = c.customer_id
 register("fact_sales", "SELECT * FROM fact")
 register("dim_customers", "SELECT * FROM dim_customers")
 register("dim_products", "SELECT * FROM dim_products")
-register("dim_date", """
-SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_id, d AS date,
-       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
-       CAST(month(d) AS INTEGER) AS month, CAST(weekofyear(d) AS INTEGER) AS week,
-       CAST(isodow(d) - 1 AS INTEGER) AS day_of_week
-FROM (SELECT CAST(unnest(generate_series(min(CAST(order_date AS DATE)), max(CAST(order_date AS DATE)),
-                                         INTERVAL 1 DAY)) AS DATE) AS d FROM orders_src)""")
+register("dim_date", "SELECT * FROM dim_date")
 
 register("bi_sales_summary", """
 SELECT count(*) AS total_orders, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS total_quantity,
@@ -141,3 +151,192 @@ SELECT table_name, row_count, CAST(sum(row_count) OVER () AS BIGINT) AS total_re
             FROM orders_src
   UNION ALL SELECT 'dim_products', count(*) FROM dim_products
   UNION ALL SELECT 'fact_sales', count(*) FROM fact) ORDER BY table_name""")
+
+# ---- cleaning ----------------------------------------------------------------------
+
+FEED_COLS = ("order_id, line_number, supplier_id, customer_id, product_id, order_date, shipped_at, "
+             "quantity, unit_price")
+
+register("clean_dedup_all", "SELECT DISTINCT * FROM orders_feed")
+register("clean_dedup_first", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id, line_number
+                                                        ORDER BY product_id, supplier_id) AS rn
+                           FROM orders_feed) WHERE rn = 1""")
+register("clean_dedup_last", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id, line_number
+                                                        ORDER BY product_id DESC, supplier_id DESC) AS rn
+                           FROM orders_feed) WHERE rn = 1""")
+register("clean_dedup_none", """
+SELECT * EXCLUDE (n) FROM (SELECT *, count(*) OVER (PARTITION BY order_id, line_number) AS n
+                          FROM orders_feed) WHERE n = 1""")
+register("clean_null_drop", "SELECT * FROM orders_feed WHERE discount IS NOT NULL")
+register("clean_fill_const", f"SELECT {FEED_COLS}, coalesce(discount, 0) AS discount FROM orders_feed")
+register("clean_fill_mean", f"""
+SELECT {FEED_COLS}, coalesce(CAST(discount AS DOUBLE),
+       (SELECT CAST(sum(discount) AS DOUBLE) / count(discount) FROM orders_feed)) AS discount
+FROM orders_feed""")
+register("clean_fill_median", f"""
+SELECT {FEED_COLS}, coalesce(CAST(discount AS DOUBLE),
+       (SELECT median(CAST(discount AS DOUBLE)) FROM orders_feed)) AS discount
+FROM orders_feed""")
+register("clean_fill_mode", f"""
+SELECT {FEED_COLS}, coalesce(discount, (SELECT discount FROM (
+         SELECT discount, count(*) AS n FROM orders_feed WHERE discount IS NOT NULL GROUP BY discount)
+         ORDER BY n DESC, discount LIMIT 1)) AS discount
+FROM orders_feed""")
+register("clean_ffill", """
+SELECT event_id, ts, user_id, event_type,
+       last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value, props
+FROM events_feed""")
+register("clean_bfill", """
+SELECT event_id, ts, user_id, event_type,
+       first_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS value, props
+FROM events_feed""")
+register("clean_ffill_global", """
+SELECT event_id, ts, user_id, event_type,
+       last_value(value IGNORE NULLS) OVER (ORDER BY ts, event_id
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value, props
+FROM events_feed""")
+_STRIP = STRIP_PATTERN.replace("'", "''")
+register("clean_trim", f"""
+SELECT customer_id, regexp_replace(customer_name, '{_STRIP}', '', 'g') AS customer_name,
+       regexp_replace(email, '{_STRIP}', '', 'g') AS email,
+       regexp_replace(city, '{_STRIP}', '', 'g') AS city,
+       regexp_replace(country, '{_STRIP}', '', 'g') AS country
+FROM customers_src""")
+register("clean_emails", f"""
+SELECT customer_id, customer_name, regexp_replace(lower(email), '{_STRIP}', '', 'g') AS email, city, country
+FROM customers_src""")
+register("clean_all", f"""
+SELECT DISTINCT customer_id, regexp_replace(customer_name, '{_STRIP}', '', 'g') AS customer_name,
+       regexp_replace(lower(regexp_replace(email, '{_STRIP}', '', 'g')), '{_STRIP}', '', 'g') AS email,
+       regexp_replace(city, '{_STRIP}', '', 'g') AS city,
+       regexp_replace(country, '{_STRIP}', '', 'g') AS country
+FROM customers_src""")
+register("clean_dates", """
+SELECT event_id, event_type,
+       coalesce(try_strptime(trim(t), '%Y-%m-%d %H:%M:%S'), try_strptime(trim(t), '%Y-%m-%dT%H:%M:%S'),
+                try_strptime(trim(t), '%Y-%m-%d %H:%M'), try_strptime(trim(t), '%Y-%m-%d'),
+                try_strptime(trim(t), '%Y/%m/%d'), try_strptime(trim(t), '%m/%d/%Y'),
+                try_strptime(trim(t), '%d/%m/%Y'), try_strptime(trim(t), '%d-%m-%Y'),
+                try_strptime(trim(t), '%d.%m.%Y'), try_strptime(trim(t), '%Y%m%d')) AS event_time
+FROM (SELECT event_id, event_type,
+             CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+                             WHEN 'click' THEN strftime(ts, '%m/%d/%Y')
+                             WHEN 'signup' THEN strftime(ts, '%d/%m/%Y')
+                             WHEN 'purchase' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                             ELSE 'n/a' END AS t
+      FROM events)""")
+
+# ---- data quality ----------------------------------------------------------------------
+
+_FEED_DTYPES = [("order_id", "bigint"), ("line_number", "int"), ("supplier_id", "bigint"),
+                ("customer_id", "bigint"), ("product_id", "bigint"), ("order_date", "timestamp_ntz"),
+                ("shipped_at", "timestamp_ntz"), ("quantity", "int"), ("unit_price", "decimal(10,2)"),
+                ("discount", "decimal(5,2)")]
+
+register("dq_schema", """
+SELECT * FROM (VALUES
+  ('order_id', 'int', 'bigint', true, true), ('customer_id', 'int', 'bigint', true, true),
+  ('product_id', 'int', 'bigint', true, true), ('quantity', 'int', 'int', true, true),
+  ('unit_price', 'float', 'decimal(10,2)', true, true), ('coupon_code', NULL, NULL, false, false),
+  ('discount', 'float', 'decimal(5,2)', true, true), ('order_date', 'str', 'timestamp_ntz', true, false)
+) AS m("column", expected_type, actual_type, present, type_ok)
+JOIN (SELECT 'order_id' AS c, count(order_id) AS non_null FROM orders_feed
+      UNION ALL SELECT 'customer_id', count(customer_id) FROM orders_feed
+      UNION ALL SELECT 'product_id', count(product_id) FROM orders_feed
+      UNION ALL SELECT 'quantity', count(quantity) FROM orders_feed
+      UNION ALL SELECT 'unit_price', count(unit_price) FROM orders_feed
+      UNION ALL SELECT 'coupon_code', NULL
+      UNION ALL SELECT 'discount', count(discount) FROM orders_feed
+      UNION ALL SELECT 'order_date', count(order_date) FROM orders_feed) AS k ON k.c = m."column" """.replace(
+    "SELECT * FROM (VALUES", "SELECT m.*, k.non_null FROM (VALUES"))
+
+register("dq_profile", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{t}' AS dtype, CAST(count(*) - count({c}) AS BIGINT) AS null_count,
+       CASE WHEN count(*) > 0 THEN CAST(count(*) - count({c}) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE)
+            ELSE 0.0 END AS null_percentage,
+       CAST(count(*) - count({c}) AS DOUBLE) > CAST(count(*) AS DOUBLE) * 0.5 AS high_null,
+       count(*) AS row_count FROM orders_feed""" for c, t in _FEED_DTYPES))
+
+register("dq_rule_counts", """
+SELECT "column", violations, violations = 0 AS passed, CAST(NULL AS VARCHAR) AS error FROM (
+  SELECT 'quantity' AS "column", CAST(sum(CASE WHEN coalesce(NOT (quantity > 0), true) THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM orders_feed
+  UNION ALL SELECT 'unit_price', CAST(sum(CASE WHEN coalesce(NOT (unit_price > 0), true) THEN 1 ELSE 0 END) AS BIGINT) FROM orders_feed
+  UNION ALL SELECT 'discount', CAST(sum(CASE WHEN coalesce(NOT (discount > 0), true) THEN 1 ELSE 0 END) AS BIGINT) FROM orders_feed)
+UNION ALL SELECT 'coupon_code', 0, true, 'Column ''coupon_code'' not found for rule validation'""")
+
+register("dq_rule_violations", """
+SELECT 'quantity' AS "column", order_id, line_number, product_id, supplier_id, CAST(quantity AS VARCHAR) AS value
+FROM orders_feed WHERE coalesce(NOT (quantity > 0), true)
+UNION ALL SELECT 'unit_price', order_id, line_number, product_id, supplier_id, CAST(unit_price AS VARCHAR)
+FROM orders_feed WHERE coalesce(NOT (unit_price > 0), true)
+UNION ALL SELECT 'discount', order_id, line_number, product_id, supplier_id, CAST(discount AS VARCHAR)
+FROM orders_feed WHERE coalesce(NOT (discount > 0), true)""")
+
+register("dq_completeness", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) - count({c}) AS null_count,
+       CASE WHEN count(*) > 0 THEN CAST(count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) ELSE 0.0 END AS completeness,
+       (CASE WHEN count(*) > 0 THEN CAST(count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) ELSE 0.0 END) >= 0.95 AS passed
+       FROM orders_feed""" for c, _ in _FEED_DTYPES))
+
+_REPORT_REQ = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "discount"]
+register("dq_report", "\nUNION ALL ".join(
+    ["SELECT 'row_count' AS \"check\", CAST(NULL AS VARCHAR) AS \"column\", CAST(count(*) AS DOUBLE) AS value, "
+     "true AS passed, false AS counts_toward_valid, CAST(NULL AS VARCHAR) AS message FROM orders_feed",
+     "SELECT 'column_count', NULL, 10.0, true, false, NULL",
+     "SELECT 'schema_type', 'order_date', NULL, false, true, 'expected str, got timestamp_ntz'"]
+    + [f"""SELECT 'null_share', '{c}',
+       CASE WHEN count(*) > 0 THEN CAST(count(*) - count({c}) AS DOUBLE) / count(*) ELSE 0.0 END,
+       NOT (CAST(count(*) - count({c}) AS DOUBLE) > CAST(count(*) AS DOUBLE) * 0.5), false,
+       CASE WHEN CAST(count(*) - count({c}) AS DOUBLE) > CAST(count(*) AS DOUBLE) * 0.5
+            THEN 'Column ''{c}'' has a high null share' END FROM orders_feed""" for c, _ in _FEED_DTYPES]
+    + [f"""SELECT 'completeness', '{c}',
+       CASE WHEN count(*) > 0 THEN CAST(count({c}) AS DOUBLE) / count(*) ELSE 0.0 END,
+       (CASE WHEN count(*) > 0 THEN CAST(count({c}) AS DOUBLE) / count(*) ELSE 0.0 END) >= 0.95, true,
+       CASE WHEN (CASE WHEN count(*) > 0 THEN CAST(count({c}) AS DOUBLE) / count(*) ELSE 0.0 END) < 0.95
+            THEN 'Column ''{c}'' below minimum completeness' END FROM orders_feed""" for c in _REPORT_REQ]
+    + [f"""SELECT 'business_rule', '{c}', CAST(v AS DOUBLE), v = 0, true,
+       CASE WHEN v > 0 THEN 'Column ''{c}'' has ' || CAST(v AS VARCHAR) || ' rule violations' END
+       FROM (SELECT sum(CASE WHEN coalesce(NOT ({r}), true) THEN 1 ELSE 0 END) AS v FROM orders_feed)"""
+       for c, r in [("quantity", "quantity > 0"), ("unit_price", "unit_price > 0"), ("discount", "discount > 0")]]
+    + ["SELECT 'business_rule', 'coupon_code', NULL, true, false, 'Column ''coupon_code'' not found for rule validation'"]))
+
+register("dq_pk_duplicates", """
+SELECT order_id, line_number, count(*) AS occurrences FROM orders_feed
+GROUP BY order_id, line_number HAVING count(*) > 1""")
+
+register("dq_fk_orphans", """
+SELECT 'customer_id' AS fk_column, count(*) AS orphan_rows FROM fact f
+WHERE f.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_customers d WHERE d.customer_id = f.customer_id)
+UNION ALL SELECT 'product_id', count(*) FROM fact f
+WHERE f.product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_products d WHERE d.product_id = f.product_id)
+UNION ALL SELECT 'date_id', count(*) FROM fact f
+WHERE f.date_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)""")
+
+register("dq_not_null", """
+SELECT 'quantity' AS "column", 'not_null' AS "constraint", count(*) - count(quantity) AS violations FROM fact
+UNION ALL SELECT 'unit_price', 'not_null', count(*) - count(unit_price) FROM fact
+UNION ALL SELECT 'total_amount', 'not_null', count(*) - count(total_amount) FROM fact
+UNION ALL SELECT 'created_at', 'not_null', count(*) - count(created_at) FROM fact
+UNION ALL SELECT 'created_at', 'unique', CAST(coalesce(sum(k - 1), 0) AS BIGINT) FROM (
+  SELECT created_at, count(*) AS k FROM fact WHERE created_at IS NOT NULL GROUP BY created_at HAVING count(*) > 1)""")
+
+register("dq_type_bounds", """
+SELECT 'customer_name' AS "column", 'varchar(255)' AS "constraint", CAST(sum(CASE WHEN length(customer_name) > 255 THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM x
+UNION ALL SELECT 'email', 'varchar(255)', CAST(sum(CASE WHEN length(email) > 255 THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'city', 'varchar(100)', CAST(sum(CASE WHEN length(city) > 100 THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'country', 'varchar(100)', CAST(sum(CASE WHEN length(country) > 100 THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'product_product_name', 'varchar(255)', CAST(sum(CASE WHEN length(product_product_name) > 255 THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'product_category', 'varchar(100)', CAST(sum(CASE WHEN length(product_category) > 100 THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'product_brand', 'varchar(100)', CAST(sum(CASE WHEN length(product_brand) > 100 THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'total_amount', 'decimal(10,2)', CAST(sum(CASE WHEN total_amount IS NOT NULL AND TRY_CAST(total_amount AS DECIMAL(10,2)) IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'unit_price', 'decimal(10,2)', CAST(sum(CASE WHEN unit_price IS NOT NULL AND TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM x
+UNION ALL SELECT 'discount_amount', 'decimal(10,2)', CAST(sum(CASE WHEN discount_amount IS NOT NULL AND TRY_CAST(discount_amount AS DECIMAL(10,2)) IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM x""",
+         ("x", """
+  SELECT s.*, c.customer_name, c.email, c.city, c.country, p.product_name AS product_product_name,
+                  p.category AS product_category, p.brand AS product_brand
+           FROM sales_amounts s LEFT JOIN customers_src c ON s.customer_id = c.customer_id
+                                LEFT JOIN products_src p ON s.product_id = p.product_id"""))

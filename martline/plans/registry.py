@@ -126,3 +126,184 @@ def bi_table_stats(spark, sf):
     return marts.table_stats({"dim_customers": dim_c(spark, sf), "dim_products": dim_p(spark, sf),
                               "dim_date": star.dim_date(o, "order_date"),
                               "fact_sales": star.fact_sales(o, with_sale_id=False)})
+
+
+# ---- cleaning (C1-C11, W1-W4) ---------------------------------------------------
+
+from martline.operators import clean as _clean  # noqa: E402
+from martline.operators import quality as _dq  # noqa: E402
+from martline.operators.ordered import fill_ordered  # noqa: E402
+
+ORDER_LINE_KEY = ["order_id", "line_number"]
+ORDER_LINE_ORDER = ["product_id", "supplier_id"]
+
+
+def feed(spark, sf):
+    return td.orders_feed(spark, sf)
+
+
+@query("clean_dedup_all")
+def clean_dedup_all(spark, sf):
+    return _clean.remove_duplicates(feed(spark, sf))
+
+
+@query("clean_dedup_first")
+def clean_dedup_first(spark, sf):
+    return _clean.remove_duplicates(feed(spark, sf), ORDER_LINE_KEY, "first", ORDER_LINE_ORDER)
+
+
+@query("clean_dedup_last")
+def clean_dedup_last(spark, sf):
+    return _clean.remove_duplicates(feed(spark, sf), ORDER_LINE_KEY, "last", ORDER_LINE_ORDER)
+
+
+@query("clean_dedup_none")
+def clean_dedup_none(spark, sf):
+    return _clean.remove_duplicates(feed(spark, sf), ORDER_LINE_KEY, False)
+
+
+@query("clean_null_drop")
+def clean_null_drop(spark, sf):
+    return _clean.handle_nulls(feed(spark, sf), "drop", columns=["discount"])
+
+
+@query("clean_fill_const")
+def clean_fill_const(spark, sf):
+    return _clean.handle_nulls(feed(spark, sf), "fill", fill_value=0, columns=["discount"])
+
+
+@query("clean_fill_mean")
+def clean_fill_mean(spark, sf):
+    return _clean.handle_nulls(feed(spark, sf), "fill", fill_method="mean", columns=["discount"])
+
+
+@query("clean_fill_median")
+def clean_fill_median(spark, sf):
+    return _clean.handle_nulls(feed(spark, sf), "fill", fill_method="median", columns=["discount"])
+
+
+@query("clean_fill_mode")
+def clean_fill_mode(spark, sf):
+    return _clean.handle_nulls(feed(spark, sf), "fill", fill_method="mode", columns=["discount"])
+
+
+EVENT_ORDER = ["ts", "event_id"]
+
+
+@query("clean_ffill")
+def clean_ffill(spark, sf):
+    return _clean.handle_nulls(td.events_feed(spark, sf), "fill", fill_method="forward",
+                               columns=["value"], order_by=EVENT_ORDER, partition_by=["user_id"])
+
+
+@query("clean_bfill")
+def clean_bfill(spark, sf):
+    return _clean.handle_nulls(td.events_feed(spark, sf), "fill", fill_method="backward",
+                               columns=["value"], order_by=EVENT_ORDER, partition_by=["user_id"])
+
+
+@query("clean_ffill_global")
+def clean_ffill_global(spark, sf):
+    return fill_ordered(td.events_feed(spark, sf), ["value"], EVENT_ORDER)
+
+
+@query("clean_trim")
+def clean_trim(spark, sf):
+    return _clean.trim_whitespace(customers(spark, sf))
+
+
+@query("clean_emails")
+def clean_emails(spark, sf):
+    return _clean.standardize_emails(customers(spark, sf), ["email"])
+
+
+def events_with_date_text(spark, sf):
+    """Event times rendered as text in a different format per event type
+    ('error' events carry junk), to be parsed back by the date standardizer."""
+    e = td.events_source(spark, sf)
+    t = F.col("ts")
+    text = (F.when(F.col("event_type") == "view", F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
+             .when(F.col("event_type") == "click", F.date_format(t, "MM/dd/yyyy"))
+             .when(F.col("event_type") == "signup", F.date_format(t, "dd/MM/yyyy"))
+             .when(F.col("event_type") == "purchase", F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"))
+             .otherwise(F.lit("n/a")))
+    return e.select("event_id", "event_type", text.alias("event_time"))
+
+
+@query("clean_dates")
+def clean_dates(spark, sf):
+    return _clean.standardize_dates(events_with_date_text(spark, sf), ["event_time", "absent_column"])
+
+
+@query("clean_all")
+def clean_all(spark, sf):
+    return _clean.clean_all(customers(spark, sf), standardize_emails_=["email"])
+
+
+# ---- data quality (V1-V11, S9) --------------------------------------------------
+
+FEED_TYPES = {"order_id": int, "customer_id": int, "product_id": int, "quantity": int,
+              "unit_price": float, "discount": float, "order_date": str}
+FEED_RULES = {"quantity": "quantity > 0", "unit_price": "unit_price > 0", "discount": "discount > 0",
+              "coupon_code": "coupon_code IS NOT NULL"}
+
+
+@query("dq_schema")
+def dq_schema(spark, sf):
+    return _dq.schema_check(feed(spark, sf), _dq.DEFAULT_REQUIRED + ["coupon_code"], FEED_TYPES)
+
+
+@query("dq_profile")
+def dq_profile(spark, sf):
+    return _dq.profile(feed(spark, sf))
+
+
+@query("dq_rule_counts")
+def dq_rule_counts(spark, sf):
+    return _dq.rule_counts(feed(spark, sf), FEED_RULES)
+
+
+@query("dq_rule_violations")
+def dq_rule_violations(spark, sf):
+    return _dq.rule_violations(feed(spark, sf), FEED_RULES, ORDER_LINE_KEY + ORDER_LINE_ORDER)
+
+
+@query("dq_completeness")
+def dq_completeness(spark, sf):
+    return _dq.completeness(feed(spark, sf))
+
+
+@query("dq_report")
+def dq_report(spark, sf):
+    return _dq.validate_all(feed(spark, sf), _dq.DEFAULT_REQUIRED + ["discount"], FEED_TYPES, FEED_RULES)
+
+
+@query("dq_pk_duplicates")
+def dq_pk_duplicates(spark, sf):
+    return _dq.pk_duplicates(feed(spark, sf), ORDER_LINE_KEY)
+
+
+@query("dq_fk_orphans")
+def dq_fk_orphans(spark, sf):
+    o = orders(spark, sf)
+    f = star.fact_sales(o, with_sale_id=False)
+    return _dq.fk_orphan_counts(f, [("customer_id", dim_c(spark, sf), "customer_id"),
+                                    ("product_id", dim_p(spark, sf), "product_id"),
+                                    ("date_id", star.dim_date(o, "order_date"), "date_id")])
+
+
+@query("dq_not_null")
+def dq_not_null(spark, sf):
+    f = fact(spark, sf)
+    return _dq.not_null_check(f, ["quantity", "unit_price", "total_amount", "created_at"], unique=["created_at"])
+
+
+@query("dq_type_bounds")
+def dq_type_bounds(spark, sf):
+    x = xf_sales(spark, sf)
+    # the warehouse DDL bounds: VARCHAR(255)/(100), DECIMAL(10,2)
+    return _dq.type_bounds(x, varchar={"customer_name": 255, "email": 255, "city": 100, "country": 100,
+                                       "product_product_name": 255, "product_category": 100,
+                                       "product_brand": 100},
+                           decimals={"total_amount": (10, 2), "unit_price": (10, 2),
+                                     "discount_amount": (10, 2)})

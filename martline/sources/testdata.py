@@ -80,3 +80,16 @@ def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
+
+
+def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders source as a raw feed with a data-driven gap: a zero discount
+    is "not recorded" (NULL). Exercises null profiling, completeness, fills."""
+    o = orders_source(spark, sf_dir)
+    return o.withColumn("discount", F.when(F.col("discount") != 0, F.col("discount")))
+
+
+def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events where an ``error`` event carries no measured value (NULL)."""
+    e = events_source(spark, sf_dir)
+    return e.withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
