@@ -340,3 +340,59 @@ UNION ALL SELECT 'discount_amount', 'decimal(10,2)', CAST(sum(CASE WHEN discount
                   p.category AS product_category, p.brand AS product_brand
            FROM sales_amounts s LEFT JOIN customers_src c ON s.customer_id = c.customer_id
                                 LEFT JOIN products_src p ON s.product_id = p.product_id"""))
+
+# ---- joins / projections / aggregates ---------------------------------------------
+
+_PERIOD = """
+  SELECT customer_id, CAST(sum(total_amount) AS DECIMAL(18,2)) AS revenue, count(*) AS lines
+  FROM sales_amounts WHERE {cond} GROUP BY customer_id"""
+_EARLY = ("early", _PERIOD.format(cond="order_date < TIMESTAMP '1998-01-01'"))
+_LATE = ("late", _PERIOD.format(cond="NOT (order_date < TIMESTAMP '1998-01-01')"))
+
+register("join_inner", """
+SELECT o.*, c.customer_name, c.email, c.city, c.country
+FROM orders_src o JOIN customers_src c ON o.customer_id = c.customer_id""")
+register("join_left", """
+SELECT o.*, p.product_name, p.category, p.brand, p.price
+FROM orders_src o LEFT JOIN products_src p ON o.product_id = p.product_id""")
+register("join_right", """
+SELECT c.customer_id, e.revenue, e.lines, c.customer_name, c.email, c.city, c.country
+FROM early e RIGHT JOIN customers_src c ON e.customer_id = c.customer_id""", _EARLY)
+register("join_full", """
+SELECT coalesce(e.customer_id, l.customer_id) AS customer_id, e.revenue AS revenue_x, e.lines AS lines_x,
+       l.revenue AS revenue_y, l.lines AS lines_y
+FROM early e FULL OUTER JOIN late l ON e.customer_id = l.customer_id""", _EARLY, _LATE)
+register("join_suffixes", """
+SELECT p.product_id, p.product_name, p.category, p.brand, p.price AS price_x, s.pid, s.price AS price_y, s.quantity
+FROM products_src p LEFT JOIN (SELECT product_id AS pid, max(unit_price) AS price,
+                                      CAST(sum(quantity) AS BIGINT) AS quantity
+                               FROM orders_src GROUP BY product_id) s ON p.product_id = s.pid""")
+register("xf_enrich_lookup", """
+SELECT o.*, c.customer_name AS cust_customer_name, c.country AS cust_country
+FROM orders_src o LEFT JOIN customers_src c ON o.customer_id = c.customer_id""")
+register("xf_calculate_fields", """
+SELECT *, CAST(gross + tax AS DECIMAL(18,4)) AS net, quantity >= 25 AS bulk FROM (
+  SELECT *, CAST(gross * 0.08 AS DECIMAL(18,4)) AS tax FROM (
+    SELECT *, CAST(quantity * unit_price AS DECIMAL(18,2)) AS gross FROM orders_src))""")
+register("xf_filter", "SELECT * FROM orders_feed WHERE quantity > 25 AND discount <> 5")
+register("agg_generic", """
+SELECT customer_id, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS quantity_sum, avg(quantity) AS quantity_mean,
+       count(quantity) AS quantity_count, count(*) AS quantity_size, min(quantity) AS quantity_min,
+       max(quantity) AS quantity_max, count(DISTINCT discount) AS discount_nunique,
+       count(discount) AS discount_count, coalesce(sum(discount), 0) AS discount_sum, min(discount) AS discount_min
+FROM orders_feed WHERE customer_id IS NOT NULL GROUP BY customer_id""")
+register("agg_generic_stats", """
+SELECT customer_id, round(stddev_samp(quantity), 6) AS quantity_std, round(var_samp(quantity), 6) AS quantity_var,
+       median(CAST(quantity AS DOUBLE)) AS quantity_median
+FROM orders_feed WHERE customer_id IS NOT NULL GROUP BY customer_id""")
+register("agg_generic_ordered", """
+SELECT order_id,
+       arg_min(discount, (line_number, product_id, supplier_id)) FILTER (WHERE discount IS NOT NULL) AS discount_first,
+       arg_max(discount, (line_number, product_id, supplier_id)) FILTER (WHERE discount IS NOT NULL) AS discount_last,
+       coalesce(product(quantity), 1.0) AS quantity_prod
+FROM orders_feed WHERE order_id IS NOT NULL GROUP BY order_id""")
+register("agg_daily_sales", """
+SELECT CAST(order_date AS DATE) AS date, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS quantity_sum,
+       CAST(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_amount_sum,
+       CAST(coalesce(sum(final_amount), 0) AS DOUBLE) AS final_amount_sum, count(order_id) AS order_count
+FROM sales_amounts GROUP BY CAST(order_date AS DATE)""")

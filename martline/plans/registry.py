@@ -307,3 +307,102 @@ def dq_type_bounds(spark, sf):
                                        "product_brand": 100},
                            decimals={"total_amount": (10, 2), "unit_price": (10, 2),
                                      "discount_amount": (10, 2)})
+
+
+# ---- joins, projections, aggregates (J1-J6, P1-P2, A1-A2) ------------------------
+
+from martline.operators import aggregate as _agg  # noqa: E402
+from martline.operators import calc as _calc  # noqa: E402
+from martline.operators import joins as _joins  # noqa: E402
+
+
+def customer_period_revenue(spark, sf, early: bool):
+    """Revenue per customer before / from 1998 (customers appear in one or both periods)."""
+    o = star.add_sales_amounts(orders(spark, sf))
+    cond = F.col("order_date") < F.lit("1998-01-01").cast("timestamp_ntz")
+    o = o.where(cond if early else ~cond)
+    return o.groupBy("customer_id").agg(F.sum("total_amount").cast("decimal(18,2)").alias("revenue"),
+                                        F.count(F.lit(1)).alias("lines"))
+
+
+@query("join_inner")
+def join_inner(spark, sf):
+    return _joins.join_data(orders(spark, sf), customers(spark, sf), "customer_id", "customer_id", "inner")
+
+
+@query("join_left")
+def join_left(spark, sf):
+    return _joins.join_data(orders(spark, sf), products(spark, sf), "product_id", "product_id", "left")
+
+
+@query("join_right")
+def join_right(spark, sf):
+    early = customer_period_revenue(spark, sf, early=True)
+    return _joins.join_data(early, customers(spark, sf), "customer_id", "customer_id", "right")
+
+
+@query("join_full")
+def join_full(spark, sf):
+    return _joins.join_data(customer_period_revenue(spark, sf, True),
+                            customer_period_revenue(spark, sf, False),
+                            "customer_id", "customer_id", "outer")
+
+
+@query("join_suffixes")
+def join_suffixes(spark, sf):
+    sold = (orders(spark, sf).groupBy(F.col("product_id").alias("pid"))
+            .agg(F.max("unit_price").alias("price"), F.sum("quantity").alias("quantity")))
+    return _joins.join_data(products(spark, sf), sold, "product_id", "pid", "left")
+
+
+@query("xf_enrich_lookup")
+def xf_enrich_lookup(spark, sf):
+    lookup = customers(spark, sf).withColumnRenamed("customer_id", "cust_key")
+    return _joins.enrich_with_lookup(orders(spark, sf), lookup, "customer_id", "cust_key",
+                                     ["customer_name", "country"], prefix="cust")
+
+
+@query("xf_calculate_fields")
+def xf_calculate_fields(spark, sf):
+    return _calc.calculate_fields(orders(spark, sf), {
+        "gross": "CAST(quantity * unit_price AS DECIMAL(18,2))",
+        "tax": "CAST(gross * 0.08 AS DECIMAL(18,4))",
+        "net": "CAST(gross + tax AS DECIMAL(18,4))",
+        "bulk": "quantity >= 25",
+    })
+
+
+@query("xf_filter")
+def xf_filter(spark, sf):
+    return _calc.filter_data(feed(spark, sf), "quantity > 25 and discount != 5")
+
+
+@query("agg_generic")
+def agg_generic(spark, sf):
+    return _agg.aggregate_data(feed(spark, sf), ["customer_id"], {
+        "quantity": ["sum", "mean", "count", "size", "min", "max"],
+        "discount": ["nunique", "count", "sum", "min"],
+    })
+
+
+@query("agg_generic_stats")
+def agg_generic_stats(spark, sf):
+    out = _agg.aggregate_data(feed(spark, sf), ["customer_id"], {"quantity": ["std", "var", "median"]})
+    # sample moments are order-sensitive in the last bits: compare at 6 decimals
+    return out.select("customer_id", F.round("quantity_std", 6).alias("quantity_std"),
+                      F.round("quantity_var", 6).alias("quantity_var"), "quantity_median")
+
+
+@query("agg_generic_ordered")
+def agg_generic_ordered(spark, sf):
+    return _agg.aggregate_data(feed(spark, sf), ["order_id"], {
+        "discount": ["first", "last"], "quantity": ["prod"],
+    }, order_by=["line_number", "product_id", "supplier_id"])
+
+
+@query("agg_daily_sales")
+def agg_daily_sales(spark, sf):
+    sales = xf_sales(spark, sf)
+    out = _agg.aggregate_daily_sales(sales, "order_date")
+    return out.select("date", "quantity_sum", F.col("total_amount_sum").cast("double").alias("total_amount_sum"),
+                      F.col("final_amount_sum").cast("double").alias("final_amount_sum"), "order_count")
