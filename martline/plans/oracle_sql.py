@@ -396,3 +396,80 @@ SELECT CAST(order_date AS DATE) AS date, CAST(coalesce(sum(quantity), 0) AS BIGI
        CAST(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_amount_sum,
        CAST(coalesce(sum(final_amount), 0) AS DOUBLE) AS final_amount_sum, count(order_id) AS order_count
 FROM sales_amounts GROUP BY CAST(order_date AS DATE)""")
+
+# ---- sources, lake, loads -----------------------------------------------------------
+
+_CLEAN_CUSTOMERS = ("clean_customers", f"""
+  SELECT customer_id, regexp_replace(customer_name, '{_STRIP}', '', 'g') AS customer_name,
+         regexp_replace(lower(regexp_replace(email, '{_STRIP}', '', 'g')), '{_STRIP}', '', 'g') AS email,
+         regexp_replace(city, '{_STRIP}', '', 'g') AS city,
+         regexp_replace(country, '{_STRIP}', '', 'g') AS country
+  FROM customers_src""")
+
+register("src_csv_roundtrip", "SELECT * FROM orders_feed")
+register("src_scan_report", """
+SELECT count(*) AS rows_extracted,
+       'order_id,line_number,supplier_id,customer_id,product_id,order_date,shipped_at,quantity,unit_price,discount'
+         AS columns_found,
+       false AS is_valid, 'Missing required columns: [''coupon_code'']' AS errors,
+       CASE WHEN count(*) <> (SELECT count(*) FROM orders)
+            THEN 'Expected ' || (SELECT count(*) FROM orders) || ' rows, got ' || count(*) ELSE '' END AS warnings
+FROM orders_feed""")
+register("src_json_flatten", """
+SELECT customer_id, customer_name, city AS "address.city", country AS "address.country", email AS "contact.email"
+FROM customers_src""")
+register("src_json_record_path", """
+SELECT line_number, product_id, supplier_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(discount AS DOUBLE) AS discount, order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date
+FROM orders_src""")
+register("src_payload_path", """
+SELECT '/events/' || event_id AS url, event_type <> 'error' AS path_complete,
+       CASE WHEN event_type = 'error' THEN 500 END AS "error.code",
+       CASE WHEN event_type = 'error' THEN 'upstream failure' END AS "error.message",
+       CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+       CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+       CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS "props.k",
+       CASE WHEN event_type <> 'error' THEN user_id END AS user_id,
+       CASE WHEN event_type <> 'error' THEN value END AS value
+FROM events""")
+register("src_latest_snapshot", "SELECT * FROM clean_customers", _CLEAN_CUSTOMERS)
+register("sink_lake_roundtrip", "SELECT * FROM orders_feed")
+register("sink_load_modes", "SELECT * FROM clean_customers UNION ALL SELECT * FROM clean_customers",
+         _CLEAN_CUSTOMERS)
+
+_EARLY_PRODUCTS = ("t", """
+  SELECT * FROM dim_products p WHERE EXISTS (
+    SELECT 1 FROM orders_src o WHERE o.product_id = p.product_id AND o.order_date < TIMESTAMP '1998-01-01')""")
+_PRICE_OBS = ("b", """
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT o.product_id, upper(p.product_name) AS product_name, p.category, p.brand, o.unit_price AS price,
+           row_number() OVER (PARTITION BY o.product_id
+                              ORDER BY o.order_date DESC, o.order_id DESC, o.line_number DESC, o.supplier_id DESC) AS rn
+    FROM orders_src o JOIN products_src p ON o.product_id = p.product_id
+    WHERE NOT (o.order_date < TIMESTAMP '1998-01-01')) WHERE rn = 1""")
+register("load_upsert", """
+SELECT coalesce(t.product_id, b.product_id) AS product_id,
+       CASE WHEN b.product_id IS NOT NULL THEN b.product_name ELSE t.product_name END AS product_name,
+       CASE WHEN b.product_id IS NOT NULL THEN b.category ELSE t.category END AS category,
+       CASE WHEN b.product_id IS NOT NULL THEN b.brand ELSE t.brand END AS brand,
+       CASE WHEN b.product_id IS NOT NULL THEN b.price ELSE t.price END AS price
+FROM t FULL OUTER JOIN b ON t.product_id = b.product_id""", _EARLY_PRODUCTS, _PRICE_OBS)
+register("load_upsert_partial", """
+SELECT coalesce(t.product_id, b.product_id) AS product_id,
+       CASE WHEN t.product_id IS NOT NULL THEN t.product_name ELSE b.product_name END AS product_name,
+       CASE WHEN t.product_id IS NOT NULL THEN t.category ELSE b.category END AS category,
+       CASE WHEN t.product_id IS NOT NULL THEN t.brand ELSE b.brand END AS brand,
+       CASE WHEN b.product_id IS NOT NULL THEN b.price ELSE t.price END AS price
+FROM t FULL OUTER JOIN b ON t.product_id = b.product_id""", _EARLY_PRODUCTS, _PRICE_OBS)
+
+_FACT_NOID = ("f0", "SELECT * EXCLUDE (sale_id) FROM fact")
+register("load_incremental", """
+SELECT * FROM f0 WHERE created_at < TIMESTAMP '1999-01-01'
+UNION ALL
+SELECT * FROM f0 WHERE created_at > (SELECT max(created_at) FROM f0 WHERE created_at < TIMESTAMP '1999-01-01')""",
+         _FACT_NOID)
+register("load_watermark", """
+SELECT max(created_at) AS last_load_ts FROM f0 WHERE created_at < TIMESTAMP '1999-01-01'""", _FACT_NOID)
+register("load_dim_customers", "SELECT * FROM clean_customers", _CLEAN_CUSTOMERS)
+register("load_dim_products", "SELECT * FROM dim_products")
+register("load_fact_append", "SELECT * FROM f0", _FACT_NOID)

@@ -406,3 +406,192 @@ def agg_daily_sales(spark, sf):
     out = _agg.aggregate_daily_sales(sales, "order_date")
     return out.select("date", "quantity_sum", F.col("total_amount_sum").cast("double").alias("total_amount_sum"),
                       F.col("final_amount_sum").cast("double").alias("final_amount_sum"), "order_count")
+
+
+# ---- sources, lake, warehouse loads (S1-S7, K1-K8) -------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from martline.plans.warehouse import Warehouse  # noqa: E402
+from martline.session import scratch_path  # noqa: E402
+from martline.sources import files as _files  # noqa: E402
+from martline.sources.lake import DataLake  # noqa: E402
+from martline.sources.payloads import payload_rows  # noqa: E402
+
+CUTOFF = "1998-01-01"          # split between an earlier load and a later batch
+FACT_CUTOFF = "1999-01-01"
+
+
+def _before(col: str, ts: str):
+    return F.col(col) < F.lit(ts).cast("timestamp_ntz")
+
+
+def _write_text(df: DataFrame, path: str) -> str:
+    df.write.mode("errorifexists").text(path)
+    return path
+
+
+@query("src_csv_roundtrip")
+def src_csv_roundtrip(spark, sf):
+    f = feed(spark, sf)
+    path = scratch_path(spark, "orders_csv")
+    f.write.option("header", True).option("nullValue", "NA").csv(path)
+    return _files.extract_csv(spark, path, schema=f.schema, null_value="NA")
+
+
+@query("src_scan_report")
+def src_scan_report(spark, sf):
+    f = feed(spark, sf)
+    path = scratch_path(spark, "orders_csv")
+    f.write.option("header", True).option("nullValue", "NA").csv(path)
+    expected = td.table(spark, sf, "orders").count()  # one line per order header (a wrong guess on purpose)
+    _, rep = _files.extract_csv_with_validation(spark, path, _dq.DEFAULT_REQUIRED + ["coupon_code"],
+                                                expected_rows=expected, null_value="NA")
+    return rep.select("rows_extracted", F.array_join("columns_found", ",").alias("columns_found"),
+                      "is_valid", F.array_join("errors", "; ").alias("errors"),
+                      F.array_join("warnings", "; ").alias("warnings"))
+
+
+@query("src_json_flatten")
+def src_json_flatten(spark, sf):
+    c = customers(spark, sf)
+    doc = F.to_json(F.struct("customer_id", "customer_name",
+                             F.struct("city", "country").alias("address"),
+                             F.struct("email").alias("contact")))
+    path = _write_text(c.select(doc.alias("value")), scratch_path(spark, "customers_jsonl"))
+    return _files.extract_json(spark, path, lines=True)
+
+
+@query("src_json_record_path")
+def src_json_record_path(spark, sf):
+    o = orders(spark, sf)
+    line = F.struct("line_number", "product_id", "supplier_id", "quantity", "unit_price", "discount")
+    doc = F.to_json(F.struct("order_id", "customer_id",
+                             F.date_format("order_date", "yyyy-MM-dd").alias("order_date"),
+                             F.array(line).alias("lines")))
+    path = _write_text(o.select(doc.alias("value")), scratch_path(spark, "orders_nested"))
+    return _files.extract_json_nested(spark, path, record_path="lines",
+                                      meta=["order_id", "customer_id", "order_date"], lines=True)
+
+
+def landed_event_responses(spark, sf):
+    """One landed response per event; failed calls carry an error object instead of data.results."""
+    e = td.events_source(spark, sf)
+    ok = F.to_json(F.struct(F.struct(F.array(F.struct(
+        "event_id", "user_id", "event_type", "value",
+        F.from_json("props", "k BIGINT").alias("props"))).alias("results")).alias("data")))
+    err = F.to_json(F.struct(F.struct(F.lit(500).alias("code"), F.lit("upstream failure").alias("message"))
+                             .alias("error")))
+    return e.select(F.concat(F.lit("/events/"), F.col("event_id").cast("string")).alias("url"),
+                    F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"),
+                    F.when(F.col("event_type") == "error", err).otherwise(ok).alias("body"))
+
+
+@query("src_payload_path")
+def src_payload_path(spark, sf):
+    return payload_rows(landed_event_responses(spark, sf), "data.results", keep=["url"])
+
+
+def _cleaned_customers(spark, sf):
+    return _clean.standardize_emails(_clean.trim_whitespace(customers(spark, sf)), ["email"])
+
+
+@query("src_latest_snapshot")
+def src_latest_snapshot(spark, sf):
+    lake = DataLake(spark, scratch_path(spark, "lake"))
+    lake.save_raw(customers(spark, sf), "customers", "parquet", _dt.datetime(2024, 1, 15, 9, 0, 0))
+    lake.save_raw(_cleaned_customers(spark, sf), "customers", "parquet", _dt.datetime(2024, 1, 16, 9, 0, 0))
+    return lake.latest("raw", "customers")
+
+
+@query("sink_lake_roundtrip")
+def sink_lake_roundtrip(spark, sf):
+    f = feed(spark, sf)
+    lake = DataLake(spark, scratch_path(spark, "lake"))
+    lake.save_raw(f, "orders", "json", _dt.datetime(2024, 1, 15, 9, 0, 0))
+    return lake.latest("raw", "orders", "json", schema=f.schema)
+
+
+@query("sink_load_modes")
+def sink_load_modes(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.load(dim_c(spark, sf), "dim_customers", "fail")
+    wh.load(_cleaned_customers(spark, sf), "dim_customers", "replace")
+    wh.load(_cleaned_customers(spark, sf), "dim_customers", "append")
+    return wh.read("dim_customers")
+
+
+def _products_sold_before(spark, sf):
+    early = orders(spark, sf).where(_before("order_date", CUTOFF)).select("product_id")
+    return dim_p(spark, sf).join(early, "product_id", "left_semi")
+
+
+def _price_observations(spark, sf):
+    """Product rows observed in sales from the cutoff on: price = the sale's unit price."""
+    late = orders(spark, sf).where(~_before("order_date", CUTOFF))
+    p = products(spark, sf)
+    return late.join(p.select("product_id", "product_name", "category", "brand"), "product_id").select(
+        "product_id", F.upper("product_name").alias("product_name"), "category", "brand",
+        F.col("unit_price").alias("price"), "order_date", "order_id", "line_number", "supplier_id")
+
+
+def _upsert_products(spark, sf, update_columns):
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.load(_products_sold_before(spark, sf), "dim_products", "fail")
+    wh.upsert(_price_observations(spark, sf), "dim_products", ["product_id"], update_columns,
+              order_by=["order_date", "order_id", "line_number", "supplier_id"])
+    return wh.read("dim_products")
+
+
+@query("load_upsert")
+def load_upsert(spark, sf):
+    return _upsert_products(spark, sf, None)
+
+
+@query("load_upsert_partial")
+def load_upsert_partial(spark, sf):
+    return _upsert_products(spark, sf, ["price"])
+
+
+def _fact_warehouse(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    f = fact(spark, sf)
+    wh.load(f.where(_before("created_at", FACT_CUTOFF)), "fact_sales", "fail")
+    return wh, f
+
+
+@query("load_incremental")
+def load_incremental(spark, sf):
+    wh, f = _fact_warehouse(spark, sf)
+    wh.incremental_load(f, "fact_sales", "created_at")
+    return wh.read("fact_sales")
+
+
+@query("load_watermark")
+def load_watermark(spark, sf):
+    wh, _ = _fact_warehouse(spark, sf)
+    return wh.read("fact_sales").agg(F.max("created_at").alias("last_load_ts"))
+
+
+@query("load_dim_customers")
+def load_dim_customers(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    early = orders(spark, sf).where(_before("order_date", CUTOFF)).select("customer_id")
+    wh.load(dim_c(spark, sf).join(early, "customer_id", "left_semi"), "dim_customers", "fail")
+    wh.load_dimension_table(star.dim_customers(_cleaned_customers(spark, sf)), "dim_customers", "customer_id")
+    return wh.read("dim_customers")
+
+
+@query("load_dim_products")
+def load_dim_products(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.load(_products_sold_before(spark, sf), "dim_products", "fail")
+    wh.load_dimension_table(dim_p(spark, sf), "dim_products", "product_id")
+    return wh.read("dim_products")
+
+
+@query("load_fact_append")
+def load_fact_append(spark, sf):
+    wh, f = _fact_warehouse(spark, sf)
+    wh.load_fact_table(f.where(~_before("created_at", FACT_CUTOFF)), "fact_sales")
+    return wh.read("fact_sales")
