@@ -473,3 +473,5 @@ SELECT max(created_at) AS last_load_ts FROM f0 WHERE created_at < TIMESTAMP '199
 register("load_dim_customers", "SELECT * FROM clean_customers", _CLEAN_CUSTOMERS)
 register("load_dim_products", "SELECT * FROM dim_products")
 register("load_fact_append", "SELECT * FROM f0", _FACT_NOID)
+
+register("etl_batch_run", "SELECT * FROM fact")

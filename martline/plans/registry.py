@@ -595,3 +595,35 @@ def load_fact_append(spark, sf):
     wh, f = _fact_warehouse(spark, sf)
     wh.load_fact_table(f.where(~_before("created_at", FACT_CUTOFF)), "fact_sales")
     return wh.read("fact_sales")
+
+
+# ---- X2 batch job -------------------------------------------------------------------
+
+from martline.plans.batch_job import JobConfig, run_job  # noqa: E402
+
+
+def land_sources(spark, sf, base: str) -> dict[str, str]:
+    """Land the driver-derived sources as files: orders CSV, customers and
+    products JSON Lines (products under a ``products`` key)."""
+    o = orders(spark, sf)
+    paths = {"orders": f"{base}/orders_csv", "customers": f"{base}/customers_jsonl",
+             "products": f"{base}/products_jsonl"}
+    o.write.option("header", True).csv(paths["orders"])
+    customers(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.text(paths["customers"])
+    p = products(spark, sf).select(F.to_json(F.struct(F.array(F.struct("*")).alias("products"))).alias("value"))
+    p.write.text(paths["products"])
+    return paths
+
+
+@query("etl_batch_run")
+def etl_batch_run(spark, sf):
+    base = scratch_path(spark, "job")
+    paths = land_sources(spark, sf, base)
+    cfg = JobConfig(orders_path=paths["orders"], customers_path=paths["customers"],
+                    products_path=paths["products"], lake_path=f"{base}/lake",
+                    warehouse_path=f"{base}/warehouse", orders_schema=orders(spark, sf).schema,
+                    json_lines=True)
+    res = run_job(spark, cfg)
+    if not res.success:
+        raise RuntimeError(f"batch job failed: {res.errors}")
+    return Warehouse(spark, cfg.warehouse_path).read("fact_sales")

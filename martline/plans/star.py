@@ -54,7 +54,8 @@ def date_key(c) -> F.Column:
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
 
 
-def fact_sales(sales: DataFrame, with_sale_id: bool = True, created_at: str = "shipped_at") -> DataFrame:
+def fact_sales(sales: DataFrame, with_sale_id: bool = True, created_at: str = "shipped_at",
+               first_id: int = 1) -> DataFrame:
     """Fact rows from order lines carrying the sales amounts.
 
     ``sale_id`` is the dense surrogate (SERIAL) in order-line order, computed
@@ -75,6 +76,8 @@ def fact_sales(sales: DataFrame, with_sale_id: bool = True, created_at: str = "s
     if with_sale_id:
         order = [c for c in SALE_ORDER if c in fact.columns]
         fact = global_row_number(fact, order, "sale_id")
+        if first_id != 1:
+            fact = fact.withColumn("sale_id", F.col("sale_id") + F.lit(first_id - 1))
         return fact.select(*FACT_COLUMNS)
     return fact.select(*[c for c in FACT_COLUMNS if c != "sale_id"])
 

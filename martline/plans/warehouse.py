@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from martline.plans import marts
 
@@ -105,27 +104,19 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._audit_exists: bool | None = None
+        # An empty append creates the audit folder, so reading it never fails.
+        self.spark.createDataFrame([], AUDIT_SCHEMA).write.mode("append").parquet(self._audit_path())
 
     # ---- versions and audit ----------------------------------------------------
     def _audit_path(self) -> str:
         return f"{self.root}/_audit"
 
     def audit(self) -> DataFrame:
-        if self._audit_exists is not False:
-            try:
-                df = self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path())
-                df.inputFiles()
-                self._audit_exists = True
-                return df
-            except AnalysisException:
-                self._audit_exists = False
-        return self.spark.createDataFrame([], AUDIT_SCHEMA)
+        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path())
 
     def _record(self, table: str, version: int, operation: str, rows: int) -> None:
         row = [(table, version, operation, rows, dt.datetime.now())]
         self.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self._audit_path())
-        self._audit_exists = True
 
     def version(self, table: str) -> int | None:
         v = self.audit().where(F.col("table_name") == table).agg(F.max("version")).first()[0]
