@@ -475,3 +475,17 @@ register("load_dim_products", "SELECT * FROM dim_products")
 register("load_fact_append", "SELECT * FROM f0", _FACT_NOID)
 
 register("etl_batch_run", "SELECT * FROM fact")
+
+# ---- streaming ----------------------------------------------------------------------
+
+register("stream_daily_sales", """
+SELECT date_trunc('day', created_at) AS window_start, date_trunc('day', created_at) + INTERVAL 1 DAY AS window_end,
+       count(*) AS order_count, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+       CAST(sum(total_amount) AS DOUBLE) AS total_revenue
+FROM fact GROUP BY 1, 2""")
+register("stream_customer_activity", """
+SELECT customer_id, last_order_date, last_order_id, last_order_total FROM (
+  SELECT o_custkey AS customer_id, o_orderdate AS last_order_date, o_orderkey AS last_order_id,
+         o_totalprice AS last_order_total,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1""")

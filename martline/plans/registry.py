@@ -627,3 +627,37 @@ def etl_batch_run(spark, sf):
     if not res.success:
         raise RuntimeError(f"batch job failed: {res.errors}")
     return Warehouse(spark, cfg.warehouse_path).read("fact_sales")
+
+
+# ---- streaming ----------------------------------------------------------------------
+
+from martline.streaming import incremental as _stream  # noqa: E402
+
+
+@query("stream_daily_sales")
+def stream_daily_sales(spark, sf):
+    base = scratch_path(spark, "stream_daily")
+    src = fact(spark, sf).select("created_at", "quantity", "total_amount")
+    src.write.parquet(f"{base}/in")
+    wh = Warehouse(spark, f"{base}/warehouse")
+    _stream.daily_sales_stream(spark, f"{base}/in", src.schema, wh, "daily_sales", f"{base}/checkpoint")
+    out = wh.read("daily_sales")
+    return out.select("window_start", "window_end", "order_count", "total_quantity",
+                      F.col("total_revenue").cast("double").alias("total_revenue"))
+
+
+@query("stream_customer_activity")
+def stream_customer_activity(spark, sf):
+    base = scratch_path(spark, "stream_activity")
+    o = td.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("order_date"), F.col("o_totalprice").alias("order_total"))
+    o.repartition(4).write.parquet(f"{base}/in")  # several files -> several micro-batches
+    wh = Warehouse(spark, f"{base}/warehouse")
+    _stream.latest_per_key_stream(
+        spark, f"{base}/in", o.schema, wh, "customer_activity", f"{base}/checkpoint",
+        key=["customer_id"], event_id=["order_id"], event_time="order_date",
+        columns=["customer_id", F.col("order_date").alias("last_order_date"),
+                 F.col("order_id").alias("last_order_id"), F.col("order_total").alias("last_order_total")],
+        newer_by=["last_order_date", "last_order_id"], max_files_per_trigger=1)
+    return wh.read("customer_activity")

@@ -50,13 +50,16 @@ def create_table_sql(table: str, location: str) -> str:
 
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str] | None = None,
-                 order_by: Sequence[str] | None = None) -> DataFrame:
+                 order_by: Sequence[str] | None = None,
+                 only_if_newer: Sequence[str] | None = None) -> DataFrame:
     """K4 as a pure DataFrame: new keys inserted, existing keys get the batch
     values of ``update_columns`` (default: every non-key batch column), other
     target columns keep their value. Duplicate keys in the batch: the last in
     ``order_by`` wins (order columns may be batch-only; they are not written).
     Without ``order_by`` duplicates resolve to the greatest row (deterministic).
-    All columns being keys gives insert-if-absent."""
+    All columns being keys gives insert-if-absent. ``only_if_newer`` (columns
+    stored in both) updates an existing key only when the batch row is not
+    older - what a stream needs when a late micro-batch carries old rows."""
     keys = list(keys)
     order = list(order_by or [])
     data_cols = [c for c in batch.columns if c not in order or c in target.columns]
@@ -76,12 +79,16 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     b = b.withColumn("__in_b", F.lit(True))
     t = target.withColumn("__in_t", F.lit(True))
     j = t.join(b, keys, "full_outer")
+    take_b = F.col("__in_b")
+    if only_if_newer:
+        newer = F.struct(*[F.col(f"__b.{c}") for c in only_if_newer]) >= F.struct(*[F.col(c) for c in only_if_newer])
+        take_b = take_b & (F.col("__in_t").isNull() | F.coalesce(newer, F.lit(True)))
     out = []
     for c in target.columns:
         if c in keys:
             out.append(F.col(c))
         elif c in upd:
-            out.append(F.when(F.col("__in_b"), F.col(f"__b.{c}")).otherwise(F.col(c)).alias(c))
+            out.append(F.when(take_b, F.col(f"__b.{c}")).otherwise(F.col(c)).alias(c))
         elif c in vals:
             out.append(F.when(F.col("__in_t"), F.col(c)).otherwise(F.col(f"__b.{c}")).alias(c))
         else:
@@ -182,15 +189,19 @@ class Warehouse:
         return {"rows_loaded": rows, "status": "success", "table": table}
 
     def upsert(self, df: DataFrame, table: str, conflict_columns: Sequence[str],
-               update_columns: Sequence[str] | None = None, order_by: Sequence[str] | None = None) -> dict:
+               update_columns: Sequence[str] | None = None, order_by: Sequence[str] | None = None,
+               only_if_newer: Sequence[str] | None = None) -> dict:
         """K4: merge into a new version (copy-on-write), then repoint via the audit."""
         if df.isEmpty():
             return {"rows_upserted": 0, "status": "skipped"}
         v = self.version(table)
-        if v is None:
-            base = df.drop(*[c for c in (order_by or []) if c not in df.columns])
-            return self.load(base, table, "fail") | {"rows_upserted": 0}
-        merged = merge_upsert(self.read(table), df, conflict_columns, update_columns, order_by)
+        if v is None:  # first load: the deduplicated batch becomes the table
+            empty = df.limit(0).select(*[c for c in df.columns if c not in (order_by or []) or c in conflict_columns
+                                         or c in (only_if_newer or [])])
+            merged = merge_upsert(empty, df, conflict_columns, update_columns, order_by, only_if_newer)
+            rows = self._write(merged, table, 0, "errorifexists", "create")
+            return {"rows_upserted": rows, "status": "success", "table": table}
+        merged = merge_upsert(self.read(table), df, conflict_columns, update_columns, order_by, only_if_newer)
         rows = self._write(merged, table, v + 1, "errorifexists", "upsert")
         return {"rows_upserted": rows, "status": "success", "table": table}
 
