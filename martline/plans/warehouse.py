@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -158,7 +159,9 @@ class Warehouse:
         made = []
         for t, ddl in STAR_DDL.items():
             if not self.exists(t):
-                schema = T._parse_datatype_string(ddl.replace(" NOT NULL", ""))
+                # parquet files carry STRING; VARCHAR(n) lengths are checked by type_bounds
+                ddl_types = re.sub(r"VARCHAR\(\d+\)", "STRING", ddl.replace(" NOT NULL", ""))
+                schema = T._parse_datatype_string(ddl_types)
                 self._write(self.spark.createDataFrame([], schema), t, 0, "errorifexists", "create")
                 made.append(t)
         return made

@@ -10,8 +10,8 @@ Fixed mapping (sales column <- driver expression):
   supplier_id   <- l_suppkey            customer_id <- o_custkey
   product_id    <- l_partkey            order_date  <- o_orderdate
   shipped_at    <- l_shipdate           quantity    <- int(l_quantity)
-  unit_price    <- cents(l_extendedprice / l_quantity) as DECIMAL(10,2)
-  discount      <- l_discount * 100 as DECIMAL(5,2)   (a percent, as in the sample CSV)
+  unit_price    <- round-half-up cents of l_extendedprice / l_quantity, DECIMAL(10,2)
+  discount      <- l_discount as a percent with 2 decimals, DECIMAL(5,2) (as in the sample CSV)
   customer_name <- c_name               email       <- '  ' || upper(c_name) || '@Example.com '
   city          <- n_name               country     <- r_name
   product_name  <- p_name               category    <- p_type
@@ -20,6 +20,8 @@ Fixed mapping (sales column <- driver expression):
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,11 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines: lineitem joined to its order header (both large: shuffle join)."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # Integer cents / basis points times a DECIMAL(2,2) literal keep the decimals
+    # long-backed (precision <= 18); a DOUBLE -> DECIMAL cast goes through BigDecimal.
     cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity") + 0.5)
+    bps = F.floor(F.col("l_discount") * 10000 + 0.5)
+    hundredth = F.lit(Decimal("0.01"))
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
@@ -50,8 +56,8 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("order_date"),
         F.col("l_shipdate").alias("shipped_at"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        (cents.cast("decimal(18,0)") / 100).cast("decimal(10,2)").alias("unit_price"),
-        (F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount"),
+        (cents.cast("decimal(10,0)") * hundredth).cast("decimal(10,2)").alias("unit_price"),
+        (bps.cast("decimal(7,0)") * hundredth).cast("decimal(5,2)").alias("discount"),
     )
 
 
@@ -75,7 +81,8 @@ def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_name").alias("product_name"),
                     F.col("p_type").alias("category"),
                     F.col("p_brand").alias("brand"),
-                    F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
+                    (F.floor(F.col("p_retailprice") * 100 + 0.5).cast("decimal(10,0)")
+                     * F.lit(Decimal("0.01"))).cast("decimal(10,2)").alias("price"))
 
 
 def events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
