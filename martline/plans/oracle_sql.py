@@ -489,3 +489,7 @@ SELECT customer_id, last_order_date, last_order_id, last_order_total FROM (
          o_totalprice AS last_order_total,
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
   FROM orders) WHERE rn = 1""")
+
+# The SQL-text marts return the same rows as the DataFrame marts.
+for _k in ("bi_top_customers", "bi_top_products", "bi_category_performance", "bi_sales_summary"):
+    SQL[f"{_k}_sql"] = SQL[_k]

@@ -661,3 +661,32 @@ def stream_customer_activity(spark, sf):
                  F.col("order_id").alias("last_order_id"), F.col("order_total").alias("last_order_total")],
         newer_by=["last_order_date", "last_order_id"], max_files_per_trigger=1)
     return wh.read("customer_activity")
+
+
+# ---- S8: SQL text with bound parameters ---------------------------------------------
+
+from martline.plans.marts_sql import run_bi_sql  # noqa: E402
+
+
+def _star_views(spark, sf):
+    return {"fact_sales": fact(spark, sf), "dim_customers": dim_c(spark, sf), "dim_products": dim_p(spark, sf)}
+
+
+@query("bi_top_customers_sql")
+def bi_top_customers_sql(spark, sf):
+    return run_bi_sql(spark, "top_customers", _star_views(spark, sf), limit=10)
+
+
+@query("bi_top_products_sql")
+def bi_top_products_sql(spark, sf):
+    return run_bi_sql(spark, "top_products", _star_views(spark, sf), limit=10)
+
+
+@query("bi_category_performance_sql")
+def bi_category_performance_sql(spark, sf):
+    return run_bi_sql(spark, "category_performance", _star_views(spark, sf))
+
+
+@query("bi_sales_summary_sql")
+def bi_sales_summary_sql(spark, sf):
+    return run_bi_sql(spark, "sales_summary", _star_views(spark, sf))
