@@ -114,6 +114,8 @@ class Warehouse:
         self.root = root.rstrip("/")
         # An empty append creates the audit folder, so reading it never fails.
         self.spark.createDataFrame([], AUDIT_SCHEMA).write.mode("append").parquet(self._audit_path())
+        self._versions: dict[str, int | None] | None = None
+        self._highest: dict[str, int] = {}
 
     # ---- versions and audit ----------------------------------------------------
     def _audit_path(self) -> str:
@@ -125,14 +127,31 @@ class Warehouse:
     def _record(self, table: str, version: int, operation: str, rows: int) -> None:
         row = [(table, version, operation, rows, dt.datetime.now())]
         self.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self._audit_path())
+        if self._versions is not None:
+            self._versions[table] = None if operation == "drop" else version
+            self._highest[table] = max(version, self._highest.get(table, -1))
+
+    def refresh(self) -> None:
+        """Re-read the current versions from the audit (after other writers loaded)."""
+        cur = (self.audit().groupBy("table_name")
+               .agg(F.max_by(F.struct("operation", "version"), F.struct("loaded_at", "version")).alias("last"))
+               .collect())
+        self._versions = {r.table_name: (None if r["last"]["operation"] == "drop" else r["last"]["version"])
+                          for r in cur}
+        self._highest = {r.table_name: r["top"] for r in
+                         self.audit().groupBy("table_name").agg(F.max("version").alias("top")).collect()}
+
+    def _next_version(self, table: str) -> int:
+        """Versions only grow, also across drop and re-create (old folders are never reused)."""
+        if self._versions is None:
+            self.refresh()
+        return self._highest.get(table, -1) + 1
 
     def version(self, table: str) -> int | None:
-        v = self.audit().where(F.col("table_name") == table).agg(F.max("version")).first()[0]
-        if v is None:
-            return None
-        dropped = self.audit().where((F.col("table_name") == table) & (F.col("operation") == "drop")) \
-                      .agg(F.max("version")).first()[0]
-        return None if dropped is not None and dropped >= v else v
+        """Current version of ``table`` (one small audit read per instance, then cached)."""
+        if self._versions is None:
+            self.refresh()
+        return self._versions.get(table)
 
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
@@ -162,7 +181,8 @@ class Warehouse:
                 # parquet files carry STRING; VARCHAR(n) lengths are checked by type_bounds
                 ddl_types = re.sub(r"VARCHAR\(\d+\)", "STRING", ddl.replace(" NOT NULL", ""))
                 schema = T._parse_datatype_string(ddl_types)
-                self._write(self.spark.createDataFrame([], schema), t, 0, "errorifexists", "create")
+                self._write(self.spark.createDataFrame([], schema), t, self._next_version(t),
+                            "errorifexists", "create")
                 made.append(t)
         return made
 
@@ -184,9 +204,9 @@ class Warehouse:
         if v is not None and if_exists == "fail":
             raise ValueError(f"table {table} already exists")
         if v is None:
-            rows = self._write(df, table, 0, "errorifexists", "create")
+            rows = self._write(df, table, self._next_version(table), "errorifexists", "create")
         elif if_exists == "replace":
-            rows = self._write(df, table, v + 1, "errorifexists", "replace")
+            rows = self._write(df, table, self._next_version(table), "errorifexists", "replace")
         else:
             rows = self._write(df, table, v, "append", "append")
         return {"rows_loaded": rows, "status": "success", "table": table}
@@ -202,10 +222,10 @@ class Warehouse:
             empty = df.limit(0).select(*[c for c in df.columns if c not in (order_by or []) or c in conflict_columns
                                          or c in (only_if_newer or [])])
             merged = merge_upsert(empty, df, conflict_columns, update_columns, order_by, only_if_newer)
-            rows = self._write(merged, table, 0, "errorifexists", "create")
+            rows = self._write(merged, table, self._next_version(table), "errorifexists", "create")
             return {"rows_upserted": rows, "status": "success", "table": table}
         merged = merge_upsert(self.read(table), df, conflict_columns, update_columns, order_by, only_if_newer)
-        rows = self._write(merged, table, v + 1, "errorifexists", "upsert")
+        rows = self._write(merged, table, self._next_version(table), "errorifexists", "upsert")
         return {"rows_upserted": rows, "status": "success", "table": table}
 
     def watermark(self, table: str, timestamp_column: str):
@@ -235,9 +255,9 @@ class Warehouse:
         return self.load(df, table, "append")
 
     def tables(self) -> list[str]:
-        a = self.audit()
-        cur = a.groupBy("table_name").agg(F.max_by("operation", "loaded_at").alias("op"))
-        return sorted(r["table_name"] for r in cur.where(F.col("op") != "drop").collect())
+        if self._versions is None:
+            self.refresh()
+        return sorted(t for t, v in self._versions.items() if v is not None)
 
     def table_stats(self) -> DataFrame:
         """Row counts of every live table, sorted by name, with the total."""

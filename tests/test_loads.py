@@ -67,3 +67,17 @@ def test_incremental_rules(spark):
     assert wh.incremental_load(df, "f")["status"] == "no_new_data"               # twice: nothing new
     assert sorted(r.id for r in wh.read("f").collect()) == [1, 2, 3]
     assert F is not None
+
+
+def test_drop_and_recreate_uses_new_version(spark):
+    root = tmpdir()
+    wh = Warehouse(spark, root)
+    wh.create_star_schema()
+    wh.load(spark.createDataFrame([(1, "a")], "customer_id BIGINT, customer_name STRING"), "dim_customers",
+            "replace")
+    wh.drop_star_schema()
+    assert wh.tables() == []
+    wh2 = Warehouse(spark, root)                 # a fresh reader sees the drop in the audit
+    assert not wh2.exists("dim_customers")
+    wh2.create_star_schema()
+    assert wh2.version("dim_customers") == 2 and wh2.read("dim_customers").count() == 0
