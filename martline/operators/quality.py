@@ -306,3 +306,59 @@ def type_bounds(df: DataFrame, varchar: Mapping[str, int] = {}, decimals: Mappin
         F.struct(F.lit(c).alias("column"), F.lit(kind).alias("constraint"),
                  F.coalesce(F.col(f"__b{i}"), F.lit(0)).cast("long").alias("violations"))
         for i, (c, kind, _) in enumerate(checks)])))
+
+
+# ---- quality dimensions (declared in the reference's docs) -----------------------
+
+def quality_dimensions(df: DataFrame, required_columns: Sequence[str], rules: Mapping[str, str | Column],
+                       references: Sequence[tuple[str, DataFrame, str]] = (),
+                       plausible: str | Column | None = None, freshness_column: str | None = None,
+                       as_of=None) -> DataFrame:
+    """One row per dimension, from one aggregate pass (reference keys joined first):
+
+    completeness  non-NULL share of the required cells
+    validity      share of rows passing every rule (NULL fails)
+    consistency   share of rows whose every foreign key resolves (NULL FK counts as resolved)
+    accuracy      share of rows passing the ``plausible`` cross-field check
+    timeliness    days from the newest ``freshness_column`` value to ``as_of``
+    """
+    base = df
+    flags = []
+    for i, (fk, dim, pk) in enumerate(references):
+        keys = dim.select(F.col(_q(pk)).alias(f"__pk{i}")).distinct().withColumn(f"__hit{i}", F.lit(True))
+        base = base.join(keys, F.col(_q(fk)) == F.col(f"__pk{i}"), "left")
+        flags.append(F.col(_q(fk)).isNull() | F.col(f"__hit{i}").isNotNull())
+    req = [c for c in required_columns if c in df.columns]
+    live = [r for c, r in rules.items() if c in df.columns]
+    valid = F.lit(True)
+    for r in live:
+        valid = valid & ~violation(r)
+    consistent = F.lit(True)
+    for f in flags:
+        consistent = consistent & f
+    plaus = F.coalesce(rule_column(plausible), F.lit(False)) if plausible is not None else F.lit(True)
+    agg = base.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count(_q(c)).alias(f"__c{i}") for i, c in enumerate(req)],
+        F.sum(F.when(valid, 1).otherwise(0)).alias("__valid"),
+        F.sum(F.when(consistent, 1).otherwise(0)).alias("__cons"),
+        F.sum(F.when(plaus, 1).otherwise(0)).alias("__plaus"),
+        (F.max(_q(freshness_column)) if freshness_column else F.lit(None)).alias("__newest"))
+    rows = F.col("__rows").cast("double")
+
+    def share(x):
+        return F.when(F.col("__rows") > 0, x.cast("double") / rows).otherwise(F.lit(None).cast("double"))
+
+    cells = F.lit(0).cast("long")
+    for i in range(len(req)):
+        cells = cells + F.col(f"__c{i}")
+    completeness = F.when(F.col("__rows") > 0, cells.cast("double") / (rows * len(req))) if req \
+        else F.lit(None).cast("double")
+    timeliness = (F.datediff(F.lit(as_of).cast("date"), F.to_date("__newest")).cast("double")
+                  if freshness_column and as_of is not None else F.lit(None).cast("double"))
+    return agg.select(F.inline(F.array(
+        F.struct(F.lit("completeness").alias("dimension"), completeness.alias("score")),
+        F.struct(F.lit("validity").alias("dimension"), share(F.col("__valid")).alias("score")),
+        F.struct(F.lit("consistency").alias("dimension"), share(F.col("__cons")).alias("score")),
+        F.struct(F.lit("accuracy").alias("dimension"), share(F.col("__plaus")).alias("score")),
+        F.struct(F.lit("timeliness_days").alias("dimension"), timeliness.alias("score")))))

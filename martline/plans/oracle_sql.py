@@ -493,3 +493,25 @@ SELECT customer_id, last_order_date, last_order_id, last_order_total FROM (
 # The SQL-text marts return the same rows as the DataFrame marts.
 for _k in ("bi_top_customers", "bi_top_products", "bi_category_performance", "bi_sales_summary"):
     SQL[f"{_k}_sql"] = SQL[_k]
+
+register("dq_dimensions", """
+SELECT 'completeness' AS dimension, CAST(cells AS DOUBLE) / (CAST(n AS DOUBLE) * 6) AS score FROM a
+UNION ALL SELECT 'validity', CAST(valid AS DOUBLE) / CAST(n AS DOUBLE) FROM a
+UNION ALL SELECT 'consistency', CAST(cons AS DOUBLE) / CAST(n AS DOUBLE) FROM a
+UNION ALL SELECT 'accuracy', CAST(plaus AS DOUBLE) / CAST(n AS DOUBLE) FROM a
+UNION ALL SELECT 'timeliness_days', CAST(date_diff('day', CAST(newest AS DATE), DATE '2002-01-01') AS DOUBLE) FROM a""",
+         ("b", """
+  SELECT f.*, c.customer_id IS NOT NULL AS c_hit, p.product_id IS NOT NULL AS p_hit
+  FROM orders_feed f
+  LEFT JOIN (SELECT DISTINCT customer_id FROM dim_customers) c ON f.customer_id = c.customer_id
+  LEFT JOIN (SELECT DISTINCT product_id FROM dim_products) p ON f.product_id = p.product_id"""),
+         ("a", """
+  SELECT count(*) AS n,
+         count(order_id) + count(customer_id) + count(product_id) + count(quantity) + count(unit_price)
+           + count(discount) AS cells,
+         sum(CASE WHEN NOT coalesce(NOT (quantity > 0), true) AND NOT coalesce(NOT (unit_price > 0), true)
+                       AND NOT coalesce(NOT (discount > 0), true) THEN 1 ELSE 0 END) AS valid,
+         sum(CASE WHEN (customer_id IS NULL OR c_hit) AND (product_id IS NULL OR p_hit) THEN 1 ELSE 0 END) AS cons,
+         sum(CASE WHEN coalesce(shipped_at >= order_date, false) THEN 1 ELSE 0 END) AS plaus,
+         max(shipped_at) AS newest
+  FROM b"""))

@@ -690,3 +690,11 @@ def bi_category_performance_sql(spark, sf):
 @query("bi_sales_summary_sql")
 def bi_sales_summary_sql(spark, sf):
     return run_bi_sql(spark, "sales_summary", _star_views(spark, sf))
+
+
+@query("dq_dimensions")
+def dq_dimensions(spark, sf):
+    return _dq.quality_dimensions(
+        feed(spark, sf), _dq.DEFAULT_REQUIRED + ["discount"], FEED_RULES,
+        references=[("customer_id", dim_c(spark, sf), "customer_id"), ("product_id", dim_p(spark, sf), "product_id")],
+        plausible="shipped_at >= order_date", freshness_column="shipped_at", as_of="2002-01-01")
