@@ -515,3 +515,5 @@ UNION ALL SELECT 'timeliness_days', CAST(date_diff('day', CAST(newest AS DATE),
          sum(CASE WHEN coalesce(shipped_at >= order_date, false) THEN 1 ELSE 0 END) AS plaus,
          max(shipped_at) AS newest
   FROM b"""))
+
+SQL["load_upsert_bucketed"] = SQL["load_upsert"]

@@ -698,3 +698,13 @@ def dq_dimensions(spark, sf):
         feed(spark, sf), _dq.DEFAULT_REQUIRED + ["discount"], FEED_RULES,
         references=[("customer_id", dim_c(spark, sf), "customer_id"), ("product_id", dim_p(spark, sf), "product_id")],
         plausible="shipped_at >= order_date", freshness_column="shipped_at", as_of="2002-01-01")
+
+
+@query("load_upsert_bucketed")
+def load_upsert_bucketed(spark, sf):
+    """K4 on a key-bucketed dimension: only the buckets holding batch keys are rewritten."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.create_bucketed(_products_sold_before(spark, sf), "dim_products", ["product_id"], 16)
+    wh.upsert(_price_observations(spark, sf), "dim_products", ["product_id"],
+              order_by=["order_date", "order_id", "line_number", "supplier_id"])
+    return wh.read("dim_products")

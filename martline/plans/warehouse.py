@@ -41,7 +41,14 @@ DROP_ORDER = ["fact_sales", "dim_date", "dim_products", "dim_customers"]
 AUDIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
     T.StructField("operation", T.StringType()), T.StructField("rows", T.LongType()),
-    T.StructField("loaded_at", T.TimestampType())])
+    T.StructField("loaded_at", T.TimestampType()), T.StructField("layout", T.StringType())])
+
+BUCKET = "__bucket"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> F.Column:
+    """Stable hash bucket of the key columns (the table's partition column)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
 def create_table_sql(table: str, location: str) -> str:
@@ -116,6 +123,7 @@ class Warehouse:
         self.spark.createDataFrame([], AUDIT_SCHEMA).write.mode("append").parquet(self._audit_path())
         self._versions: dict[str, int | None] | None = None
         self._highest: dict[str, int] = {}
+        self._layouts: dict[str, str] = {}
 
     # ---- versions and audit ----------------------------------------------------
     def _audit_path(self) -> str:
@@ -124,12 +132,15 @@ class Warehouse:
     def audit(self) -> DataFrame:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path())
 
-    def _record(self, table: str, version: int, operation: str, rows: int) -> None:
-        row = [(table, version, operation, rows, dt.datetime.now())]
+    def _record(self, table: str, version: int, operation: str, rows: int, layout: str | None = None) -> None:
+        layout = layout if layout is not None else self._layouts.get(table)
+        row = [(table, version, operation, rows, dt.datetime.now(), layout)]
         self.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self._audit_path())
         if self._versions is not None:
             self._versions[table] = None if operation == "drop" else version
             self._highest[table] = max(version, self._highest.get(table, -1))
+        if layout:
+            self._layouts[table] = layout
 
     def refresh(self) -> None:
         """Re-read the current versions from the audit (after other writers loaded)."""
@@ -138,6 +149,9 @@ class Warehouse:
                .collect())
         self._versions = {r.table_name: (None if r["last"]["operation"] == "drop" else r["last"]["version"])
                           for r in cur}
+        self._layouts = {r.table_name: r["layout"] for r in
+                         self.audit().where(F.col("layout").isNotNull()).groupBy("table_name")
+                             .agg(F.max_by("layout", "loaded_at").alias("layout")).collect()}
         self._highest = {r.table_name: r["top"] for r in
                          self.audit().groupBy("table_name").agg(F.max("version").alias("top")).collect()}
 
@@ -163,8 +177,56 @@ class Warehouse:
         v = self.version(table)
         if v is None:
             raise ValueError(f"table {table} not found in warehouse {self.root}")
+        if self._is_bucketed(table):
+            return self.spark.read.parquet(self._bucketed_path(table)).drop(BUCKET)
         return self.spark.read.parquet(self.path(table, v))
 
+    # ---- bucketed tables: upserts rewrite only the touched key buckets ---------------
+    def _is_bucketed(self, table: str) -> bool:
+        if self._versions is None:
+            self.refresh()
+        return (self._layouts.get(table) or "").startswith("bucketed:")
+
+    def _bucketed_path(self, table: str) -> str:
+        return f"{self.root}/{table}/bucketed"
+
+    def _layout(self, table: str) -> tuple[list[str], int]:
+        _, n, keys = self._layouts[table].split(":", 2)
+        return keys.split(","), int(n)
+
+    def create_bucketed(self, df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> dict:
+        """Create ``table`` hash-partitioned into ``buckets`` folders on ``keys``
+        (choose ``buckets`` so one folder holds ~128-512 MB)."""
+        if self.exists(table):
+            raise ValueError(f"table {table} already exists")
+        layout = f"bucketed:{buckets}:{','.join(keys)}"
+        obs = Observation(f"create_{table}_{buckets}")
+        (df.withColumn(BUCKET, bucket_of(keys, buckets)).observe(obs, F.count(F.lit(1)).alias("rows"))
+           .write.mode("errorifexists").partitionBy(BUCKET).parquet(self._bucketed_path(table)))
+        rows = int(obs.get["rows"])
+        self._record(table, self._next_version(table), "create", rows, layout)
+        return {"rows_loaded": rows, "status": "success", "table": table}
+
+    def _bucketed_upsert(self, df: DataFrame, table: str, update_columns, order_by, only_if_newer) -> dict:
+        from martline.session import scratch_path
+        keys, n = self._layout(table)
+        bucket = bucket_of(keys, n)
+        # the touched buckets: at most ``n`` small ints back to the driver
+        touched = sorted(r[0] for r in df.select(bucket.alias("b")).distinct().collect())
+        path = self._bucketed_path(table)
+        current = self.spark.read.parquet(path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        merged = merge_upsert(current, df, keys, update_columns, order_by, only_if_newer) \
+            .withColumn(BUCKET, bucket)
+        # Stage in the shared checkpoint folder: Spark does not overwrite a path it reads.
+        stage = scratch_path(self.spark, f"stage_{table}")
+        obs = Observation(f"upsert_{table}_{stage[-12:]}")
+        merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.partitionBy(BUCKET).parquet(stage)
+        (self.spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET).parquet(path))
+        rows = int(obs.get["rows"])
+        self._record(table, self._next_version(table), "upsert", rows)
+        return {"rows_upserted": rows, "status": "success", "table": table, "buckets_rewritten": len(touched)}
+
     def _write(self, df: DataFrame, table: str, version: int, mode: str, operation: str) -> int:
         obs = Observation(f"load_{table}_{version}_{operation}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(self.path(table, version))
@@ -218,6 +280,8 @@ class Warehouse:
         if df.isEmpty():
             return {"rows_upserted": 0, "status": "skipped"}
         v = self.version(table)
+        if v is not None and self._is_bucketed(table):
+            return self._bucketed_upsert(df, table, update_columns, order_by, only_if_newer)
         if v is None:  # first load: the deduplicated batch becomes the table
             empty = df.limit(0).select(*[c for c in df.columns if c not in (order_by or []) or c in conflict_columns
                                          or c in (only_if_newer or [])])

@@ -81,3 +81,19 @@ def test_drop_and_recreate_uses_new_version(spark):
     assert not wh2.exists("dim_customers")
     wh2.create_star_schema()
     assert wh2.version("dim_customers") == 2 and wh2.read("dim_customers").count() == 0
+
+
+def test_bucketed_upsert_rewrites_touched_buckets_only(spark):
+    wh = Warehouse(spark, tmpdir())
+    base = spark.range(0, 200).selectExpr("id", "concat('n', id) AS name", "CAST(id AS DOUBLE) AS price")
+    wh.create_bucketed(base, "dim", ["id"], 16)
+    batch = spark.createDataFrame([(5, "five", 50.0), (5, "FIVE", 55.0), (500, "new", 1.0)],
+                                  "id BIGINT, name STRING, price DOUBLE")
+    res = wh.upsert(batch, "dim", ["id"])
+    assert res["buckets_rewritten"] <= 2
+    out = {r.id: (r.name, r.price) for r in wh.read("dim").collect()}
+    assert len(out) == 201 and out[500] == ("new", 1.0) and out[7] == ("n7", 7.0)
+    assert out[5] in {("five", 50.0), ("FIVE", 55.0)}
+    assert "__bucket" not in wh.read("dim").columns
+    wh.upsert(batch, "dim", ["id"])
+    assert wh.read("dim").count() == 201          # idempotent
