@@ -66,16 +66,26 @@ def variant_type_to_ddl(text: str) -> str:
     return "".join(out)
 
 
-def infer_schema(df: DataFrame, column: str, prefer_decimal: bool = False) -> T.DataType | None:
-    """Merged type of all variant values in ``column`` (None when there are none)."""
-    row = df.agg(F.schema_of_variant_agg(F.col(column)).alias("s")).first()
-    text = row["s"] if row else None
+def _to_type(text: str | None, prefer_decimal: bool) -> T.DataType | None:
     if text is None or text.upper() == "VOID":
         return None
     dt = T._parse_datatype_string(variant_type_to_ddl(text))
     return dt if prefer_decimal else _doubles_for_decimals(dt)
 
 
+def infer_schemas(df: DataFrame, columns: Sequence[str], prefer_decimal: bool = False) -> dict[str, T.DataType | None]:
+    """Merged types of several variant columns in ONE aggregate pass."""
+    if not columns:
+        return {}
+    row = df.agg(*[F.schema_of_variant_agg(F.col(c)).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    return {c: _to_type(row[f"s{i}"] if row else None, prefer_decimal) for i, c in enumerate(columns)}
+
+
+def infer_schema(df: DataFrame, column: str, prefer_decimal: bool = False) -> T.DataType | None:
+    """Merged type of all variant values in ``column`` (None when there are none)."""
+    return infer_schemas(df, [column], prefer_decimal)[column]
+
+
 def typed(df: DataFrame, column: str, alias: str, schema: T.DataType | None = None) -> DataFrame:
     """Replace a variant column by a typed one (struct -> later flattened)."""
     schema = schema or infer_schema(df, column)

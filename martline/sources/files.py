@@ -128,10 +128,11 @@ def extract_json_nested(spark: SparkSession, path: str, record_path: str | Seque
         arr = F.when(arr.isNull(), F.raise_error(F.lit(f"record path not found: {s}")).cast("array<variant>")) \
                .otherwise(arr)
         cur = cur.select(F.explode(arr).alias("__rec"), *keep)
-    out = J.records_to_frame(cur, "__rec", keep=keep)
+    types = J.infer_schemas(cur, ["__rec"] + keep)   # one pass for the record and every meta field
+    out = J.records_to_frame(cur, "__rec", keep=keep, schema=types["__rec"]) if types["__rec"] is not None \
+        else cur.select(*keep)
     for i, m in enumerate(metas):
-        name = ".".join(m)
-        dt = J.infer_schema(cur, f"__m{i}")
+        name, dt = ".".join(m), types[f"__m{i}"]
         out = out.withColumn(name, F.variant_get(F.col(f"__m{i}"), "$", dt.simpleString()) if dt
                              else F.lit(None)).drop(f"__m{i}")
     return out
