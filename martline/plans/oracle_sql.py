@@ -517,3 +517,5 @@ UNION ALL SELECT 'timeliness_days', CAST(date_diff('day', CAST(newest AS DATE),
   FROM b"""))
 
 SQL["load_upsert_bucketed"] = SQL["load_upsert"]
+
+register("stream_fact_append", "SELECT * FROM f0", _FACT_NOID)

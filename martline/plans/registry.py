@@ -705,3 +705,15 @@ def load_upsert_bucketed(spark, sf):
     wh.upsert(_price_observations(spark, sf), "dim_products", ["product_id"],
               order_by=["order_date", "order_id", "line_number", "supplier_id"])
     return wh.read("dim_products")
+
+
+@query("stream_fact_append")
+def stream_fact_append(spark, sf):
+    """Fact rows landed as several files, appended micro-batch by micro-batch."""
+    base = scratch_path(spark, "stream_fact")
+    f = fact(spark, sf)
+    f.repartition(4).write.parquet(f"{base}/in")
+    wh = Warehouse(spark, f"{base}/warehouse")
+    _stream.append_stream(spark, f"{base}/in", f.schema, wh, "fact_sales", f"{base}/checkpoint",
+                          watermark_column="created_at", max_files_per_trigger=1)
+    return wh.read("fact_sales")

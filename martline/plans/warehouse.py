@@ -41,7 +41,31 @@ DROP_ORDER = ["fact_sales", "dim_date", "dim_products", "dim_customers"]
 AUDIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
     T.StructField("operation", T.StringType()), T.StructField("rows", T.LongType()),
-    T.StructField("loaded_at", T.TimestampType()), T.StructField("layout", T.StringType())])
+    T.StructField("loaded_at", T.TimestampType()), T.StructField("layout", T.StringType()),
+    T.StructField("watermark_column", T.StringType()), T.StructField("watermark", T.StringType()),
+    T.StructField("batch_id", T.StringType())])
+REWRITES = ("create", "replace", "upsert")
+
+
+def _encode(v) -> str | None:
+    if v is None:
+        return None
+    if isinstance(v, (dt.datetime, dt.date)):
+        return "t:" + v.isoformat()
+    if isinstance(v, (int, float)):
+        return f"n:{v!r}"
+    return "s:" + str(v)
+
+
+def _decode(s: str | None):
+    if s is None:
+        return None
+    kind, _, text = s.partition(":")
+    if kind == "t":
+        return dt.datetime.fromisoformat(text) if "T" in text or " " in text else dt.date.fromisoformat(text)
+    if kind == "n":
+        return float(text) if any(c in text for c in ".eE") else int(text)
+    return text
 
 BUCKET = "__bucket"
 
@@ -115,6 +139,9 @@ def incremental_rows(df: DataFrame, timestamp_column: str, last_load_timestamp)
     return df.where(F.col(timestamp_column) > F.lit(last_load_timestamp))
 
 
+_MISSING = object()
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -132,9 +159,11 @@ class Warehouse:
     def audit(self) -> DataFrame:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path())
 
-    def _record(self, table: str, version: int, operation: str, rows: int, layout: str | None = None) -> None:
+    def _record(self, table: str, version: int, operation: str, rows: int, layout: str | None = None,
+                watermark_column: str | None = None, watermark=None, batch_id: str | None = None) -> None:
         layout = layout if layout is not None else self._layouts.get(table)
-        row = [(table, version, operation, rows, dt.datetime.now(), layout)]
+        row = [(table, version, operation, rows, dt.datetime.now(), layout, watermark_column,
+                _encode(watermark), batch_id)]
         self.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self._audit_path())
         if self._versions is not None:
             self._versions[table] = None if operation == "drop" else version
@@ -227,11 +256,20 @@ class Warehouse:
         self._record(table, self._next_version(table), "upsert", rows)
         return {"rows_upserted": rows, "status": "success", "table": table, "buckets_rewritten": len(touched)}
 
-    def _write(self, df: DataFrame, table: str, version: int, mode: str, operation: str) -> int:
-        obs = Observation(f"load_{table}_{version}_{operation}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(self.path(table, version))
-        rows = int(obs.get["rows"])
-        self._record(table, version, operation, rows)
+    def _write(self, df: DataFrame, table: str, version: int, mode: str, operation: str,
+               watermark_column: str | None = None, batch_id: str | None = None) -> int:
+        """Write and audit; the row count (and the high-watermark of
+        ``watermark_column``) are observed on the write itself - no extra job."""
+        obs = Observation(f"load_{table}_{version}_{operation}_{dt.datetime.now().timestamp()}")
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        wm_col = watermark_column if watermark_column and watermark_column in df.columns else None
+        if wm_col:
+            metrics.append(F.max(F.col(wm_col)).alias("wm"))
+        df.observe(obs, *metrics).write.mode(mode).parquet(self.path(table, version))
+        got = obs.get
+        rows = int(got["rows"])
+        self._record(table, version, operation, rows, watermark_column=wm_col,
+                     watermark=got.get("wm") if wm_col else None, batch_id=batch_id)
         return rows
 
     # ---- DDL ------------------------------------------------------------------------
@@ -256,23 +294,33 @@ class Warehouse:
                 self._record(t, v, "drop", 0)
 
     # ---- loads --------------------------------------------------------------------------
-    def load(self, df: DataFrame, table: str, if_exists: str = "append") -> dict:
-        """K3: fail / replace / append; an empty frame is skipped."""
+    def load(self, df: DataFrame, table: str, if_exists: str = "append", watermark_column: str | None = None,
+             batch_id: str | None = None) -> dict:
+        """K3: fail / replace / append; an empty frame is skipped. ``batch_id``
+        makes a load idempotent (a batch already in the audit is not loaded again),
+        ``watermark_column`` records the load's high-watermark for K6."""
         if if_exists not in ("fail", "replace", "append"):
             raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
+        if batch_id is not None and self.has_batch(table, batch_id):
+            return {"rows_loaded": 0, "status": "duplicate_batch"}
         if df.isEmpty():
             return {"rows_loaded": 0, "status": "skipped"}
         v = self.version(table)
         if v is not None and if_exists == "fail":
             raise ValueError(f"table {table} already exists")
+        kw = {"watermark_column": watermark_column, "batch_id": batch_id}
         if v is None:
-            rows = self._write(df, table, self._next_version(table), "errorifexists", "create")
+            rows = self._write(df, table, self._next_version(table), "errorifexists", "create", **kw)
         elif if_exists == "replace":
-            rows = self._write(df, table, self._next_version(table), "errorifexists", "replace")
+            rows = self._write(df, table, self._next_version(table), "errorifexists", "replace", **kw)
         else:
-            rows = self._write(df, table, v, "append", "append")
+            rows = self._write(df, table, v, "append", "append", **kw)
         return {"rows_loaded": rows, "status": "success", "table": table}
 
+    def has_batch(self, table: str, batch_id: str) -> bool:
+        return self.audit().where((F.col("table_name") == table) & (F.col("batch_id") == batch_id)) \
+                   .limit(1).count() > 0
+
     def upsert(self, df: DataFrame, table: str, conflict_columns: Sequence[str],
                update_columns: Sequence[str] | None = None, order_by: Sequence[str] | None = None,
                only_if_newer: Sequence[str] | None = None) -> dict:
@@ -293,12 +341,33 @@ class Warehouse:
         return {"rows_upserted": rows, "status": "success", "table": table}
 
     def watermark(self, table: str, timestamp_column: str):
-        """K6: MAX(ts) of the target; any failure (no table, no column) -> None."""
+        """K6: MAX(ts) of the target; any failure (no table, no column) -> None.
+
+        Answered from the audit when every load since the last rewrite recorded
+        the column's high-watermark (bounded by the number of loads, not rows);
+        otherwise one scan of the column."""
         try:
+            recorded = self._recorded_watermark(table, timestamp_column)
+            if recorded is not _MISSING:
+                return recorded
             return self.read(table).agg(F.max(timestamp_column)).first()[0]
         except Exception:  # noqa: BLE001 - mirrors the reference: unknown -> no watermark
             return None
 
+    def _recorded_watermark(self, table: str, column: str):
+        if self.version(table) is None or self._is_bucketed(table):
+            return _MISSING
+        a = self.audit().where(F.col("table_name") == table)
+        last = a.where(F.col("operation").isin(*REWRITES)).agg(F.max("loaded_at")).first()[0]
+        if last is None:
+            return _MISSING
+        chain = a.where(F.col("loaded_at") >= F.lit(last)).select("operation", "watermark_column", "watermark") \
+                 .collect()  # one row per load since the last rewrite
+        if not chain or any(r.watermark_column != column for r in chain if r.operation != "drop"):
+            return _MISSING
+        values = [_decode(r.watermark) for r in chain if r.watermark is not None]
+        return max(values) if values else None
+
     def incremental_load(self, df: DataFrame, table: str, timestamp_column: str = "created_at",
                          last_load_timestamp=None) -> dict:
         """K5: append only rows newer than the watermark (strict)."""
@@ -308,15 +377,16 @@ class Warehouse:
         new = incremental_rows(df, timestamp_column, wm)
         if new.isEmpty():
             return {"rows_loaded": 0, "status": "no_new_data"}
-        return self.load(new, table, "append")
+        return self.load(new, table, "append", watermark_column=timestamp_column)
 
     def load_dimension_table(self, df: DataFrame, table: str, key_column: str) -> dict:
         """K7: type-1 dimension load = upsert on the key."""
         return self.upsert(df, table, [key_column])
 
-    def load_fact_table(self, df: DataFrame, table: str) -> dict:
-        """K8: append only."""
-        return self.load(df, table, "append")
+    def load_fact_table(self, df: DataFrame, table: str, watermark_column: str | None = "created_at",
+                        batch_id: str | None = None) -> dict:
+        """K8: append only (records the ``created_at`` high-watermark when present)."""
+        return self.load(df, table, "append", watermark_column=watermark_column, batch_id=batch_id)
 
     def tables(self) -> list[str]:
         if self._versions is None:

@@ -90,3 +90,22 @@ def latest_per_key_stream(spark: SparkSession, source_path: str, schema: T.Struc
     if available_now:
         q.awaitTermination()
     return q
+
+
+def append_stream(spark: SparkSession, source_path: str, schema: T.StructType, warehouse: Warehouse,
+                  table: str, checkpoint: str, watermark_column: str | None = None,
+                  max_files_per_trigger: int | None = None, available_now: bool = True):
+    """K5/K8 as a stream: the file source's offset log replaces "SELECT MAX(ts)",
+    and each micro-batch is appended exactly once - the epoch id is stored in the
+    load audit, so a replayed epoch (after a failure) is skipped."""
+    events = _source(spark, source_path, schema, max_files_per_trigger)
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        warehouse.load(batch, table, "append", watermark_column=watermark_column,
+                       batch_id=f"{checkpoint}#{epoch_id}")
+
+    w = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    q = (w.trigger(availableNow=True) if available_now else w).start()
+    if available_now:
+        q.awaitTermination()
+    return q

@@ -97,3 +97,20 @@ def test_bucketed_upsert_rewrites_touched_buckets_only(spark):
     assert "__bucket" not in wh.read("dim").columns
     wh.upsert(batch, "dim", ["id"])
     assert wh.read("dim").count() == 201          # idempotent
+
+
+def test_recorded_watermark_and_idempotent_batches(spark):
+    wh = Warehouse(spark, tmpdir())
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 3))],
+                               "id INT, created_at TIMESTAMP_NTZ")
+    wh.load(df, "f", "append", watermark_column="created_at", batch_id="s#0")
+    assert wh.load(df, "f", "append", watermark_column="created_at", batch_id="s#0")["status"] == "duplicate_batch"
+    more = spark.createDataFrame([(3, dt.datetime(2024, 1, 9))], df.schema)
+    wh.load(more, "f", "append", watermark_column="created_at", batch_id="s#1")
+    assert wh._recorded_watermark("f", "created_at") == dt.datetime(2024, 1, 9)   # from the audit
+    assert wh.watermark("f", "created_at") == wh.read("f").agg(F.max("created_at")).first()[0]
+    assert wh.read("f").count() == 3
+    wh.load(more, "f", "append")                                  # an unrecorded load -> scan fallback
+    from martline.plans.warehouse import _MISSING
+    assert wh._recorded_watermark("f", "created_at") is _MISSING
+    assert wh.watermark("f", "created_at") == dt.datetime(2024, 1, 9)
