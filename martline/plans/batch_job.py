@@ -52,6 +52,8 @@ class JobConfig:
     save_to_lake: bool = True
     load_to_warehouse: bool = True
     load_fact: bool = True
+    dim_buckets: int | None = None            # create dimensions key-bucketed (partial-rewrite upserts)
+    fact_partition_by: list[str] | None = None  # e.g. ["date_id"]: Hive-style partitions for pruning
     continue_on_error: bool = False
 
 
@@ -109,10 +111,11 @@ class SalesJob:
 
     def load(self, customers: DataFrame, products: DataFrame, sales: DataFrame | None) -> dict:
         wh, stats = self.warehouse, {}
+        b = self.config.dim_buckets
         stats["dim_customers"] = wh.load_dimension_table(
-            star.dim_customers(customers), "dim_customers", "customer_id")
+            star.dim_customers(customers), "dim_customers", "customer_id", b)
         stats["dim_products"] = wh.load_dimension_table(
-            star.dim_products(products), "dim_products", "product_id")
+            star.dim_products(products), "dim_products", "product_id", b)
         if sales is not None and self.config.load_fact and "order_date" in sales.columns:
             stats["dim_date"] = wh.load_dimension_table(star.dim_date(sales, "order_date"), "dim_date", "date_id")
             if "shipped_at" not in sales.columns:  # the DDL default: load time
@@ -121,7 +124,8 @@ class SalesJob:
             if wh.exists("fact_sales"):
                 start = wh.read("fact_sales").agg(F.max("sale_id")).first()[0] or 0
             fact = star.fact_sales(sales, with_sale_id=True, first_id=start + 1)
-            stats["fact_sales"] = wh.load_fact_table(fact, "fact_sales")
+            stats["fact_sales"] = wh.load_fact_table(fact, "fact_sales",
+                                                     partition_by=self.config.fact_partition_by)
         return stats
 
     # ---- driver -------------------------------------------------------------------

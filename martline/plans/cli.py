@@ -31,6 +31,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--no-lake", action="store_true")
     p.add_argument("--no-load", action="store_true")
     p.add_argument("--no-fact", action="store_true", help="load dimensions only, as the reference does")
+    p.add_argument("--dim-buckets", type=int, default=None,
+                   help="create dimensions key-bucketed into N folders (upserts rewrite touched buckets only)")
+    p.add_argument("--fact-partition-by-date", action="store_true", help="partition fact_sales by date_id")
     p.add_argument("--continue-on-error", action="store_true")
     p.add_argument("--batch-size", type=int, default=1000,
                    help="accepted for compatibility; Spark writes whole partitions")
@@ -45,7 +48,8 @@ def main(argv=None) -> int:
                     lake_path=a.lake, warehouse_path=a.warehouse, products_record_path=a.products_record_path,
                     json_lines=a.json_lines, validate_data=not a.no_validate, clean_data=not a.no_clean,
                     transform_data=not a.no_transform, save_to_lake=not a.no_lake,
-                    load_to_warehouse=not a.no_load, load_fact=not a.no_fact,
+                    load_to_warehouse=not a.no_load, load_fact=not a.no_fact, dim_buckets=a.dim_buckets,
+                    fact_partition_by=["date_id"] if a.fact_partition_by_date else None,
                     continue_on_error=a.continue_on_error)
     try:
         res = run_job(spark, cfg)

@@ -257,7 +257,8 @@ class Warehouse:
         return {"rows_upserted": rows, "status": "success", "table": table, "buckets_rewritten": len(touched)}
 
     def _write(self, df: DataFrame, table: str, version: int, mode: str, operation: str,
-               watermark_column: str | None = None, batch_id: str | None = None) -> int:
+               watermark_column: str | None = None, batch_id: str | None = None,
+               partition_by: Sequence[str] | None = None) -> int:
         """Write and audit; the row count (and the high-watermark of
         ``watermark_column``) are observed on the write itself - no extra job."""
         obs = Observation(f"load_{table}_{version}_{operation}_{dt.datetime.now().timestamp()}")
@@ -265,7 +266,10 @@ class Warehouse:
         wm_col = watermark_column if watermark_column and watermark_column in df.columns else None
         if wm_col:
             metrics.append(F.max(F.col(wm_col)).alias("wm"))
-        df.observe(obs, *metrics).write.mode(mode).parquet(self.path(table, version))
+        w = df.observe(obs, *metrics).write.mode(mode)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(self.path(table, version))
         got = obs.get
         rows = int(got["rows"])
         self._record(table, version, operation, rows, watermark_column=wm_col,
@@ -295,10 +299,11 @@ class Warehouse:
 
     # ---- loads --------------------------------------------------------------------------
     def load(self, df: DataFrame, table: str, if_exists: str = "append", watermark_column: str | None = None,
-             batch_id: str | None = None) -> dict:
+             batch_id: str | None = None, partition_by: Sequence[str] | None = None) -> dict:
         """K3: fail / replace / append; an empty frame is skipped. ``batch_id``
         makes a load idempotent (a batch already in the audit is not loaded again),
-        ``watermark_column`` records the load's high-watermark for K6."""
+        ``watermark_column`` records the load's high-watermark for K6,
+        ``partition_by`` writes Hive-style partition folders (e.g. a date key) for pruning."""
         if if_exists not in ("fail", "replace", "append"):
             raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
         if batch_id is not None and self.has_batch(table, batch_id):
@@ -308,7 +313,7 @@ class Warehouse:
         v = self.version(table)
         if v is not None and if_exists == "fail":
             raise ValueError(f"table {table} already exists")
-        kw = {"watermark_column": watermark_column, "batch_id": batch_id}
+        kw = {"watermark_column": watermark_column, "batch_id": batch_id, "partition_by": partition_by}
         if v is None:
             rows = self._write(df, table, self._next_version(table), "errorifexists", "create", **kw)
         elif if_exists == "replace":
@@ -379,14 +384,19 @@ class Warehouse:
             return {"rows_loaded": 0, "status": "no_new_data"}
         return self.load(new, table, "append", watermark_column=timestamp_column)
 
-    def load_dimension_table(self, df: DataFrame, table: str, key_column: str) -> dict:
-        """K7: type-1 dimension load = upsert on the key."""
+    def load_dimension_table(self, df: DataFrame, table: str, key_column: str, buckets: int | None = None) -> dict:
+        """K7: type-1 dimension load = upsert on the key. With ``buckets``, a new
+        dimension is created key-bucketed so later upserts rewrite touched buckets only."""
+        if buckets and not self.exists(table):
+            first = merge_upsert(df.limit(0), df, [key_column])
+            return self.create_bucketed(first, table, [key_column], buckets)
         return self.upsert(df, table, [key_column])
 
     def load_fact_table(self, df: DataFrame, table: str, watermark_column: str | None = "created_at",
-                        batch_id: str | None = None) -> dict:
+                        batch_id: str | None = None, partition_by: Sequence[str] | None = None) -> dict:
         """K8: append only (records the ``created_at`` high-watermark when present)."""
-        return self.load(df, table, "append", watermark_column=watermark_column, batch_id=batch_id)
+        return self.load(df, table, "append", watermark_column=watermark_column, batch_id=batch_id,
+                         partition_by=partition_by)
 
     def tables(self) -> list[str]:
         if self._versions is None:

@@ -94,3 +94,21 @@ def test_batch_job_validation_gate(spark):
     assert "Data validation failed" in res.errors
     assert "validate" in res.steps_failed
     assert res.success  # continue_on_error lets the later steps run
+
+
+def test_batch_job_scale_layouts(spark):
+    d = tmpdir()
+    cfg = JobConfig(orders_path=write(d, "orders.csv", S.ORDERS_CSV),
+                    customers_path=write(d, "customers.json", S.CUSTOMERS_JSON),
+                    products_path=write(d, "products.json", S.PRODUCTS_JSON),
+                    lake_path=f"{d}/lake", warehouse_path=f"{d}/wh", orders_schema=S.ORDERS_SCHEMA,
+                    dim_buckets=4, fact_partition_by=["date_id"])
+    assert run_job(spark, cfg).success
+    assert run_job(spark, cfg).success          # second run: bucketed dims upsert in place
+    wh = Warehouse(spark, cfg.warehouse_path)
+    assert wh.read("dim_customers").count() == 5 and wh._is_bucketed("dim_customers")
+    f = wh.read("fact_sales")
+    assert f.count() == 20 and "date_id" in f.columns
+    assert f.where("date_id = 20240115").count() == 4
+    top = marts.top_customers(wh.read("dim_customers"), f).first()
+    assert (top.customer_id, top.total_revenue) == (102, 409.88)
