@@ -170,7 +170,7 @@ register("clean_dedup_none", """
 SELECT * EXCLUDE (n) FROM (SELECT *, count(*) OVER (PARTITION BY order_id, line_number) AS n
                           FROM orders_feed) WHERE n = 1""")
 register("clean_null_drop", "SELECT * FROM orders_feed WHERE discount IS NOT NULL")
-register("clean_fill_const", f"SELECT {FEED_COLS}, coalesce(discount, 0) AS discount FROM orders_feed")
+register("clean_fill_const", f"SELECT {FEED_COLS}, CAST(coalesce(discount, 0) AS DECIMAL(5,2)) AS discount FROM orders_feed")
 register("clean_fill_mean", f"""
 SELECT {FEED_COLS}, coalesce(CAST(discount AS DOUBLE),
        (SELECT CAST(sum(discount) AS DOUBLE) / count(discount) FROM orders_feed)) AS discount
@@ -379,7 +379,7 @@ register("agg_generic", """
 SELECT customer_id, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS quantity_sum, avg(quantity) AS quantity_mean,
        count(quantity) AS quantity_count, count(*) AS quantity_size, min(quantity) AS quantity_min,
        max(quantity) AS quantity_max, count(DISTINCT discount) AS discount_nunique,
-       count(discount) AS discount_count, coalesce(sum(discount), 0) AS discount_sum, min(discount) AS discount_min
+       count(discount) AS discount_count, CAST(coalesce(sum(discount), 0) AS DECIMAL(22,2)) AS discount_sum, min(discount) AS discount_min
 FROM orders_feed WHERE customer_id IS NOT NULL GROUP BY customer_id""")
 register("agg_generic_stats", """
 SELECT customer_id, round(stddev_samp(quantity), 6) AS quantity_std, round(var_samp(quantity), 6) AS quantity_var,
@@ -419,12 +419,13 @@ register("src_json_flatten", """
 SELECT customer_id, customer_name, city AS "address.city", country AS "address.country", email AS "contact.email"
 FROM customers_src""")
 register("src_json_record_path", """
-SELECT line_number, product_id, supplier_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+SELECT CAST(line_number AS BIGINT) AS line_number, product_id, supplier_id, CAST(quantity AS BIGINT) AS quantity,
+       CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(discount AS DOUBLE) AS discount, order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date
 FROM orders_src""")
 register("src_payload_path", """
 SELECT '/events/' || event_id AS url, event_type <> 'error' AS path_complete,
-       CASE WHEN event_type = 'error' THEN 500 END AS "error.code",
+       CASE WHEN event_type = 'error' THEN CAST(500 AS BIGINT) END AS "error.code",
        CASE WHEN event_type = 'error' THEN 'upstream failure' END AS "error.message",
        CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
        CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
