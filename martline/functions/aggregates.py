@@ -5,7 +5,8 @@ Spark aggregate so the plan keeps partial (map-side) aggregation. Fixed
 semantics: ``sum`` of an all-NULL group is 0 and ``prod`` of one is 1 (pandas
 ``min_count=0``); ``std``/``var`` use n-1; ``count`` ignores NULLs while
 ``size`` counts rows; ``first``/``last`` are the first/last non-NULL value in
-``order_by`` order. ``median`` is exact and handled by a ranking plan, not a
+``order_by`` order; ``nunique_approx`` is a HyperLogLog++ estimate (1% error)
+for very high cardinalities. ``median`` is exact and handled by a ranking plan, not a
 single aggregate (see ``martline.operators.aggregate``).
 """
 
@@ -41,6 +42,7 @@ REGISTRY: dict[str, Callable[[str, Sequence[str] | None], Column]] = {
     "std": lambda c, o: F.stddev_samp(c),
     "var": lambda c, o: F.var_samp(c),
     "nunique": lambda c, o: F.count_distinct(c),
+    "nunique_approx": lambda c, o: F.approx_count_distinct(c, 0.01),
     "first": _first,
     "last": _last,
     "prod": lambda c, o: F.coalesce(F.product(c), F.lit(1.0)),

@@ -30,3 +30,12 @@ def calculate_fields(df: DataFrame, calculations: Mapping[str, str | Column]) ->
 def filter_data(df: DataFrame, condition: str | Column) -> DataFrame:
     """Keep rows where ``condition`` is TRUE (SQL three-valued logic: NULL drops the row)."""
     return df.filter(_to_col(condition))
+
+
+def head(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:
+    """The first ``n`` rows in an explicit order (a top-k: each partition keeps
+    n, one merge); without an order Spark rows have no "first", so one is required."""
+    if not order_by:
+        raise ValueError("head needs order_by: Spark rows have no implicit order")
+    cols = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    return df.orderBy(*cols).limit(n)

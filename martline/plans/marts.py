@@ -39,16 +39,21 @@ def sales_summary(fact: DataFrame) -> DataFrame:
     )
 
 
-def customer_summary(dim_customers: DataFrame) -> DataFrame:
+def _distinct(c: str, approx: bool) -> F.Column:
+    return F.approx_count_distinct(c, 0.01) if approx else F.count_distinct(c)
+
+
+def customer_summary(dim_customers: DataFrame, approx: bool = False) -> DataFrame:
+    """A4; ``approx=True`` uses HyperLogLog++ instead of exact distinct counts."""
     return dim_customers.agg(F.count(F.lit(1)).alias("total_customers"),
-                             F.count_distinct("city").alias("cities"),
-                             F.count_distinct("country").alias("countries"))
+                             _distinct("city", approx).alias("cities"),
+                             _distinct("country", approx).alias("countries"))
 
 
-def product_summary(dim_products: DataFrame) -> DataFrame:
+def product_summary(dim_products: DataFrame, approx: bool = False) -> DataFrame:
     return dim_products.agg(F.count(F.lit(1)).alias("total_products"),
-                            F.count_distinct("category").alias("categories"),
-                            F.count_distinct("brand").alias("brands"),
+                            _distinct("category", approx).alias("categories"),
+                            _distinct("brand", approx).alias("brands"),
                             _avg(F.sum("price"), F.count("price")).alias("avg_price"))
 
 

@@ -54,3 +54,18 @@ def test_calculate_fields_sequential_and_filter(spark):
     assert filter_data(df, "q > 1 and p >= 3").count() == 1
     assert filter_data(df, "q != 1").count() == 1          # NULL drops the row (SQL logic)
     assert filter_data(df, "q IS DISTINCT FROM 1").count() == 2
+
+
+def test_head_and_approx_distinct(spark):
+    from martline.operators.aggregate import aggregate_data
+    from martline.operators.calc import head
+    from martline.plans.marts import customer_summary
+    df = spark.range(100).selectExpr("id", "id % 7 AS k")
+    assert [r.id for r in head(df, 3, ["k", "id"]).collect()] == [0, 7, 14]
+    with pytest.raises(ValueError):
+        head(df, 3)
+    out = aggregate_data(df, ["k"], {"id": ["nunique", "nunique_approx"]}).collect()
+    assert all(r.id_nunique == r.id_nunique_approx for r in out)
+    dc = spark.createDataFrame([(1, "a", "x"), (2, "b", "x")], "customer_id INT, city STRING, country STRING")
+    r = customer_summary(dc, approx=True).first()
+    assert (r.total_customers, r.cities, r.countries) == (2, 2, 1)
