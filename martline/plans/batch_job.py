@@ -54,6 +54,7 @@ class JobConfig:
     load_fact: bool = True
     dim_buckets: int | None = None            # create dimensions key-bucketed (partial-rewrite upserts)
     fact_partition_by: list[str] | None = None  # e.g. ["date_id"]: Hive-style partitions for pruning
+    dense_sale_ids: bool = True               # False: one-pass unique increasing ids (gaps between partitions)
     continue_on_error: bool = False
 
 
@@ -123,7 +124,8 @@ class SalesJob:
             start = 0
             if wh.exists("fact_sales"):
                 start = wh.read("fact_sales").agg(F.max("sale_id")).first()[0] or 0
-            fact = star.fact_sales(sales, with_sale_id=True, first_id=start + 1)
+            fact = star.fact_sales(sales, with_sale_id=True, first_id=start + 1,
+                                   dense_ids=self.config.dense_sale_ids)
             stats["fact_sales"] = wh.load_fact_table(fact, "fact_sales",
                                                      partition_by=self.config.fact_partition_by)
         return stats

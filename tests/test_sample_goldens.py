@@ -112,3 +112,13 @@ def test_batch_job_scale_layouts(spark):
     assert f.where("date_id = 20240115").count() == 4
     top = marts.top_customers(wh.read("dim_customers"), f).first()
     assert (top.customer_id, top.total_revenue) == (102, 409.88)
+
+
+def test_sparse_surrogate_ids_are_unique_and_ordered(spark):
+    o, c, p = _sources(spark)
+    sales = star.add_sales_amounts(o).withColumn("shipped_at", F.col("order_date").cast("timestamp_ntz"))
+    ids = [r.sale_id for r in star.fact_sales(sales, dense_ids=False, first_id=100).collect()]
+    dense = star.fact_sales(sales).orderBy("sale_id").collect()
+    sparse = star.fact_sales(sales, dense_ids=False).orderBy("sale_id").collect()
+    assert len(set(ids)) == 10 and min(ids) >= 100
+    assert [r.total_amount for r in dense] == [r.total_amount for r in sparse]   # same order
