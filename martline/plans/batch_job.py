@@ -98,12 +98,22 @@ class SalesJob:
             self.lake.save_processed(observed, name, "parquet", self.stamp)
         return self.lake.latest(zone, name), int(obs.get["rows"])
 
-    def validate(self, orders: DataFrame) -> DataFrame:
+    def validate(self, orders: DataFrame) -> list:
+        """One aggregate pass; the report rows (one per check, a bounded list)
+        are kept in the statistics and, with the lake on, saved as a snapshot."""
         c = self.config
         report = quality.validate_all(orders, c.required_columns, None, c.business_rules, c.min_completeness)
-        if not quality.report_is_valid(report):
+        rows = report.collect()
+        self.result.statistics["validation"] = {
+            "is_valid": all(r.passed for r in rows if r.counts_toward_valid),
+            "failed_checks": [f"{r.check}:{r.column}" for r in rows if r.counts_toward_valid and not r.passed],
+            "warnings": [r.message for r in rows if not r.counts_toward_valid and r.message]}
+        if c.save_to_lake:
+            self.lake.save_processed(self.spark.createDataFrame(rows, report.schema).coalesce(1),
+                                     "validation_report", "parquet", self.stamp)
+        if not self.result.statistics["validation"]["is_valid"]:
             raise ValueError("Data validation failed")
-        return report
+        return rows
 
     def clean(self, orders: DataFrame) -> DataFrame:
         c = self.config

@@ -122,3 +122,19 @@ def test_sparse_surrogate_ids_are_unique_and_ordered(spark):
     sparse = star.fact_sales(sales, dense_ids=False).orderBy("sale_id").collect()
     assert len(set(ids)) == 10 and min(ids) >= 100
     assert [r.total_amount for r in dense] == [r.total_amount for r in sparse]   # same order
+
+
+def test_validation_report_in_statistics_and_lake(spark):
+    d = tmpdir()
+    bad = S.ORDERS_CSV.replace("1,101,201,2024-01-15,2,", "1,101,201,2024-01-15,0,")
+    cfg = JobConfig(orders_path=write(d, "orders.csv", bad),
+                    customers_path=write(d, "customers.json", S.CUSTOMERS_JSON),
+                    products_path=write(d, "products.json", S.PRODUCTS_JSON),
+                    lake_path=f"{d}/lake", warehouse_path=f"{d}/wh", orders_schema=S.ORDERS_SCHEMA,
+                    continue_on_error=True, load_to_warehouse=False)
+    res = run_job(spark, cfg)
+    v = res.statistics["validation"]
+    assert not v["is_valid"] and v["failed_checks"] == ["business_rule:quantity"]
+    from martline.sources.lake import DataLake
+    saved = DataLake(spark, cfg.lake_path).latest("processed", "validation_report")
+    assert saved.where("check = 'business_rule' AND column = 'quantity'").first().value == 1.0
