@@ -27,12 +27,30 @@ def _not_found(e: Exception) -> bool:
     return "PATH_NOT_FOUND" in text or "Path does not exist" in text
 
 
+REPLACEMENT = "\ufffd"  # what the decoder substitutes for bytes invalid in ``encoding``
+
+
+def _string_cols(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def undecodable(df: DataFrame) -> F.Column:
+    """TRUE for a row where some text column holds the decoder's replacement character."""
+    cond = F.lit(False)
+    for c in _string_cols(df):
+        cond = cond | F.coalesce(F.instr(F.col(f"`{c}`"), REPLACEMENT) > 0, F.lit(False))
+    return cond
+
+
 def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                 encoding: str = "utf-8", delimiter: str = ",", header: bool = True,
-                null_value: str | None = None, mode: str = "FAILFAST", **options) -> DataFrame:
+                null_value: str | None = None, mode: str = "FAILFAST", strict_encoding: bool = False,
+                **options) -> DataFrame:
     """CSV -> DataFrame. Missing path -> FileNotFoundError; zero-byte file (no
     columns) -> ValueError; header-only -> empty frame with the header's columns.
-    Without ``schema`` the types are inferred (one extra pass; give a schema at scale)."""
+    Without ``schema`` the types are inferred (one extra pass; give a schema at scale).
+    ``strict_encoding=True`` makes a row with bytes invalid in ``encoding`` an
+    error when evaluated (Spark's decoder otherwise substitutes U+FFFD)."""
     reader = (spark.read.option("header", header).option("sep", delimiter).option("encoding", encoding)
                    .option("mode", mode).options(**options))
     if null_value is not None:
@@ -46,6 +64,11 @@ def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str | Non
         raise
     if not df.columns:
         raise ValueError(f"CSV file is empty: {path}")
+    if strict_encoding and _string_cols(df):
+        bad = undecodable(df)
+        df = df.where(F.when(bad, F.raise_error(F.lit(f"Encoding error reading {path}: bytes invalid in "
+                                                       f"{encoding}; try a different encoding")))
+                       .otherwise(F.lit(True)))
     return df
 
 
@@ -60,10 +83,15 @@ def scan_report(df: DataFrame, path: str, required_columns: Sequence[str] | None
                    F.array(F.concat(F.lit(f"Expected {expected_rows} rows, got "), rows.cast("string"))))
             .otherwise(F.array().cast("array<string>"))) if expected_rows is not None \
         else F.array().cast("array<string>")
+    bad = F.sum(F.when(undecodable(df), 1).otherwise(0))
+    enc = F.when(F.coalesce(bad, F.lit(0)) > 0,
+                 F.array(F.concat(F.coalesce(bad, F.lit(0)).cast("string"),
+                                  F.lit(" rows hold bytes invalid in the file encoding"))))\
+        .otherwise(F.array().cast("array<string>"))
     return df.agg(F.lit(path).alias("file_path"), rows.alias("rows_extracted"),
                   F.array(*[F.lit(c) for c in df.columns]).cast("array<string>").alias("columns_found"),
-                  F.lit(not errors).alias("is_valid"),
-                  F.array(*[F.lit(e) for e in errors]).cast("array<string>").alias("errors"),
+                  (F.lit(not errors) & (F.coalesce(bad, F.lit(0)) == 0)).alias("is_valid"),
+                  F.concat(F.array(*[F.lit(e) for e in errors]).cast("array<string>"), enc).alias("errors"),
                   warn.alias("warnings"))
 
 

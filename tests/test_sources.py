@@ -83,3 +83,17 @@ def test_lake_latest_snapshot(spark):
     assert {r.v for r in latest.collect()} == {"new"}
     with pytest.raises(ValueError):
         lake.save_raw(df, "src", "xml")
+
+
+def test_csv_bad_encoding(spark):
+    d = tmpdir()
+    p = f"{d}/latin1.csv"
+    with open(p, "wb") as f:
+        f.write("name,city\nJos\xe9,Hu\xe9\n".encode("latin-1"))
+    with pytest.raises(Exception):
+        files.extract_csv(spark, p, strict_encoding=True).collect()
+    ok = files.extract_csv(spark, p, encoding="iso-8859-1", strict_encoding=True).collect()
+    assert ok[0].name == "José"
+    _, rep = files.extract_csv_with_validation(spark, p)
+    r = rep.first()
+    assert not r.is_valid and "invalid in the file encoding" in r.errors[0]
