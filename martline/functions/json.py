@@ -69,7 +69,7 @@ def variant_type_to_ddl(text: str) -> str:
 def _to_type(text: str | None, prefer_decimal: bool) -> T.DataType | None:
     if text is None or text.upper() == "VOID":
         return None
-    dt = T._parse_datatype_string(variant_type_to_ddl(text))
+    dt = T.DataType.fromDDL(variant_type_to_ddl(text))
     return dt if prefer_decimal else _doubles_for_decimals(dt)
 
 

@@ -284,7 +284,7 @@ class Warehouse:
             if not self.exists(t):
                 # parquet files carry STRING; VARCHAR(n) lengths are checked by type_bounds
                 ddl_types = re.sub(r"VARCHAR\(\d+\)", "STRING", ddl.replace(" NOT NULL", ""))
-                schema = T._parse_datatype_string(ddl_types)
+                schema = T.DataType.fromDDL(ddl_types)
                 self._write(self.spark.createDataFrame([], schema), t, self._next_version(t),
                             "errorifexists", "create")
                 made.append(t)
