@@ -172,6 +172,12 @@ class SalesJob:
                         raise
             if c.clean_data:
                 orders = self._step("clean", self.clean, orders)
+            cleaned_obs = None
+            if c.save_to_lake and c.transform_data:
+                # counted while the processed snapshot is written (no extra job); read only then,
+                # since an observation is known only after its DataFrame has run
+                cleaned_obs = Observation(f"cleaned_{id(orders)}")
+                orders = orders.observe(cleaned_obs, F.count(F.lit(1)).alias("rows"))
             sales = None
             if c.transform_data:
                 sales = self._step("transform", star.transform_sales, orders, customers, products)
@@ -180,6 +186,12 @@ class SalesJob:
                 out, rows = self._save(out, "processed", "sales_transformed")
                 r.steps_completed.append("save_processed_data")
                 r.statistics["transform"] = {"rows": rows, "columns": len(out.columns)}
+                if cleaned_obs is not None:
+                    cleaned = int(cleaned_obs.get["rows"])
+                    r.statistics["clean"] = {"rows_after_cleaning": cleaned}
+                    r.statistics["join"] = {"left_rows": cleaned,
+                                            "right_rows": r.statistics.get("extract", {}).get("customers_rows"),
+                                            "result_rows": rows, "join_type": "left"}
             if c.load_to_warehouse:
                 r.statistics["load"] = self._step("load_to_warehouse", self.load, customers, products,
                                                   out if sales is not None else None)

@@ -68,6 +68,8 @@ def test_batch_job_end_to_end(spark):
     assert res.success, res.errors
     assert res.statistics["extract"] == {"orders_rows": 10, "customers_rows": 5, "products_rows": 6}
     assert res.statistics["transform"]["rows"] == 10
+    assert res.statistics["clean"] == {"rows_after_cleaning": 10}
+    assert res.statistics["join"] == {"left_rows": 10, "right_rows": 5, "result_rows": 10, "join_type": "left"}
     wh = Warehouse(spark, cfg.warehouse_path)
     assert wh.read("fact_sales").count() == 10
     stats = {r.table_name: r.row_count for r in wh.table_stats().collect()}
