@@ -172,17 +172,16 @@ class Warehouse:
             self._layouts[table] = layout
 
     def refresh(self) -> None:
-        """Re-read the current versions from the audit (after other writers loaded)."""
-        cur = (self.audit().groupBy("table_name")
-               .agg(F.max_by(F.struct("operation", "version"), F.struct("loaded_at", "version")).alias("last"))
-               .collect())
+        """Re-read the current versions from the audit (one small aggregate over it)."""
+        a = self.audit()
+        cur = a.groupBy("table_name").agg(
+            F.max_by(F.struct("operation", "version"), F.struct("loaded_at", "version")).alias("last"),
+            F.max("version").alias("top"),
+            F.max_by("layout", F.when(F.col("layout").isNotNull(), F.col("loaded_at"))).alias("layout")).collect()
         self._versions = {r.table_name: (None if r["last"]["operation"] == "drop" else r["last"]["version"])
                           for r in cur}
-        self._layouts = {r.table_name: r["layout"] for r in
-                         self.audit().where(F.col("layout").isNotNull()).groupBy("table_name")
-                             .agg(F.max_by("layout", "loaded_at").alias("layout")).collect()}
-        self._highest = {r.table_name: r["top"] for r in
-                         self.audit().groupBy("table_name").agg(F.max("version").alias("top")).collect()}
+        self._highest = {r.table_name: r["top"] for r in cur}
+        self._layouts = {r.table_name: r["layout"] for r in cur if r["layout"] is not None}
 
     def _next_version(self, table: str) -> int:
         """Versions only grow, also across drop and re-create (old folders are never reused)."""
@@ -258,11 +257,12 @@ class Warehouse:
 
     def _write(self, df: DataFrame, table: str, version: int, mode: str, operation: str,
                watermark_column: str | None = None, batch_id: str | None = None,
-               partition_by: Sequence[str] | None = None) -> int:
+               partition_by: Sequence[str] | None = None, record_empty: bool = True,
+               extra_metrics: Sequence = ()) -> int:
         """Write and audit; the row count (and the high-watermark of
         ``watermark_column``) are observed on the write itself - no extra job."""
         obs = Observation(f"load_{table}_{version}_{operation}_{dt.datetime.now().timestamp()}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics = [F.count(F.lit(1)).alias("rows"), *extra_metrics]
         wm_col = watermark_column if watermark_column and watermark_column in df.columns else None
         if wm_col:
             metrics.append(F.max(F.col(wm_col)).alias("wm"))
@@ -271,9 +271,11 @@ class Warehouse:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(table, version))
         got = obs.get
+        self.last_metrics = got
         rows = int(got["rows"])
-        self._record(table, version, operation, rows, watermark_column=wm_col,
-                     watermark=got.get("wm") if wm_col else None, batch_id=batch_id)
+        if rows or record_empty:
+            self._record(table, version, operation, rows, watermark_column=wm_col,
+                         watermark=got.get("wm") if wm_col else None, batch_id=batch_id)
         return rows
 
     # ---- DDL ------------------------------------------------------------------------
@@ -286,7 +288,7 @@ class Warehouse:
                 ddl_types = re.sub(r"VARCHAR\(\d+\)", "STRING", ddl.replace(" NOT NULL", ""))
                 schema = T.DataType.fromDDL(ddl_types)
                 self._write(self.spark.createDataFrame([], schema), t, self._next_version(t),
-                            "errorifexists", "create")
+                            "overwrite", "create")
                 made.append(t)
         return made
 
@@ -308,18 +310,22 @@ class Warehouse:
             raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
         if batch_id is not None and self.has_batch(table, batch_id):
             return {"rows_loaded": 0, "status": "duplicate_batch"}
-        if df.isEmpty():
-            return {"rows_loaded": 0, "status": "skipped"}
         v = self.version(table)
         if v is not None and if_exists == "fail":
             raise ValueError(f"table {table} already exists")
-        kw = {"watermark_column": watermark_column, "batch_id": batch_id, "partition_by": partition_by}
+        # One pass: write, then look at the observed count. A new version folder is
+        # not referenced until its audit row exists, so it is written with overwrite
+        # (this also clears what a failed attempt left) and an empty one is not recorded.
+        kw = {"watermark_column": watermark_column, "batch_id": batch_id, "partition_by": partition_by,
+              "record_empty": False}
         if v is None:
-            rows = self._write(df, table, self._next_version(table), "errorifexists", "create", **kw)
+            rows = self._write(df, table, self._next_version(table), "overwrite", "create", **kw)
         elif if_exists == "replace":
-            rows = self._write(df, table, self._next_version(table), "errorifexists", "replace", **kw)
+            rows = self._write(df, table, self._next_version(table), "overwrite", "replace", **kw)
         else:
             rows = self._write(df, table, v, "append", "append", **kw)
+        if rows == 0:
+            return {"rows_loaded": 0, "status": "skipped"}
         return {"rows_loaded": rows, "status": "success", "table": table}
 
     def has_batch(self, table: str, batch_id: str) -> bool:
@@ -339,10 +345,10 @@ class Warehouse:
             empty = df.limit(0).select(*[c for c in df.columns if c not in (order_by or []) or c in conflict_columns
                                          or c in (only_if_newer or [])])
             merged = merge_upsert(empty, df, conflict_columns, update_columns, order_by, only_if_newer)
-            rows = self._write(merged, table, self._next_version(table), "errorifexists", "create")
+            rows = self._write(merged, table, self._next_version(table), "overwrite", "create")
             return {"rows_upserted": rows, "status": "success", "table": table}
         merged = merge_upsert(self.read(table), df, conflict_columns, update_columns, order_by, only_if_newer)
-        rows = self._write(merged, table, self._next_version(table), "errorifexists", "upsert")
+        rows = self._write(merged, table, self._next_version(table), "overwrite", "upsert")
         return {"rows_upserted": rows, "status": "success", "table": table}
 
     def watermark(self, table: str, timestamp_column: str):
@@ -375,14 +381,16 @@ class Warehouse:
 
     def incremental_load(self, df: DataFrame, table: str, timestamp_column: str = "created_at",
                          last_load_timestamp=None) -> dict:
-        """K5: append only rows newer than the watermark (strict)."""
-        if df.isEmpty():
-            return {"rows_loaded": 0, "status": "skipped"}
+        """K5: append only rows newer than the watermark (strict). One pass: the
+        input and the new rows are both counted while the new rows are written."""
         wm = last_load_timestamp if last_load_timestamp is not None else self.watermark(table, timestamp_column)
-        new = incremental_rows(df, timestamp_column, wm)
-        if new.isEmpty():
-            return {"rows_loaded": 0, "status": "no_new_data"}
-        return self.load(new, table, "append", watermark_column=timestamp_column)
+        seen = Observation(f"incr_{table}_{dt.datetime.now().timestamp()}")
+        tagged = df.observe(seen, F.count(F.lit(1)).alias("rows_in"))
+        res = self.load(incremental_rows(tagged, timestamp_column, wm), table, "append",
+                        watermark_column=timestamp_column)
+        if res["status"] == "success":
+            return res
+        return {"rows_loaded": 0, "status": "skipped" if int(seen.get["rows_in"]) == 0 else "no_new_data"}
 
     def load_dimension_table(self, df: DataFrame, table: str, key_column: str, buckets: int | None = None) -> dict:
         """K7: type-1 dimension load = upsert on the key. With ``buckets``, a new

@@ -34,8 +34,17 @@ CUSTOMER_COLUMNS = ["customer_id", "customer_name", "email", "city", "country"]
 PRODUCT_COLUMNS = ["product_id", "product_name", "category", "brand", "price"]
 
 
+_READERS: dict[tuple[str, int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table as a DataFrame; the reader (file listing, footer schema)
+    is built once per session and path - the tables are read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
