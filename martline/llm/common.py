@@ -6,7 +6,11 @@ operator's own outputs) never clash. A null text counts as the empty text.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +31,26 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: where neither their path nor their folder has it, send it once."""
+    root = Path(__file__).resolve().parents[2]
+    sc = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or Path.cwd() == root or sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    out = Path(tempfile.mkdtemp()) / "martline.zip"  # the driver's own copy; Spark serves it to executors
+    with zipfile.ZipFile(out, "w") as z:
+        for f in (root / "martline").rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(out))
+
+
+_SHIPPED: set[str] = set()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hand text to Python in small record batches (only lowers the session's value)."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) <= 0 or int(spark.conf.get(key)) > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
@@ -65,6 +87,21 @@ def discard(spark: SparkSession, df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def meet(rows: DataFrame, keys: list[str], spread: str, size: int, name: str) -> DataFrame:
+    """Rows of buckets with two rows or more, sorted so that all of a cell stand together: columns part, cell.
+
+    A bucket of up to ``size`` rows is one cell. A larger one is cut by the hash of ``spread`` into parts, and every two
+    parts (and each with itself) meet in a cell of their own: all pairs of rows of the bucket are together in some
+    cell, and no task gets more than about 2 * ``size`` rows of it."""
+    parts = written(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+                    .select(*keys, F.ceil(F.col("n") / size).cast("int").alias("parts")), name)
+    part = F.pmod(F.xxhash64(spread), F.col("parts")).cast("int")
+    cell = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
+                       lambda j: F.least("part", j).cast("long") * F.col("parts") + F.greatest("part", j))
+    return (rows.join(parts, keys).withColumn("part", part).select(*rows.columns, "part", F.explode(cell).alias("cell"))
+            .repartition(*keys, "cell").sortWithinPartitions(*keys, "cell"))
+
+
 class Forest:
     """Union-find over 64-bit ids; the root of a set is its smallest id."""
 

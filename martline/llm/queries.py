@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import chat, codec, packing
+from martline.llm import chat, codec, neighbours, packing, pivots, simhash, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +71,41 @@ FROM sized GROUP BY conv_id"""
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded and decoded: counts and digests."""
     return codec.encode_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of all documents, with the pieces and scores of a public vocabulary."""
+    return unigram.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, by inner product, among all others."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+SQL["op10_neighbours"] = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
+@query
+def op1_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings: links of cosine 0.98 or more within a label, components, representatives."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
