@@ -1,9 +1,9 @@
 """Byte-level BPE with word ends: backtracking encoder and offset-table decoder.
 
 The encoder finds a word's vocabulary matches with an Aho-Corasick automaton, takes the longest match at each
-place and accepts it only if it is compatible with the token before (the pair would not be merged otherwise in
-any order of merges); on a conflict it tries the next shorter match or steps back. Each place is given up at most once,
-so the work is linear in the word. This yields the same ids as applying merges by rank.
+place and accepts it only if it is compatible with the token before (no merge across their border would have come
+first); on a conflict it tries the next shorter match or steps back. Each place is given up at most once, so
+the work is linear in the word. This yields the same ids as applying merges by rank.
 
 Words repeat, so each worker keeps the ids of words that it has seen (bounded, then begun anew).
 """
@@ -13,13 +13,14 @@ from __future__ import annotations
 import functools
 import json
 import unicodedata
+from array import array
 
 import ahocorasick
 import numpy as np
 import regex
 
 #: Distinct words whose ids a worker keeps.
-KEEP_WORDS = 600_000
+KEEP_WORDS = 1_200_000
 #: White space by the Unicode property, which the tokenizer's patterns mean by \s.
 SPACE = "\t-\r \x85\xa0  -     　"
 _SPACES = regex.compile(f"[{SPACE}]+")
@@ -38,8 +39,7 @@ def byte_letters() -> list[str]:
 
 
 #: Characters that str.split() takes for white space and the pattern doesn't.
-_ODD = regex.compile("[\x1c-\x1f]")
-_ASCII_SPACES = str.maketrans("\t\n\x0b\x0c\r", "     ")
+_ODD = "\x1c\x1d\x1e\x1f"
 
 
 class _Seen(dict):
@@ -90,6 +90,11 @@ class WordBPE:
             if len(s) == 1 or i in self.parts and self._compatible(*self.parts[i][1:], self.parts[i][0]):
                 self.auto.add_word(s, (len(s), i))
         self.auto.make_automaton()
+        # the next shorter match from the same place: the longest proper prefix of a token that is a token
+        self.shorter: dict[int, tuple[int, int] | None] = {}
+        for s, (_, i) in self.auto.items():
+            cut = next((k for k in range(len(s) - 1, 0, -1) if s[:k] in self.auto), 0)
+            self.shorter[i] = (cut, self.id[s[:cut]]) if cut else None
         # decoding: all token strings, each with the blank that the decoder puts between tokens, and offsets
         size = max([*vocab.values(), *self.special.values()]) + 1
         strings = [b""] * size
@@ -102,6 +107,7 @@ class WordBPE:
 
     def _reset(self) -> None:
         self.seen = _Seen(self.chunk)
+        self.known: dict[int, bool] = {}  # the pair-compatibility table, filled as pairs are met
 
     def _compatible(self, a: int, b: int, below: int | None = None) -> bool:
         """Whether tokens a, b can stand side by side: no merge across their border comes before the merges
@@ -123,51 +129,52 @@ class WordBPE:
 
     def word(self, symbols: str) -> list[int]:
         """Ids of one word, given as symbols."""
-        if (whole := self.id.get(symbols)) is not None and symbols in self.auto:
-            return [whole]
-        n = len(symbols)
-        at: list[list[tuple[int, int]]] = [[] for _ in range(n)]  # matches by start, short to long
-        for last, match in self.auto.iter(symbols):
-            at[last - match[0] + 1].append(match)
+        n, shorter, known = len(symbols), self.shorter, self.known
+        longest: list = [None] * n
+        for end, match in self.auto.iter(symbols):  # by end, so the last match from a place is its longest
+            longest[end + 1 - match[0]] = match
         out: list[int] = []
-        starts = [0]
-        dead = [False] * (n + 1)
-        todo = [at[0][:]]  # matches left to try at each accepted place
-        while starts[-1] < n:
-            place, left = starts[-1], todo[-1]
-            while left:
-                size, token = left.pop()
-                if not dead[place + size] and (not out or self._fits(out[-1], token)):
+        sizes: list[int] = []
+        dead: set[int] = set()
+        place, match, last = 0, longest[0], -1
+        while True:
+            size, token = match
+            end = place + size
+            if end not in dead:
+                fits = last < 0 or known.get(last << 20 | token)
+                if fits is None:
+                    fits = known[last << 20 | token] = self._compatible(last, token)
+                if fits:
                     out.append(token)
-                    starts.append(place + size)
-                    todo.append(at[place + size][:] if place + size < n else [])
-                    break
-            else:
-                dead[place] = True
-                out.pop()
-                starts.pop()
-                todo.pop()
-        return out
-
-    @functools.cached_property
-    def _fits(self):  # noqa: ANN202
-        return functools.lru_cache(1 << 18)(self._compatible)
+                    if end == n:
+                        return out
+                    sizes.append(size)
+                    place, match, last = end, longest[end], token
+                    continue
+            match = shorter[token]
+            while match is None:  # nothing fits here: give the place up and shorten the token before
+                dead.add(place)
+                place -= sizes.pop()
+                match = shorter[out.pop()]
+                last = out[-1] if out else -1
 
     def chunk(self, run: str) -> bytes:
         """Ids (little-endian uint32) of a run of text without white space, already normalised."""
-        ids: list[int] = []
-        for w in self.split.findall(run):
-            b = w.encode()
-            ids += self.word(b[:-1].decode("latin-1") + chr(256 + b[-1]))
-        return np.array(ids, dtype="<u4").tobytes()
+        if not run.isascii() or not run.isalpha():
+            words = self.split.findall(run)
+            if len(words) != 1 or words[0] != run:
+                return b"".join([self.seen[w] for w in words])  # a word by itself is one word again
+        b = run.encode()
+        return array("I", self.word(b[:-1].decode("latin-1") + chr(256 + b[-1]))).tobytes()
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text that holds no special token."""
-        if text.isascii():
-            runs = text.lower().translate(_ASCII_SPACES).split(" ") if _ODD.search(text) else text.lower().split()
-        else:
+        if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no rule for a final sigma
+        if any(c in text for c in _ODD):
             runs = _SPACES.sub(" ", text).lower().split(" ")
+        else:
+            runs = text.lower().split()
         return b"".join(map(self.seen.__getitem__, runs))
 
     def encode(self, text: str) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import chat, codec, neighbours, packing, pivots, simhash, unigram
+from martline.llm import chat, codec, neighbours, packing, pivots, quality, simhash, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -109,3 +109,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
 def op1_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings: links of cosine 0.98 or more within a label, components, representatives."""
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: weight of the labelled good text against all text, and whether the draw keeps them."""
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
