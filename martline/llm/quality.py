@@ -6,12 +6,13 @@ ones, such as passages of which only unlabelled documents hold copies). A docume
 then drawn without replacement in proportion to their weights: the top k of log weight / temperature plus
 Gumbel noise, which is a hash of the document's id, so the draw can be repeated.
 
-The n-grams are words and pairs of words (hashed) and triples of word shapes: letters, digits, each kind
-of punctuation, and whether a word repeats one of the two before it. An n-gram counts once a document, so a word
-that one bad document repeats a thousand times says little against others.
+The n-grams are hashed words and starts of words, each once a document (so a word that one bad document repeats a
+thousand times says little against others), and triples of word shapes: letters, digits, each kind of punctuation, and
+whether a word repeats one of the two before it. Shapes count by their mean, as if every document had ``SHAPES_COUNT``.
+Texts that are equal are fitted once.
 
 Ratios are posterior means under a gamma prior (``PRIOR`` pseudo-counts at ratio one), so rare n-grams say
-nothing. Weights are truncated: a ratio above 1, or within a factor e of it, counts as 1. So a long clean text
+nothing. Weights are truncated: a ratio above 1, or near it (``DEAD``, ``DEAD_MEAN``), counts as 1. So a long clean text
 keeps weight 1, and much clean text can't buy back a bad passage.
 
 How many to draw: ``keep`` documents, or by default as many as have a weight above the cut that best tells good
@@ -33,21 +34,23 @@ from pyspark.sql import functions as F
 from martline.llm.common import slices, small_batches, texts, written
 
 MAX_LABELS = 100_000
-WORDS, PAIRS, SHAPES = 1 << 19, 1 << 16, 1 << 15
-PRIOR, DEAD = 20.0, 1.0
+WORDS, STARTS, SHAPES = 1 << 19, 1 << 17, 1 << 15
+#: Letters of a word's start, pseudo-counts, log ratios that count as noise (of a word, of the mean over shapes), and how many
+#: shapes the mean stands for.
+START, PRIOR, DEAD, DEAD_MEAN, SHAPES_COUNT = 5, 5.0, 1.5, 0.5, 100.0
 KEEP_RUNS = 600_000
 _TOKEN = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\s\p{L}\p{M}\p{N}]+")
 
 
 class Runs(dict):
-    """(hash, shape) of the tokens of a run of text without white space, as bytes."""
+    """(hash, hash of the start, shape) of the tokens of a run of text without white space, as bytes."""
 
     def __missing__(self, run: str) -> bytes:
         out = []
         for t in _TOKEN.findall(run):
             raw = t.encode("utf-8", "replace")
             shape = 1 if t[0].isalpha() else 2 if t[0].isnumeric() else 3 + zlib.crc32(raw[:2]) % 12
-            out += [zlib.crc32(raw), shape]
+            out += [zlib.crc32(raw), zlib.crc32(t[:START].encode("utf-8", "replace")), shape]
         got = self[run] = np.array(out, dtype="<u4").tobytes()
         return got
 
@@ -56,30 +59,28 @@ _RUNS = Runs()
 
 
 def ngrams(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(document's place, n-gram) of some texts, each n-gram once a document."""
+    """(document's place, n-gram) of some texts: words and starts once a document, shapes as often as they occur."""
     if len(_RUNS) > KEEP_RUNS:
         _RUNS.clear()
     raw = [b"".join(map(_RUNS.__getitem__, x.lower().split())) for x in docs]
-    t = np.frombuffer(b"".join(raw), dtype="<u4").reshape(-1, 2).astype(np.uint64)
-    doc = np.repeat(np.arange(len(docs)), [len(x) // 8 for x in raw])
-    h, shape = t[:, 0], t[:, 1].copy()
+    t = np.frombuffer(b"".join(raw), dtype="<u4").reshape(-1, 3).astype(np.uint64)
+    doc = np.repeat(np.arange(len(docs)), [len(x) // 12 for x in raw])
+    h, shape = t[:, 0], t[:, 2].copy()
     same1, same2 = doc[1:] == doc[:-1], doc[2:] == doc[:-2]
     again = np.zeros(len(h), bool)
     again[1:] |= same1 & (h[1:] == h[:-1])
     again[2:] |= same2 & (h[2:] == h[:-2])
     shape += np.uint64(16) * again
     mix = lambda x, n: (x * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - (n - 1).bit_length())).astype(np.int64)
-    word = mix(h, WORDS)
-    pair = WORDS + mix(h[:-1] * np.uint64(31) + h[1:], PAIRS)
-    triple = WORDS + PAIRS + (shape[:-2] << np.uint64(10) | shape[1:-1] << np.uint64(5) | shape[2:]).astype(np.int64)
-    size = WORDS + PAIRS + SHAPES
-    both = np.unique(np.concatenate([doc * size + word, doc[1:][same1] * size + pair[same1], doc[2:][same2] * size + triple[same2]]))
-    return np.divmod(both, size)
+    triple = WORDS + STARTS + (shape[:-2] << np.uint64(10) | shape[1:-1] << np.uint64(5) | shape[2:]).astype(np.int64)
+    size = WORDS + STARTS + SHAPES
+    once_doc, once = np.divmod(np.unique(np.concatenate([doc * size + mix(h, WORDS), doc * size + WORDS + mix(t[:, 1], STARTS)])), size)
+    return np.concatenate([once_doc, doc[2:][same2]]), np.concatenate([once, triple[same2]])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-gram counts of a partition: in all its texts, in those of the target."""
-    size = WORDS + PAIRS + SHAPES
+    size = WORDS + STARTS + SHAPES
     raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for batch in batches:
         for part in slices(batch):
@@ -100,13 +101,14 @@ def fit(docs: DataFrame, good: Column) -> dict[int, float]:
     counts = written(docs.select("doc_id", "text", F.coalesce(good, F.lit(False)).alias("good"))
                      .mapInArrow(_count, "gram int, raw long, target long").groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "quality")
     # each kind of n-gram is a distribution of its own
-    kind = F.when(F.col("gram") < WORDS, 0).when(F.col("gram") < WORDS + PAIRS, 1).otherwise(2)
+    kind = F.when(F.col("gram") < WORDS, 0).when(F.col("gram") < WORDS + STARTS, 1).otherwise(2)
     share = {r[0]: r[2] / r[1] for r in counts.groupBy(kind).agg(F.sum("raw"), F.sum("target")).collect()}
     if not any(share.values()):
         return {}
     expected = F.col("raw") * F.when(kind == 0, share.get(0, 0.0)).when(kind == 1, share.get(1, 0.0)).otherwise(share.get(2, 0.0))
     ratio = F.log((F.col("target") + PRIOR) / (expected + PRIOR))
-    return dict(map(tuple, counts.select("gram", ratio.alias("r")).where(F.col("r") < -DEAD).collect()))
+    least = F.when(kind == 2, -1.0).otherwise(-DEAD)
+    return dict(map(tuple, counts.select("gram", ratio.alias("r")).where(F.col("r") < least).collect()))
 
 
 def log_weights(docs: DataFrame, ratios: dict[int, float]) -> DataFrame:
@@ -116,12 +118,16 @@ def log_weights(docs: DataFrame, ratios: dict[int, float]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((grams, values))  # bounded by the number of buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(WORDS + PAIRS + SHAPES)
+        table = np.zeros(WORDS + STARTS + SHAPES)
         table[sent.value[0]] = sent.value[1]
         for batch in batches:
             for part in slices(batch):
+                n = part.num_rows
                 doc, gram = ngrams(part.column(1).to_pylist())
-                w = np.bincount(doc, weights=table[gram], minlength=part.num_rows)
+                shape = gram >= WORDS + STARTS
+                w = np.bincount(doc, weights=np.where(shape, 0, table[gram]), minlength=n)
+                mean = np.bincount(doc, weights=np.where(shape, table[gram], 0), minlength=n) / np.maximum(1, np.bincount(doc[shape], minlength=n))
+                w += np.where(mean < -DEAD_MEAN, mean * SHAPES_COUNT, 0)
                 yield pa.record_batch([part.column(0), pa.array(w)], names=["doc_id", "log_weight"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, log_weight double")
@@ -175,7 +181,10 @@ def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temper
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels))
     told = written(told.select(F.col("doc_id").alias("l"), F.col("s.col1").alias("good"), (F.xxhash64("doc_id", F.lit("fold")) % 4 == 0).alias("held")), "quality")
     rows = texts(docs, id_col, text_col)
-    ratios = fit(rows.join(F.broadcast(told.where("not held")), rows["doc_id"] == F.col("l")), F.col("good"))
+    # of equal texts one is fitted; there are at most as many as labels
+    first = rows.join(F.broadcast(told.where("not held")), rows["doc_id"] == F.col("l")).groupBy(F.xxhash64("text"), "good").agg(F.min("doc_id").alias("l"))
+    first = written(first.groupBy("l").agg(F.first("good").alias("good")), "quality")
+    ratios = fit(rows.join(F.broadcast(first), rows["doc_id"] == F.col("l")), F.col("good"))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("gumbel")), 11) + 0.5) / float(1 << 53)
     scored = log_weights(rows, ratios)
     scored = written(scored.withColumn("gumbel_key", F.col("log_weight") / temperature - F.log(-F.log(uniform))), "quality")
