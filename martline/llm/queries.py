@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import chat, codec, neighbours, packing, pivots, quality, simhash, unigram
+from martline.llm import chat, codec, neighbours, packing, pivots, quality, repeats, simhash, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +115,10 @@ def op1_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: weight of the labelled good text against all text, and whether the draw keeps them."""
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: bytes covered by 100-byte strings that start earlier, and a digest of what remains."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
