@@ -1,19 +1,53 @@
-"""Corpus pipeline: quality classifier, SimHash near-dedup, suffix-array dedup, packing."""
+"""Corpus pipeline: quality classifier, SimHash near-dedup, suffix-array dedup, packing.
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns the rows that it keeps, with the
+columns of documents, and the last one the pieces of packed sequences. Every stage works on all rows that its
+predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martline.llm import packing
+from martline.llm import packing, quality, repeats, simhash
 from martline.llm.common import written
 from martline.llm.queries import tokenizer_path
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the draw keeps; rows with a null id can't be drawn and go."""
+    drawn = quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.join(drawn.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of 4-word shingle fingerprints within 4 bits: the one with the smallest id. Rows
+    that repeat an id become one; rows with a null id go."""
+    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
+    kept = written(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
+    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    # only where ids repeat are whole rows compared
+    return out if kept.where("n > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without strings of 100 bytes that start earlier; letters are kept whole."""
+    others = [c for c in docs.columns if c != "text"]
+    out = repeats.remove_repeats(docs, length=100, text="letters", carry=others)
+    out = out.select(F.col("kept").cast("string").alias("text"), *[F.col("carried").getField(c).alias(c) for c in others])
+    if "n_chars" in others:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens, one row per piece."""
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 
-STAGES = [("packing", pack)]
+STAGES = [("quality classifier", keep_good), ("SimHash near-dedup", drop_near_copies),
+          ("suffix-array dedup", drop_repeats), ("packing", pack)]
 
 #: The stages need tokenizers, hashes and trained models, which SQL can't express.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import chat, codec, neighbours, packing, pivots, quality, repeats, simhash, unigram
+from martline.llm import chat, codec, licences, neighbours, packing, pivots, quality, repeats, simhash, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -122,3 +122,9 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: bytes covered by 100-byte strings that start earlier, and a digest of what remains."""
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: licence texts and notices that they hold, with coverage and spans."""
+    return licences.scan(table(spark, sf_dir, "documents"))

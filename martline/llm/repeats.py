@@ -57,6 +57,14 @@ def _unpack(b: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(b), dtype=kind)
 
 
+def _runs(a: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    if not len(a):
+        return []
+    cut = np.flatnonzero(a[1:] != a[:-1]) + 1
+    return list(zip([0, *cut.tolist()], [*cut.tolist(), len(a)], strict=True))
+
+
 def _ipc(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
@@ -125,9 +133,8 @@ def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
                 bucket = (b.anchor[place] >> np.uint64(32)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 place, bucket = place[order], bucket[order]
-                cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(place) else np.zeros(0, np.int64)
                 rows = []
-                for lo, hi in zip(cut.tolist(), np.append(cut[1:], len(place)).tolist(), strict=True):
+                for lo, hi in _runs(bucket):
                     p = place[lo:hi]
                     rows.append((int(bucket[lo]), block, np.concatenate([b.anchor[p], b.content[p]]).tobytes(), _pack(b.doc_id[p]), _pack(p.astype(np.uint32))))
                 if rows:
@@ -158,8 +165,7 @@ def _decide(rows: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
     for what, chosen in ((REMOVED, ~new_piece), (MIXED, new_piece & (contents > 1))):
         at = order[chosen]
         at = at[np.argsort(block[at], kind="stable")]
-        cut = np.flatnonzero(np.concatenate([[True], block[at][1:] != block[at][:-1]])) if len(at) else np.zeros(0, np.int64)
-        for lo, hi in zip(cut.tolist(), np.append(cut[1:], len(at)).tolist(), strict=True):
+        for lo, hi in _runs(block[at]):
             yield rows[block[at[lo]]][0], what, _pack(np.sort(place[at[lo:hi]]).astype(np.uint32))
 
 
