@@ -96,12 +96,12 @@ class Index:
         return list(zip(at.tolist(), h[at].tolist(), strict=True))
 
     def chains(self, ids: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(template, first and last place in the text, smallest and greatest diagonal) of chained fingerprints."""
+        """(template, first and last place in the text, smallest and greatest diagonal) of fingerprints chained within a band."""
         seeds = sorted((k, at - there, at) for at, h in self.winnow(ids) if h in self.places for k, there in self.places[h])
         out: list[list[int]] = []
         for k, diagonal, at in seeds:
             last = out[-1] if out else None
-            if last and last[0] == k and diagonal - last[4] <= BAND:
+            if last and last[0] == k and diagonal - last[3] <= BAND:
                 last[1:] = [min(last[1], at), max(last[2], at), last[3], diagonal]
             else:
                 out.append([k, at, at, diagonal, diagonal])
@@ -141,10 +141,13 @@ class Index:
             return []
         found = []
         for chain in self.chains(np.array(words, np.int64)):
-            matched, a, b = self.align(words, chain)
-            cover = matched / len(self.ids[chain[0]])
-            if cover >= least:
+            left = words
+            while True:  # a band may hold a short template more than once
+                matched, a, b = self.align(left, chain)
+                if not matched or matched / len(self.ids[chain[0]]) < least:
+                    break
                 found.append((chain[0], -matched, b - a, a, b))
+                left = [*left[:a], *[0] * (b - a), *left[b:]]
         taken: dict[int, list[tuple[int, int]]] = defaultdict(list)
         out = []
         for k, minus, _, a, b in sorted(found):
