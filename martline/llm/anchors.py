@@ -13,7 +13,7 @@ import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 #: A place in a buffer has to fit the low bits of a key.
-_PLACE = 24
+_PLACE = 22
 
 
 @functools.lru_cache(1)

@@ -17,50 +17,59 @@ def suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, cap: int)
     Strings end with marks that differ, in the order of the strings; the marks are not part of the result."""
     m = len(starts)
     letters, code = np.unique(data, return_inverse=True)
-    code = (code + 1).astype(np.uint8 if len(letters) < 255 else np.uint16)
+    code = code.astype(np.uint8)
     small = np.uint8 if cap < 255 else np.uint16 if cap < 65535 else np.uint32
+    longest = int(sizes.max(initial=0))
+    wide = np.uint32 if m < 1 << 16 and longest < 1 << 16 else np.uint64  # owner and size of a suffix together
+    shift, low = (wide(16), wide(0xFFFF)) if wide is np.uint32 else (wide(32), wide(0xFFFFFFFF))
     ends = starts + sizes
-    # the suffixes so far: the empty ones first
-    symbol, common = np.zeros(m, code.dtype), np.zeros(m, small)
-    owner, size, fresh = np.arange(m, dtype=np.int32), np.zeros(m, np.int32), np.ones(m, bool)
-    for t in range(1, int(sizes.max(initial=0)) + 1):
-        at = np.flatnonzero(fresh)
-        at = at[sizes[owner[at]] >= t]
-        symbol[at] = code[ends[owner[at]] - t]
-        order = np.argsort(symbol, kind="stable")
-        order = order[len(order) - np.count_nonzero(symbol) :]  # symbol by symbol, each by place
-        new = np.zeros(len(symbol), bool)
-        new[at] = True
-        new = new[order]
+    # the suffixes so far, the empty ones first, and the transform as the places of each symbol, symbol by symbol:
+    # entry k leads from the suffix at that place to suffix m + k, which has the symbol in front of it
+    common, tag = np.zeros(m, small), np.arange(m, dtype=wide) << shift
+    places, counts = np.zeros(0, np.int32), np.zeros(len(letters), np.int64)
+    at = own = np.arange(m, dtype=np.int32)  # places and owners of the suffixes of the last round
+    for t in range(1, longest + 1):
+        on = sizes[own] >= t
+        at, own = at[on], own[on]
+        c = code[ends[own] - t]
+        turn = np.argsort(c, kind="stable")  # the places ascend already
+        at, own, c = at[turn], own[turn], c[turn]
+        # where the new symbols come in among the equal ones
+        begin = np.concatenate([[0], np.cumsum(counts)])
+        rank = np.arange(len(at), dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(c[1:] != c[:-1]) + 1).tolist(), len(c)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            first = begin[c[lo]]
+            rank[lo:hi] += first + np.searchsorted(places[first : begin[c[lo] + 1]], at[lo:hi])
+        counts += np.bincount(c, minlength=len(counts))
+        rank_end = np.cumsum(counts)
+        old = np.ones(len(places) + len(at), bool)
+        old[rank] = False
+        joined = np.empty(len(old), np.int32)
+        joined[old], joined[rank] = places, at
         # common prefixes that the insertions change: of a new suffix and of the one behind it
-        ask = np.flatnonzero(new | np.concatenate([[False], new[:-1]]))
-        back = ask[ask > 0]
-        back = back[symbol[order[back]] == symbol[order[back - 1]]]
-        lowest = np.zeros(len(order), small)
-        if len(back):
-            back = back[::-1]  # falling places make the reductions between the asked ones empty
-            pairs = np.stack([order[back - 1] + 1, order[back] + 1], axis=1).ravel()
-            least = np.minimum.reduceat(np.append(common, small(0)), pairs)[::2]
-            lowest[back] = np.minimum(least.astype(np.int64) + 1, cap)
-        old = ~new
-        kept = np.zeros(len(order), small)
-        kept[old] = common[m:]
-        kept[ask] = lowest[ask]
-        where = np.flatnonzero(old)
-
-        def merged(a: np.ndarray, fill: np.ndarray | int, old: np.ndarray = where, new: np.ndarray = new) -> np.ndarray:
-            out = np.empty(m + len(new), a.dtype)
+        mark = np.zeros(len(old) + 1, bool)
+        mark[rank] = mark[rank + 1] = True
+        ask = np.flatnonzero(mark[:-1])
+        mark[:] = False
+        mark[0] = mark[rank_end] = True  # where a symbol's entries begin
+        back = ask[~mark[ask]][::-1]  # falling places make what lies between the asked empty
+        pairs = np.stack([joined[back - 1] + 1, joined[back] + 1], axis=1).ravel()
+        least = np.minimum.reduceat(np.append(common, small(0)), pairs)[::2] if len(back) else common[:0]
+        stay = np.flatnonzero(old)
+        grown = []
+        for a, fill in ((common, 0), (tag, own.astype(wide) << shift | wide(t))):
+            out = np.empty(m + len(old), a.dtype)
             out[:m] = a[:m]
             body = out[m:]
-            body[old] = a[m:]
-            body[new] = fill
-            return out
-
-        common = np.concatenate([common[:m], kept])
-        added = owner[order[new]]
-        symbol, owner, size = merged(symbol, 0), merged(owner, added), merged(size, t)
-        fresh = np.concatenate([np.zeros(m, bool), new])
-    return owner[m:], size[m:], common[m:]
+            body[old], body[rank] = a[m:], fill
+            grown.append(out)
+        common, tag = grown
+        common[m + ask] = 0
+        common[m + back] = np.minimum(least.astype(np.int64) + 1, cap)
+        places = np.concatenate([np.arange(m, dtype=np.int32), (m + stay).astype(np.int32)])[joined]
+        at = (m + rank).astype(np.int32)
+    return (tag[m:] >> shift).astype(np.int64), (tag[m:] & low).astype(np.int64), common[m:]
 
 
 def later_windows(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:

@@ -41,7 +41,7 @@ from martline.llm.common import discard, slices, small_batches, written
 
 LENGTH, GRAM = 100, 40
 #: Bytes of text in a block, of text behind a bucket of anchors, and of pieces in a bundle.
-BLOCK, BUCKET, BUNDLE = 2 << 20, 64 << 20, 1 << 19
+BLOCK, BUCKET, BUNDLE = 2 << 20, 64 << 20, 1 << 20
 #: Pieces of one anchor beyond which it is done string by string.
 MANY = 1 << 14
 _NO_ID = (1 << 63) - 1
@@ -80,19 +80,24 @@ def _batch(ipc: bytes) -> pa.RecordBatch:
 class Block:
     """Documents of a block (doc_id, data, ...), their pieces, and which pieces repeat an earlier one of the block."""
 
-    def __init__(self, ipc: bytes, length: int, gram: int) -> None:
+    def __init__(self, ipc: bytes, length: int, gram: int, name_all: bool = True) -> None:
         self.rows = _batch(ipc)
         data = self.rows.column(1)
         self.offsets = np.frombuffer(data.buffers()[1], np.int32)[: len(data) + 1].astype(np.int64)
         self.data = np.frombuffer(data.buffers()[2] or b"", np.uint8)[: self.offsets[-1]]
         self.anchor, self.start, self.windows = anchors.pieces(self.data, self.offsets[1:], length, gram)
         raw, h = self.data.tobytes(), xxhash.xxh64_intdigest
-        self.content = np.array([h(raw[s : s + n]) for s, n in zip(self.start.tolist(), (self.windows + length - 1).tolist(), strict=True)], np.uint64)
-        both = np.stack([self.anchor, self.content])
-        order = np.lexsort((np.arange(len(self.anchor)), *both))
-        same = (both[:, order[1:]] == both[:, order[:-1]]).all(axis=0)
-        self.again = np.zeros(len(order), bool)
-        self.again[order[1:][same]] = True
+        order = np.argsort(self.anchor, kind="stable")
+        same = self.anchor[order[1:]] == self.anchor[order[:-1]]
+        twice = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(order) else same
+        some = np.arange(len(order)) if name_all else order[twice]  # equal contents have equal anchors
+        self.content = np.zeros(len(order), np.uint64)
+        self.content[some] = [h(raw[s : s + n]) for s, n in zip(self.start[some].tolist(), (self.windows[some] + length - 1).tolist(), strict=True)]
+        order = order[twice]
+        order = order[np.lexsort((order, self.content[order], self.anchor[order]))]
+        both = np.stack([self.anchor[order], self.content[order]])
+        self.again = np.zeros(len(self.anchor), bool)
+        self.again[order[1:][(both[:, 1:] == both[:, :-1]).all(axis=0)]] = True
         ids = self.rows.column(0).fill_null(_NO_ID).to_numpy()
         self.doc = np.searchsorted(self.offsets[1:], self.start, side="right")  # place of each piece's document
         self.doc_id = ids[self.doc] if len(ids) else np.zeros(0, np.int64)
@@ -237,7 +242,7 @@ def _second(left: pa.Table, right: pa.Table, length: int, gram: int, text: str,
     if not left.num_rows:
         return schema.empty_table()
     number = left["block"][0].as_py()
-    b = Block(left["ipc"][0].as_py(), length, gram)
+    b = Block(left["ipc"][0].as_py(), length, gram, name_all=False)
     gone, mixed = b.again.copy(), np.zeros(len(b.again), bool)
     for what, places in zip(right["what"].to_pylist(), right["places"].to_pylist(), strict=True):
         (gone if what == REMOVED else mixed)[_unpack(places, "u4")] = True
