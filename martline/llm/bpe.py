@@ -19,8 +19,10 @@ import ahocorasick
 import numpy as np
 import regex
 
-#: Distinct words whose ids a worker keeps.
-KEEP_WORDS = 1_200_000
+from martline.llm.common import Recent, at_work
+
+#: Distinct words whose ids a worker keeps, at most about twice as many.
+KEEP_WORDS = 400_000
 #: White space by the Unicode property, which the tokenizer's patterns mean by \s.
 SPACE = "\t-\r \x85\xa0  -     　"
 _SPACES = regex.compile(f"[{SPACE}]+")
@@ -42,18 +44,6 @@ def byte_letters() -> list[str]:
 _ODD = "\x1c\x1d\x1e\x1f"
 
 
-class _Seen(dict):
-    """Ids by run of text; a run not seen yet is encoded."""
-
-    def __init__(self, make) -> None:  # noqa: ANN001
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, run: str) -> bytes:
-        ids = self[run] = self.make(run)
-        return ids
-
-
 class WordBPE:
     """Encoder and decoder for a tokenizer file of this kind: NFC, white space to blanks, lower case; split by
     a pattern that leaves white space out; byte letters; BPE whose last letter carries the word-end suffix."""
@@ -106,7 +96,7 @@ class WordBPE:
         self._reset()
 
     def _reset(self) -> None:
-        self.seen = _Seen(self.chunk)
+        self.seen = Recent(self.chunk, KEEP_WORDS)  # ids of runs of text
         self.known: dict[int, bool] = {}  # the pair-compatibility table, filled as pairs are met
 
     def _compatible(self, a: int, b: int, below: int | None = None) -> bool:
@@ -179,8 +169,7 @@ class WordBPE:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids (uint32) of a whole text; strings of special tokens in it become these tokens."""
-        if len(self.seen) > KEEP_WORDS:
-            self._reset()
+        self.seen.turn()
         if self.cut is None or not any(s in text for s in self.special):
             ids = self._plain(text)
         else:
@@ -198,7 +187,12 @@ class WordBPE:
         return self.flat[where[:-1]].tobytes()
 
 
-@functools.lru_cache(2)
 def word_bpe(path: str) -> WordBPE:
     """One encoder for a worker process; the file must be at the same path on every executor."""
+    at_work("bpe", _word_bpe.cache_clear)
+    return _word_bpe(path)
+
+
+@functools.lru_cache(1)
+def _word_bpe(path: str) -> WordBPE:
     return WordBPE(path)

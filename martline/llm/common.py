@@ -6,10 +6,13 @@ operator's own outputs) never clash. A null text counts as the empty text.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -21,8 +24,8 @@ from pyspark.sql import functions as F
 from martline.session import checkpoint_root, scratch_path
 
 #: Rows of a text table handed to Python at once; with the slices below this bounds a worker's memory.
-ARROW_ROWS = 1000
-SLICE_BYTES = 4 << 20
+ARROW_ROWS = 500
+SLICE_BYTES = 2 << 20
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,6 +105,48 @@ def meet(rows: DataFrame, keys: list[str], spread: str, size: int, name: str) ->
             .repartition(*keys, "cell").sortWithinPartitions(*keys, "cell"))
 
 
+class Recent(dict):
+    """Values by key, made when they are first asked for. ``turn`` drops what was not asked for since the turn before the
+    last, so at most about twice ``keep`` entries are held."""
+
+    def __init__(self, make: Callable, keep: int) -> None:
+        super().__init__()
+        self.make, self.keep, self.old = make, keep, {}
+
+    def __missing__(self, key):  # noqa: ANN001, ANN204
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.keep:
+            self.old = self.copy()
+            self.clear()
+
+
+_CACHES: dict[str, Callable[[], None]] = {}
+_AT_WORK = ""
+
+
+def at_work(name: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Called by an operator's tasks: what a worker process keeps from one task to the next it keeps for one operator at a
+    time. When another one comes, the caches go and their memory is given back."""
+    global _AT_WORK
+    _CACHES[name] = clear
+    if name == _AT_WORK:
+        return
+    for other, forget in _CACHES.items():
+        if other != name:
+            forget()
+    _AT_WORK = name
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class Forest:
     """Union-find over 64-bit ids; the root of a set is its smallest id."""
 

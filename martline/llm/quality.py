@@ -23,6 +23,7 @@ hashes of ids), so that they can be broadcast; every document is scored and take
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,37 +32,39 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import slices, small_batches, texts, written
+from martline.llm.common import Recent, at_work, slices, small_batches, texts, written
 
 MAX_LABELS = 100_000
 WORDS, STARTS, SHAPES = 1 << 19, 1 << 17, 1 << 15
 #: Letters of a word's start, pseudo-counts, log ratios that count as noise (of a word, of the mean over shapes), and how many
 #: shapes the mean stands for.
 START, PRIOR, DEAD, DEAD_MEAN, SHAPES_COUNT = 5, 5.0, 1.5, 0.5, 100.0
-KEEP_RUNS = 600_000
+#: Runs of text whose tokens a worker keeps, at most about twice as many.
+KEEP_RUNS = 200_000
 _TOKEN = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\s\p{L}\p{M}\p{N}]+")
 
 
-class Runs(dict):
-    """(hash, hash of the start, shape) of the tokens of a run of text without white space, as bytes."""
+def _tokens(run: str) -> bytes:
+    """(hash, hash of the start, shape) of the tokens of a run of text without white space."""
+    out = []
+    for t in _TOKEN.findall(run):
+        raw = t.encode("utf-8", "replace")
+        shape = 1 if t[0].isalpha() else 2 if t[0].isnumeric() else 3 + zlib.crc32(raw[:2]) % 12
+        out += [zlib.crc32(raw), zlib.crc32(t[:START].encode("utf-8", "replace")), shape]
+    return array("I", out).tobytes()
 
-    def __missing__(self, run: str) -> bytes:
-        out = []
-        for t in _TOKEN.findall(run):
-            raw = t.encode("utf-8", "replace")
-            shape = 1 if t[0].isalpha() else 2 if t[0].isnumeric() else 3 + zlib.crc32(raw[:2]) % 12
-            out += [zlib.crc32(raw), zlib.crc32(t[:START].encode("utf-8", "replace")), shape]
-        got = self[run] = np.array(out, dtype="<u4").tobytes()
-        return got
 
+_RUNS = Recent(_tokens, KEEP_RUNS)
 
-_RUNS = Runs()
+
+def _forget() -> None:
+    _RUNS.clear()
+    _RUNS.old = {}
 
 
 def ngrams(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(document's place, n-gram) of some texts: words and starts once a document, shapes as often as they occur."""
-    if len(_RUNS) > KEEP_RUNS:
-        _RUNS.clear()
+    _RUNS.turn()
     raw = [b"".join(map(_RUNS.__getitem__, x.lower().split())) for x in docs]
     t = np.frombuffer(b"".join(raw), dtype="<u4").reshape(-1, 3).astype(np.uint64)
     doc = np.repeat(np.arange(len(docs)), [len(x) // 12 for x in raw])
@@ -80,6 +83,7 @@ def ngrams(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-gram counts of a partition: in all its texts, in those of the target."""
+    at_work("quality", _forget)
     size = WORDS + STARTS + SHAPES
     raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for batch in batches:
@@ -118,6 +122,7 @@ def log_weights(docs: DataFrame, ratios: dict[int, float]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((grams, values))  # bounded by the number of buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("quality", _forget)
         table = np.zeros(WORDS + STARTS + SHAPES)
         table[sent.value[0]] = sent.value[1]
         for batch in batches:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from martline.llm import anchors, bwt
-from martline.llm.common import discard, slices, small_batches, written
+from martline.llm.common import at_work, discard, slices, small_batches, written
 
 LENGTH, GRAM = 100, 40
 #: Bytes of text in a block, of text behind a bucket of anchors, and of pieces in a bundle.
@@ -105,6 +105,7 @@ class Block:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of a partition in blocks, each sorted by id."""
+    at_work("repeats", anchors._powers.cache_clear)
     number, held, size = TaskContext.get().partitionId() << 33, [], 0
 
     def close() -> pa.RecordBatch:

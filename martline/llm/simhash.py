@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import EDGES, components, edge_batch, meet, slices, small_batches, texts, written
+from martline.llm.common import EDGES, at_work, components, edge_batch, meet, slices, small_batches, texts, written
 
 #: Fingerprints of a bucket beyond which it is cut into parts.
 CELL = 1024
@@ -66,6 +66,7 @@ def fingerprints(df: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_c
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("simhash")
         for batch in batches:
             for part in slices(batch):
                 fp = [fingerprint(shingle_hashes(x, shingle)) for x in part.column(1).to_pylist()]

@@ -21,27 +21,15 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from martline.llm.common import slices, small_batches, texts
+from martline.llm.common import Recent, at_work, slices, small_batches, texts
 
 MARK = "▁"
-#: Distinct words whose counts a worker keeps.
-KEEP_WORDS = 1_000_000
+#: Distinct words whose counts a worker keeps, at most about twice as many.
+KEEP_WORDS = 400_000
 #: What an unknown character scores below the worst piece.
 UNKNOWN_BELOW = 10.0
 
 
-class Counts(dict):
-    """Pieces of a word (given without the mark in front of it)."""
-
-    def __init__(self, unigram: Unigram) -> None:
-        super().__init__()
-        self.unigram = unigram
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = self.unigram.search(MARK + word)
-        return n
-
-
 class Unigram:
     def __init__(self, pieces: Iterable[tuple[str, float]], byte_fallback: bool = True) -> None:
         vocab = dict(pieces)
@@ -53,7 +41,7 @@ class Unigram:
         self.unknown = min(vocab.values()) - UNKNOWN_BELOW
         self.bytes = byte_fallback and all(f"<0x{b:02X}>" in vocab for b in range(256))
         self.by_words = MARK in vocab and not any(re.search(f"[^{MARK}]{MARK}", p) for p in vocab)
-        self.words = Counts(self)
+        self.words = Recent(lambda word: self.search(MARK + word), KEEP_WORDS)  # pieces of words without the mark in front
 
     def search(self, text: str) -> int:
         """Pieces on the best path through ``text``."""
@@ -83,8 +71,7 @@ class Unigram:
         if not self.by_words:
             text = text.replace(" ", MARK)
             return self.search(text if text[0] == MARK else MARK + text)
-        if len(self.words) > KEEP_WORDS:
-            self.words.clear()
+        self.words.turn()
         if MARK not in text and "  " not in text and text[0] != " ":
             return sum(map(self.words.__getitem__, text.split(" ")))
         text = text.replace(" ", MARK)
@@ -101,9 +88,14 @@ def pieces_of(path: str) -> list[tuple[str, float]]:
     return [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())]
 
 
-@functools.lru_cache(2)
 def unigram(path: str, byte_fallback: bool = True) -> Unigram:
     """One counter for a worker process; the file must be at the same path on every executor."""
+    at_work("unigram", _unigram.cache_clear)
+    return _unigram(path, byte_fallback)
+
+
+@functools.lru_cache(1)
+def _unigram(path: str, byte_fallback: bool) -> Unigram:
     return Unigram(pieces_of(path), byte_fallback)
 
 
