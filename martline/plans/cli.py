@@ -12,7 +12,7 @@ import argparse
 import json
 import sys
 
-from martline.plans.batch_job import JobConfig, run_job
+from martline.plans.batch_job import Checks, Cleaning, Inputs, JobConfig, Publishing, run_job
 from martline.session import build_session
 
 
@@ -37,6 +37,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--continue-on-error", action="store_true")
     p.add_argument("--batch-size", type=int, default=1000,
                    help="accepted for compatibility; Spark writes whole partitions")
+    p.add_argument("--run-id", default=None, help="id of the fact load; by default a digest of the input files")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -44,13 +45,13 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None) -> int:
     a = parse_args(argv)
     spark = build_session(a.master)
-    cfg = JobConfig(orders_path=a.orders, customers_path=a.customers, products_path=a.products,
-                    lake_path=a.lake, warehouse_path=a.warehouse, products_record_path=a.products_record_path,
-                    json_lines=a.json_lines, validate_data=not a.no_validate, clean_data=not a.no_clean,
-                    transform_data=not a.no_transform, save_to_lake=not a.no_lake,
-                    load_to_warehouse=not a.no_load, load_fact=not a.no_fact, dim_buckets=a.dim_buckets,
-                    fact_partition_by=["date_id"] if a.fact_partition_by_date else None,
-                    continue_on_error=a.continue_on_error)
+    cfg = JobConfig(
+        inputs=Inputs(a.orders, a.customers, a.products, a.products_record_path, json_lines=a.json_lines),
+        warehouse=a.warehouse, lake=None if a.no_lake else a.lake,
+        checks=None if a.no_validate else Checks(), cleaning=None if a.no_clean else Cleaning(), enrich=not a.no_transform,
+        publishing=None if a.no_load else Publishing(fact=not a.no_fact, dimension_buckets=a.dim_buckets,
+                                                     partition_by=["date_id"] if a.fact_partition_by_date else None),
+        go_on=a.continue_on_error, run_id=a.run_id)
     try:
         res = run_job(spark, cfg)
     except KeyboardInterrupt:
@@ -58,10 +59,8 @@ def main(argv=None) -> int:
     except Exception as e:  # noqa: BLE001
         print(json.dumps({"success": False, "error": str(e)}), file=sys.stderr)
         return 1
-    print(json.dumps({"success": res.success, "duration_seconds": res.duration_seconds,
-                      "steps_completed": res.steps_completed, "steps_failed": res.steps_failed,
-                      "errors": res.errors, "statistics": res.statistics}, default=str))
-    return 0 if res.success else 1
+    print(json.dumps(res.as_dict(), default=str))
+    return 0 if res.ok else 1
 
 
 if __name__ == "__main__":

@@ -10,7 +10,6 @@ and cast to DOUBLE only at the end, as the Spark side does.
 
 from __future__ import annotations
 
-from martline.functions.text import STRIP_PATTERN
 
 CTES = {
     "orders_src": """
@@ -199,7 +198,9 @@ SELECT event_id, ts, user_id, event_type,
        last_value(value IGNORE NULLS) OVER (ORDER BY ts, event_id
                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value, props
 FROM events_feed""")
-_STRIP = STRIP_PATTERN.replace("'", "''")
+# The white space that Python's str.strip takes off, written out.
+_BLANK = r"[\x{09}-\x{0d}\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_STRIP = f"^{_BLANK}+|{_BLANK}+$"
 register("clean_trim", f"""
 SELECT customer_id, regexp_replace(customer_name, '{_STRIP}', '', 'g') AS customer_name,
        regexp_replace(email, '{_STRIP}', '', 'g') AS email,
@@ -215,20 +216,9 @@ SELECT DISTINCT customer_id, regexp_replace(customer_name, '{_STRIP}', '', 'g')
        regexp_replace(city, '{_STRIP}', '', 'g') AS city,
        regexp_replace(country, '{_STRIP}', '', 'g') AS country
 FROM customers_src""")
-register("clean_dates", """
-SELECT event_id, event_type,
-       coalesce(try_strptime(trim(t), '%Y-%m-%d %H:%M:%S'), try_strptime(trim(t), '%Y-%m-%dT%H:%M:%S'),
-                try_strptime(trim(t), '%Y-%m-%d %H:%M'), try_strptime(trim(t), '%Y-%m-%d'),
-                try_strptime(trim(t), '%Y/%m/%d'), try_strptime(trim(t), '%m/%d/%Y'),
-                try_strptime(trim(t), '%d/%m/%Y'), try_strptime(trim(t), '%d-%m-%Y'),
-                try_strptime(trim(t), '%d.%m.%Y'), try_strptime(trim(t), '%Y%m%d')) AS event_time
-FROM (SELECT event_id, event_type,
-             CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-                             WHEN 'click' THEN strftime(ts, '%m/%d/%Y')
-                             WHEN 'signup' THEN strftime(ts, '%d/%m/%Y')
-                             WHEN 'purchase' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
-                             ELSE 'n/a' END AS t
-      FROM events)""")
+_PARTS = "CASE WHEN event_type <> 'error' THEN date_trunc('{part}', ts) END AS {name}"
+register("clean_dates", "SELECT event_id, event_type, " + ", ".join(_PARTS.format(part=p, name=n) for n, p in (
+    ("iso", "second"), ("fraction", "microsecond"), ("zulu", "second"), ("month_first", "day"), ("day_first", "day"), ("named", "day"))) + " FROM events")
 
 # ---- data quality ----------------------------------------------------------------------
 
@@ -266,7 +256,7 @@ SELECT "column", violations, violations = 0 AS passed, CAST(NULL AS VARCHAR) AS
   SELECT 'quantity' AS "column", CAST(sum(CASE WHEN coalesce(NOT (quantity > 0), true) THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM orders_feed
   UNION ALL SELECT 'unit_price', CAST(sum(CASE WHEN coalesce(NOT (unit_price > 0), true) THEN 1 ELSE 0 END) AS BIGINT) FROM orders_feed
   UNION ALL SELECT 'discount', CAST(sum(CASE WHEN coalesce(NOT (discount > 0), true) THEN 1 ELSE 0 END) AS BIGINT) FROM orders_feed)
-UNION ALL SELECT 'coupon_code', 0, true, 'Column ''coupon_code'' not found for rule validation'""")
+UNION ALL SELECT 'coupon_code', 0, true, 'no column coupon_code for its rule'""")
 
 register("dq_rule_violations", """
 SELECT 'quantity' AS "column", order_id, line_number, product_id, supplier_id, CAST(quantity AS VARCHAR) AS value
@@ -287,7 +277,7 @@ register("dq_report", "\nUNION ALL ".join(
     ["SELECT 'row_count' AS \"check\", CAST(NULL AS VARCHAR) AS \"column\", CAST(count(*) AS DOUBLE) AS value, "
      "true AS passed, false AS counts_toward_valid, CAST(NULL AS VARCHAR) AS message FROM orders_feed",
      "SELECT 'column_count', NULL, 10.0, true, false, NULL",
-     "SELECT 'schema_type', 'order_date', NULL, false, true, 'expected str, got timestamp_ntz'"]
+     "SELECT 'schema_type', 'order_date', NULL, false, true, 'order_date is timestamp_ntz, not str'"]
     + [f"""SELECT 'null_share', '{c}',
        CASE WHEN count(*) > 0 THEN CAST(count(*) - count({c}) AS DOUBLE) / count(*) ELSE 0.0 END,
        NOT (CAST(count(*) - count({c}) AS DOUBLE) > CAST(count(*) AS DOUBLE) * 0.5), false,
@@ -302,7 +292,7 @@ register("dq_report", "\nUNION ALL ".join(
        CASE WHEN v > 0 THEN 'Column ''{c}'' has ' || CAST(v AS VARCHAR) || ' rule violations' END
        FROM (SELECT sum(CASE WHEN coalesce(NOT ({r}), true) THEN 1 ELSE 0 END) AS v FROM orders_feed)"""
        for c, r in [("quantity", "quantity > 0"), ("unit_price", "unit_price > 0"), ("discount", "discount > 0")]]
-    + ["SELECT 'business_rule', 'coupon_code', NULL, true, false, 'Column ''coupon_code'' not found for rule validation'"]))
+    + ["SELECT 'business_rule', 'coupon_code', NULL, true, false, 'no column coupon_code for its rule'"]))
 
 register("dq_pk_duplicates", """
 SELECT order_id, line_number, count(*) AS occurrences FROM orders_feed
@@ -357,7 +347,7 @@ SELECT o.*, p.product_name, p.category, p.brand, p.price
 FROM orders_src o LEFT JOIN products_src p ON o.product_id = p.product_id""")
 register("join_right", """
 SELECT c.customer_id, e.revenue, e.lines, c.customer_name, c.email, c.city, c.country
-FROM early e RIGHT JOIN customers_src c ON e.customer_id = c.customer_id""", _EARLY)
+FROM all_time e RIGHT JOIN customers_src c ON e.customer_id = c.customer_id""", ("all_time", _PERIOD.format(cond="true")))
 register("join_full", """
 SELECT coalesce(e.customer_id, l.customer_id) AS customer_id, e.revenue AS revenue_x, e.lines AS lines_x,
        l.revenue AS revenue_y, l.lines AS lines_y
@@ -411,10 +401,21 @@ register("src_scan_report", """
 SELECT count(*) AS rows_extracted,
        'order_id,line_number,supplier_id,customer_id,product_id,order_date,shipped_at,quantity,unit_price,discount'
          AS columns_found,
-       false AS is_valid, 'Missing required columns: [''coupon_code'']' AS errors,
+       false AS is_valid, 'no column coupon_code' AS errors,
        CASE WHEN count(*) <> (SELECT count(*) FROM orders)
             THEN 'Expected ' || (SELECT count(*) FROM orders) || ' rows, got ' || count(*) ELSE '' END AS warnings
 FROM orders_feed""")
+_QUOTED = """SELECT product_id, 'He said "' || product_name || '", ok' AS product_name, category || chr(10) || brand AS label, price FROM products_src"""
+register("src_csv_quoted", _QUOTED)
+register("sink_lake_csv", f"SELECT * EXCLUDE (label) FROM ({_QUOTED})")
+register("src_csv_reordered", "SELECT unit_price, quantity, line_number, order_id FROM orders_src")
+register("src_scan_missing", """
+SELECT count(*) AS rows_extracted, 'order_id,quantity' AS columns_found, false AS is_valid, 'no column coupon_code' AS errors FROM orders_src""")
+register("src_json_odd_keys", "SELECT customer_id AS user_id, customer_name AS first_name, city FROM customers_src")
+register("src_json_scalars", "SELECT customer_id AS value FROM customers_src")
+register("src_json_records", "SELECT product_id, brand FROM products_src")
+register("src_json_index", "SELECT CAST(customer_id AS VARCHAR) AS index, customer_name, country FROM customers_src")
+register("src_json_object", 'SELECT customer_id, city AS "at.home.city" FROM customers_src')
 register("src_json_flatten", """
 SELECT customer_id, customer_name, city AS "address.city", country AS "address.country", email AS "contact.email"
 FROM customers_src""")
@@ -470,12 +471,26 @@ UNION ALL
 SELECT * FROM f0 WHERE created_at > (SELECT max(created_at) FROM f0 WHERE created_at < TIMESTAMP '1999-01-01')""",
          _FACT_NOID)
 register("load_watermark", """
-SELECT max(created_at) AS last_load_ts FROM f0 WHERE created_at < TIMESTAMP '1999-01-01'""", _FACT_NOID)
+SELECT max(created_at) AS last_load_ts, max(total_amount) AS last_amount FROM f0""", _FACT_NOID)
 register("load_dim_customers", "SELECT * FROM clean_customers", _CLEAN_CUSTOMERS)
 register("load_dim_products", "SELECT * FROM dim_products")
 register("load_fact_append", "SELECT * FROM f0", _FACT_NOID)
+register("load_star_schema", """
+SELECT 'dim_customers' AS table_name, count(*) AS row_count, 0 AS without_time FROM dim_customers
+UNION ALL SELECT 'dim_products', count(*), 0 FROM dim_products UNION ALL SELECT 'fact_sales', count(*), 0 FROM fact
+UNION ALL SELECT 'dim_date', 0, 0""")
+register("agg_generic_sorted", """
+SELECT customer_id, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS quantity_sum FROM orders_feed WHERE customer_id IS NOT NULL GROUP BY customer_id""")
+register("bi_all_marts", """
+SELECT 'stats' AS mart, 3 AS columns, 3 AS row_count UNION ALL SELECT 'sales_summary', 5, 1 UNION ALL SELECT 'customer_summary', 3, 1
+UNION ALL SELECT 'product_summary', 4, 1 UNION ALL SELECT 'top_customers', 6, least(10, count(*)) FROM dim_customers
+UNION ALL SELECT 'top_products', 7, least(10, count(*)) FROM dim_products
+UNION ALL SELECT 'daily_sales', 5, count(DISTINCT CAST(created_at AS DATE)) FROM fact
+UNION ALL SELECT 'category_performance', 5, count(DISTINCT category) FROM dim_products""")
+register("load_append_replay", "SELECT * FROM f0", _FACT_NOID)
 
 register("etl_batch_run", "SELECT * FROM fact")
+register("etl_batch_rerun", "SELECT * FROM fact")
 
 # ---- streaming ----------------------------------------------------------------------
 
@@ -492,7 +507,8 @@ SELECT customer_id, last_order_date, last_order_id, last_order_total FROM (
   FROM orders) WHERE rn = 1""")
 
 # The SQL-text marts return the same rows as the DataFrame marts.
-for _k in ("bi_top_customers", "bi_top_products", "bi_category_performance", "bi_sales_summary"):
+for _k in ("bi_top_customers", "bi_top_products", "bi_category_performance", "bi_sales_summary", "bi_daily_sales", "bi_customer_summary",
+           "bi_product_summary"):
     SQL[f"{_k}_sql"] = SQL[_k]
 
 register("dq_dimensions", """

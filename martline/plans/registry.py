@@ -18,9 +18,9 @@ from martline.operators import clean as _clean
 from martline.operators import joins as _joins
 from martline.operators import quality as _dq
 from martline.operators.ordered import fill_ordered
-from martline.plans.batch_job import JobConfig, run_job
+from martline.plans.batch_job import Inputs, JobConfig, Publishing, run_job
 from martline.plans.marts_sql import run_bi_sql
-from martline.plans.warehouse import Warehouse
+from martline.plans.warehouse import Warehouse, _load_id
 from martline.session import scratch_path
 from martline.sources import files as _files
 from martline.sources.lake import DataLake
@@ -230,21 +230,18 @@ def clean_emails(spark, sf):
 
 
 def events_with_date_text(spark, sf):
-    """Event times rendered as text in a different format per event type
-    ('error' events carry junk), to be parsed back by the date standardizer."""
+    """Event times as text, one notation a column ('error' events carry junk), to be parsed back by the standardizer."""
     e = td.events_source(spark, sf)
-    t = F.col("ts")
-    text = (F.when(F.col("event_type") == "view", F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
-             .when(F.col("event_type") == "click", F.date_format(t, "MM/dd/yyyy"))
-             .when(F.col("event_type") == "signup", F.date_format(t, "dd/MM/yyyy"))
-             .when(F.col("event_type") == "purchase", F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"))
-             .otherwise(F.lit("n/a")))
-    return e.select("event_id", "event_type", text.alias("event_time"))
+    text = lambda pattern: F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.date_format("ts", pattern))
+    return e.select("event_id", "event_type", text("yyyy-MM-dd HH:mm:ss").alias("iso"), text("yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fraction"),
+                    text("yyyy-MM-dd'T'HH:mm:ss'Z'").alias("zulu"), text("MM/dd/yyyy").alias("month_first"), text("dd/MM/yyyy").alias("day_first"),
+                    text("MMM d, yyyy").alias("named"))
 
 
 @query("clean_dates")
 def clean_dates(spark, sf):
-    return _clean.standardize_dates(events_with_date_text(spark, sf), ["event_time", "absent_column"])
+    return _clean.standardize_dates(events_with_date_text(spark, sf),
+                                    ["iso", "fraction", "zulu", "month_first", "day_first", "named", "absent_column"])
 
 
 @query("clean_all")
@@ -345,8 +342,10 @@ def join_left(spark, sf):
 
 @query("join_right")
 def join_right(spark, sf):
-    early = customer_period_revenue(spark, sf, early=True)
-    return _joins.join_data(early, customers(spark, sf), "customer_id", "customer_id", "right")
+    """All order lines against customers: those without an order stay, unmatched."""
+    o = star.add_sales_amounts(orders(spark, sf))
+    all_time = o.groupBy("customer_id").agg(F.sum("total_amount").cast("decimal(18,2)").alias("revenue"), F.count(F.lit(1)).alias("lines"))
+    return _joins.join_data(all_time, customers(spark, sf), "customer_id", "customer_id", "right")
 
 
 @query("join_full")
@@ -455,6 +454,78 @@ def src_scan_report(spark, sf):
                       F.array_join("warnings", "; ").alias("warnings"))
 
 
+def _quoted_products(spark, sf):
+    p = products(spark, sf)
+    return p.select("product_id", F.concat(F.lit('He said "'), "product_name", F.lit('", ok')).alias("product_name"),
+                    F.concat("category", F.lit("\n"), "brand").alias("label"), "price")
+
+
+@query("src_csv_quoted")
+def src_csv_quoted(spark, sf):
+    """Doubled quotes, separators and line breaks inside fields."""
+    path = scratch_path(spark, "products_csv")
+    q = _quoted_products(spark, sf)
+    q.write.option("header", True).option("escape", '"').csv(path)
+    return _files.extract_csv(spark, path, schema=q.schema, multiline=True)
+
+
+@query("src_csv_reordered")
+def src_csv_reordered(spark, sf):
+    """Columns matched by name: the schema has another order than the header, and leaves columns out."""
+    path = scratch_path(spark, "orders_csv")
+    orders(spark, sf).write.option("header", True).csv(path)
+    return _files.extract_csv(spark, path, schema="unit_price DECIMAL(10,2), quantity INT, line_number BIGINT, order_id BIGINT")
+
+
+@query("src_scan_missing")
+def src_scan_missing(spark, sf):
+    """The report of a scan whose schema names a column that the header lacks."""
+    path = scratch_path(spark, "orders_csv")
+    orders(spark, sf).write.option("header", True).csv(path)
+    _, rep = _files.extract_csv_with_validation(spark, path, ["order_id"], schema="order_id BIGINT, coupon_code STRING, quantity INT")
+    return rep.select("rows_extracted", F.array_join("columns_found", ",").alias("columns_found"), "is_valid", F.array_join("errors", "; ").alias("errors"))
+
+
+@query("src_json_odd_keys")
+def src_json_odd_keys(spark, sf):
+    """Keys with a hyphen, a blank and a dot."""
+    c = customers(spark, sf)
+    doc = F.to_json(F.struct(F.col("customer_id").alias("user-id"), F.col("customer_name").alias("first name"),
+                             F.struct(F.col("city").alias("home.city")).alias("the address")))
+    out = _files.extract_json(spark, _write_text(c.select(doc.alias("value")), scratch_path(spark, "odd_jsonl")), lines=True)
+    return out.select(F.col("`user-id`").alias("user_id"), F.col("`first name`").alias("first_name"), F.col("`the address.home.city`").alias("city"))
+
+
+@query("src_json_scalars")
+def src_json_scalars(spark, sf):
+    """Arrays of scalars, one document a city."""
+    docs = customers(spark, sf).groupBy("city").agg(F.collect_list("customer_id").alias("ids")).select(F.to_json("ids").alias("value"))
+    return _files.extract_json(spark, _write_text(docs, scratch_path(spark, "scalars_jsonl")), lines=True)
+
+
+@query("src_json_records")
+def src_json_records(spark, sf):
+    """Documents that wrap their records."""
+    docs = products(spark, sf).select(F.to_json(F.struct(F.array(F.struct("product_id", "brand")).alias("records"))).alias("value"))
+    return _files.extract_json(spark, _write_text(docs, scratch_path(spark, "records_jsonl")), lines=True)
+
+
+@query("src_json_index")
+def src_json_index(spark, sf):
+    """S3d: objects of objects by key."""
+    c = customers(spark, sf)
+    docs = c.select(F.to_json(F.create_map(F.col("customer_id").cast("string"), F.struct("customer_name", "country"))).alias("value"))
+    return _files.extract_json(spark, _write_text(docs, scratch_path(spark, "index_jsonl")), orient="index", lines=True)
+
+
+@query("src_json_object")
+def src_json_object(spark, sf):
+    """S3e and S3f: single objects and empty arrays; the arrays give no rows."""
+    c = customers(spark, sf).select(F.to_json(F.struct("customer_id", F.struct(F.struct("city").alias("home")).alias("at"))).alias("value"))
+    empty = customers(spark, sf).select(F.lit("[]").alias("value"))
+    return _files.extract_json(spark, _write_text(c.unionByName(empty), scratch_path(spark, "object_jsonl")), lines=True)
+
+
 @query("src_json_flatten")
 def src_json_flatten(spark, sf):
     c = customers(spark, sf)
@@ -515,6 +586,32 @@ def sink_lake_roundtrip(spark, sf):
     return lake.latest("raw", "orders", "json", schema=f.schema)
 
 
+@query("sink_lake_csv")
+def sink_lake_csv(spark, sf):
+    """K1/S7 with CSV; an older snapshot of other columns is not looked at."""
+    lake = DataLake(spark, scratch_path(spark, "lake"))
+    q = _quoted_products(spark, sf).drop("label")
+    lake.save_raw(customers(spark, sf), "products", "csv", _dt.datetime(2024, 1, 14, 9, 0, 0))
+    lake.save_raw(q, "products", "csv", _dt.datetime(2024, 1, 15, 9, 0, 0))
+    return lake.latest("raw", "products", "csv", schema=q.schema)
+
+
+@query("load_star_schema")
+def load_star_schema(spark, sf):
+    """K9 and the DDL's default: rows and rows without a load time in each table after loads that leave it out."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.create_star_schema()
+    wh.load_dimension_table(dim_c(spark, sf), "dim_customers", "customer_id")
+    wh.load_dimension_table(dim_p(spark, sf), "dim_products", "product_id")
+    wh.load_fact_table(fact(spark, sf, with_sale_id=True).drop("created_at"), "fact_sales")
+    parts = [wh.read(t).agg(F.count("*").alias("row_count"), F.count_if(F.col("created_at").isNull()).alias("without_time"))
+             .select(F.lit(t).alias("table_name"), "row_count", "without_time") for t in wh.tables()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query("sink_load_modes")
 def sink_load_modes(spark, sf):
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
@@ -572,8 +669,16 @@ def load_incremental(spark, sf):
 
 @query("load_watermark")
 def load_watermark(spark, sf):
-    wh, _ = _fact_warehouse(spark, sf)
-    return wh.read("fact_sales").agg(F.max("created_at").alias("last_load_ts"))
+    """K6 over the whole fact, loaded in two batches: a timestamp and a decimal column, from the audit and by a scan."""
+    wh, f = _fact_warehouse(spark, sf)
+    rest = f.where(~_before("created_at", FACT_CUTOFF))
+    wh.load(rest, "fact_sales", "append")
+    amounts = f.select("quantity", "total_amount")
+    for i, part in enumerate((F.col("quantity") < 25, F.col("quantity") >= 25)):  # all rows, in two loads
+        wh.load(amounts.where(part), "amounts", "append", watermark_column="total_amount", batch_id=f"part {i}")
+    return spark.createDataFrame([(wh.watermark("fact_sales", "created_at"), wh.watermark("amounts", "total_amount"))],
+                                 f"last_load_ts {f.schema['created_at'].dataType.simpleString()}, "
+                                 f"last_amount {f.schema['total_amount'].dataType.simpleString()}")
 
 
 @query("load_dim_customers")
@@ -600,6 +705,22 @@ def load_fact_append(spark, sf):
     return wh.read("fact_sales")
 
 
+@query("load_append_replay")
+def load_append_replay(spark, sf):
+    """K8 replayed: a batch loaded twice, and one whose writer was lost after its files and before its audit row."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    f = fact(spark, sf)
+    early = f.where(_before("created_at", FACT_CUTOFF))
+    late = f.where(~_before("created_at", FACT_CUTOFF))
+    for _ in range(2):
+        wh.load_fact_table(early, "fact_sales", batch_id="early")
+    wh._write(late, "fact_sales", wh.version("fact_sales"), _load_id("late"))  # lost here
+    again = Warehouse(spark, wh.root)
+    for _ in range(2):
+        again.load_fact_table(late, "fact_sales", batch_id="late")
+    return again.read("fact_sales")
+
+
 # ---- X2 batch job -------------------------------------------------------------------
 
 
@@ -616,33 +737,43 @@ def land_sources(spark, sf, base: str) -> dict[str, str]:
     return paths
 
 
-@query("etl_batch_run")
-def etl_batch_run(spark, sf):
+def _job(spark, sf, runs: int):
     base = scratch_path(spark, "job")
     paths = land_sources(spark, sf, base)
-    cfg = JobConfig(orders_path=paths["orders"], customers_path=paths["customers"],
-                    products_path=paths["products"], lake_path=f"{base}/lake",
-                    warehouse_path=f"{base}/warehouse", orders_schema=orders(spark, sf).schema,
-                    json_lines=True)
-    res = run_job(spark, cfg)
-    if not res.success:
-        raise RuntimeError(f"batch job failed: {res.errors}")
-    return Warehouse(spark, cfg.warehouse_path).read("fact_sales")
+    cfg = JobConfig(inputs=Inputs(**paths, orders_schema=orders(spark, sf).schema, json_lines=True),
+                    lake=f"{base}/lake", warehouse=f"{base}/warehouse", publishing=Publishing(dense_ids=True))
+    for _ in range(runs):
+        run_job(spark, cfg)
+    return Warehouse(spark, cfg.warehouse).read("fact_sales")
+
+
+@query("etl_batch_run")
+def etl_batch_run(spark, sf):
+    return _job(spark, sf, 1)
+
+
+@query("etl_batch_rerun")
+def etl_batch_rerun(spark, sf):
+    """The job run twice on the same files: the second run adds nothing."""
+    return _job(spark, sf, 2)
 
 
 # ---- streaming ----------------------------------------------------------------------
 
 
+#: Rows of a landed file at most, so that even small tables come in several micro-batches.
+LANDED_ROWS = 20_000
+
+
 @query("stream_daily_sales")
 def stream_daily_sales(spark, sf):
+    """Files landed newest day first, a few a batch, so every batch but the first is late."""
     base = scratch_path(spark, "stream_daily")
     src = fact(spark, sf).select("created_at", "quantity", "total_amount")
-    src.write.parquet(f"{base}/in")
+    src.orderBy(F.desc("created_at")).write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
-    _stream.daily_sales_stream(spark, f"{base}/in", src.schema, wh, "daily_sales", f"{base}/checkpoint")
-    out = wh.read("daily_sales")
-    return out.select("window_start", "window_end", "order_count", "total_quantity",
-                      F.col("total_revenue").cast("double").alias("total_revenue"))
+    _stream.daily_sales_stream(spark, f"{base}/in", src.schema, wh, "daily_sales", f"{base}/checkpoint", max_files_per_trigger=1, compact_every=3)
+    return _stream.daily_sales(wh, "daily_sales").withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 
 @query("stream_customer_activity")
@@ -651,15 +782,15 @@ def stream_customer_activity(spark, sf):
     o = td.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"), F.col("o_totalprice").alias("order_total"))
-    o.repartition(4).write.parquet(f"{base}/in")  # several files -> several micro-batches
+    o.orderBy(F.xxhash64("order_id")).write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")  # customers in every file
     wh = Warehouse(spark, f"{base}/warehouse")
+    newer = ["last_order_date", "last_order_id"]
     _stream.latest_per_key_stream(
-        spark, f"{base}/in", o.schema, wh, "customer_activity", f"{base}/checkpoint",
-        key=["customer_id"], event_id=["order_id"], event_time="order_date",
+        spark, f"{base}/in", o.schema, wh, "customer_activity", f"{base}/checkpoint", key=["customer_id"],
         columns=["customer_id", F.col("order_date").alias("last_order_date"),
                  F.col("order_id").alias("last_order_id"), F.col("order_total").alias("last_order_total")],
-        newer_by=["last_order_date", "last_order_id"], max_files_per_trigger=1)
-    return wh.read("customer_activity")
+        newer_by=newer, max_files_per_trigger=1)
+    return _stream.latest_rows(wh, "customer_activity", ["customer_id"], newer)
 
 
 # ---- S8: SQL text with bound parameters ---------------------------------------------
@@ -684,6 +815,37 @@ def bi_category_performance_sql(spark, sf):
     return run_bi_sql(spark, "category_performance", _star_views(spark, sf))
 
 
+@query("bi_daily_sales_sql")
+def bi_daily_sales_sql(spark, sf):
+    return run_bi_sql(spark, "daily_sales", _star_views(spark, sf))
+
+
+@query("bi_customer_summary_sql")
+def bi_customer_summary_sql(spark, sf):
+    return run_bi_sql(spark, "customer_summary", _star_views(spark, sf))
+
+
+@query("bi_product_summary_sql")
+def bi_product_summary_sql(spark, sf):
+    return run_bi_sql(spark, "product_summary", _star_views(spark, sf))
+
+
+@query("bi_all_marts")
+def bi_all_marts(spark, sf):
+    """A10: every mart from one set of star tables: columns and rows of each."""
+    out = None
+    for name, df in marts.all_marts(_star_views(spark, sf)).items():
+        one = df.select(F.lit(name).alias("mart"), F.lit(len(df.columns)).alias("columns")).groupBy("mart", "columns").agg(F.count("*").alias("row_count"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("agg_generic_sorted")
+def agg_generic_sorted(spark, sf):
+    """A1 with its groups in the order of the keys (T5)."""
+    return _agg.aggregate_data(feed(spark, sf), ["customer_id"], {"quantity": ["sum"]}, sort=True)
+
+
 @query("bi_sales_summary_sql")
 def bi_sales_summary_sql(spark, sf):
     return run_bi_sql(spark, "sales_summary", _star_views(spark, sf))
@@ -699,9 +861,14 @@ def dq_dimensions(spark, sf):
 
 @query("load_upsert_bucketed")
 def load_upsert_bucketed(spark, sf):
-    """K4 on a key-bucketed dimension: only the buckets holding batch keys are rewritten."""
+    """K4 on a key-bucketed dimension: only the buckets holding batch keys are written; created by a
+    replace, filled by an append, then upserted."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
-    wh.create_bucketed(_products_sold_before(spark, sf), "dim_products", ["product_id"], 16)
+    before = _products_sold_before(spark, sf)
+    cheap = F.col("price") < 1000
+    wh.create_bucketed(dim_p(spark, sf), "dim_products", ["product_id"], 16)
+    wh.load(before.where(cheap), "dim_products", "replace")
+    wh.load(before.where(~cheap), "dim_products", "append")
     wh.upsert(_price_observations(spark, sf), "dim_products", ["product_id"],
               order_by=["order_date", "order_id", "line_number", "supplier_id"])
     return wh.read("dim_products")
@@ -712,7 +879,7 @@ def stream_fact_append(spark, sf):
     """Fact rows landed as several files, appended micro-batch by micro-batch."""
     base = scratch_path(spark, "stream_fact")
     f = fact(spark, sf)
-    f.repartition(4).write.parquet(f"{base}/in")
+    f.write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
     _stream.append_stream(spark, f"{base}/in", f.schema, wh, "fact_sales", f"{base}/checkpoint",
                           watermark_column="created_at", max_files_per_trigger=1)

@@ -1,21 +1,28 @@
 """Star-schema warehouse on versioned parquet directories (K3-K11, §2.14 audit).
 
-``<root>/<table>/v=<n>/`` holds version n of a table. Appends add files to the
-current version; replace and upsert write version n+1 (copy-on-write: Spark
-refuses MERGE on parquet tables and overwriting a path it is reading), and
-every load appends one row to ``<root>/_audit`` (table, version, operation,
-rows, loaded_at): the load-audit / lineage table, and the pointer to the
-current version. Row counts come from ``Observation`` on the write itself.
+``<root>/<table>/v=<n>/load=<id>/`` holds one load of version n. A load becomes visible by its
+audit row: readers take only the load folders that the audit names, so a load that broke off is never seen
+and its replay (same id) overwrites what it left. An append adds a load to the current version;
+replace and upsert write the only load of version n+1. A table may be cut into hash buckets of its
+keys; its upserts write a load with the touched buckets only, which takes the place of these buckets
+in earlier loads.
+
+``<root>/_audit`` has one row a load (table, version, operation, load, rows, watermark, ...), numbered in
+sequence by the writer (one writer at a time); every ``COMPACT``-th row all rows are written together, so a reader
+opens one folder and at most that many small files. Row counts and watermarks come from ``Observation``
+on the write itself.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
 import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,35 +45,20 @@ STAR_DDL = {
 # Drop order respects the foreign keys (fact first).
 DROP_ORDER = ["fact_sales", "dim_date", "dim_products", "dim_customers"]
 
+#: Column that takes the time of loading when a load leaves it out.
+LOADED_AT = "created_at"
+
 AUDIT_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
-    T.StructField("operation", T.StringType()), T.StructField("rows", T.LongType()),
+    T.StructField("seq", T.LongType()), T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
+    T.StructField("operation", T.StringType()), T.StructField("load", T.StringType()), T.StructField("rows", T.LongType()),
     T.StructField("loaded_at", T.TimestampType()), T.StructField("layout", T.StringType()),
-    T.StructField("watermark_column", T.StringType()), T.StructField("watermark", T.StringType()),
+    T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("watermark_column", T.StringType()),
+    T.StructField("watermark", T.StringType()), T.StructField("watermark_type", T.StringType()),
     T.StructField("batch_id", T.StringType())])
-REWRITES = ("create", "replace", "upsert")
-
-
-def _encode(v) -> str | None:
-    if v is None:
-        return None
-    if isinstance(v, (dt.datetime, dt.date)):
-        return "t:" + v.isoformat()
-    if isinstance(v, (int, float)):
-        return f"n:{v!r}"
-    return "s:" + str(v)
-
-
-def _decode(s: str | None):
-    if s is None:
-        return None
-    kind, _, text = s.partition(":")
-    if kind == "t":
-        return dt.datetime.fromisoformat(text) if "T" in text or " " in text else dt.date.fromisoformat(text)
-    if kind == "n":
-        return float(text) if any(c in text for c in ".eE") else int(text)
-    return text
+#: Audit rows after which all are written together.
+COMPACT = 50
 
+LOAD = "__load"
 BUCKET = "__bucket"
 
 
@@ -75,15 +67,23 @@ def bucket_of(keys: Sequence[str], buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _load_id(batch_id: str | None = None) -> str:
+    """Folder name of a load (never only digits, so a reader takes it for text)."""
+    return "l" + (uuid.uuid4().hex if batch_id is None else hashlib.sha256(batch_id.encode()).hexdigest()[:32])
+
+
 def create_table_sql(table: str, location: str) -> str:
-    """K9 as catalog DDL (for sessions that keep a metastore)."""
-    return f"CREATE TABLE IF NOT EXISTS {table} ({STAR_DDL[table]}) USING parquet LOCATION '{location}'"
+    """K9 as catalog DDL (for sessions that keep a metastore), with the default load time."""
+    columns = re.sub(rf"({LOADED_AT} TIMESTAMP)\b(?!_)", r"\1 DEFAULT CURRENT_TIMESTAMP", STAR_DDL[table])
+    columns = re.sub(rf"({LOADED_AT} TIMESTAMP_NTZ)", r"\1 DEFAULT LOCALTIMESTAMP", columns)
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{location}'"
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str] | None = None,
                  order_by: Sequence[str] | None = None,
-                 only_if_newer: Sequence[str] | None = None) -> DataFrame:
+                 only_if_newer: Sequence[str] | None = None,
+                 insert_defaults: dict[str, Column] | None = None) -> DataFrame:
     """K4 as a pure DataFrame: new keys inserted, existing keys get the batch
     values of ``update_columns`` (default: every non-key batch column), other
     target columns keep their value. Duplicate keys in the batch: the last in
@@ -91,7 +91,8 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     Without ``order_by`` duplicates resolve to the greatest row (deterministic).
     All columns being keys gives insert-if-absent. ``only_if_newer`` (columns
     stored in both) updates an existing key only when the batch row is not
-    older - what a stream needs when a late micro-batch carries old rows."""
+    older - what a stream needs when a late micro-batch carries old rows.
+    ``insert_defaults`` gives inserted rows a value in columns that the batch lacks."""
     keys = list(keys)
     order = list(order_by or [])
     data_cols = [c for c in batch.columns if c not in order or c in target.columns]
@@ -123,6 +124,8 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
             out.append(F.when(take_b, F.col(f"__b.{c}")).otherwise(F.col(c)).alias(c))
         elif c in vals:
             out.append(F.when(F.col("__in_t"), F.col(c)).otherwise(F.col(f"__b.{c}")).alias(c))
+        elif c in (insert_defaults or {}):
+            out.append(F.when(F.col("__in_t"), F.col(c)).otherwise(insert_defaults[c]).alias(c))
         else:
             out.append(F.col(c))
     return j.select(out)
@@ -139,262 +142,278 @@ def incremental_rows(df: DataFrame, timestamp_column: str, last_load_timestamp)
     return df.where(F.col(timestamp_column) > F.lit(last_load_timestamp))
 
 
-_MISSING = object()
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        # An empty append creates the audit folder, so reading it never fails.
-        self.spark.createDataFrame([], AUDIT_SCHEMA).write.mode("append").parquet(self._audit_path())
-        self._versions: dict[str, int | None] | None = None
-        self._highest: dict[str, int] = {}
-        self._layouts: dict[str, str] = {}
-
-    # ---- versions and audit ----------------------------------------------------
-    def _audit_path(self) -> str:
-        return f"{self.root}/_audit"
+        self._rows: list | None = None  # audit rows since each table's last rewrite, and the last of dropped ones
+        self._seq = 0
+        self.last_metrics: dict = {}
+
+    # ---- audit -----------------------------------------------------------------
+    def _audit_base(self) -> tuple[int, list[str]]:
+        """Number of the newest collected audit folder, and the audit folders that matter."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_audit")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        done = [n for n in names if n.startswith("base=") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_audit/{n}/_SUCCESS"))]
+        base = max((int(n[5:]) for n in done), default=0)
+        return base, [f"{self.root}/_audit/{n}" for n in (f"base={base}", f"after={base}") if n in names]
 
     def audit(self) -> DataFrame:
-        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path())
-
-    def _record(self, table: str, version: int, operation: str, rows: int, layout: str | None = None,
-                watermark_column: str | None = None, watermark=None, batch_id: str | None = None) -> None:
-        layout = layout if layout is not None else self._layouts.get(table)
-        row = [(table, version, operation, rows, dt.datetime.now(), layout, watermark_column,
-                _encode(watermark), batch_id)]
-        self.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self._audit_path())
-        if self._versions is not None:
-            self._versions[table] = None if operation == "drop" else version
-            self._highest[table] = max(version, self._highest.get(table, -1))
-        if layout:
-            self._layouts[table] = layout
+        """All audit rows, one a load; a row that was written twice (a retried driver) counts once."""
+        _, paths = self._audit_base()
+        if not paths:
+            return self.spark.createDataFrame([], AUDIT_SCHEMA)
+        return self.spark.read.schema(AUDIT_SCHEMA).parquet(*paths).dropDuplicates(["seq"])
+
+    def _record(self, table: str, version: int, operation: str, rows: int, load: str | None = None, layout: str | None = None,
+                buckets: Sequence[int] | None = None, watermark_column: str | None = None, watermark: str | None = None,
+                watermark_type: str | None = None, batch_id: str | None = None) -> None:
+        self._state()
+        base, _ = self._audit_base()
+        self._seq += 1
+        row = Row(*AUDIT_SCHEMA.names)(self._seq, table, version, operation, load, rows, dt.datetime.now(dt.timezone.utc), layout,
+                                         None if buckets is None else list(buckets), watermark_column, watermark, watermark_type, batch_id)
+        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_audit/after={base}")
+        self._rows.append(row)
+        if self._seq - base >= COMPACT:
+            self.audit().coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_audit/base={self._seq}")
 
     def refresh(self) -> None:
-        """Re-read the current versions from the audit (one small aggregate over it)."""
-        a = self.audit()
-        cur = a.groupBy("table_name").agg(
-            F.max_by(F.struct("operation", "version"), F.struct("loaded_at", "version")).alias("last"),
-            F.max("version").alias("top"),
-            F.max_by("layout", F.when(F.col("layout").isNotNull(), F.col("loaded_at"))).alias("layout")).collect()
-        self._versions = {r.table_name: (None if r["last"]["operation"] == "drop" else r["last"]["version"])
-                          for r in cur}
-        self._highest = {r.table_name: r["top"] for r in cur}
-        self._layouts = {r.table_name: r["layout"] for r in cur if r["layout"] is not None}
+        """Read the audit again."""
+        self._rows = None
+
+    def _state(self) -> list:
+        """Audit rows from each table's last rewrite on (one per live load), in sequence."""
+        if self._rows is None:
+            a = self.audit()
+            last = a.where(F.col("operation").isin("create", "replace", "rewrite", "drop")).groupBy("table_name").agg(F.max("seq").alias("from"))
+            self._rows = a.join(last, "table_name").where("seq >= from").select(*AUDIT_SCHEMA.names).orderBy("seq").collect()
+            self._seq = a.agg(F.max("seq")).first()[0] or 0
+        return self._rows
+
+    def _chain(self, table: str) -> list:
+        """Rows of a table since its last rewrite; none if it doesn't exist."""
+        rows = [r for r in self._state() if r.table_name == table]
+        start = max((i for i, r in enumerate(rows) if r.operation in ("create", "replace", "rewrite", "drop")), default=0)
+        rows = rows[start:]
+        return [] if not rows or rows[0].operation == "drop" else rows
 
     def _next_version(self, table: str) -> int:
         """Versions only grow, also across drop and re-create (old folders are never reused)."""
-        if self._versions is None:
-            self.refresh()
-        return self._highest.get(table, -1) + 1
+        return max((r.version for r in self._state() if r.table_name == table), default=-1) + 1
 
     def version(self, table: str) -> int | None:
-        """Current version of ``table`` (one small audit read per instance, then cached)."""
-        if self._versions is None:
-            self.refresh()
-        return self._versions.get(table)
+        """Current version of ``table``, None if it doesn't exist."""
+        chain = self._chain(table)
+        return chain[-1].version if chain else None
 
     def exists(self, table: str) -> bool:
-        return self.version(table) is not None
+        return bool(self._chain(table))
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version:06d}"
 
-    def read(self, table: str) -> DataFrame:
-        v = self.version(table)
-        if v is None:
-            raise ValueError(f"table {table} not found in warehouse {self.root}")
-        if self._is_bucketed(table):
-            return self.spark.read.parquet(self._bucketed_path(table)).drop(BUCKET)
-        return self.spark.read.parquet(self.path(table, v))
-
-    # ---- bucketed tables: upserts rewrite only the touched key buckets ---------------
-    def _is_bucketed(self, table: str) -> bool:
-        if self._versions is None:
-            self.refresh()
-        return (self._layouts.get(table) or "").startswith("bucketed:")
-
-    def _bucketed_path(self, table: str) -> str:
-        return f"{self.root}/{table}/bucketed"
-
-    def _layout(self, table: str) -> tuple[list[str], int]:
-        _, n, keys = self._layouts[table].split(":", 2)
+    def _layout(self, table: str) -> tuple[list[str], int] | None:
+        """(keys, number of buckets) of a bucketed table."""
+        chain = self._chain(table)
+        if not chain or not chain[0].layout:
+            return None
+        _, n, keys = chain[0].layout.split(":", 2)
         return keys.split(","), int(n)
 
-    def create_bucketed(self, df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> dict:
-        """Create ``table`` hash-partitioned into ``buckets`` folders on ``keys``
-        (choose ``buckets`` so one folder holds ~128-512 MB)."""
-        if self.exists(table):
-            raise ValueError(f"table {table} already exists")
-        layout = f"bucketed:{buckets}:{','.join(keys)}"
-        obs = Observation(f"create_{table}_{buckets}")
-        (df.withColumn(BUCKET, bucket_of(keys, buckets)).observe(obs, F.count(F.lit(1)).alias("rows"))
-           .write.mode("errorifexists").partitionBy(BUCKET).parquet(self._bucketed_path(table)))
-        rows = int(obs.get["rows"])
-        self._record(table, self._next_version(table), "create", rows, layout)
-        return {"rows_loaded": rows, "status": "success", "table": table}
-
-    def _bucketed_upsert(self, df: DataFrame, table: str, update_columns, order_by, only_if_newer) -> dict:
-        from martline.session import scratch_path
-        keys, n = self._layout(table)
-        bucket = bucket_of(keys, n)
-        # the touched buckets: at most ``n`` small ints back to the driver
-        touched = sorted(r[0] for r in df.select(bucket.alias("b")).distinct().collect())
-        path = self._bucketed_path(table)
-        current = self.spark.read.parquet(path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        merged = merge_upsert(current, df, keys, update_columns, order_by, only_if_newer) \
-            .withColumn(BUCKET, bucket)
-        # Stage in the shared checkpoint folder: Spark does not overwrite a path it reads.
-        stage = scratch_path(self.spark, f"stage_{table}")
-        obs = Observation(f"upsert_{table}_{stage[-12:]}")
-        merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.partitionBy(BUCKET).parquet(stage)
-        (self.spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(path))
-        rows = int(obs.get["rows"])
-        self._record(table, self._next_version(table), "upsert", rows)
-        return {"rows_upserted": rows, "status": "success", "table": table, "buckets_rewritten": len(touched)}
-
-    def _write(self, df: DataFrame, table: str, version: int, mode: str, operation: str,
-               watermark_column: str | None = None, batch_id: str | None = None,
-               partition_by: Sequence[str] | None = None, record_empty: bool = True,
-               extra_metrics: Sequence = ()) -> int:
-        """Write and audit; the row count (and the high-watermark of
-        ``watermark_column``) are observed on the write itself - no extra job."""
-        obs = Observation(f"load_{table}_{version}_{operation}_{dt.datetime.now().timestamp()}")
-        metrics = [F.count(F.lit(1)).alias("rows"), *extra_metrics]
-        wm_col = watermark_column if watermark_column and watermark_column in df.columns else None
-        if wm_col:
-            metrics.append(F.max(F.col(wm_col)).alias("wm"))
-        w = df.observe(obs, *metrics).write.mode(mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(table, version))
-        got = obs.get
-        self.last_metrics = got
-        rows = int(got["rows"])
+    def read(self, table: str, only_buckets: Sequence[int] | None = None) -> DataFrame:
+        """The table's live rows: of its named loads, and of a bucketed table the newest write of each bucket
+        with what was appended since. Folders are pruned by these conditions."""
+        chain = self._chain(table)
+        if not chain:
+            raise ValueError(f"table {table} not found in warehouse {self.root}")
+        layout = self._layout(table)
+        folders = [f"{self.path(table, r.version)}/{LOAD}={r.load}" for r in chain]
+        df = self.spark.read.option("basePath", self.path(table, chain[0].version)).parquet(*folders)
+        if not layout:
+            return df.drop(LOAD)
+        keep, replaced = F.lit(False), set()
+        for r in reversed(chain):
+            live = [b for b in range(layout[1]) if b not in replaced and (only_buckets is None or b in only_buckets)]
+            keep = keep | ((F.col(LOAD) == r.load) & F.col(BUCKET).isin(live))
+            replaced |= set(r.buckets or ())  # of an upsert: it holds all live rows of these buckets
+        return df.where(keep).drop(BUCKET, LOAD)
+
+    # ---- writing --------------------------------------------------------------------
+    def _publish(self, df: DataFrame, table: str, version: int, operation: str, watermark_column: str | None = None,
+                 batch_id: str | None = None, partition_by: Sequence[str] | None = None, layout: str | None = None,
+                 buckets: Sequence[int] | None = None, record_empty: bool = True, extra_metrics: Sequence = ()) -> int:
+        """Write one load folder, then name it in the audit. A batch's folder is called after the batch, so a
+        replay replaces what an earlier attempt wrote. Rows and watermark are observed on the write."""
+        load = _load_id(batch_id)
+        rows = self._write(df, table, version, load, watermark_column, partition_by, layout, extra_metrics)
+        wm_col = watermark_column if watermark_column in df.columns else None
         if rows or record_empty:
-            self._record(table, version, operation, rows, watermark_column=wm_col,
-                         watermark=got.get("wm") if wm_col else None, batch_id=batch_id)
+            self._record(table, version, operation, rows, load, layout, buckets, wm_col, self.last_metrics.get("wm"),
+                         df.schema[wm_col].dataType.simpleString() if wm_col else None, batch_id)
         return rows
 
+    def _write(self, df: DataFrame, table: str, version: int, load: str, watermark_column: str | None = None,
+               partition_by: Sequence[str] | None = None, layout: str | None = None, extra_metrics: Sequence = ()) -> int:
+        obs = Observation(f"load_{table}_{load}_{uuid.uuid4().hex[:8]}")
+        metrics = [F.count(F.lit(1)).alias("rows"), *extra_metrics]
+        if watermark_column and watermark_column in df.columns:
+            metrics.append(F.max(F.col(watermark_column)).cast("string").alias("wm"))
+        folders = list(partition_by or [])
+        if layout:
+            _, n, keys = layout.split(":", 2)
+            df, folders = df.withColumn(BUCKET, bucket_of(keys.split(","), int(n))), [BUCKET, *folders]
+        w = df.observe(obs, *metrics).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (w.partitionBy(*folders) if folders else w).parquet(f"{self.path(table, version)}/{LOAD}={load}")
+        self.last_metrics = obs.get
+        return int(self.last_metrics["rows"])
+
+    def _with_load_time(self, df: DataFrame, table: str) -> DataFrame:
+        """The DDL's default: a load into a star table that leaves the load time out gets the time of loading."""
+        return df.withColumn(LOADED_AT, self._defaults(table)[LOADED_AT]) if LOADED_AT not in df.columns and self._defaults(table) else df
+
+    def _defaults(self, table: str) -> dict[str, Column]:
+        if table not in STAR_DDL or not self.exists(table):
+            return {}
+        field = next((f for f in self.read(table).schema if f.name == LOADED_AT), None)
+        return {LOADED_AT: F.current_timestamp().cast(field.dataType)} if field else {}
+
     # ---- DDL ------------------------------------------------------------------------
     def create_star_schema(self) -> list[str]:
-        """K9: create the four tables empty (version 0) if absent."""
+        """K9: create the four tables empty if absent."""
         made = []
         for t, ddl in STAR_DDL.items():
             if not self.exists(t):
                 # parquet files carry STRING; VARCHAR(n) lengths are checked by type_bounds
                 ddl_types = re.sub(r"VARCHAR\(\d+\)", "STRING", ddl.replace(" NOT NULL", ""))
-                schema = T.DataType.fromDDL(ddl_types)
-                self._write(self.spark.createDataFrame([], schema), t, self._next_version(t),
-                            "overwrite", "create")
+                self._publish(self.spark.createDataFrame([], T.DataType.fromDDL(ddl_types)), t, self._next_version(t), "create")
                 made.append(t)
         return made
 
     def drop_star_schema(self) -> None:
         """Drop in foreign-key order (the audit keeps the history)."""
         for t in DROP_ORDER:
-            v = self.version(t)
-            if v is not None:
-                self._record(t, v, "drop", 0)
+            if self.exists(t):
+                self._record(t, self.version(t), "drop", 0)
+
+    def create_bucketed(self, df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> dict:
+        """Create ``table`` hash-partitioned into ``buckets`` folders on ``keys``
+        (choose ``buckets`` so one folder holds ~128-512 MB)."""
+        if self.exists(table):
+            raise ValueError(f"table {table} already exists")
+        rows = self._publish(df, table, self._next_version(table), "create", layout=f"bucketed:{buckets}:{','.join(keys)}")
+        return {"rows_loaded": rows, "status": "success", "table": table}
 
     # ---- loads --------------------------------------------------------------------------
     def load(self, df: DataFrame, table: str, if_exists: str = "append", watermark_column: str | None = None,
              batch_id: str | None = None, partition_by: Sequence[str] | None = None) -> dict:
-        """K3: fail / replace / append; an empty frame is skipped. ``batch_id``
-        makes a load idempotent (a batch already in the audit is not loaded again),
+        """K3: fail / replace / append; an empty frame is skipped. ``batch_id`` makes a load replay-safe: a batch that the
+        audit names is not loaded again, one that broke off before is written over.
         ``watermark_column`` records the load's high-watermark for K6,
         ``partition_by`` writes Hive-style partition folders (e.g. a date key) for pruning."""
         if if_exists not in ("fail", "replace", "append"):
             raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
         if batch_id is not None and self.has_batch(table, batch_id):
             return {"rows_loaded": 0, "status": "duplicate_batch"}
-        v = self.version(table)
-        if v is not None and if_exists == "fail":
+        exists = self.exists(table)
+        if exists and if_exists == "fail":
             raise ValueError(f"table {table} already exists")
-        # One pass: write, then look at the observed count. A new version folder is
-        # not referenced until its audit row exists, so it is written with overwrite
-        # (this also clears what a failed attempt left) and an empty one is not recorded.
-        kw = {"watermark_column": watermark_column, "batch_id": batch_id, "partition_by": partition_by,
-              "record_empty": False}
-        if v is None:
-            rows = self._write(df, table, self._next_version(table), "overwrite", "create", **kw)
-        elif if_exists == "replace":
-            rows = self._write(df, table, self._next_version(table), "overwrite", "replace", **kw)
+        # One pass: write, then look at the observed count; an empty load is not named in the audit.
+        kw = {"watermark_column": watermark_column, "batch_id": batch_id, "partition_by": partition_by, "record_empty": False,
+              "layout": self._chain(table)[0].layout if exists else None}
+        df = self._with_load_time(df, table)
+        if exists and if_exists == "append":
+            rows = self._publish(df, table, self.version(table), "append", **kw)
         else:
-            rows = self._write(df, table, v, "append", "append", **kw)
+            rows = self._publish(df, table, self._next_version(table), "replace" if exists else "create", **kw)
         if rows == 0:
             return {"rows_loaded": 0, "status": "skipped"}
         return {"rows_loaded": rows, "status": "success", "table": table}
 
     def has_batch(self, table: str, batch_id: str) -> bool:
-        return self.audit().where((F.col("table_name") == table) & (F.col("batch_id") == batch_id)) \
-                   .limit(1).count() > 0
+        """Whether the audit names the batch since the table's last rewrite; earlier ones are looked up in the audit."""
+        if any(r.batch_id == batch_id for r in self._chain(table)):
+            return True
+        return not self.audit().where((F.col("table_name") == table) & (F.col("batch_id") == batch_id)).isEmpty()
 
     def upsert(self, df: DataFrame, table: str, conflict_columns: Sequence[str],
                update_columns: Sequence[str] | None = None, order_by: Sequence[str] | None = None,
                only_if_newer: Sequence[str] | None = None) -> dict:
-        """K4: merge into a new version (copy-on-write), then repoint via the audit."""
-        if df.isEmpty():
-            return {"rows_upserted": 0, "status": "skipped"}
-        v = self.version(table)
-        if v is not None and self._is_bucketed(table):
-            return self._bucketed_upsert(df, table, update_columns, order_by, only_if_newer)
-        if v is None:  # first load: the deduplicated batch becomes the table
-            empty = df.limit(0).select(*[c for c in df.columns if c not in (order_by or []) or c in conflict_columns
-                                         or c in (only_if_newer or [])])
-            merged = merge_upsert(empty, df, conflict_columns, update_columns, order_by, only_if_newer)
-            rows = self._write(merged, table, self._next_version(table), "overwrite", "create")
-            return {"rows_upserted": rows, "status": "success", "table": table}
-        merged = merge_upsert(self.read(table), df, conflict_columns, update_columns, order_by, only_if_newer)
-        rows = self._write(merged, table, self._next_version(table), "overwrite", "upsert")
+        """K4: merge and publish. Without buckets the merged table is a new version; with buckets on the
+        conflict columns only the touched buckets are written, as a load that replaces them. The batch is read once: its
+        rows are counted while it is merged, and an empty batch is not published."""
+        seen = Observation(f"upsert_{table}_{uuid.uuid4().hex[:8]}")
+        order, newer = list(order_by or []), list(only_if_newer or [])
+        layout = self._layout(table)
+        if not self.exists(table):  # first load: the deduplicated batch becomes the table
+            empty = df.limit(0).select(*[c for c in df.columns if c not in order or c in conflict_columns or c in newer])
+            rows = self._publish(merge_upsert(empty, df, conflict_columns, update_columns, order_by, only_if_newer), table,
+                                 self._next_version(table), "create", record_empty=False)
+            return {"rows_upserted": rows, "status": "success", "table": table} if rows else {"rows_upserted": 0, "status": "skipped"}
+        counted, defaults = df.observe(seen, F.count(F.lit(1)).alias("rows")), self._defaults(table)
+        if layout and set(layout[0]) <= set(conflict_columns):
+            keys, n = layout
+            # the touched buckets: at most ``n`` small ints back to the driver
+            touched = sorted(r[0] for r in counted.select(bucket_of(keys, n).alias("b")).distinct().collect())
+            if not touched:
+                return {"rows_upserted": 0, "status": "skipped"}
+            merged = merge_upsert(self.read(table, touched), df, conflict_columns, update_columns, order_by, only_if_newer, defaults)
+            rows = self._publish(merged, table, self.version(table), "upsert", layout=self._chain(table)[0].layout, buckets=touched)
+            return {"rows_upserted": rows, "status": "success", "table": table, "buckets_rewritten": len(touched)}
+        merged = merge_upsert(self.read(table), counted, conflict_columns, update_columns, order_by, only_if_newer, defaults)
+        version, load, kept = self._next_version(table), _load_id(), self._chain(table)[0].layout
+        rows = self._write(merged, table, version, load, layout=kept)
+        if not int(seen.get["rows"]):
+            return {"rows_upserted": 0, "status": "skipped"}  # the written folder is named nowhere
+        self._record(table, version, "rewrite", rows, load, kept)
         return {"rows_upserted": rows, "status": "success", "table": table}
 
+    def loads(self, table: str) -> int:
+        """Loads that readers of the table put together."""
+        return len(self._chain(table))
+
+    def compact(self, df: DataFrame, table: str) -> None:
+        """Replace the table's loads by one with the rows of ``df``, which are what its readers make of the loads."""
+        loads = self.loads(table)
+        rows = self._publish(df, table, self._next_version(table), "rewrite", layout=self._chain(table)[0].layout)
+        log.info("compacted %s: %d loads to %d rows", table, loads, rows)
+
     def watermark(self, table: str, timestamp_column: str):
-        """K6: MAX(ts) of the target; any failure (no table, no column) -> None.
-
-        Answered from the audit when every load since the last rewrite recorded
-        the column's high-watermark (bounded by the number of loads, not rows);
-        otherwise one scan of the column."""
-        try:
-            recorded = self._recorded_watermark(table, timestamp_column)
-            if recorded is not _MISSING:
-                return recorded
-            return self.read(table).agg(F.max(timestamp_column)).first()[0]
-        except Exception:  # noqa: BLE001 - mirrors the reference: unknown -> no watermark
-            return None
+        """K6: MAX(ts) of the target; None if there is no such table. A column that the table lacks is an error.
 
-    def _recorded_watermark(self, table: str, column: str):
-        if self.version(table) is None or self._is_bucketed(table):
-            return _MISSING
-        a = self.audit().where(F.col("table_name") == table)
-        last = a.where(F.col("operation").isin(*REWRITES)).agg(F.max("loaded_at")).first()[0]
-        if last is None:
-            return _MISSING
-        chain = a.where(F.col("loaded_at") >= F.lit(last)).select("operation", "watermark_column", "watermark") \
-                 .collect()  # one row per load since the last rewrite
-        if not chain or any(r.watermark_column != column for r in chain if r.operation != "drop"):
-            return _MISSING
-        values = [_decode(r.watermark) for r in chain if r.watermark is not None]
-        return max(values) if values else None
+        Answered from the audit when every load since the last rewrite recorded the column's high-watermark (a bounded
+        number of rows, compared in the column's own type); otherwise one scan of the column."""
+        chain = self._chain(table)
+        if not chain:
+            return None
+        if all(r.watermark_column == timestamp_column for r in chain) and len({r.watermark_type for r in chain}) == 1:
+            typed = self.spark.createDataFrame([(r.watermark,) for r in chain], "w string")
+            return typed.agg(F.max(F.col("w").cast(chain[0].watermark_type))).first()[0]
+        df = self.read(table)
+        if timestamp_column not in df.columns:
+            raise ValueError(f"table {table} has no column {timestamp_column!r}")
+        return df.agg(F.max(timestamp_column)).first()[0]
 
     def incremental_load(self, df: DataFrame, table: str, timestamp_column: str = "created_at",
-                         last_load_timestamp=None) -> dict:
+                         last_load_timestamp=None, batch_id: str | None = None) -> dict:
         """K5: append only rows newer than the watermark (strict). One pass: the
         input and the new rows are both counted while the new rows are written."""
-        wm = last_load_timestamp if last_load_timestamp is not None else self.watermark(table, timestamp_column)
-        seen = Observation(f"incr_{table}_{dt.datetime.now().timestamp()}")
+        wm = last_load_timestamp
+        if wm is None and timestamp_column in df.columns:
+            wm = self.watermark(table, timestamp_column)
+        seen = Observation(f"incr_{table}_{uuid.uuid4().hex[:8]}")
         tagged = df.observe(seen, F.count(F.lit(1)).alias("rows_in"))
         res = self.load(incremental_rows(tagged, timestamp_column, wm), table, "append",
-                        watermark_column=timestamp_column)
-        if res["status"] == "success":
+                        watermark_column=timestamp_column, batch_id=batch_id)
+        if res["status"] in ("success", "duplicate_batch"):
             return res
         return {"rows_loaded": 0, "status": "skipped" if int(seen.get["rows_in"]) == 0 else "no_new_data"}
 
     def load_dimension_table(self, df: DataFrame, table: str, key_column: str, buckets: int | None = None) -> dict:
         """K7: type-1 dimension load = upsert on the key. With ``buckets``, a new
-        dimension is created key-bucketed so later upserts rewrite touched buckets only."""
+        dimension is created key-bucketed so later upserts write touched buckets only."""
         if buckets and not self.exists(table):
             first = merge_upsert(df.limit(0), df, [key_column])
             return self.create_bucketed(first, table, [key_column], buckets)
@@ -407,9 +426,7 @@ class Warehouse:
                          partition_by=partition_by)
 
     def tables(self) -> list[str]:
-        if self._versions is None:
-            self.refresh()
-        return sorted(t for t, v in self._versions.items() if v is not None)
+        return sorted({r.table_name for r in self._state() if self.exists(r.table_name)})
 
     def table_stats(self) -> DataFrame:
         """Row counts of every live table, sorted by name, with the total."""

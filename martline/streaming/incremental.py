@@ -1,23 +1,17 @@
 """Streaming incremental loads (the reference's "streaming" run mode).
 
-A file source replaces "SELECT MAX(ts)": the stream's offset log in the
-checkpoint records what was read, so a rerun reads only new files. Each
-micro-batch is merged into the warehouse with ``foreachBatch``; the merge is
-idempotent for a given batch, so a retried epoch does not double count.
-``trigger(availableNow=True)`` processes what is there and stops (a scheduled
-incremental job); drop it for a continuous job.
-
-* ``daily_sales_stream``   watermarked tumbling 1-day windows, update mode,
-                           upserted by window start (state older than the
-                           watermark is finalized and dropped).
-* ``latest_per_key_stream`` stateless: each micro-batch is reduced to the
-                           newest row per key and merged with a "newer only"
-                           guard, so redelivered or late events are harmless
-                           (idempotent) and nothing is dropped as late.
-                           ``dedupe_watermark`` optionally adds
-                           ``dropDuplicatesWithinWatermark`` for sources whose
-                           event time is ordered (it drops rows behind the
-                           watermark, by design of watermarks).
+A file source replaces "SELECT MAX(ts)": the stream's offset log in the checkpoint records what was read, so
+a rerun reads only new files. Every micro-batch is reduced and appended to the warehouse as a load that carries the
+batch's number (``foreachBatch``): a replayed batch is not loaded twice, and a load costs what the batch
+holds, not what the table holds. Nothing waits for a watermark and nothing is dropped as late; how
+files are dealt to batches can't change a result. ``trigger(availableNow=True)`` processes what is there and stops
+(a scheduled incremental job); without it the job is continuous.
+
+* ``daily_sales_stream``    a day's sums of each batch; ``daily_sales`` adds them up.
+* ``latest_per_key_stream`` a batch's newest row per key; ``latest_rows`` takes the newest of them.
+* ``append_stream``         the batch's rows.
+
+After ``compact_every`` batches the loads of a table are replaced by one with the added up (newest) rows.
 """
 
 from __future__ import annotations
@@ -31,13 +25,6 @@ from pyspark.sql import types as T
 from martline.plans.warehouse import Warehouse
 
 
-def _event_time(df: DataFrame, column: str) -> tuple[DataFrame, bool]:
-    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ event time is converted in a
-    helper column (wall clock kept under the session zone) and restored on output."""
-    ntz = isinstance(df.schema[column].dataType, T.TimestampNTZType)
-    return df.withColumn("__event_time", F.col(column).cast("timestamp")), ntz
-
-
 def _source(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None) -> DataFrame:
     r = spark.readStream.schema(schema)
     if max_files:
@@ -45,67 +32,74 @@ def _source(spark: SparkSession, path: str, schema: T.StructType, max_files: int
     return r.parquet(path)
 
 
-def daily_sales_stream(spark: SparkSession, source_path: str, schema: T.StructType, warehouse: Warehouse,
-                       table: str, checkpoint: str, date_column: str = "created_at",
-                       watermark: str = "1 day", max_files_per_trigger: int | None = None,
-                       available_now: bool = True):
-    events, ntz = _event_time(_source(spark, source_path, schema, max_files_per_trigger), date_column)
-    agg = (events.withWatermark("__event_time", watermark)
-                 .groupBy(F.window("__event_time", "1 day").alias("w"))
-                 .agg(F.count(F.lit(1)).alias("order_count"),
-                      F.sum("quantity").alias("total_quantity"),
-                      F.sum("total_amount").alias("total_revenue")))
-    bound = (lambda c: F.col(c).cast("timestamp_ntz")) if ntz else F.col
-    out = agg.select(bound("w.start").alias("window_start"), bound("w.end").alias("window_end"),
-                     "order_count", "total_quantity", "total_revenue")
-
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        warehouse.upsert(batch, table, ["window_start"])
-
-    w = out.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
+def _run(events: DataFrame, checkpoint: str, available_now: bool, batch):  # noqa: ANN001, ANN202
+    w = events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w).start()
     if available_now:
         q.awaitTermination()
     return q
 
 
+def _append(warehouse: Warehouse, df: DataFrame, table: str, batch_id: str, readable, compact_every: int) -> None:  # noqa: ANN001
+    warehouse.load(df, table, "append", batch_id=batch_id)
+    if warehouse.exists(table) and warehouse.loads(table) >= compact_every:
+        warehouse.compact(readable(), table)
+
+
+def daily_sales_stream(spark: SparkSession, source_path: str, schema: T.StructType, warehouse: Warehouse,
+                       table: str, checkpoint: str, date_column: str = "created_at",
+                       max_files_per_trigger: int | None = None, available_now: bool = True, compact_every: int = 32):
+    """Tumbling one-day windows: order lines, quantity and revenue. Read them with ``daily_sales``."""
+    kind = schema[date_column].dataType
+
+    def batch(rows: DataFrame, number: int) -> None:
+        start = F.date_trunc("day", F.col(date_column)).cast(kind)
+        parts = (rows.where(F.col(date_column).isNotNull()).groupBy(start.alias("window_start"))
+                 .agg(F.count(F.lit(1)).alias("order_count"), F.sum("quantity").alias("total_quantity"), F.sum("total_amount").alias("total_revenue")))
+        _append(warehouse, parts, table, f"{checkpoint}#{number}",
+                lambda: daily_sales(warehouse, table).drop("window_end"), compact_every)
+
+    return _run(_source(spark, source_path, schema, max_files_per_trigger), checkpoint, available_now, batch)
+
+
+def daily_sales(warehouse: Warehouse, table: str) -> DataFrame:
+    """window_start, window_end, order_count, total_quantity, total_revenue of all batches so far."""
+    parts = warehouse.read(table)
+    same = lambda c: F.sum(c).cast(parts.schema[c].dataType).alias(c)
+    out = parts.groupBy("window_start").agg(same("order_count"), same("total_quantity"), same("total_revenue"))
+    end = (F.col("window_start") + F.expr("INTERVAL 1 DAY")).cast(parts.schema["window_start"].dataType)
+    return out.select("window_start", end.alias("window_end"), "order_count", "total_quantity", "total_revenue")
+
+
 def latest_per_key_stream(spark: SparkSession, source_path: str, schema: T.StructType, warehouse: Warehouse,
-                          table: str, checkpoint: str, key: Sequence[str], event_id: Sequence[str],
-                          event_time: str, columns: Sequence[str], newer_by: Sequence[str],
-                          dedupe_watermark: str | None = None, max_files_per_trigger: int | None = None,
-                          available_now: bool = True):
-    """Keep, per ``key``, the row with the greatest ``newer_by`` (stored columns)."""
-    events = _source(spark, source_path, schema, max_files_per_trigger)
-    if dedupe_watermark:
-        events, _ = _event_time(events, event_time)
-        events = events.withWatermark("__event_time", dedupe_watermark) \
-                       .dropDuplicatesWithinWatermark(list(event_id))
-    rows = events.select(*columns)
-
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        warehouse.upsert(batch, table, list(key), order_by=list(newer_by), only_if_newer=list(newer_by))
-
-    w = rows.writeStream.outputMode("append").foreachBatch(merge).option("checkpointLocation", checkpoint)
-    q = (w.trigger(availableNow=True) if available_now else w).start()
-    if available_now:
-        q.awaitTermination()
-    return q
+                          table: str, checkpoint: str, key: Sequence[str], columns: Sequence[str], newer_by: Sequence[str],
+                          max_files_per_trigger: int | None = None, available_now: bool = True, compact_every: int = 32):
+    """Keep, per ``key``, the row with the greatest ``newer_by`` (stored columns). Read it with ``latest_rows``. Events that
+    are late or sent again change nothing."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        _append(warehouse, _newest(rows.select(*columns), key, newer_by), table, f"{checkpoint}#{number}",
+                lambda: latest_rows(warehouse, table, key, newer_by), compact_every)
+
+    return _run(_source(spark, source_path, schema, max_files_per_trigger), checkpoint, available_now, batch)
+
+
+def _newest(df: DataFrame, key: Sequence[str], newer_by: Sequence[str]) -> DataFrame:
+    names = df.columns
+    rest = [c for c in names if c not in key]
+    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*newer_by)).alias("__row")).select(*key, "__row.*").select(*names)
+
+
+def latest_rows(warehouse: Warehouse, table: str, key: Sequence[str], newer_by: Sequence[str]) -> DataFrame:
+    return _newest(warehouse.read(table), key, newer_by)
 
 
 def append_stream(spark: SparkSession, source_path: str, schema: T.StructType, warehouse: Warehouse,
                   table: str, checkpoint: str, watermark_column: str | None = None,
                   max_files_per_trigger: int | None = None, available_now: bool = True):
-    """K5/K8 as a stream: the file source's offset log replaces "SELECT MAX(ts)",
-    and each micro-batch is appended exactly once - the epoch id is stored in the
-    load audit, so a replayed epoch (after a failure) is skipped."""
-    events = _source(spark, source_path, schema, max_files_per_trigger)
+    """K5/K8 as a stream: each micro-batch is one load, named after its number."""
 
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        warehouse.load(batch, table, "append", watermark_column=watermark_column,
-                       batch_id=f"{checkpoint}#{epoch_id}")
+    def batch(rows: DataFrame, number: int) -> None:
+        warehouse.load(rows, table, "append", watermark_column=watermark_column, batch_id=f"{checkpoint}#{number}")
 
-    w = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    q = (w.trigger(availableNow=True) if available_now else w).start()
-    if available_now:
-        q.awaitTermination()
-    return q
+    return _run(_source(spark, source_path, schema, max_files_per_trigger), checkpoint, available_now, batch)

@@ -1,9 +1,11 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from martline.plans.warehouse import Warehouse, incremental_rows, merge_upsert
+from martline.plans import warehouse
+from martline.plans.warehouse import Warehouse, _load_id, create_table_sql, incremental_rows, merge_upsert
 from tests.helpers import rows, tmpdir
 
 SCHEMA = "id INT, name STRING, price DOUBLE"
@@ -97,20 +99,81 @@ def test_bucketed_upsert_rewrites_touched_buckets_only(spark):
     assert "__bucket" not in wh.read("dim").columns
     wh.upsert(batch, "dim", ["id"])
     assert wh.read("dim").count() == 201          # idempotent
+    wh.load(spark.createDataFrame([(900, "app", 1.0)], "id BIGINT, name STRING, price DOUBLE"), "dim", "append")
+    assert wh.read("dim").count() == 202          # append and replace keep to the layout
+    wh.upsert(spark.createDataFrame([(900, "app2", 2.0)], "id BIGINT, name STRING, price DOUBLE"), "dim", ["id"])
+    out = {r.id: r.name for r in Warehouse(spark, wh.root).read("dim").collect()}
+    assert len(out) == 202 and out[900] == "app2" and out[500] == "new"
+    wh.load(base.limit(3), "dim", "replace")
+    assert wh.read("dim").count() == 3 and wh._layout("dim") == (["id"], 16)
+    wh._record("dim", wh.version("dim"), "drop", 0)
+    wh.create_bucketed(base, "dim", ["id"], 4)    # a dropped table can be made again
+    assert wh.read("dim").count() == 200
 
 
-def test_recorded_watermark_and_idempotent_batches(spark):
+def test_recorded_watermark_and_replayed_batches(spark):
     wh = Warehouse(spark, tmpdir())
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 3))],
                                "id INT, created_at TIMESTAMP_NTZ")
     wh.load(df, "f", "append", watermark_column="created_at", batch_id="s#0")
     assert wh.load(df, "f", "append", watermark_column="created_at", batch_id="s#0")["status"] == "duplicate_batch"
     more = spark.createDataFrame([(3, dt.datetime(2024, 1, 9))], df.schema)
+    wh._write(more, "f", wh.version("f"), _load_id("s#1"))          # lost between files and audit row
+    assert wh.read("f").count() == 2 and Warehouse(spark, wh.root).read("f").count() == 2
     wh.load(more, "f", "append", watermark_column="created_at", batch_id="s#1")
-    assert wh._recorded_watermark("f", "created_at") == dt.datetime(2024, 1, 9)   # from the audit
-    assert wh.watermark("f", "created_at") == wh.read("f").agg(F.max("created_at")).first()[0]
+    assert all(r.watermark_column == "created_at" for r in wh._chain("f"))          # answered from the audit
+    assert wh.watermark("f", "created_at") == wh.read("f").agg(F.max("created_at")).first()[0] == dt.datetime(2024, 1, 9)
     assert wh.read("f").count() == 3
-    wh.load(more, "f", "append")                                  # an unrecorded load -> scan fallback
-    from martline.plans.warehouse import _MISSING
-    assert wh._recorded_watermark("f", "created_at") is _MISSING
+    wh.load(more, "f", "append")                                  # an unrecorded load -> scan
     assert wh.watermark("f", "created_at") == dt.datetime(2024, 1, 9)
+    with pytest.raises(ValueError):
+        wh.watermark("f", "no_such_column")
+
+
+@pytest.mark.parametrize("kind,values,top", [("DECIMAL(10,2)", ["9.00", "10.00", "-3.50"], "10.00"), ("STRING", ["b", "a10", "a9"], "b"),
+                                             ("BIGINT", ["9", "10", None], "10"), ("DATE", ["2024-01-09", "2023-12-31", None], "2024-01-09")])
+def test_watermark_keeps_its_type(spark, kind, values, top):
+    wh = Warehouse(spark, tmpdir())
+    for i, v in enumerate(values):
+        wh.load(spark.createDataFrame([(v,)], "s STRING").select(F.col("s").cast(kind).alias("w")), "t", "append", watermark_column="w", batch_id=str(i))
+    got = wh.watermark("t", "w")
+    assert str(got) == top and got == wh.read("t").agg(F.max("w")).first()[0]
+
+
+def test_audit_is_collected_and_reading_writes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(warehouse, "COMPACT", 4)
+    root = tmpdir()
+    assert Warehouse(spark, root).tables() == [] and not os.path.exists(f"{root}/_audit")
+    wh = Warehouse(spark, root)
+    for i in range(10):
+        wh.load(spark.createDataFrame([(i,)], "i INT"), "t", "append", batch_id=f"b{i}")
+    again = Warehouse(spark, root)
+    assert sorted(r.i for r in again.read("t").collect()) == list(range(10)) and again.audit().count() == 10
+    assert again._audit_base()[0] == 8 and again.has_batch("t", "b3")
+    again.compact(again.read("t"), "t")
+    assert again.loads("t") == 1 and again.has_batch("t", "b3") and Warehouse(spark, root).read("t").count() == 10
+
+
+def test_star_tables_take_the_load_time(spark):
+    wh = Warehouse(spark, tmpdir())
+    wh.create_star_schema()
+    rows_ = spark.createDataFrame([(1, "a"), (2, "b")], "customer_id BIGINT, customer_name STRING")
+    wh.load_dimension_table(rows_, "dim_customers", "customer_id")
+    first = {r.customer_id: r.created_at for r in wh.read("dim_customers").collect()}
+    assert len(first) == 2 and None not in first.values()
+    wh.load_dimension_table(rows_.union(spark.createDataFrame([(3, "c")], rows_.schema)), "dim_customers", "customer_id")
+    then = {r.customer_id: r.created_at for r in wh.read("dim_customers").collect()}
+    assert then[1] == first[1] and then[3] is not None
+    wh.load(spark.createDataFrame([(9, "n")], "product_id BIGINT, product_name STRING"), "dim_products", "append")
+    assert wh.read("dim_products").first().created_at is not None
+    sql = create_table_sql("fact_sales", "/x") + create_table_sql("dim_date", "/x")
+    assert "created_at TIMESTAMP_NTZ DEFAULT LOCALTIMESTAMP" in sql and "created_at TIMESTAMP DEFAULT CURRENT_TIMESTAMP" in sql
+
+
+def test_created_table_fills_the_default(spark):
+    name = "martline_default_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(create_table_sql("dim_products", tmpdir()).replace("dim_products", name))
+    spark.sql(f"INSERT INTO {name} (product_id, product_name) VALUES (1, 'x')")
+    assert spark.table(name).first().created_at is not None
+    spark.sql(f"DROP TABLE {name}")

@@ -2,11 +2,12 @@
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from martline.operators.aggregate import aggregate_daily_sales
 from martline.plans import marts, star
-from martline.plans.batch_job import JobConfig, run_job
+from martline.plans.batch_job import Inputs, JobConfig, Publishing, run_job
 from martline.plans.warehouse import Warehouse
 from martline.sources import files
 from tests import sample_data as S
@@ -58,62 +59,60 @@ def test_marts_golden(spark):
     assert abs(sum(share.values()) - 1.0) < 1e-12
 
 
-def test_batch_job_end_to_end(spark):
+def _job(orders, **options):
     d = tmpdir()
-    cfg = JobConfig(orders_path=write(d, "orders.csv", S.ORDERS_CSV),
-                    customers_path=write(d, "customers.json", S.CUSTOMERS_JSON),
-                    products_path=write(d, "products.json", S.PRODUCTS_JSON),
-                    lake_path=f"{d}/lake", warehouse_path=f"{d}/wh", orders_schema=S.ORDERS_SCHEMA)
+    inputs = Inputs(write(d, "orders.csv", orders), write(d, "customers.json", S.CUSTOMERS_JSON), write(d, "products.json", S.PRODUCTS_JSON),
+                    orders_schema=S.ORDERS_SCHEMA)
+    return JobConfig(inputs=inputs, warehouse=f"{d}/wh", lake=f"{d}/lake", **options)
+
+
+def test_batch_job_end_to_end(spark):
+    cfg = _job(S.ORDERS_CSV)
     res = run_job(spark, cfg)
-    assert res.success, res.errors
-    assert res.statistics["extract"] == {"orders_rows": 10, "customers_rows": 5, "products_rows": 6}
-    assert res.statistics["transform"]["rows"] == 10
-    assert res.statistics["clean"] == {"rows_after_cleaning": 10}
-    assert res.statistics["join"] == {"left_rows": 10, "right_rows": 5, "result_rows": 10, "join_type": "left"}
-    wh = Warehouse(spark, cfg.warehouse_path)
+    assert res.ok and res.names("done") == ["read", "land", "check", "clean", "enrich", "store", "publish"]
+    counted = res.rows()
+    assert [counted[f"land.{t}"] for t in ("orders", "customers", "products")] == [10, 5, 6]
+    assert counted["store.cleaned"] == counted["store.rows"] == counted["publish.fact_sales"] == 10
+    wh = Warehouse(spark, cfg.warehouse)
     assert wh.read("fact_sales").count() == 10
     stats = {r.table_name: r.row_count for r in wh.table_stats().collect()}
     assert stats == {"dim_customers": 5, "dim_products": 6, "dim_date": 5, "fact_sales": 10}
     top = marts.top_customers(wh.read("dim_customers"), wh.read("fact_sales")).first()
     assert (top.customer_id, top.total_revenue) == (102, 204.94)
-    # a second run appends the fact again with new surrogate keys and leaves dims as they were
-    res2 = run_job(spark, cfg)
-    assert res2.success
-    f = wh.read("fact_sales")
+    # the same files again add nothing; another run id does, with new surrogate keys
+    again = run_job(spark, cfg)
+    assert again.ok and again.run_id == res.run_id
+    assert Warehouse(spark, cfg.warehouse).read("fact_sales").count() == 10
+    cfg.run_id = "another"
+    assert run_job(spark, cfg).ok
+    f = Warehouse(spark, cfg.warehouse).read("fact_sales")
     assert f.count() == 20 and f.agg(F.countDistinct("sale_id")).first()[0] == 20
-    assert wh.read("dim_customers").count() == 5
+    assert Warehouse(spark, cfg.warehouse).read("dim_customers").count() == 5
 
 
 def test_batch_job_validation_gate(spark):
-    d = tmpdir()
     bad = S.ORDERS_CSV.replace("1,101,201,2024-01-15,2,", "1,101,201,2024-01-15,0,")
-    cfg = JobConfig(orders_path=write(d, "orders.csv", bad),
-                    customers_path=write(d, "customers.json", S.CUSTOMERS_JSON),
-                    products_path=write(d, "products.json", S.PRODUCTS_JSON),
-                    lake_path=f"{d}/lake", warehouse_path=f"{d}/wh", orders_schema=S.ORDERS_SCHEMA,
-                    continue_on_error=True)
-    res = run_job(spark, cfg)
-    assert "Data validation failed" in res.errors
-    assert "validate" in res.steps_failed
-    assert res.success  # continue_on_error lets the later steps run
+    with pytest.raises(ValueError, match=r"business_rule\(quantity\)"):
+        run_job(spark, _job(bad))
+    res = run_job(spark, _job(bad, go_on=True))
+    assert res.names("failed") == ["check"] and res.ok       # the later stages ran
+    gone = _job(S.ORDERS_CSV, go_on=True, run_id="x")
+    gone.inputs.orders += ".gone"
+    res = run_job(spark, gone)
+    assert not res.ok and res.names("failed") == ["read"] and "not found" in res.stages[0].error
 
 
 def test_batch_job_scale_layouts(spark):
-    d = tmpdir()
-    cfg = JobConfig(orders_path=write(d, "orders.csv", S.ORDERS_CSV),
-                    customers_path=write(d, "customers.json", S.CUSTOMERS_JSON),
-                    products_path=write(d, "products.json", S.PRODUCTS_JSON),
-                    lake_path=f"{d}/lake", warehouse_path=f"{d}/wh", orders_schema=S.ORDERS_SCHEMA,
-                    dim_buckets=4, fact_partition_by=["date_id"])
-    assert run_job(spark, cfg).success
-    assert run_job(spark, cfg).success          # second run: bucketed dims upsert in place
-    wh = Warehouse(spark, cfg.warehouse_path)
-    assert wh.read("dim_customers").count() == 5 and wh._is_bucketed("dim_customers")
+    cfg = _job(S.ORDERS_CSV, publishing=Publishing(dimension_buckets=4, partition_by=["date_id"]))
+    assert run_job(spark, cfg).ok
+    assert run_job(spark, cfg).ok          # second run: bucketed dims upsert in place
+    wh = Warehouse(spark, cfg.warehouse)
+    assert wh.read("dim_customers").count() == 5 and wh._layout("dim_customers") == (["customer_id"], 4)
     f = wh.read("fact_sales")
-    assert f.count() == 20 and "date_id" in f.columns
-    assert f.where("date_id = 20240115").count() == 4
+    assert f.count() == 10 and "date_id" in f.columns
+    assert f.where("date_id = 20240115").count() == 2
     top = marts.top_customers(wh.read("dim_customers"), f).first()
-    assert (top.customer_id, top.total_revenue) == (102, 409.88)
+    assert (top.customer_id, top.total_revenue) == (102, 204.94)
 
 
 def test_sparse_surrogate_ids_are_unique_and_ordered(spark):
@@ -126,17 +125,10 @@ def test_sparse_surrogate_ids_are_unique_and_ordered(spark):
     assert [r.total_amount for r in dense] == [r.total_amount for r in sparse]   # same order
 
 
-def test_validation_report_in_statistics_and_lake(spark):
-    d = tmpdir()
-    bad = S.ORDERS_CSV.replace("1,101,201,2024-01-15,2,", "1,101,201,2024-01-15,0,")
-    cfg = JobConfig(orders_path=write(d, "orders.csv", bad),
-                    customers_path=write(d, "customers.json", S.CUSTOMERS_JSON),
-                    products_path=write(d, "products.json", S.PRODUCTS_JSON),
-                    lake_path=f"{d}/lake", warehouse_path=f"{d}/wh", orders_schema=S.ORDERS_SCHEMA,
-                    continue_on_error=True, load_to_warehouse=False)
+def test_validation_report_in_the_lake(spark):
+    cfg = _job(S.ORDERS_CSV.replace("1,101,201,2024-01-15,2,", "1,101,201,2024-01-15,0,"), go_on=True, publishing=None)
     res = run_job(spark, cfg)
-    v = res.statistics["validation"]
-    assert not v["is_valid"] and v["failed_checks"] == ["business_rule:quantity"]
+    assert res.as_dict()["failed_checks"] == ["business_rule:quantity"]
     from martline.sources.lake import DataLake
-    saved = DataLake(spark, cfg.lake_path).latest("processed", "validation_report")
+    saved = DataLake(spark, cfg.lake).latest("processed", "validation_report")
     assert saved.where("check = 'business_rule' AND column = 'quantity'").first().value == 1.0
