@@ -1,35 +1,55 @@
-"""Date parsing with an explicit, ordered format list (first match wins)."""
+"""Date parsing with one format a column."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Formats tried in order when no format is given. Month-first
-# comes before day-first, as in pandas' default (dayfirst=False).
-DEFAULT_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy",
-    "dd/MM/yyyy",
-    "dd-MM-yyyy",
-    "dd.MM.yyyy",
-    "yyyyMMdd",
-)
-
-
-def parse_timestamp(c: str | Column, fmt: str | None = None,
-                    formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
-    """Text -> TIMESTAMP_NTZ; unparseable text -> NULL (never an error)."""
-    c = F.col(c) if isinstance(c, str) else c
-    tried = [fmt] if fmt else list(formats)
-    s = F.trim(c.cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in tried]) if len(tried) > 1 \
-        else F.try_to_timestamp(s, F.lit(tried[0]))
-    return parsed.cast(T.TimestampNTZType())
+# Formats by name, in the order of preference; month-first comes before day-first, as in
+# pandas' default (dayfirst=False). The forms of a name are alternatives of one notation.
+FORMATS: dict[str, tuple[str, ...]] = {
+    "iso": ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd",
+            "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssXXX",
+            "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+    "yyyy/MM/dd": ("yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss"),
+    "MM/dd/yyyy": ("M/d/yyyy", "M/d/yyyy HH:mm:ss"),
+    "dd/MM/yyyy": ("d/M/yyyy", "d/M/yyyy HH:mm:ss"),
+    "dd-MM-yyyy": ("d-M-yyyy",),
+    "dd.MM.yyyy": ("d.M.yyyy",),
+    "yyyyMMdd": ("yyyyMMdd",),
+    "month name": ("MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy"),
+}
+
+
+def parse_timestamp(c: str | Column, forms: str | Sequence[str]) -> Column:
+    """Text -> TIMESTAMP_NTZ by the first form that fits; other text -> NULL. An offset is counted back to UTC (the session's zone)."""
+    c = F.trim((F.col(c) if isinstance(c, str) else c).cast("string"))
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in ([forms] if isinstance(forms, str) else forms)]).cast(T.TimestampNTZType())
+
+
+def choose_formats(df: DataFrame, columns: Sequence[str], formats: Mapping[str, Sequence[str]] = FORMATS) -> dict[str, str]:
+    """For each text column the first format that parses as many values as any other, from one aggregate over the
+    table. A column in which no single format parses all that some format can parse is an error that names two
+    formats: a mixed column can't be read without guessing at day and month."""
+    names = list(formats)
+    aggs = []
+    for i, c in enumerate(columns):
+        parsed = [parse_timestamp(F.col("`" + c.replace("`", "``") + "`"), formats[n]).isNotNull() for n in names]
+        some = parsed[0]
+        for p in parsed[1:]:
+            some = some | p
+        aggs += [F.count_if(p).alias(f"n{i}_{k}") for k, p in enumerate(parsed)] + [F.count_if(some).alias(f"n{i}")]
+    counts = df.agg(*aggs).first() if aggs else None
+    out = {}
+    for i, c in enumerate(columns):
+        by = [counts[f"n{i}_{k}"] for k in range(len(names))]
+        best = max(range(len(names)), key=lambda k: (by[k], -k))
+        if by[best] < counts[f"n{i}"]:
+            other = max((k for k in range(len(names)) if k != best), key=lambda k: by[k])
+            raise ValueError(f"column {c!r} mixes date formats: {names[best]!r} parses {by[best]} values, {names[other]!r} {by[other]}, "
+                             f"together {counts[f'n{i}']}; give the format")
+        out[c] = names[best]
+    return out

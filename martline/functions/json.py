@@ -25,6 +25,22 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def ddl(dt: T.DataType) -> str:
+    """Type text with every field name quoted (keys may hold blanks, hyphens, dots)."""
+    if isinstance(dt, T.StructType):
+        return "struct<" + ", ".join(f"{_q(f.name)}: {ddl(f.dataType)}" for f in dt.fields) + ">"
+    if isinstance(dt, T.ArrayType):
+        return f"array<{ddl(dt.elementType)}>"
+    if isinstance(dt, T.MapType):
+        return f"map<{ddl(dt.keyType)}, {ddl(dt.valueType)}>"
+    return dt.simpleString()
+
+
+def path_of(steps: Sequence[str]) -> str:
+    """Variant path of some keys."""
+    return "$" + "".join('["' + s + '"]' if "'" in s else f"['{s}']" for s in steps)
+
+
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Expand every struct column into ``parent<sep>child`` columns, recursively."""
     cols: list[Column] = []
@@ -42,6 +58,8 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 def _doubles_for_decimals(dt: T.DataType) -> T.DataType:
+    if isinstance(dt, T.VariantType):
+        return T.StringType()  # values of mixed types are kept as text, which can be grouped and compared
     if isinstance(dt, T.DecimalType):
         return T.DoubleType()
     if isinstance(dt, T.StructType):
@@ -91,7 +109,7 @@ def typed(df: DataFrame, column: str, alias: str, schema: T.DataType | None = No
     schema = schema or infer_schema(df, column)
     if schema is None:
         return df.drop(column)
-    return df.withColumn(alias, F.variant_get(F.col(column), "$", schema.simpleString())) \
+    return df.withColumn(alias, F.variant_get(F.col(column), "$", ddl(schema))) \
              .drop(*([column] if alias != column else []))
 
 
@@ -108,7 +126,7 @@ def walk_path(v: Column, path: str | None) -> Column:
     if not path:
         return v
     steps = path.split(".")
-    candidates = [F.variant_get(v, "$" + "".join(f"['{s}']" for s in steps[:i]), "variant")
+    candidates = [F.variant_get(v, path_of(steps[:i]), "variant")
                   for i in range(len(steps), 0, -1)]
     return F.coalesce(*candidates, v)
 
@@ -116,7 +134,7 @@ def walk_path(v: Column, path: str | None) -> Column:
 def path_complete(v: Column, path: str | None) -> Column:
     if not path:
         return F.lit(True)
-    return F.variant_get(v, "$" + "".join(f"['{s}']" for s in path.split(".")), "variant").isNotNull()
+    return F.variant_get(v, path_of(path.split(".")), "variant").isNotNull()
 
 
 def rows_of(v: Column, orient: str = "records", allow_scalar: bool = False) -> Column:
@@ -143,6 +161,6 @@ def records_to_frame(df: DataFrame, record: str = "__rec", keep: Sequence[str] =
     if schema is None:
         return df.select(*keep).limit(0) if keep else df.sparkSession.createDataFrame([], T.StructType([]))
     if isinstance(schema, T.StructType):
-        out = df.select(*keep, F.variant_get(F.col(record), "$", schema.simpleString()).alias("__obj"))
+        out = df.select(*keep, F.variant_get(F.col(record), "$", ddl(schema)).alias("__obj"))
         return flatten(out.select(*keep, "__obj.*"))
-    return df.select(*keep, F.variant_get(F.col(record), "$", schema.simpleString()).alias("value"))
+    return df.select(*keep, F.variant_get(F.col(record), "$", ddl(schema)).alias("value"))

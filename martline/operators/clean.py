@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martline.functions.dates import parse_timestamp
+from martline.functions.dates import FORMATS, choose_formats, parse_timestamp
 from martline.functions.text import normalize_email, strip
 from martline.operators.ordered import exact_median, fill_ordered, mode_value
 
@@ -154,17 +154,23 @@ def trim_whitespace(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def standardize_dates(df: DataFrame, date_columns: Sequence[str], format: str | None = None) -> DataFrame:  # noqa: A002
-    """Parse to TIMESTAMP_NTZ with ``format`` or the ordered default list; bad -> NULL.
+    """Parse to TIMESTAMP_NTZ with ``format``, or with one format a column, chosen by an aggregate over the whole
+    table (``dates.choose_formats``; a mixed column is an error); what doesn't parse -> NULL.
     Absent columns are skipped; date/timestamp columns are only cast."""
     repl = {}
-    for c in date_columns:
+    texts = []
+    for c in dict.fromkeys(date_columns):
         if c not in df.columns:
             continue
         dt = df.schema[c].dataType
         if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             repl[c] = F.col(_q(c)).cast(T.TimestampNTZType())
-        else:
+        elif format:
             repl[c] = parse_timestamp(F.col(_q(c)), format)
+        else:
+            texts.append(c)
+    for c, name in choose_formats(df, texts).items():
+        repl[c] = parse_timestamp(F.col(_q(c)), FORMATS[name])
     return df.withColumns(repl) if repl else df
 
 

@@ -77,19 +77,14 @@ def violation(rule: str | Column) -> Column:
 
 # ---- V1 schema -------------------------------------------------------------------
 
-def validate_schema(df: DataFrame, required_columns: Sequence[str],
-                    column_types: Mapping[str, object] | None = None) -> dict:
-    missing = sorted(set(required_columns) - set(df.columns))
-    mismatches = []
-    for c, exp in (column_types or {}).items():
-        if c in df.columns and not type_matches(df.schema[c].dataType, exp):
-            mismatches.append({"column": c, "expected": _family(exp),
-                               "actual": df.schema[c].dataType.simpleString()})
-    errors = ([f"Missing required columns: {missing}"] if missing else []) + [
-        f"Type mismatch in column '{m['column']}': expected {m['expected']}, got {m['actual']}"
-        for m in mismatches]
-    return {"is_valid": not errors, "errors": errors, "warnings": [],
-            "missing_columns": missing, "type_mismatches": mismatches}
+def schema_faults(df: DataFrame, required_columns: Sequence[str],
+                  column_types: Mapping[str, object] | None = None) -> list[tuple[str, str, str]]:
+    """(check, column, what is wrong) for absent required columns, then for columns of another type family."""
+    have = {f.name: f.dataType for f in df.schema}
+    absent = [("schema_missing", c, f"{c} is required and absent") for c in sorted(set(required_columns) - have.keys())]
+    wrong = [("schema_type", c, f"{c} is {have[c].simpleString()}, not {_family(want)}")
+             for c, want in (column_types or {}).items() if c in have and not type_matches(have[c], want)]
+    return absent + wrong
 
 
 def schema_check(df: DataFrame, required_columns: Sequence[str],
@@ -158,7 +153,7 @@ def rule_counts(df: DataFrame, rules: Mapping[str, str | Column]) -> DataFrame:
         else:
             entries.append(F.struct(F.lit(c).alias("column"), F.lit(0).cast("long").alias("violations"),
                                     F.lit(True).alias("passed"),
-                                    F.lit(f"Column '{c}' not found for rule validation").alias("error")))
+                                    F.lit(f"no column {c} for its rule").alias("error")))
     return agg.select(F.inline(F.array(*entries)))
 
 
@@ -205,7 +200,6 @@ def validate_all(df: DataFrame, required_columns: Sequence[str] = DEFAULT_REQUIR
     (warning only), completeness over ``required_columns``, rule violations.
     The overall flag is ``bool_and(passed)`` over rows whose check counts.
     """
-    schema = validate_schema(df, required_columns, column_types)
     cols = df.columns
     req = [c for c in required_columns if c in cols]
     rules = {c: r for c, r in (business_rules or {}).items()}
@@ -222,12 +216,8 @@ def validate_all(df: DataFrame, required_columns: Sequence[str] = DEFAULT_REQUIR
 
     entries = [entry("row_count", None, rows, F.lit(True), False, F.lit(None)),
                entry("column_count", None, F.lit(len(cols)), F.lit(True), False, F.lit(None))]
-    for c in schema["missing_columns"]:
-        entries.append(entry("schema_missing", c, F.lit(None), F.lit(False), True,
-                             F.lit(f"Missing required column: {c}")))
-    for m in schema["type_mismatches"]:
-        entries.append(entry("schema_type", m["column"], F.lit(None), F.lit(False), True,
-                             F.lit(f"expected {m['expected']}, got {m['actual']}")))
+    for check, c, message in schema_faults(df, required_columns, column_types):
+        entries.append(entry(check, c, F.lit(None), F.lit(False), True, F.lit(message)))
     idx = {c: i for i, c in enumerate(cols)}
     for c in cols:
         nulls = rows - F.col(f"__c{idx[c]}")
@@ -246,7 +236,7 @@ def validate_all(df: DataFrame, required_columns: Sequence[str] = DEFAULT_REQUIR
     for c in rules:
         if c not in live:
             entries.append(entry("business_rule", c, F.lit(None), F.lit(True), False,
-                                 F.lit(f"Column '{c}' not found for rule validation")))
+                                 F.lit(f"no column {c} for its rule")))
     return agg.select(F.inline(F.array(*entries)))
 
 
@@ -265,18 +255,23 @@ def pk_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def fk_orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
     """Fact rows whose non-NULL ``fk`` has no ``pk`` in the dimension (NULL FK allowed)."""
-    d = dim.select(F.col(_q(pk)).alias("__pk")).distinct()
+    d = dim.select(F.col(_q(pk)).alias("__pk"))
     return fact.where(F.col(_q(fk)).isNotNull()).join(d, F.col(_q(fk)) == F.col("__pk"), "left_anti")
 
 
 def fk_orphan_counts(fact: DataFrame, checks: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """One row per foreign key: fk_column, orphan_rows."""
-    parts = [fk_orphans(fact, fk, dim, pk).agg(F.count(F.lit(1)).alias("orphan_rows"))
-             .select(F.lit(fk).alias("fk_column"), "orphan_rows") for fk, dim, pk in checks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One row per foreign key: fk_column, orphan_rows. The fact is read once: its keys are unpivoted to
+    (key column, value), counted with map-side combine, and joined to all the dimensions' keys together."""
+    values = F.array(*[F.struct(F.lit(fk).alias("fk_column"), F.col(_q(fk)).cast("string").alias("value")) for fk, _, _ in checks])
+    used = (fact.select(F.explode(values).alias("u")).select("u.*").where("value is not null")
+            .groupBy("fk_column", "value").agg(F.count(F.lit(1)).alias("n")))
+    keys = None
+    for fk, dim, pk in checks:
+        one = dim.select(F.lit(fk).alias("fk_column"), F.col(_q(pk)).cast("string").alias("value"))
+        keys = one if keys is None else keys.unionByName(one)
+    lost = used.join(keys, ["fk_column", "value"], "left_anti").groupBy("fk_column").agg(F.sum("n").alias("n"))
+    names = fact.sparkSession.createDataFrame([(fk,) for fk, _, _ in checks], "fk_column string")
+    return names.join(lost, "fk_column", "left").select("fk_column", F.coalesce("n", F.lit(0)).cast("long").alias("orphan_rows"))
 
 
 def not_null_check(df: DataFrame, not_null: Sequence[str], unique: Sequence[str] = ()) -> DataFrame:

@@ -1,13 +1,15 @@
 """Session construction and shared scratch locations.
 
-Scratch data (lake writes in examples, lineage cuts) always lives under the
-cluster-wide ``spark.checkpoint.dir``; a local default is installed only when
-the setting is absent (tests, laptops).
+Scratch data (lake writes in examples, lineage cuts) lives under the cluster-wide
+``spark.checkpoint.dir``. Where that is not set, a session on a local master (tests, laptops) gets a
+folder of its own, removed when the process ends; on a cluster that is an error.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -46,13 +48,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; set one only if unset."""
+    """The shared checkpoint folder named by the cluster. Only on a local master, where one is not set, a folder of this
+    machine is taken; on a cluster executors couldn't see it, so there the setting is required."""
     root = spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = os.path.join(tempfile.gettempdir(), "martline-checkpoints")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="martline-checkpoints-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(root)
     return (spark.sparkContext.getCheckpointDir() or root).rstrip("/")
 

@@ -42,42 +42,112 @@ def undecodable(df: DataFrame) -> F.Column:
     return cond
 
 
+def csv_header(spark: SparkSession, path: str, encoding: str = "utf-8", delimiter: str = ",", header: bool | int = True, **options) -> list[str]:
+    """Column names of the header line (of the first file); none for files of no bytes."""
+    if header is not True and header != 0:
+        line = _numbered(spark, path, encoding).where(F.col("number") == int(header)).first()
+        return [] if line is None else _parse_header(spark, line.value, delimiter, options)
+    try:
+        return spark.read.options(**_csv_options(encoding, delimiter, True, options)).csv(path).columns
+    except AnalysisException as e:
+        if _not_found(e):
+            raise FileNotFoundError(f"CSV file not found: {path}") from e
+        raise
+
+
+def _csv_options(encoding: str, delimiter: str, header: bool, options: dict) -> dict:
+    return {"header": header, "sep": delimiter, "encoding": encoding, "escape": '"'} | options
+
+
+def _parse_header(spark: SparkSession, line: str, delimiter: str, options: dict) -> list[str]:
+    return spark.read.options(**_csv_options("utf-8", delimiter, True, options)).csv(spark.sparkContext.parallelize([line], 1)).columns
+
+
+def _numbered(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Lines with their number from 0 in their file, but only in each file's first block; -1 in the others.
+
+    A file's blocks are read in order, so the first lines of a file are the first of its block that begins at 0."""
+    def number(batches):  # noqa: ANN001, ANN202
+        count: dict[str, int] = {}
+        for b in batches:
+            n = []
+            for name, start in zip(b["file"], b["start"], strict=True):
+                n.append(count.get(name, 0) if start == 0 else -1)
+                count[name] = count.get(name, 0) + 1
+            yield b.assign(number=n)[["value", "number"]]
+
+    try:
+        lines = spark.read.option("encoding", encoding).text(path)
+    except AnalysisException as e:
+        if _not_found(e):
+            raise FileNotFoundError(f"CSV file not found: {path}") from e
+        raise
+    return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")) \
+        .mapInPandas(number, "value string, number long")
+
+
 def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                encoding: str = "utf-8", delimiter: str = ",", header: bool = True,
+                encoding: str = "utf-8", delimiter: str = ",", header: bool | int = True,
                 null_value: str | None = None, mode: str = "FAILFAST", strict_encoding: bool = False,
-                **options) -> DataFrame:
+                multiline: bool = False, absent: str = "error", **options) -> DataFrame:
     """CSV -> DataFrame. Missing path -> FileNotFoundError; zero-byte file (no
     columns) -> ValueError; header-only -> empty frame with the header's columns.
-    Without ``schema`` the types are inferred (one extra pass; give a schema at scale).
-    ``strict_encoding=True`` makes a row with bytes invalid in ``encoding`` an
+    Without ``schema`` the types are inferred (one extra pass; give a schema at scale). With a schema and a header,
+    columns are matched by name: the result has the schema's columns in its order, whatever the file's order, and
+    columns that the header lacks are an error (or left out with ``absent="skip"``). All files must have the same header.
+    ``header``: True or 0 for the first line, n for the line after n others (which are passed over; fields may then hold no
+    line breaks), False for none. Quotes in quoted fields are doubled; ``multiline`` allows line breaks in
+    them (a file is then one task). ``strict_encoding=True`` makes a row with bytes invalid in ``encoding`` an
     error when evaluated (Spark's decoder otherwise substitutes U+FFFD)."""
-    reader = (spark.read.option("header", header).option("sep", delimiter).option("encoding", encoding)
-                   .option("mode", mode).options(**options))
+    first = header is True or (header is not False and header == 0)
+    names = csv_header(spark, path, encoding, delimiter, header, **options) if header is not False else None
+    if names is not None and not names:
+        raise ValueError(f"CSV file is empty: {path}")
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    as_read = wanted
+    if wanted is not None and names is not None:
+        lacking = [f.name for f in wanted if f.name not in names]
+        if lacking and absent == "error":
+            raise ValueError(f"the header of {path} has no {', '.join(lacking)}")
+        kinds = {f.name: f.dataType for f in wanted}
+        as_read = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+    opts = _csv_options(encoding, delimiter, first, options) | {"mode": mode, "multiLine": multiline}
     if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+        opts["nullValue"] = null_value
+    if as_read is not None:
+        reader = spark.read.schema(as_read).options(**opts, enforceSchema=names is None or not first)
+    else:
+        reader = spark.read.options(**opts, inferSchema=True)
     try:
-        df = reader.csv(path)
+        if names is not None and not first:
+            body = _numbered(spark, path, encoding).where((F.col("number") < 0) | (F.col("number") > int(header))).select("value")
+            df = reader.csv(body.rdd.map(lambda r: r.value)) if as_read is None else body.where("value <> ''").select(
+                F.from_csv("value", J.ddl(as_read)[len("struct<"):-1].replace("`: ", "` "), {k: str(v) for k, v in opts.items() if k not in ("header", "multiLine", "encoding")}).alias("r")).select("r.*")
+            df = df.toDF(*names)
+        else:
+            df = reader.csv(path)
     except AnalysisException as e:
         if _not_found(e):
             raise FileNotFoundError(f"CSV file not found: {path}") from e
         raise
     if not df.columns:
         raise ValueError(f"CSV file is empty: {path}")
+    if wanted is not None and names is not None:
+        df = df.select(*[F.col(J._q(f.name)) for f in wanted if f.name in names])
     if strict_encoding and _string_cols(df):
         bad = undecodable(df)
-        df = df.where(F.when(bad, F.raise_error(F.lit(f"Encoding error reading {path}: bytes invalid in "
-                                                       f"{encoding}; try a different encoding")))
+        df = df.where(F.when(bad, F.raise_error(F.lit(f"{path} holds bytes that are not valid {encoding}")))
                        .otherwise(F.lit(True)))
     return df
 
 
 def scan_report(df: DataFrame, path: str, required_columns: Sequence[str] | None = None,
-                expected_rows: int | None = None) -> DataFrame:
+                expected_rows: int | None = None, available: Sequence[str] | None = None) -> DataFrame:
     """One-row report - rows_extracted (one aggregate), columns_found,
-    is_valid (missing required columns = error), errors, warnings (count mismatch)."""
-    missing = sorted(set(required_columns or []) - set(df.columns))
-    errors = [f"Missing required columns: {missing}"] if missing else []
+    is_valid (missing required columns = error), errors, warnings (count mismatch). ``available``: the file's
+    columns, where ``df`` has only some of them."""
+    missing = sorted(set(required_columns or []) - set(df.columns if available is None else available))
+    errors = [f"no column {c}" for c in missing]
     rows = F.count(F.lit(1))
     warn = (F.when(rows != F.lit(expected_rows),
                    F.array(F.concat(F.lit(f"Expected {expected_rows} rows, got "), rows.cast("string"))))
@@ -97,8 +167,14 @@ def scan_report(df: DataFrame, path: str, required_columns: Sequence[str] | None
 
 def extract_csv_with_validation(spark: SparkSession, path: str, required_columns: Sequence[str] | None = None,
                                 expected_rows: int | None = None, **kwargs) -> tuple[DataFrame, DataFrame]:
-    df = extract_csv(spark, path, **kwargs)
-    return df, scan_report(df, path, required_columns, expected_rows)
+    """The rows and their report; columns of a schema that the header lacks are reported, not read."""
+    schema = kwargs.get("schema")
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    df = extract_csv(spark, path, **({"absent": "skip"} | kwargs))
+    needed = [*(required_columns or []), *(wanted.names if wanted is not None else [])]
+    how = {k: v for k, v in kwargs.items() if k in ("encoding", "delimiter", "header")}
+    names = csv_header(spark, path, **how) if how.get("header", True) is not False else df.columns  # what the file has
+    return df, scan_report(df, path, list(dict.fromkeys(needed)), expected_rows, names)
 
 
 def _documents(spark: SparkSession, path: str, lines: bool, encoding: str) -> DataFrame:
@@ -147,12 +223,12 @@ def extract_json_nested(spark: SparkSession, path: str, record_path: str | Seque
         return J.records_to_frame(tops, "__top")
     steps = [record_path] if isinstance(record_path, str) else list(record_path)
     metas = [[m] if isinstance(m, str) else list(m) for m in (meta or [])]
-    meta_cols = [F.variant_get(F.col("__top"), "$" + "".join(f"['{s}']" for s in m), "variant").alias(f"__m{i}")
+    meta_cols = [F.variant_get(F.col("__top"), J.path_of(m), "variant").alias(f"__m{i}")
                  for i, m in enumerate(metas)]
     cur = tops.select(F.col("__top").alias("__rec"), *meta_cols)
     keep = [f"__m{i}" for i in range(len(metas))]
     for s in steps:
-        arr = F.try_variant_get(F.col("__rec"), f"$['{s}']", "array<variant>")
+        arr = F.try_variant_get(F.col("__rec"), J.path_of([s]), "array<variant>")
         arr = F.when(arr.isNull(), F.raise_error(F.lit(f"record path not found: {s}")).cast("array<variant>")) \
                .otherwise(arr)
         cur = cur.select(F.explode(arr).alias("__rec"), *keep)
@@ -161,7 +237,7 @@ def extract_json_nested(spark: SparkSession, path: str, record_path: str | Seque
         else cur.select(*keep)
     for i, m in enumerate(metas):
         name, dt = ".".join(m), types[f"__m{i}"]
-        out = out.withColumn(name, F.variant_get(F.col(f"__m{i}"), "$", dt.simpleString()) if dt
+        out = out.withColumn(name, F.variant_get(F.col(f"__m{i}"), "$", J.ddl(dt)) if dt
                              else F.lit(None)).drop(f"__m{i}")
     return out
 

@@ -2,8 +2,7 @@
 
 Layout: ``<base>/<zone>/<name>/snapshot_ts=YYYYmmdd_HHMMSS/part-*.<fmt>`` with
 zone ``raw`` or ``processed``. Each save writes one new partition directory
-(no rewrite of older ones); reading the latest snapshot is a partition filter
-(pruned at planning), the newest value found from the file listing.
+(no rewrite of older ones); the latest snapshot is found by folder name and read alone.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMATS = ("parquet", "csv", "json")
@@ -37,7 +35,7 @@ class DataLake:
         path = f"{self._dir(zone, name)}/snapshot_ts={snapshot_label(timestamp)}"
         w = df.write.mode("errorifexists").format(format)
         if format == "csv":
-            w = w.option("header", True)
+            w = w.option("header", True).option("escape", '"')
         w.save(path)
         return path
 
@@ -49,26 +47,32 @@ class DataLake:
         """K2: same layout under the ``processed`` zone."""
         return self._save(df, "processed", name, format, timestamp)
 
-    def snapshots(self, zone: str, name: str, format: str = "parquet",  # noqa: A002
-                  schema: T.StructType | None = None) -> DataFrame:
+    def _reader(self, format: str, schema: T.StructType | None):  # noqa: A002, ANN202
         reader = self.spark.read.format(format)
         if format == "csv":
-            reader = reader.option("header", True)
-        if schema is not None:
-            reader = reader.schema(T.StructType(list(schema.fields) +
-                                                [T.StructField("snapshot_ts", T.StringType())]))
-        return reader.option("basePath", self._dir(zone, name)).load(self._dir(zone, name))
+            reader = reader.option("header", True).option("escape", '"').option("inferSchema", schema is None)
+        return reader if schema is None else reader.schema(schema)
 
-    def latest_label(self, zone: str, name: str, format: str = "parquet") -> str | None:  # noqa: A002
-        files = self.snapshots(zone, name, format).inputFiles()
-        labels = {m.group(1) for f in files for m in [_SNAP.search(f)] if m}
-        return max(labels) if labels else None
+    def snapshots(self, zone: str, name: str, format: str = "parquet",  # noqa: A002
+                  schema: T.StructType | None = None) -> DataFrame:
+        """All snapshots, with their label in ``snapshot_ts``."""
+        if schema is not None:
+            schema = T.StructType([*schema.fields, T.StructField("snapshot_ts", T.StringType())])
+        return self._reader(format, schema).option("basePath", self._dir(zone, name)).load(self._dir(zone, name))
+
+    def latest_label(self, zone: str, name: str) -> str | None:
+        """Newest snapshot by its folder's name; only that folder is listed, no file is opened."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._dir(zone, name))
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return None
+        found = [_SNAP.fullmatch(s.getPath().getName()) for s in fs.listStatus(path)]
+        return max((m.group(1) for m in found if m), default=None)
 
     def latest(self, zone: str, name: str, format: str = "parquet",  # noqa: A002
                schema: T.StructType | None = None) -> DataFrame:
-        """Rows of the newest snapshot only (partition-pruned read)."""
-        label = self.latest_label(zone, name, format)
+        """Rows of the newest snapshot; only its folder is read, also to infer a schema."""
+        label = self.latest_label(zone, name)
         if label is None:
             raise FileNotFoundError(f"no snapshot under {self._dir(zone, name)}")
-        df = self.snapshots(zone, name, format, schema)
-        return df.where(F.col("snapshot_ts") == F.lit(label)).drop("snapshot_ts")
+        return self._reader(format, schema).load(f"{self._dir(zone, name)}/snapshot_ts={label}")

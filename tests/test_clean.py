@@ -89,13 +89,24 @@ def test_trim_and_emails(spark):
 
 
 def test_standardize_dates(spark):
-    df = spark.createDataFrame([(1, "2024-01-15"), (2, "15/01/2024"), (3, "bad"), (4, None),
-                                (5, "2024-01-15 10:30:00"), (6, "01/02/2024")], "id INT, d STRING")
-    out = rows(clean.standardize_dates(df, ["d", "absent"]), "id")
-    assert [r[1] for r in out] == [dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 15), None, None,
-                                   dt.datetime(2024, 1, 15, 10, 30), dt.datetime(2024, 1, 2)]
-    fmt = rows(clean.standardize_dates(df, ["d"], format="dd/MM/yyyy"), "id")
-    assert [r[1] for r in fmt] == [None, dt.datetime(2024, 1, 15), None, None, None, dt.datetime(2024, 2, 1)]
+    """One format a column, chosen over the whole column; what it can't parse is NULL; a mixed column is an error."""
+    iso = ["2024-01-15", "2024-01-15 10:30:00", "2024-01-15T10:30:00.25", "2024-01-15T10:30:00Z", "2024-01-15T12:30:00+02:00", "bad", None]
+    eu = ["25/04/2024", "03/04/2024", "3/4/2024", "1/2/2024 05:06:07", "", None, "bad"]
+    us = ["01/02/2024", "04/03/2024", None, None, None, None, None]
+    named = ["Jan 15, 2024", "February 3, 2024", "15 Jan 2024", None, None, None, None]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(zip(iso, eu, us, named, strict=True))], "id INT, iso STRING, eu STRING, us STRING, named STRING")
+    out = rows(clean.standardize_dates(df, ["iso", "eu", "us", "named", "absent"]), "id")
+    half, d = dt.datetime(2024, 1, 15, 10, 30), dt.datetime
+    assert [r[1] for r in out] == [d(2024, 1, 15), half, half.replace(microsecond=250000), half, half, None, None]
+    assert [r[2] for r in out] == [d(2024, 4, 25), d(2024, 4, 3), d(2024, 4, 3), d(2024, 2, 1, 5, 6, 7), None, None, None]
+    assert [r[3] for r in out][:2] == [d(2024, 1, 2), d(2024, 4, 3)]      # both orders fit: month first
+    assert [r[4] for r in out][:3] == [d(2024, 1, 15), d(2024, 2, 3), d(2024, 1, 15)]
+    fmt = rows(clean.standardize_dates(df, ["eu"], format="dd/MM/yyyy"), "id")
+    assert [r[2] for r in fmt][:3] == [d(2024, 4, 25), d(2024, 4, 3), None]
+    mixed = spark.createDataFrame([("2024-01-15",), ("15/01/2024",), ("bad",)], "m STRING")
+    with pytest.raises(ValueError, match="'iso'.*'dd/MM/yyyy'"):
+        clean.standardize_dates(mixed, ["m"])
+    assert clean.standardize_dates(df.limit(0), ["iso"]).count() == 0
 
 
 def test_clean_all_chain(spark):

@@ -49,7 +49,7 @@ def test_validate_all_report(spark):
     assert dq.report_is_valid(ok)
     missing = dq.validate_all(df.drop("unit_price"), dq.DEFAULT_REQUIRED)
     assert not dq.report_is_valid(missing)
-    assert dq.validate_schema(df, ["order_id"], {"quantity": str})["type_mismatches"][0]["actual"] == "int"
+    assert dq.schema_faults(df, ["order_id"], {"quantity": str})[-1] == ("schema_type", "quantity", "quantity is int, not str")
 
 
 def test_constraints(spark):

@@ -27,6 +27,56 @@ def test_csv_edges(spark):
     assert not r.is_valid and r.rows_extracted == 1 and r.warnings == ["Expected 5 rows, got 1"]
 
 
+def test_csv_matches_columns_by_header(spark):
+    d = tmpdir()
+    p = write(d, "o.csv", "order_id,unit_price,quantity\n1,2.5,7\n")
+    df = files.extract_csv(spark, p, schema="order_id INT, quantity INT, unit_price DOUBLE")
+    assert df.columns == ["order_id", "quantity", "unit_price"] and rows(df) == [(1, 7, 2.5)]
+    with pytest.raises(ValueError, match="coupon"):
+        files.extract_csv(spark, p, schema="order_id INT, coupon STRING")
+    df, rep = files.extract_csv_with_validation(spark, p, ["order_id"], schema="quantity INT, coupon STRING")
+    r = rep.first()
+    assert df.columns == ["quantity"] and not r.is_valid and r.errors == ["no column coupon"]
+    with pytest.raises(ValueError):
+        files.extract_csv(spark, write(d, "zero.csv", ""), schema="a INT")
+    write(d, "two/a.csv".replace("two/", "t_"), "a,b\n1,2\n")
+    write(d, "t_b.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception):
+        files.extract_csv(spark, f"{d}/t_*.csv", schema="a INT, b INT").collect()      # headers differ
+
+
+def test_csv_quotes_and_line_breaks(spark):
+    d = tmpdir()
+    p = write(d, "q.csv", 'a,b,c\n1,"He said ""hi"", ok",2\n2,"x\ny",3\n')
+    assert rows(files.extract_csv(spark, p, schema="a INT, b STRING, c INT", multiline=True), "a") == [(1, 'He said "hi", ok', 2), (2, "x\ny", 3)]
+    assert rows(files.extract_csv(spark, p, multiline=True), "a")[0] == (1, 'He said "hi", ok', 2)
+
+
+def test_csv_header_lines(spark):
+    d = tmpdir()
+    p = write(d, "h.csv", 'made by,x\n\nb,a\n1,"q, ""z"""\n2,w\n')
+    assert rows(files.extract_csv(spark, write(d, "h0.csv", "a,b\n1,2\n"), header=0)) == [(1, 2)]
+    assert rows(files.extract_csv(spark, p, header=2, schema="a STRING, b INT"), "b") == [('q, "z"', 1), ("w", 2)]
+    got = files.extract_csv(spark, p, header=2)
+    assert got.columns == ["b", "a"] and rows(got, "b") == [(1, 'q, "z"'), (2, "w")]
+    none = files.extract_csv(spark, write(d, "n.csv", "1,2\n3,4\n"), header=False, schema="x INT, y INT")
+    assert rows(none, "x") == [(1, 2), (3, 4)]
+    with pytest.raises(ValueError):
+        files.extract_csv(spark, p, header=9)
+
+
+def test_json_keys_that_are_no_identifiers(spark):
+    d = tmpdir()
+    p = write(d, "k.json", """[{"user-id": 1, "first name": "a", "a.b": 2, "it's": {"x y": [1]}, "m": 1}, {"m": "text"}, {"m": {"o": 1}}]""")
+    out = files.extract_json(spark, p)
+    r = out.where("`user-id` = 1").first()
+    assert (r["first name"], r["a.b"], r["it's.x y"], r["m"]) == ("a", 2, [1], "1")
+    assert out.groupBy("m").count().count() == 3                     # mixed types are text, which can be grouped
+    nested = write(d, "n.json", """{"the shop": {"it's": 5}, "line items": [{"unit price": 1.5}]}""")
+    got = files.extract_json_nested(spark, nested, record_path="line items", meta=[["the shop", "it's"]])
+    assert rows(got) == [(1.5, 5)]
+
+
 def test_json_shapes(spark):
     d = tmpdir()
     arr = files.extract_json(spark, write(d, "a.json", '[{"a":1,"b":{"c":2}},{"a":3,"l":[1,2]}]'))
