@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.functions import aggregates as reg
-from martline.operators.ordered import exact_median, grouped_exact_median
+from martline.operators.ordered import exact_medians, grouped_exact_median
 
 
 def aggregate_data(df: DataFrame, group_by: Sequence[str], aggregations: Mapping[str, Sequence[str]],
@@ -48,11 +48,12 @@ def aggregate_data(df: DataFrame, group_by: Sequence[str], aggregations: Mapping
         out = base.select(*keys).distinct()
     else:
         out = base.agg(F.count(F.lit(1)).alias("__rows"))
+    scalars = exact_medians(base, [col for col, _ in medians]) if medians and not keys else {}
     for col, name in medians:
         if keys:
             out = out.join(grouped_exact_median(base, keys, col, name), keys, "left")
         else:  # one group: the median is a scalar, found from global ranks
-            out = out.withColumn(name, F.lit(exact_median(base, col)).cast("double"))
+            out = out.withColumn(name, F.lit(scalars[col]).cast("double"))
     out = out.select(*keys, *names)
     return out.orderBy(*keys) if sort and keys else out
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from martline.functions.dates import FORMATS, choose_formats, parse_timestamp
 from martline.functions.text import normalize_email, strip
-from martline.operators.ordered import exact_median, fill_ordered, mode_value
+from martline.operators.ordered import exact_medians, fill_ordered, mode_values
 
 
 def _q(c: str) -> str:
@@ -108,7 +108,7 @@ def handle_nulls(df: DataFrame, strategy: str = "fill", fill_value: Any = None,
                            for c in num]).first()
             stats = {c: row[c] for c in num}
         else:
-            stats = {c: exact_median(df, c) for c in num}
+            stats = exact_medians(df, num)
         for c in num:
             if stats[c] is not None:
                 values[c] = float(stats[c])
@@ -117,10 +117,7 @@ def handle_nulls(df: DataFrame, strategy: str = "fill", fill_value: Any = None,
         if fill_value is not None:
             values.update({c: fill_value for c in rest})
     elif fill_method == "mode":
-        for c in cols:
-            m = mode_value(df, c)
-            if m is not None:
-                values[c] = m
+        values = {c: m for c, m in mode_values(df, cols).items() if m is not None}
     elif fill_method is not None:
         raise ValueError(f"unknown fill_method {fill_method!r}")
     elif fill_value is not None:

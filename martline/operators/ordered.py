@@ -17,8 +17,8 @@ materialized once with a reliable ``checkpoint()`` into the shared
   exact quantiles) - the DataFrame form of a zip-with-index.
 * ``fill_ordered``       forward / backward fill of NULLs in a per-key order
   (or globally), W1/W2.
-* ``exact_median`` / ``grouped_exact_median``  exact medians from ranks.
-* ``mode_value``          most frequent value, ties -> smallest, via
+* ``exact_medians`` / ``grouped_exact_median``  exact medians from counted values.
+* ``mode_values``          most frequent value, ties -> smallest, via
   aggregates only (partial aggregation absorbs hot values).
 """
 
@@ -26,10 +26,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -97,42 +95,20 @@ def fill_ordered(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
     n = _partitions(df, num_partitions)
     orders = [F.col(o).asc() if direction == "forward" else F.col(o).desc() for o in order_by]
     sort_exprs = [F.col(k).asc_nulls_first() for k in keys] + orders
-    ranged = df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
-
-    out_schema = T.StructType(ranged.schema.fields + [
-        T.StructField("__pid", T.IntegerType(), False),
-        T.StructField("__seq", T.LongType(), False)])
-    key_names, fill_names = list(keys), list(cols)
-
-    def local_fill(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        carry = None
-        seq = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            work = pdf[key_names + fill_names]
-            if carry is not None:
-                work = pd.concat([carry, work], ignore_index=True)
-            filled = work.groupby(key_names, sort=False, dropna=False)[fill_names].ffill()
-            if carry is not None:
-                filled = filled.iloc[1:].reset_index(drop=True)
-            for c in fill_names:
-                pdf[c] = filled[c].values
-            pdf["__pid"] = pid
-            pdf["__seq"] = range(seq, seq + len(pdf))
-            seq += len(pdf)
-            carry = pdf.iloc[[-1]][key_names + fill_names].reset_index(drop=True)
-            yield pdf
-
-    local = _materialize(ranged.mapInPandas(local_fill, out_schema))
-
-    # Per partition: first key, last key, and the last key's filled values.
-    first = F.min_by(F.struct(*[F.col(k) for k in keys]), F.col("__seq"))
-    last = F.max_by(F.struct(*([F.col(k) for k in keys] + [F.col(c) for c in cols])), F.col("__seq"))
-    summary = local.groupBy("__pid").agg(first.alias("__first"), last.alias("__last"))
+    tagged = _materialize(df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
+                          .withColumn("__mono", F.monotonically_increasing_id()).withColumn("__pid", F.shiftright("__mono", 33)))
+
+    # within a partition: a window per key and partition, so a hot key's window is one partition's share of it
+    local_run = Window.partitionBy("__pid", *keys).orderBy("__mono").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.withColumns({c: F.last(F.col(f"`{c}`"), ignorenulls=True).over(local_run) for c in cols})
+
+    # Per partition: first key, last key, and the last key's last values.
+    per_key = tagged.groupBy("__pid", *keys).agg(
+        F.min("__mono").alias("__from"), F.max("__mono").alias("__to"),
+        *[F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col("__mono"))).alias(f"__end_{c}") for c in cols])
+    first = F.min_by(F.struct(*[F.col(k) for k in keys]), F.col("__from"))
+    last = F.max_by(F.struct(*([F.col(k) for k in keys] + [F.col(f"`__end_{c}`").alias(c) for c in cols])), F.col("__to"))
+    summary = per_key.groupBy("__pid").agg(first.alias("__first"), last.alias("__last"))
     by_pid = Window.orderBy("__pid")  # one row per partition: bounded
     run = Window.partitionBy(*[F.col(f"__last.{k}") for k in keys]).orderBy("__pid") \
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -159,42 +135,65 @@ def fill_ordered(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
     return filled.select(*[F.col(f"`{c}`") for c in original])
 
 
+def _medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """(keys, __col, __median) of the non-NULL values, for every group and column (by number) that has any.
+
+    Equal values are counted first (with map-side combine), so only distinct values are ordered: one range shuffle of
+    (keys, column, value, count), a running count within each partition, and one row a partition and group to
+    carry it over the partitions' borders."""
+    keys = list(keys)
+    values = F.array(*[F.struct(F.lit(i).alias("__col"), F.col(f"`{c}`").cast("double").alias("__v")) for i, c in enumerate(columns)])
+    group = [*keys, "__col"]
+    counts = (df.select(*keys, F.explode(values).alias("__x")).select(*keys, "__x.*").where(F.col("__v").isNotNull())
+              .groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__n")))
+    order = [*group, "__v"]
+    tagged = _materialize(counts.repartitionByRange(_partitions(df, num_partitions), *order).withColumn("__pid", F.spark_partition_id()))
+    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    border = tagged.groupBy(*group, "__pid").agg(F.sum("__n").alias("__s")).select(
+        *group, "__pid", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__off"), F.sum("__s").over(Window.partitionBy(*group)).alias("__total"))
+    running = F.sum("__n").over(Window.partitionBy(*group, "__pid").orderBy("__v"))
+    end = F.col("__off") + F.col("__run")
+    holds = lambda place: (end - F.col("__n") < place) & (place <= end)
+    low, high = F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1
+    return (tagged.withColumn("__run", running).join(border, [*group, "__pid"]).groupBy(*group)
+            .agg(((F.sum(F.when(holds(low), F.col("__v"))) + F.sum(F.when(holds(high), F.col("__v")))) / 2).alias("__median")))
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], num_partitions: int | None = None) -> dict[str, float | None]:
+    """Exact medians of several columns in one pass (mean of the two middle values when the count is even); None for
+    no values."""
+    found = {r["__col"]: r["__median"] for r in _medians(df, [], columns, num_partitions).collect()} if columns else {}
+    return {c: found.get(i) for i, c in enumerate(columns)}
+
+
 def exact_median(df: DataFrame, column: str, num_partitions: int | None = None):
-    """Exact median of the non-NULL values (mean of the two middle values when
-    the count is even), computed from global ranks; None for no values."""
-    vals = df.select(F.col(column).alias("__v")).where(F.col("__v").isNotNull())
-    n = vals.count()
-    if n == 0:
-        return None
-    m1, m2 = (n + 1) // 2, n // 2 + 1
-    ranked = global_row_number(vals, [F.col("__v")], "__r", num_partitions)
-    row = ranked.where(F.col("__r").isin(m1, m2)).agg(F.avg(F.col("__v").cast("double"))).first()
-    return row[0]
+    return exact_medians(df, [column], num_partitions)[column]
 
 
 def grouped_exact_median(df: DataFrame, keys: Sequence[str], column: str, alias: str,
                          num_partitions: int | None = None) -> DataFrame:
     """Per-group exact median; groups with NULL keys are dropped, groups
-    without values get NULL. A hot group is ranked across many partitions; the
-    join back to per-group stats is left to AQE skew-join splitting."""
+    without values get NULL. A hot group's distinct values are ordered across many partitions."""
     keys = list(keys)
-    base = df.where(F.lit(True))
-    for k in keys:
-        base = base.where(F.col(k).isNotNull())
-    vals = base.where(F.col(column).isNotNull()).select(*keys, F.col(column).alias("__v"))
-    ranked = global_row_number(vals, [F.col(k) for k in keys] + [F.col("__v")], "__r", num_partitions)
-    stats = ranked.groupBy(*keys).agg(F.min("__r").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    pos = F.col("__r") - F.col("__first") + 1
-    picked = (ranked.join(stats, keys, "inner")
-                    .where((pos == F.floor((F.col("__n") + 1) / 2)) | (pos == F.floor(F.col("__n") / 2) + 1))
-                    .groupBy(*keys).agg(F.avg(F.col("__v").cast("double")).alias(alias)))
-    groups = base.select(*keys).distinct()
-    return groups.join(picked, keys, "left")
+    base = df.dropna(how="any", subset=keys)
+    picked = _medians(base, keys, [column], num_partitions).select(*keys, F.col("__median").alias(alias))
+    return base.select(*keys).distinct().join(picked, keys, "left")
+
+
+def mode_values(df: DataFrame, columns: Sequence[str]) -> dict:
+    """Most frequent non-NULL value of each column, smallest value on ties; None when all NULL. One pass for all columns
+    of a type: values are counted by (column, value)."""
+    out: dict = dict.fromkeys(columns)
+    kinds: dict[str, list[str]] = {}
+    for c in columns:
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for names in kinds.values():
+        values = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").alias("v")) for c in names])
+        counts = df.select(F.explode(values).alias("x")).select("x.*").where("v is not null").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("c").agg(F.min_by("v", F.struct((-F.col("n")).alias("n"), F.col("v"))).alias("v"))
+        out.update({r.c: r.v for r in best.collect()})
+    return out
 
 
 def mode_value(df: DataFrame, column: str):
-    """Most frequent non-NULL value, smallest value on ties; None when all NULL."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    row = counts.agg(F.min_by(F.col(column), F.struct((-F.col("__n")).alias("n"),
-                                                      F.col(column).alias("v")))).first()
-    return None if row is None else row[0]
+    return mode_values(df, [column])[column]

@@ -79,3 +79,12 @@ def test_ffill_property(spark, data):
     got = fill_ordered(df, ["v"], ["t"], ["k"], num_partitions=3).toPandas().sort_values("t")
     exp = pdf.groupby("k")["v"].ffill()
     assert got["v"].fillna(-1).tolist() == exp.fillna(-1).tolist()
+
+
+def test_fill_leaves_other_columns_alone(spark):
+    """NaN stays NaN, and times that pandas can't hold pass through."""
+    df = spark.sql("""SELECT * FROM VALUES (1, 1, 5.0D, double('NaN'), timestamp_ntz'9999-01-01 00:00:00'), (1, 2, CAST(NULL AS DOUBLE), 2.0D, NULL),
+                      (2, 1, NULL, double('NaN'), timestamp_ntz'0001-01-01 00:00:00') AS t(k, o, v, x, ts)""")
+    out = {(r.k, r.o): r for r in fill_ordered(df, ["v"], ["o"], ["k"]).collect()}
+    assert out[1, 2].v == 5.0 and out[2, 1].v is None and out[1, 2].ts is None
+    assert out[1, 1].x != out[1, 1].x and out[2, 1].x != out[2, 1].x and out[1, 1].ts.year == 9999
