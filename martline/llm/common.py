@@ -91,18 +91,23 @@ def discard(spark: SparkSession, df: DataFrame) -> None:
 
 
 def meet(rows: DataFrame, keys: list[str], spread: str, size: int, name: str) -> DataFrame:
-    """Rows of buckets with two rows or more, sorted so that all of a cell stand together: columns part, cell.
+    """Rows sorted so that all of a cell stand together: columns part, cell.
 
     A bucket of up to ``size`` rows is one cell. A larger one is cut by the hash of ``spread`` into parts, and every two
     parts (and each with itself) meet in a cell of their own: all pairs of rows of the bucket are together in some
-    cell, and no task gets more than about 2 * ``size`` rows of it."""
-    parts = written(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    cell, and no task gets more than about 2 * ``size`` rows of it. Only the keys of the large buckets are written and
+    joined back; their table is small or none."""
+    large = written(rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > size)
                     .select(*keys, F.ceil(F.col("n") / size).cast("int").alias("parts")), name)
-    part = F.pmod(F.xxhash64(spread), F.col("parts")).cast("int")
-    cell = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
-                       lambda j: F.least("part", j).cast("long") * F.col("parts") + F.greatest("part", j))
-    return (rows.join(parts, keys).withColumn("part", part).select(*rows.columns, "part", F.explode(cell).alias("cell"))
-            .repartition(*keys, "cell").sortWithinPartitions(*keys, "cell"))
+    if large.isEmpty():
+        cells = rows.withColumns({"part": F.lit(0), "cell": F.lit(0).cast("long")})
+    else:
+        parts = F.coalesce("parts", F.lit(1))
+        cell = F.transform(F.sequence(F.lit(0), parts - 1),
+                           lambda j: F.least("part", j).cast("long") * parts + F.greatest("part", j))
+        cells = (rows.join(large, keys, "left").withColumn("part", F.pmod(F.xxhash64(spread), parts).cast("int"))
+                 .select(*rows.columns, "part", F.explode(cell).alias("cell")))
+    return cells.repartition(*keys, "cell").sortWithinPartitions(*keys, "cell")
 
 
 class Recent(dict):

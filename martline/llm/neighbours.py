@@ -98,7 +98,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     Empty tables and no queries give no rows.
     """
     ship(vectors.sparkSession)
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    kind = "float" if vectors.select(vec_col).schema[0].dataType.simpleString() == "array<float>" else "double"
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(f"array<{kind}>").alias("v"))
     v = v.where("id is not null").where(usable(F.col("v"))).groupBy("id").agg(F.min("v").alias("v"))
     v = written(v.withColumn("dim", F.size("v")).withColumn("asks", is_query), "neighbours")
     total, asked = v.agg(F.count("*"), F.count_if("asks")).first()

@@ -36,9 +36,6 @@ SMALL = 16
 #: Rows taken together in a task.
 ROWS = 1 << 14
 
-_LISTED = pa.schema([("id", pa.int64()), ("label", pa.int64()), ("copies", pa.int64()), ("v", pa.list_(pa.float64())),
-                     ("near", pa.list_(pa.int16())), ("a", pa.int16()), ("b", pa.int16())])
-_LISTED_SQL = "id long, label long, copies long, v array<double>, near array<short>, a short, b short"
 _OUT = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("n", pa.int64())])
 
 
@@ -98,7 +95,7 @@ def _verify(t: pa.Table, least: float) -> pa.RecordBatch:
     cell = np.cumsum(change)
     size = np.bincount(cell)[cell]
     x = unit(matrix(t["v"], dim))
-    near = t["near"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+    near = np.frombuffer(b"".join(t["near"].to_pylist()), np.int16).reshape(len(ids), -1)
     part = t["part"].to_numpy()
     # in a cell of two parts only pairs across are new
     parts_min, parts_max = np.full(cell.max() + 1, 1 << 30), np.full(cell.max() + 1, -1)
@@ -139,8 +136,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     """
     spark = vectors.sparkSession
     ship(spark)
+    kind = "float" if vectors.select(vec_col).schema[0].dataType.simpleString() == "array<float>" else "double"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.struct(F.col(label_col).cast("long").alias("label"),
-                                                                          F.col(vec_col).cast("array<double>").alias("v")).alias("r"))
+                                                                          F.col(vec_col).cast(f"array<{kind}>").alias("v")).alias("r"))
     rows = rows.groupBy("id").agg(F.min("r").alias("r")).select("id", "r.label", "r.v")
     rows = written(rows.withColumn("joins", F.coalesce(usable(F.col("v")), F.lit(False)) & F.col("label").isNotNull() & F.col("id").isNotNull()), "pivots")
     kinds = written(rows.where("joins").groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
@@ -148,7 +146,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     listed = None
     for dim, n in kinds.groupBy("dim").count().orderBy("dim").collect():  # one index for each length of vectors
         pivots = _pivots(kinds.where(F.col("dim") == dim), dim, n)
-        more = kinds.where(F.col("dim") == dim).drop("dim").mapInArrow(_lister(pivots), _LISTED_SQL)
+        more = kinds.where(F.col("dim") == dim).drop("dim").mapInArrow(_lister(pivots, kind), f"id long, label long, copies long, v array<{kind}>, near binary, a short, b short")
         listed = more if listed is None else listed.unionByName(more)
     one = rows.select("id", "label", "v", "joins")
     if listed is None:
@@ -175,7 +173,8 @@ def _pivots(kinds: DataFrame, dim: int, n: int) -> np.ndarray:
     return spread(unit(matrix(t["v"], dim)), count)
 
 
-def _lister(pivots: np.ndarray):  # noqa: ANN202
+def _lister(pivots: np.ndarray, kind: str):  # noqa: ANN202
+    v = pa.list_(pa.float32() if kind == "float" else pa.float64())
     keep = min(NEAREST, len(pivots))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,10 +186,10 @@ def _lister(pivots: np.ndarray):  # noqa: ANN202
                 pairs = list(combinations(range(keep), 2)) or [(0, 0)]
                 n = b.num_rows
                 row = pa.array(np.tile(np.arange(n), len(pairs)))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keep * n + 1, keep, dtype=np.int32)), pa.array(near.ravel()))
-                yield pa.record_batch([b["id"].take(row), b["label"].take(row), b["copies"].take(row), b["v"].take(row), lists.take(row),
+                named = pa.array([x.tobytes() for x in near], pa.binary())
+                yield pa.record_batch([b["id"].take(row), b["label"].take(row), b["copies"].take(row), b["v"].cast(v).take(row), named.take(row),
                                        pa.array(np.concatenate([near[:, i] for i, _ in pairs])),
-                                       pa.array(np.concatenate([near[:, j] for _, j in pairs]))], schema=_LISTED)
+                                       pa.array(np.concatenate([near[:, j] for _, j in pairs]))], names=["id", "label", "copies", "v", "near", "a", "b"])
 
     return run
 

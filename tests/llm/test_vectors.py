@@ -29,6 +29,14 @@ def usable(v):
     return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
 
 
+def product(a, b):
+    """Inner product, added in order (the built-in sum of floats compensates)."""
+    total = 0.0
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        total += x * y
+    return total
+
+
 def unique(rows):
     return {r[0]: r for r in rows if r[0] is not None}
 
@@ -80,7 +88,7 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, tile, stripe, block):
     ok = {i: np.array(r[1], np.float64) for i, r in rows.items() if usable(r[1])}
     want = set()
     for q in (i for i in ok if i % 20 == 0):
-        scored = sorted((-sum((a * b for a, b in zip(ok[q].tolist(), v.tolist(), strict=True)), 0.0), i) for i, v in ok.items() if i != q and len(v) == len(ok[q]))
+        scored = sorted((-product(ok[q], v), i) for i, v in ok.items() if i != q and len(v) == len(ok[q]))
         want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:20], 1)}
     got = neighbours.nearest(spark.createDataFrame(vectors(1), VECTORS), F.col("id") % 20 == 0).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
