@@ -18,7 +18,7 @@ from martline.llm.queries import tokenizer_path
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the draw keeps; rows with a null id can't be drawn and go."""
     drawn = quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.join(drawn.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    return docs.join(drawn.where("kept").select("doc_id").hint("merge"), "doc_id", "left_semi")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     that repeat an id become one; rows with a null id go."""
     groups = simhash.near_duplicates(docs, shingle=4, radius=4)
     kept = written(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    out = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")  # the same plan at every size
     # only where ids repeat are whole rows compared
     return out if kept.where("n > 1").isEmpty() else out.dropDuplicates(["doc_id"])
 

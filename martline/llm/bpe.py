@@ -22,7 +22,7 @@ import regex
 from martline.llm.common import Recent, at_work
 
 #: Distinct words whose ids a worker keeps, at most about twice as many.
-KEEP_WORDS = 400_000
+KEEP_WORDS = 700_000
 #: White space by the Unicode property, which the tokenizer's patterns mean by \s.
 SPACE = "\t-\r \x85\xa0  -     　"
 _SPACES = regex.compile(f"[{SPACE}]+")

@@ -111,8 +111,10 @@ def meet(rows: DataFrame, keys: list[str], spread: str, size: int, name: str) ->
 
 
 class Recent(dict):
-    """Values by key, made when they are first asked for. ``turn`` drops what was not asked for since the turn before the
-    last, so at most about twice ``keep`` entries are held."""
+    """Values by key (text), made when they are first asked for. ``turn`` drops what was not asked for since the turn before
+    the last, so at most about twice ``keep`` entries are held; those of long keys never are."""
+
+    LONG = 256
 
     def __init__(self, make: Callable, keep: int) -> None:
         super().__init__()
@@ -122,7 +124,8 @@ class Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        if len(key) <= self.LONG:
+            self[key] = value
         return value
 
     def turn(self) -> None:

@@ -2,9 +2,9 @@
 
 Two generative models over hashed n-grams are fitted: of the target (documents labelled good) and of raw
 text (all labelled documents, whatever their label; unlabelled ones would bring in what sets them apart from the labelled
-ones, such as passages of which only unlabelled documents hold copies). A document's log weight is the sum, over its n-grams, of the log ratio of the two. Documents are
-then drawn without replacement in proportion to their weights: the top k of log weight / temperature plus
-Gumbel noise, which is a hash of the document's id, so the draw can be repeated.
+ones, such as passages of which only unlabelled documents hold copies). A document's log weight is the sum, over its
+n-grams, of the log ratio of the two. Documents are then drawn without replacement in proportion to their weights: the top
+k of log weight / temperature plus Gumbel noise, which is a hash of the document's id, so the draw can be repeated.
 
 The n-grams are hashed words and starts of words, each once a document (so a word that one bad document repeats a
 thousand times says little against others), and triples of word shapes: letters, digits, each kind of punctuation, and
