@@ -27,8 +27,14 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     power = _powers()
     n = len(data)
     with np.errstate(over="ignore"):
-        total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n])])
-        h = (total[gram:] - total[:-gram]) * power[(1 << _PLACE) - np.arange(n - gram + 1)]  # all to one power
+        total = data.astype(np.uint64)
+        total += np.uint64(1)
+        total *= power[:n]
+        np.cumsum(total, out=total)
+        h = total[gram - 1 :].copy()
+        h[1:] -= total[: n - gram]
+        top = 1 << _PLACE
+        h *= power[top - (n - gram) : top + 1][::-1]  # all to one power
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
@@ -65,19 +71,22 @@ def _pieces(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
     if len(data) < length:
         return none
     h = gram_hashes(data, gram)
-    place = np.arange(len(h), dtype=np.uint64)
-    low = sliding_min((h >> np.uint64(_PLACE)) << np.uint64(_PLACE) | place, length - gram + 1)
-    at = (low & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
-    # windows that run over the end of their document
+    key = h >> np.uint64(_PLACE)
+    key <<= np.uint64(_PLACE)
+    key |= np.arange(len(h), dtype=np.uint64)
+    low = sliding_min(key, length - gram + 1)
+    low &= np.uint64((1 << _PLACE) - 1)
+    at = low.astype(np.uint32)
+    # windows that stay within their document; a piece ends where they do, or where the anchor changes
+    edge = np.ones(len(at) + 1, bool)
+    np.not_equal(at[1:], at[:-1], out=edge[1:-1])
     begins = np.concatenate([[0], ends[:-1]])
-    over = np.zeros(len(data) + 1, np.int32)
-    first = np.maximum(begins, ends - length + 1)
-    np.add.at(over, first, 1)
-    np.add.at(over, ends, -1)
-    ok = np.cumsum(over[: len(at)]) == 0
-    where = np.flatnonzero(ok)
-    if not len(where):
-        return none
-    at = at[where]
-    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (where[1:] != where[:-1] + 1)]))
-    return h[at[new]], where[new], np.diff(np.append(new, len(where)))
+    inside = np.zeros(len(at) + 1, np.int8)
+    real = ends - begins >= length
+    np.add.at(inside, begins[real], 1)
+    np.add.at(inside, ends[real] - length + 1, -1)
+    ok = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+    edge[begins[real]] = edge[ends[real] - length + 1] = True
+    starts = np.flatnonzero(edge[:-1] & ok)
+    stops = np.flatnonzero(edge[1:] & ok)
+    return h[at[starts]], starts, stops - starts + 1
