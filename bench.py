@@ -20,7 +20,8 @@ HEADLINE = [
     "xf_sales", "fact_sales", "bi_sales_summary", "bi_top_customers", "bi_top_products",
     "bi_daily_sales", "bi_category_performance", "agg_daily_sales", "agg_generic",
     "clean_dedup_first", "clean_ffill", "clean_fill_median", "dq_report", "dq_rule_violations",
-    "join_full", "load_upsert", "src_payload_path",
+    "join_full", "load_upsert", "src_payload_path", "agg_generic_stats", "dq_fk_orphans", "load_upsert_bucketed",
+    "etl_batch_run", "stream_daily_sales", "stream_customer_activity",
 ]
 
 
