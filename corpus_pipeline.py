@@ -42,8 +42,9 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens, one row per piece."""
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False).drop("ids")
+    """Sequences of at most 2048 tokens, one row per piece. Workers remember fewer words than by default, as those of the
+    stages before may still be there."""
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False, keep_words=150_000).drop("ids")
 
 
 STAGES = [("quality classifier", keep_good), ("SimHash near-dedup", drop_near_copies),

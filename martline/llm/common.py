@@ -149,6 +149,11 @@ def at_work(name: str, clear: Callable[[], None] = lambda: None) -> None:
         if other != name:
             forget()
     _AT_WORK = name
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it

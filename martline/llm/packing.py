@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from martline.llm.bpe import word_bpe
+from martline.llm.bpe import KEEP_WORDS, word_bpe
 from martline.llm.common import slices, small_batches, texts
 
 #: Remainders packed together; bounds a task's memory (each holds under ``window`` ids of four bytes).
@@ -111,16 +111,17 @@ def best_fit(lengths: list[int], window: int) -> list[list[tuple[int, int, int]]
 
 
 def pack(df: DataFrame, tokenizer: str, window: int = 2048, separator: int = 1, id_col: str = "doc_id", text_col: str = "text",
-         with_ids: bool = True) -> DataFrame:
+         with_ids: bool = True, keep_words: int = KEEP_WORDS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and the piece's ids
     (little-endian uint32; null without ``with_ids``).
 
     Null text is the empty text (only the separator); rows that repeat are packed each; a null id stays null;
-    an empty table gives no rows. Sequence ids are unique, not dense: the task's number times 2^33 and a count."""
+    an empty table gives no rows. Sequence ids are unique, not dense: the task's number times 2^33 and a count.
+    ``keep_words`` bounds what a worker remembers of encoded words."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = word_bpe(tokenizer), np.array([separator], dtype="<u4")
+        bpe, end = word_bpe(tokenizer, keep_words), np.array([separator], dtype="<u4")
         seq = TaskContext.get().partitionId() << 33
         rest: list[tuple[int | None, int, int, np.ndarray]] = []  # doc, start, doc_tokens, ids
         out: list[tuple] = []

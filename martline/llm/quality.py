@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import Recent, at_work, slices, small_batches, texts, written
+from martline.llm.common import Recent, at_work, give_back, slices, small_batches, texts, written
 
 MAX_LABELS = 100_000
 WORDS, STARTS, SHAPES = 1 << 19, 1 << 17, 1 << 15
@@ -60,6 +60,7 @@ _RUNS = Recent(_tokens, KEEP_RUNS)
 def _forget() -> None:
     _RUNS.clear()
     _RUNS.old = {}
+    give_back()
 
 
 def ngrams(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,6 +93,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw += np.bincount(gram, minlength=size)
             good = np.asarray(part.column(2).to_pylist(), dtype=bool)
             target += np.bincount(gram[good[doc]], minlength=size)
+    _forget()  # tasks of other operators may come to other workers, while this one waits with what it holds
     seen = np.flatnonzero(raw)
     for at in range(0, len(seen), 1 << 16):
         s = seen[at : at + (1 << 16)]
@@ -134,6 +136,7 @@ def log_weights(docs: DataFrame, ratios: dict[int, float]) -> DataFrame:
                 mean = np.bincount(doc, weights=np.where(shape, table[gram], 0), minlength=n) / np.maximum(1, np.bincount(doc[shape], minlength=n))
                 w += np.where(mean < -DEAD_MEAN, mean * SHAPES_COUNT, 0)
                 yield pa.record_batch([part.column(0), pa.array(w)], names=["doc_id", "log_weight"])
+        _forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, log_weight double")
 
