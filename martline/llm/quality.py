@@ -11,9 +11,12 @@ thousand times says little against others), and triples of word shapes: letters,
 whether a word repeats one of the two before it. Shapes count by their mean, as if every document had ``SHAPES_COUNT``.
 Texts that are equal are fitted once.
 
-Ratios are posterior means under a gamma prior (``PRIOR`` pseudo-counts at ratio one), so rare n-grams say
-nothing. Weights are truncated: a ratio above 1, or near it (``DEAD``, ``DEAD_MEAN``), counts as 1. So a long clean text
-keeps weight 1, and much clean text can't buy back a bad passage.
+Every ratio counts, above 1 and below, smoothed by how sure it is: a word or start is as frequent in the target as in raw
+text, or (``DIFFERENT`` of them, before anything is seen) has a ratio of its own with a gamma prior of ``OWN`` pseudo-counts at one.
+The log ratio is taken times the probability of the second given the counts. So chance deviations of the many words of a long
+clean text add up to little, and a word that 20 of 300 texts have and no good one counts in full. Ratios of shapes are posterior
+means with ``PRIOR`` pseudo-counts. The mean over the target is taken off each kind's log ratios, which normalises for length: a
+typical text of the target has weight 1 whether it is long, short or empty.
 
 How many to draw: ``keep`` documents, or by default as many as have a weight above the cut that best tells good
 from rejected labelled documents which were left out of the fit. Labels are a bounded sample (``MAX_LABELS``, smallest
@@ -22,6 +25,7 @@ hashes of ids), so that they can be broadcast; every document is scored and take
 
 from __future__ import annotations
 
+import math
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -36,9 +40,11 @@ from martline.llm.common import Recent, at_work, give_back, slices, small_batche
 
 MAX_LABELS = 100_000
 WORDS, STARTS, SHAPES = 1 << 19, 1 << 17, 1 << 15
-#: Letters of a word's start, pseudo-counts, log ratios that count as noise (of a word, of the mean over shapes), and how many
-#: shapes the mean stands for.
-START, PRIOR, DEAD, DEAD_MEAN, SHAPES_COUNT = 5, 5.0, 1.5, 0.5, 100.0
+SIZE = WORDS + STARTS + SHAPES
+#: Letters of a word's start, pseudo-counts of shapes, how many shapes the mean stands for.
+START, PRIOR, SHAPES_COUNT = 5, 5.0, 100.0
+#: Share of words with a ratio of their own, and its pseudo-counts.
+DIFFERENT, OWN = 0.001, 0.5
 #: Runs of text whose tokens a worker keeps, at most about twice as many.
 KEEP_RUNS = 200_000
 _TOKEN = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\s\p{L}\p{M}\p{N}]+")
@@ -77,22 +83,21 @@ def ngrams(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     shape += np.uint64(16) * again
     mix = lambda x, n: (x * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - (n - 1).bit_length())).astype(np.int64)
     triple = WORDS + STARTS + (shape[:-2] << np.uint64(10) | shape[1:-1] << np.uint64(5) | shape[2:]).astype(np.int64)
-    size = WORDS + STARTS + SHAPES
-    once_doc, once = np.divmod(np.unique(np.concatenate([doc * size + mix(h, WORDS), doc * size + WORDS + mix(t[:, 1], STARTS)])), size)
+    both = np.sort(np.concatenate([doc * SIZE + mix(h, WORDS), doc * SIZE + WORDS + mix(t[:, 1], STARTS)]))
+    once_doc, once = np.divmod(both[np.diff(both, prepend=-1) > 0], SIZE)  # np.unique hashes first, which takes longer
     return np.concatenate([once_doc, doc[2:][same2]]), np.concatenate([once, triple[same2]])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-gram counts of a partition: in all its texts, in those of the target."""
     at_work("quality", _forget)
-    size = WORDS + STARTS + SHAPES
-    raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    raw, target = np.zeros(SIZE, np.int64), np.zeros(SIZE, np.int64)
     for batch in batches:
         for part in slices(batch):
             doc, gram = ngrams(part.column(1).to_pylist())
-            raw += np.bincount(gram, minlength=size)
+            raw += np.bincount(gram, minlength=SIZE)
             good = np.asarray(part.column(2).to_pylist(), dtype=bool)
-            target += np.bincount(gram[good[doc]], minlength=size)
+            target += np.bincount(gram[good[doc]], minlength=SIZE)
     _forget()  # tasks of other operators may come to other workers, while this one waits with what it holds
     seen = np.flatnonzero(raw)
     for at in range(0, len(seen), 1 << 16):
@@ -100,33 +105,51 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(s.astype(np.int32)), pa.array(raw[s]), pa.array(target[s])], names=["gram", "raw", "target"])
 
 
-def fit(docs: DataFrame, good: Column) -> dict[int, float]:
-    """Log ratios that count, by n-gram (at most as many as there are buckets).
+def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Smoothed log ratio of each n-gram from its counts in all texts and in those of the target; each kind of n-gram is a
+    distribution of its own."""
+    out = np.zeros(SIZE)
+    for kind in (slice(0, WORDS), slice(WORDS, WORDS + STARTS), slice(WORDS + STARTS, SIZE)):
+        r, t = raw[kind].astype(float), target[kind].astype(float)
+        share = t.sum() / max(1.0, r.sum())
+        if not 0 < share < 1:  # nothing or all is target
+            continue
+        if kind.stop == SIZE:
+            v = np.log((t + PRIOR) / (r * share + PRIOR))
+        else:
+            a, b = OWN, OWN * (1 - share) / share
+            same = t * math.log(share) + (r - t) * math.log(1 - share)
+            own = _lgamma(t + a) + _lgamma(r - t + b) - _lgamma(r + a + b) - (math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b))
+            odds = np.exp(np.clip(own - same, -600, 600)) * DIFFERENT / (1 - DIFFERENT)
+            v = odds / (1 + odds) * np.log((t + a) / (r * share + a))
+        out[kind] = np.where(r > 0, v - (t * v).sum() / t.sum(), 0)
+    return out
+
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    values, at = np.unique(x, return_inverse=True)
+    return np.array([math.lgamma(v) for v in values.tolist()])[at]
+
+
+def fit(docs: DataFrame, good: Column) -> np.ndarray:
+    """Log ratios by n-gram (as many as there are buckets).
 
     ``docs`` has doc_id, text; ``good`` is a condition on its columns that marks the target."""
-    counts = written(docs.select("doc_id", "text", F.coalesce(good, F.lit(False)).alias("good"))
-                     .mapInArrow(_count, "gram int, raw long, target long").groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "quality")
-    # each kind of n-gram is a distribution of its own
-    kind = F.when(F.col("gram") < WORDS, 0).when(F.col("gram") < WORDS + STARTS, 1).otherwise(2)
-    share = {r[0]: r[2] / r[1] for r in counts.groupBy(kind).agg(F.sum("raw"), F.sum("target")).collect()}
-    if not any(share.values()):
-        return {}
-    expected = F.col("raw") * F.when(kind == 0, share.get(0, 0.0)).when(kind == 1, share.get(1, 0.0)).otherwise(share.get(2, 0.0))
-    ratio = F.log((F.col("target") + PRIOR) / (expected + PRIOR))
-    least = F.when(kind == 2, -1.0).otherwise(-DEAD)
-    return dict(map(tuple, counts.select("gram", ratio.alias("r")).where(F.col("r") < least).collect()))
-
-
-def log_weights(docs: DataFrame, ratios: dict[int, float]) -> DataFrame:
+    counts = (docs.select("doc_id", "text", F.coalesce(good, F.lit(False)).alias("good")).mapInArrow(_count, "gram int, raw long, target long")
+              .groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
+    raw, target = np.zeros(SIZE, np.int64), np.zeros(SIZE, np.int64)
+    gram = counts["gram"].to_numpy()
+    raw[gram], target[gram] = counts["raw"].to_numpy(), counts["target"].to_numpy()
+    return log_ratios(raw, target)
+
+
+def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     """(doc_id, log_weight) of each row of (doc_id, text)."""
-    grams = np.array(sorted(ratios), dtype=np.int64)
-    values = np.array([ratios[g] for g in grams.tolist()])
-    sent = docs.sparkSession.sparkContext.broadcast((grams, values))  # bounded by the number of buckets
+    sent = docs.sparkSession.sparkContext.broadcast(ratios)  # bounded by the number of buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("quality", _forget)
-        table = np.zeros(WORDS + STARTS + SHAPES)
-        table[sent.value[0]] = sent.value[1]
+        table = sent.value
         for batch in batches:
             for part in slices(batch):
                 n = part.num_rows
@@ -134,8 +157,7 @@ def log_weights(docs: DataFrame, ratios: dict[int, float]) -> DataFrame:
                 shape = gram >= WORDS + STARTS
                 w = np.bincount(doc, weights=np.where(shape, 0, table[gram]), minlength=n)
                 mean = np.bincount(doc, weights=np.where(shape, table[gram], 0), minlength=n) / np.maximum(1, np.bincount(doc[shape], minlength=n))
-                w += np.where(mean < -DEAD_MEAN, mean * SHAPES_COUNT, 0)
-                yield pa.record_batch([part.column(0), pa.array(w)], names=["doc_id", "log_weight"])
+                yield pa.record_batch([part.column(0), pa.array(w + mean * SHAPES_COUNT)], names=["doc_id", "log_weight"])
         _forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, log_weight double")
