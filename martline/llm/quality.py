@@ -1,15 +1,14 @@
 """Quality classifier by importance resampling.
 
-Two generative models over hashed n-grams are fitted: of the target (documents labelled good) and of raw
-text (all labelled documents, whatever their label; unlabelled ones would bring in what sets them apart from the labelled
-ones, such as passages of which only unlabelled documents hold copies). A document's log weight is the sum, over its
+Two generative models over hashed n-grams are fitted: of the target (a bounded sample of documents labelled good) and of raw
+text (all documents, labelled or not). A document's log weight is the sum, over its
 n-grams, of the log ratio of the two. Documents are then drawn without replacement in proportion to their weights: the top
 k of log weight / temperature plus Gumbel noise, which is a hash of the document's id, so the draw can be repeated.
 
 The n-grams are hashed words and starts of words, each once a document (so a word that one bad document repeats a
 thousand times says little against others), and triples of word shapes: letters, digits, each kind of punctuation, and
 whether a word repeats one of the two before it. Shapes count by their mean, as if every document had ``SHAPES_COUNT``.
-Texts that are equal are fitted once.
+Texts that are equal are counted once.
 
 Every ratio counts, above 1 and below, smoothed by how sure it is: a word or start is as frequent in the target as in raw
 text, or (``DIFFERENT`` of them, before anything is seen) has a ratio of its own with a gamma prior of ``OWN`` pseudo-counts at one.
@@ -19,8 +18,8 @@ means with ``PRIOR`` pseudo-counts. The mean over the target is taken off each k
 typical text of the target has weight 1 whether it is long, short or empty.
 
 How many to draw: ``keep`` documents, or by default as many as have a weight above the cut that best tells good
-from rejected labelled documents which were left out of the fit. Labels are a bounded sample (``MAX_LABELS``, smallest
-hashes of ids), so that they can be broadcast; every document is scored and takes part in the draw.
+from rejected labelled documents that were left out of the target: a quarter of the good ones and all rejected ones. Labels are a bounded sample (``MAX_LABELS``, smallest
+hashes of ids), so that they can be broadcast; every document is counted, scored and takes part in the draw.
 """
 
 from __future__ import annotations
@@ -209,12 +208,11 @@ def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temper
     told = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("q"), F.col("toxic").cast("int").alias("t"))
             .dropna().groupBy("doc_id").agg(F.min(F.struct((F.col("q") == 1) & (F.col("t") == 0))).alias("s"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels))
-    told = written(told.select(F.col("doc_id").alias("l"), F.col("s.col1").alias("good"), (F.xxhash64("doc_id", F.lit("fold")) % 4 == 0).alias("held")), "quality")
+    told = written(told.select(F.col("doc_id").alias("l"), F.col("s.col1").alias("good"), (~F.col("s.col1") | (F.xxhash64("doc_id", F.lit("fold")) % 4 == 0)).alias("held")), "quality")
     rows = texts(docs, id_col, text_col)
-    # of equal texts one is fitted; there are at most as many as labels
-    first = rows.join(F.broadcast(told.where("not held")), rows["doc_id"] == F.col("l")).groupBy(F.xxhash64("text"), "good").agg(F.min("doc_id").alias("l"))
-    first = written(first.groupBy("l").agg(F.first("good").alias("good")), "quality")
-    ratios = fit(rows.join(F.broadcast(first), rows["doc_id"] == F.col("l")), F.col("good"))
+    # equal texts become one before they are counted, so copies don't make their n-grams frequent
+    marked = rows.join(F.broadcast(told.where("not held")), rows["doc_id"] == F.col("l"), "left")
+    ratios = fit(marked.groupBy(F.xxhash64("text")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.max("good").alias("good")), F.col("good"))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("gumbel")), 11) + 0.5) / float(1 << 53)
     scored = log_weights(rows, ratios)
     scored = written(scored.withColumn("gumbel_key", F.col("log_weight") / temperature - F.log(-F.log(uniform))), "quality")

@@ -1,7 +1,10 @@
+import random
+
 import numpy as np
 import pytest
 
 from martline.llm import quality
+from tests.llm.helpers import words
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -39,3 +42,18 @@ def test_every_ratio_counts():
     assert v[0] < -2.5 and v[1] > 0.2 and -0.5 < v[2] < -0.3
     assert (v[3:5000] != 0).all() and np.abs(v[3:5000]).mean() < 0.01 and not v[5000:].any()
     assert not quality.log_ratios(raw, raw).any() and not quality.log_ratios(raw, 0 * raw).any()
+
+
+def test_raw_model_of_all_documents(spark):
+    """A family of unlabelled texts with words of its own is told from the target; copies count once."""
+    rng = random.Random(3)
+    rows = [(i, words(rng, 60, 300)) for i in range(400)]
+    rows += [(i, words(rng, 60, 300) + " spamword " + " ".join(rng.sample(["buynow", "cheapest", "casino", "winbig"], 3))) for i in range(400, 500)]
+    passage = words(rng, 30, 300) + " rareword otherword"
+    rows += [(i, passage) for i in range(500, 600)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    out = quality.resample(spark.createDataFrame(rows, "doc_id long, text string"), labels, keep=450).collect()
+    weight = {r.doc_id: r.log_weight for r in out}
+    kept = {r.doc_id for r in out if r.kept}
+    assert max(weight[i] for i in range(400, 500)) < -3 < min(weight[i] for i in [*range(400), *range(500, 600)])
+    assert not kept & set(range(400, 500))
