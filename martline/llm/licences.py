@@ -4,7 +4,8 @@ Templates are cut into words; the hashes of their word triples are winnowed (the
 and an inverted index from fingerprint to (template, place) is sent to the tasks: it grows with the templates, not with
 the texts, and is bounded (``MAX_WORDS``). A text is winnowed in the same way. Triples with a word that is in no template can't
 match, so they count as larger than all others, on either side. A run of ``GRAM + WINDOW - 1`` words that a text shares with a
-template is always found.
+template is always found. Templates under ``SHORT`` words may have no such run: all their word pairs are looked up at every place
+of the text, without winnowing.
 
 Fingerprints found are chained by diagonal; around each chain a banded local alignment (a match 2, else -1) finds how
 many of the template's words are matched in order and where in the text.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from martline.llm.common import slices, small_batches, texts
 
-GRAM, WINDOW, BAND = 3, 3, 8
+GRAM, WINDOW, BAND, SHORT = 3, 3, 8, 20
 #: Words of all templates together, at most.
 MAX_WORDS = 200_000
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
@@ -71,7 +72,12 @@ class Index:
                 self.word.setdefault(x, len(self.word) + 1)
         self.ids = [[self.word[x] for x in w] for w in words]
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.pairs: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for k, ids in enumerate(self.ids):
+            if len(ids) < SHORT:
+                for at, pair in enumerate(zip(ids, ids[1:], strict=False)):
+                    self.pairs[pair].append((k, at))
+                continue
             for at, h in self.winnow(np.array(ids, np.int64)):
                 self.places[h].append((k, at))
 
@@ -97,7 +103,11 @@ class Index:
 
     def chains(self, ids: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(template, first and last place in the text, smallest and greatest diagonal) of fingerprints chained within a band."""
-        seeds = sorted((k, at - there, at) for at, h in self.winnow(ids) if h in self.places for k, there in self.places[h])
+        seeds = [(k, at - there, at) for at, h in self.winnow(ids) if h in self.places for k, there in self.places[h]]
+        known = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        for at, a, b in zip(known.tolist(), ids[known].tolist(), ids[known + 1].tolist(), strict=True):
+            seeds += [(k, at - there, at) for k, there in self.pairs.get((a, b), ())]
+        seeds.sort()
         out: list[list[int]] = []
         for k, diagonal, at in seeds:
             last = out[-1] if out else None
@@ -137,7 +147,7 @@ class Index:
         template the best."""
         get = self.word.get
         words = [get(w, 0) for w in _WORD.findall(text.lower())]
-        if len(words) < GRAM or not any(words):
+        if len(words) < 2 or not any(words):
             return []
         found = []
         for chain in self.chains(np.array(words, np.int64)):
@@ -177,7 +187,7 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, least: float =
 
     Null and empty texts and those without a match give no rows; rows that repeat give their matches each; a null id
     stays null; an empty table gives no rows. Of matches of one template that overlap, the one with most words
-    (then the shorter, then the first) stays. Templates of under three words are never found. Narrow."""
+    (then the shorter, then the first) stays. Templates of one word are never found. Narrow."""
     small_batches(df.sparkSession)
     chosen = TEMPLATES if templates is None else templates
     Index(chosen)  # an error in the templates shows here, not in a task
