@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import chat, codec, licences, neighbours, packing, pivots, quality, repeats, simhash, unigram
+from martline.llm import chat, codec, lexical, licences, neighbours, packing, pivots, quality, repeats, simhash, toxicity, unigram, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,3 +128,51 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: licence texts and notices that they hold, with coverage and spans."""
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of all for each benchmark item."""
+    return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL["op11_lexical"] = r"""
+WITH said AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), docs AS (SELECT * FROM said WHERE len(terms) > 0
+), totals AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs
+), counts AS (
+  SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY row, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, any_value(doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term), totals GROUP BY item_id, row
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: probability that they are toxic, learnt from the labels of two thirds of the ids, and their offending sentences."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), use=~held_out)
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("sentences").cast("long").alias("n_offending"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All valid embeddings in the first 4 whitened components of the different ones."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), most=4)
+    return out.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
