@@ -23,6 +23,8 @@ from martline.llm.common import Recent, at_work
 
 #: Distinct words whose ids a worker keeps, at most about twice as many.
 KEEP_WORDS = 1_200_000
+#: Pairs of tokens whose compatibility a worker keeps, at most about twice as many.
+KEEP_PAIRS = 200_000
 #: White space by the Unicode property, which the tokenizer's patterns mean by \s.
 SPACE = "\t-\r \x85\xa0  -     　"
 _SPACES = regex.compile(f"[{SPACE}]+")
@@ -99,6 +101,7 @@ class WordBPE:
     def _reset(self) -> None:
         self.seen = Recent(self.chunk, self.keep)  # ids of runs of text
         self.known: dict[int, bool] = {}  # the pair-compatibility table, filled as pairs are met
+        self.older: dict[int, bool] = {}  # what it held before it last grew too large
 
     def _compatible(self, a: int, b: int, below: int | None = None) -> bool:
         """Whether tokens a, b can stand side by side: no merge across their border comes before the merges
@@ -134,7 +137,8 @@ class WordBPE:
             if end not in dead:
                 fits = last < 0 or known.get(last << 20 | token)
                 if fits is None:
-                    fits = known[last << 20 | token] = self._compatible(last, token)
+                    fits = self.older.get(last << 20 | token)
+                    known[last << 20 | token] = fits = self._compatible(last, token) if fits is None else fits
                 if fits:
                     out.append(token)
                     if end == n:
@@ -171,6 +175,8 @@ class WordBPE:
     def encode(self, text: str) -> np.ndarray:
         """Ids (uint32) of a whole text; strings of special tokens in it become these tokens."""
         self.seen.turn()
+        if len(self.known) > KEEP_PAIRS:
+            self.older, self.known = self.known, {}
         if self.cut is None or not any(s in text for s in self.special):
             ids = self._plain(text)
         else:

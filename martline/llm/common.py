@@ -18,20 +18,24 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.session import checkpoint_root, scratch_path
 
 #: Rows of a text table handed to Python at once; with the slices below this bounds a worker's memory.
 ARROW_ROWS = 500
+ARROW_BYTES = 8 << 20
 SLICE_BYTES = 2 << 20
 
 
+def texts_columns(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """doc_id and text of a table of texts; null text becomes ''."""
+    return [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")]
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) of a table of texts; null text becomes ''."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"),
-                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return df.select(*texts_columns(id_col, text_col))
 
 
 def ship(spark: SparkSession) -> None:
@@ -57,6 +61,10 @@ def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) <= 0 or int(spark.conf.get(key)) > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"  # rows of blobs are large
+    now = spark.conf.get(key, None)
+    if now and (int(now.rstrip("b")) <= 0 or int(now.rstrip("b")) > ARROW_BYTES):
+        spark.conf.set(key, f"{ARROW_BYTES}b")
 
 
 def slices(batch: pa.RecordBatch, text_at: int = 1, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -74,10 +82,12 @@ def slices(batch: pa.RecordBatch, text_at: int = 1, limit: int = SLICE_BYTES) ->
     yield batch.slice(start, n - start)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: cuts lineage, survives lost executors. ``group_rows``: rows of a row
+    group at most, for rows of blobs, as writers and readers hold a group in memory."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    w = df.write if group_rows is None else df.write.option("parquet.block.row.count.limit", group_rows)
+    w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -219,7 +229,10 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     e = (edges.select(F.col(edges.columns[0]).cast("long").alias("src"), F.col(edges.columns[1]).cast("long").alias("dst"))
          .where("src is not null and dst is not null and src <> dst"))
-    e = written(e.mapInArrow(_contract, EDGES).distinct(), "cc")
+    # the edges are written first: found and contracted in one stage they would need two Python workers a task
+    raw = written(e, "cc")
+    e = written(raw.mapInArrow(_contract, EDGES).distinct(), "cc")
+    discard(spark, raw)
     seen = None
     while True:
         now = e.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(20,0)"))).first()

@@ -34,8 +34,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martline.llm.common import Recent, at_work, give_back, slices, small_batches, texts, written
+from martline.llm.common import Recent, at_work, give_back, slices, small_batches, texts, texts_columns, written
 
 MAX_LABELS = 100_000
 WORDS, STARTS, SHAPES = 1 << 19, 1 << 17, 1 << 15
@@ -143,7 +144,7 @@ def fit(docs: DataFrame, good: Column) -> np.ndarray:
 
 
 def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """(doc_id, log_weight) of each row of (doc_id, text)."""
+    """(doc_id, log_weight, ...) of each row of (doc_id, text, ...)."""
     sent = docs.sparkSession.sparkContext.broadcast(ratios)  # bounded by the number of buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,10 +157,12 @@ def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 shape = gram >= WORDS + STARTS
                 w = np.bincount(doc, weights=np.where(shape, 0, table[gram]), minlength=n)
                 mean = np.bincount(doc, weights=np.where(shape, table[gram], 0), minlength=n) / np.maximum(1, np.bincount(doc[shape], minlength=n))
-                yield pa.record_batch([part.column(0), pa.array(w + mean * SHAPES_COUNT)], names=["doc_id", "log_weight"])
+                yield pa.record_batch([part.column(0), pa.array(w + mean * SHAPES_COUNT), *part.columns[2:]], names=["doc_id", "log_weight", *more])
         _forget()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, log_weight double")
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", *more)
+    return rows.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("log_weight", T.DoubleType()), *(rows.schema[c] for c in more)]))
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
@@ -195,8 +198,9 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
 
 
 def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temperature: float = 0.05, max_labels: int = MAX_LABELS,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, log_weight, gumbel_key, kept), one row per input row.
+             id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, log_weight, gumbel_key, kept[, carried]), one row per input row. ``carried`` is a struct of the columns named by
+    ``carry``.
 
     ``labels`` has doc_id, quality and toxic; good is quality 1 and toxic 0. Labels with a null and labels of absent
     documents are ignored; of an id's repeated labels the smallest counts. Without good labels
@@ -214,6 +218,8 @@ def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temper
     marked = rows.join(F.broadcast(told.where("not held")), rows["doc_id"] == F.col("l"), "left")
     ratios = fit(marked.groupBy(F.xxhash64("text")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.max("good").alias("good")), F.col("good"))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("gumbel")), 11) + 0.5) / float(1 << 53)
+    if carry:
+        rows = docs.select(*texts_columns(id_col, text_col), F.struct(*[F.col(c) for c in carry]).alias("carried"))
     scored = log_weights(rows, ratios)
     scored = written(scored.withColumn("gumbel_key", F.col("log_weight") / temperature - F.log(-F.log(uniform))), "quality")
     if keep is None:
@@ -221,6 +227,5 @@ def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temper
         good = held["good"].to_numpy(bool)
         cut = best_cut(held["log_weight"].to_numpy()[good], held["log_weight"].to_numpy()[~good])
         keep = scored.where(F.col("log_weight") >= F.lit(cut)).count()
-    if not keep:
-        return scored.withColumn("kept", F.lit(False))
-    return scored.withColumn("kept", F.col("gumbel_key") >= kth_largest(scored, "gumbel_key", keep))
+    kept = F.col("gumbel_key") >= kth_largest(scored.select("gumbel_key"), "gumbel_key", keep) if keep else F.lit(False)
+    return scored.select("doc_id", "log_weight", "gumbel_key", kept.alias("kept"), *(["carried"] if carry else []))

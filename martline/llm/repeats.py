@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from martline.llm import anchors, bwt
-from martline.llm.common import at_work, discard, slices, small_batches, written
+from martline.llm.common import at_work, discard, give_back, slices, small_batches, written
 
 LENGTH, GRAM = 100, 40
 #: Bytes of text in a block, of text behind a bucket of anchors, and of pieces in a bundle.
@@ -103,9 +103,14 @@ class Block:
         self.doc_id = ids[self.doc] if len(ids) else np.zeros(0, np.int64)
 
 
+def _begin() -> None:
+    """Every task of this operator calls it, so that a worker drops what another operator left there."""
+    at_work("repeats", anchors._powers.cache_clear)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of a partition in blocks, each sorted by id."""
-    at_work("repeats", anchors._powers.cache_clear)
+    _begin()
     number, held, size = TaskContext.get().partitionId() << 33, [], 0
 
     def close() -> pa.RecordBatch:
@@ -126,12 +131,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield close()
     if held:
         yield close()
+    give_back()
 
 
 def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
     """Of each block: anchors, contents, documents and places of its different pieces, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for batch in batches:
             for block, ipc in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 b = Block(ipc.as_py(), length, gram)
@@ -146,6 +153,7 @@ def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
                 if rows:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
                                           names=["bucket", "block", "names", "docs", "places"])
+        give_back()
 
     return run
 
@@ -177,6 +185,7 @@ def _decide(rows: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket, one bucket at a time."""
+    _begin()
     now, held = None, []
 
     def out() -> Iterator[pa.RecordBatch]:
@@ -192,6 +201,8 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now, held = bucket, []
             held.append(tuple(row))
     yield from out()
+    held.clear()
+    give_back()
 
 
 def _cover(size: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -240,6 +251,7 @@ def _table(schema: pa.Schema, cols: dict[str, pa.Array], n: int) -> pa.Table:
 
 def _second(left: pa.Table, right: pa.Table, length: int, gram: int, text: str, schema: pa.Schema) -> pa.Table:
     """A block and what the buckets say of it: finished documents, the rest of the block, and mixed pieces."""
+    _begin()
     if not left.num_rows:
         return schema.empty_table()
     number = left["block"][0].as_py()
@@ -269,6 +281,7 @@ def _second(left: pa.Table, right: pa.Table, length: int, gram: int, text: str,
 
 def _third(left: pa.Table, right: pa.Table, length: int, text: str, schema: pa.Schema) -> pa.Table:
     """The rest of a block and the masks of its mixed pieces: results of its documents."""
+    _begin()
     if not left.num_rows:
         return schema.empty_table()
     ipc, start, windows, gone, place = pickle.loads(left["blob"][0].as_py())
@@ -288,6 +301,7 @@ def _bundle(length: int):  # noqa: ANN202
     """Masks of the pieces, whole anchors taken together up to a bundle's size; rows come sorted by anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         held: list[pa.RecordBatch] = []
         size = 0
 
@@ -315,6 +329,8 @@ def _bundle(length: int):  # noqa: ANN202
                 size = sum(x.column(1).nbytes for x in held)
         if held:
             yield work(pa.Table.from_batches(held).combine_chunks())
+        held = []
+        give_back()
 
     return run
 
@@ -375,7 +391,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text:
     carried = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
     result = pa.schema(_RESULT + ([("carried", to_arrow_schema(rows.schema).field("carried").type)] if carry else []))
     step = pa.schema([*pa.schema(_STEP), *result])
-    blocks = written(rows.mapInArrow(_blocks, "block long, ipc binary, size long"), "repeats")
+    blocks = written(rows.mapInArrow(_blocks, "block long, ipc binary, size long"), "repeats", group_rows=8)
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
     told = (blocks.select("block", "ipc").mapInArrow(_name(buckets, length, gram), "bucket int, block long, names binary, docs binary, places binary")

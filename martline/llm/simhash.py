@@ -19,10 +19,12 @@ from itertools import combinations, pairwise
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martline.llm.common import EDGES, at_work, components, edge_batch, meet, slices, small_batches, texts, written
+from martline.llm.common import EDGES, at_work, components, edge_batch, meet, slices, small_batches, texts, texts_columns, written
 
 #: Fingerprints of a bucket beyond which it is cut into parts.
 CELL = 1024
@@ -209,3 +211,35 @@ def near_duplicates(df: DataFrame, shingle: int = 4, radius: int = 4, id_col: st
     found = components(links(reps.where("rep is not null"), radius).unionByName(own))
     named = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return (fp.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def _numbered(shingle: int):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("simhash")
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in slices(batch):
+                fp = [fingerprint(shingle_hashes(x, shingle)) for x in part.column(1).to_pylist()]
+                yield pa.record_batch([part.column(0), pa.array(fp, pa.int64()), pa.array(np.arange(row, row + len(fp))), part.column(2)],
+                                      names=["doc_id", "fp", "row", "carried"])
+                row += len(fp)
+
+    return run
+
+
+def one_of_each(df: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``df``, one of each group of rows whose fingerprints are linked: the one with the smallest id (null last); of several
+    with that id the one whose text has the smallest hash.
+
+    Rows count, not ids: different texts that share an id, or have none, are judged each by itself. Rows are numbered as they are
+    written with their fingerprints; only numbers, ids and fingerprints are grouped."""
+    small_batches(df.sparkSession)
+    rows = df.select(*texts_columns(id_col, text_col), F.struct(*[F.col(c) for c in df.columns]).alias("carried"))
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "fp", "row")), rows.schema["carried"]])
+    at = written(rows.mapInArrow(_numbered(shingle), schema), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(F.col(f"carried.{text_col}")).alias("hash"), "row")
+    first = written(at.select("fp", order.alias("first")).groupBy("fp").agg(F.min("first").alias("first")), "simhash")
+    found = components(links(first.select("fp", F.col("fp").alias("rep")), radius))
+    stays = first.join(found, first["fp"] == found["node"], "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+    stays = written(stays.select(F.col("first.row").alias("row")), "simhash")
+    return at.join(stays.hint("merge"), "row", "left_semi").select(*[F.col("carried").getField(c).alias(c) for c in df.columns])

@@ -1,9 +1,12 @@
 import hashlib
+import random
 
 import numpy as np
+from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from martline.session import scratch_path
 from martline.llm import quality, repeats, simhash
 from tests.llm.helpers import TOKENIZER
 from tests.llm.test_dedup import brute_groups, brute_repeats
@@ -48,6 +51,22 @@ def test_odd_rows_pass_through(spark):
 
     df = docs(spark)
     assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()} <= {r.doc_id for r in df.collect()}
+    path = scratch_path(spark, "test")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    every = corpus_pipeline.keep_good(spark, df, path)  # nothing to go by: all rows stay, repeated and null ids too
+    assert sorted(map(str, every.collect())) == sorted(map(str, df.collect()))
     out = corpus_pipeline.drop_repeats(spark, df, "")
     assert out.columns == df.columns and out.count() == df.count()
     assert all(m for m in (quality, repeats, simhash, check_packing))
+
+
+def test_rows_are_judged_not_ids(spark):
+    """Different texts under one id or none stay, near copies of them go whatever their ids; the smallest id stays, null comes last."""
+    from tests.llm.helpers import DOCS, words
+
+    rng = random.Random(5)
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    rows = [(1, a, "first", 1, "x"), (1, b, "other text", 2, None), (None, c, None, 3, "y"), (None, d, None, 4, None), (None, d, None, 4, None),
+            (7, a, None, 5, None), (2, d, "with an id", 6, None), (3, None, None, None, None), (4, "", None, None, None), (5, e, None, 7, None), (5, e, None, 7, None)]
+    out = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, DOCS).repartition(3), "")
+    assert sorted(map(str, out.collect())) == sorted(str(Row(*DOCS.names)(*r)) for r in (rows[0], rows[1], rows[2], rows[6], rows[7], rows[9]))
