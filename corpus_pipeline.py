@@ -16,19 +16,15 @@ from martline.llm.queries import tokenizer_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the draw keeps; rows with a null id can't be drawn and go."""
-    drawn = quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.join(drawn.where("kept").select("doc_id").hint("merge"), "doc_id", "left_semi")
+    """Rows that the draw keeps, each judged by its own text; those without an id share one draw's noise."""
+    drawn = quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=docs.columns)
+    return drawn.where("kept").select(*[F.col("carried").getField(c).alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of 4-word shingle fingerprints within 4 bits: the one with the smallest id. Rows
-    that repeat an id become one; rows with a null id go."""
-    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
-    kept = written(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    out = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")  # the same plan at every size
-    # only where ids repeat are whole rows compared
-    return out if kept.where("n > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+    """One row of each group of 4-word shingle fingerprints within 4 bits: the one with the smallest id. Texts count, not ids: a row
+    without an id, or with one that another text has too, goes only if it is a near copy."""
+    return simhash.one_of_each(docs, shingle=4, radius=4)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
