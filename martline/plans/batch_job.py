@@ -58,7 +58,7 @@ class Cleaning:
 @dataclass
 class Publishing:
     fact: bool = True
-    dimension_buckets: int | None = None  # key-bucketed dimensions: upserts write the touched buckets only
+    dimension_buckets: int | None = None  # key-bucketed dimensions: upserts shuffle the batch only
     partition_by: list[str] | None = None  # e.g. ["date_id"]: partition folders of the fact, for pruning
     dense_ids: bool = False  # True: 1..n without gaps, for one more range shuffle and a written copy
 
@@ -175,19 +175,20 @@ class SalesJob:
         return out
 
     def publish(self) -> dict[str, int]:
-        p, wh, f = self.config.publishing, self.warehouse, self.frames
-        out = {"dim_customers": wh.load_dimension_table(star.dim_customers(f["customers"]), "dim_customers", "customer_id", p.dimension_buckets),
-               "dim_products": wh.load_dimension_table(star.dim_products(f["products"]), "dim_products", "product_id", p.dimension_buckets)}
+        p, wh, f, i = self.config.publishing, self.warehouse, self.frames, self.config.inputs
+        out = {"dim_customers": wh.load_dimension_table(star.dim_customers(f["customers"]), "dim_customers", "customer_id", p.dimension_buckets, [i.customers]),
+               "dim_products": wh.load_dimension_table(star.dim_products(f["products"]), "dim_products", "product_id", p.dimension_buckets, [i.products])}
         sales = f.get("sales")
         if sales is not None and p.fact and "order_date" in sales.columns:
-            out["dim_date"] = wh.load_dimension_table(star.dim_date(sales, "order_date"), "dim_date", "date_id")
+            out["dim_date"] = wh.load_dimension_table(star.dim_date(sales, "order_date"), "dim_date", "date_id", reads=[i.orders])
             if "shipped_at" not in sales.columns:  # the DDL default: load time
                 sales = sales.withColumn("shipped_at", F.current_timestamp().cast("timestamp_ntz"))
             if wh.has_batch("fact_sales", self.report.run_id) if wh.exists("fact_sales") else False:
                 return {k: r.get("rows_upserted", r.get("rows_loaded", 0)) for k, r in out.items()} | {"fact_sales": 0}
-            first = 1 + (wh.read("fact_sales").agg(F.max("sale_id")).first()[0] or 0 if wh.exists("fact_sales") else 0)
+            first = 1 + (wh.largest("fact_sales", "sale_id") or 0 if wh.exists("fact_sales") else 0)
             fact = star.fact_sales(sales, with_sale_id=True, first_id=first, dense_ids=p.dense_ids)
-            out["fact_sales"] = wh.load_fact_table(fact, "fact_sales", batch_id=self.report.run_id, partition_by=p.partition_by)
+            out["fact_sales"] = wh.load_fact_table(fact, "fact_sales", batch_id=self.report.run_id, partition_by=p.partition_by,
+                                                   high=["sale_id"], reads=[i.orders, "dim_customers", "dim_products"])
         return {k: r.get("rows_upserted", r.get("rows_loaded", 0)) for k, r in out.items()}
 
     def _snapshot(self, zone: str, name: str, saved_as: str | None = None) -> int:

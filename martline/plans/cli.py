@@ -32,7 +32,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--no-load", action="store_true")
     p.add_argument("--no-fact", action="store_true", help="load dimensions only, as the reference does")
     p.add_argument("--dim-buckets", type=int, default=None,
-                   help="create dimensions key-bucketed into N folders (upserts rewrite touched buckets only)")
+                   help="create dimensions bucketed by key into N files (upserts shuffle the batch only)")
     p.add_argument("--fact-partition-by-date", action="store_true", help="partition fact_sales by date_id")
     p.add_argument("--continue-on-error", action="store_true")
     p.add_argument("--batch-size", type=int, default=1000,

@@ -3,9 +3,12 @@
 ``<root>/<table>/v=<n>/load=<id>/`` holds one load of version n. A load becomes visible by its
 audit row: readers take only the load folders that the audit names, so a load that broke off is never seen
 and its replay (same id) overwrites what it left. An append adds a load to the current version;
-replace and upsert write the only load of version n+1. A table may be cut into hash buckets of its
-keys; its upserts write a load with the touched buckets only, which takes the place of these buckets
-in earlier loads.
+replace and upsert write the only load of version n+1. The audit row keeps the table's columns and partition columns: a
+load that doesn't fit them is refused before anything is written, and readers never ask files for a schema.
+Small loads are merged into one that names those it replaces (``merge_small``).
+
+A table may be bucketed by its keys (Spark's own bucketing, ``bucketBy``): its files are read, joined and merged without
+a shuffle.
 
 ``<root>/_audit`` has one row a load (table, version, operation, load, rows, watermark, ...), numbered in
 sequence by the writer (one writer at a time); every ``COMPACT``-th row all rows are written together, so a reader
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import logging
 import re
 import uuid
@@ -52,19 +56,20 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()), T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
     T.StructField("operation", T.StringType()), T.StructField("load", T.StringType()), T.StructField("rows", T.LongType()),
     T.StructField("loaded_at", T.TimestampType()), T.StructField("layout", T.StringType()),
-    T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("watermark_column", T.StringType()),
+    T.StructField("watermark_column", T.StringType()),
     T.StructField("watermark", T.StringType()), T.StructField("watermark_type", T.StringType()),
-    T.StructField("batch_id", T.StringType())])
+    T.StructField("batch_id", T.StringType()),
+    T.StructField("columns", T.StringType()),  # the table's schema (JSON)
+    T.StructField("partition_by", T.ArrayType(T.StringType())),
+    T.StructField("high", T.MapType(T.StringType(), T.StringType())),  # largest values observed on the write
+    T.StructField("replaces", T.ArrayType(T.StringType())),  # loads whose rows this one holds
+    T.StructField("reads", T.ArrayType(T.StringType()))])  # what the load was made from, for lineage
+#: Operations after which nothing of the table from before is read.
+STARTS = ("create", "replace", "rewrite", "drop")
 #: Audit rows after which all are written together.
 COMPACT = 50
 
 LOAD = "__load"
-BUCKET = "__bucket"
-
-
-def bucket_of(keys: Sequence[str], buckets: int) -> F.Column:
-    """Stable hash bucket of the key columns (the table's partition column)."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
 def _load_id(batch_id: str | None = None) -> str:
@@ -72,6 +77,17 @@ def _load_id(batch_id: str | None = None) -> str:
     return "l" + (uuid.uuid4().hex if batch_id is None else hashlib.sha256(batch_id.encode()).hexdigest()[:32])
 
 
+#: (type of a load's column, type of the table's): numbers that a load may have narrower.
+WIDENED = {(a, b) for kinds in (("tinyint", "smallint", "int", "bigint"), ("float", "double")) for i, a in enumerate(kinds) for b in kinds[i + 1 :]}
+
+
+def _bucketing(layout: str | None) -> tuple[list[str], int] | None:
+    if not layout:
+        return None
+    _, n, keys = layout.split(":", 2)
+    return keys.split(","), int(n)
+
+
 def create_table_sql(table: str, location: str) -> str:
     """K9 as catalog DDL (for sessions that keep a metastore), with the default load time."""
     columns = re.sub(rf"({LOADED_AT} TIMESTAMP)\b(?!_)", r"\1 DEFAULT CURRENT_TIMESTAMP", STAR_DDL[table])
@@ -167,14 +183,13 @@ class Warehouse:
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(*paths).dropDuplicates(["seq"])
 
-    def _record(self, table: str, version: int, operation: str, rows: int, load: str | None = None, layout: str | None = None,
-                buckets: Sequence[int] | None = None, watermark_column: str | None = None, watermark: str | None = None,
-                watermark_type: str | None = None, batch_id: str | None = None) -> None:
+    def _record(self, table: str, version: int, operation: str, rows: int, load: str | None = None, **more) -> None:  # noqa: ANN003
         self._state()
         base, _ = self._audit_base()
         self._seq += 1
-        row = Row(*AUDIT_SCHEMA.names)(self._seq, table, version, operation, load, rows, dt.datetime.now(dt.timezone.utc), layout,
-                                         None if buckets is None else list(buckets), watermark_column, watermark, watermark_type, batch_id)
+        values = {"seq": self._seq, "table_name": table, "version": version, "operation": operation, "load": load, "rows": rows,
+                  "loaded_at": dt.datetime.now(dt.timezone.utc)} | more
+        row = Row(*AUDIT_SCHEMA.names)(*[values.get(c) for c in AUDIT_SCHEMA.names])
         self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_audit/after={base}")
         self._rows.append(row)
         if self._seq - base >= COMPACT:
@@ -185,20 +200,23 @@ class Warehouse:
         self._rows = None
 
     def _state(self) -> list:
-        """Audit rows from each table's last rewrite on (one per live load), in sequence."""
+        """Audit rows of live loads from each table's last rewrite on, in sequence; of dropped tables the drop."""
         if self._rows is None:
             a = self.audit()
-            last = a.where(F.col("operation").isin("create", "replace", "rewrite", "drop")).groupBy("table_name").agg(F.max("seq").alias("from"))
-            self._rows = a.join(last, "table_name").where("seq >= from").select(*AUDIT_SCHEMA.names).orderBy("seq").collect()
+            last = a.where(F.col("operation").isin(*STARTS)).groupBy("table_name").agg(F.max("seq").alias("from"))
+            gone = a.select("table_name", F.explode("replaces").alias("load"))
+            self._rows = (a.join(last, "table_name").where("seq >= from").join(gone, ["table_name", "load"], "left_anti")
+                          .select(*AUDIT_SCHEMA.names).orderBy("seq").collect())
             self._seq = a.agg(F.max("seq")).first()[0] or 0
         return self._rows
 
     def _chain(self, table: str) -> list:
-        """Rows of a table since its last rewrite; none if it doesn't exist."""
+        """Rows of a table's live loads since its last rewrite; none if it doesn't exist."""
         rows = [r for r in self._state() if r.table_name == table]
-        start = max((i for i, r in enumerate(rows) if r.operation in ("create", "replace", "rewrite", "drop")), default=0)
+        start = max((i for i, r in enumerate(rows) if r.operation in STARTS), default=0)
         rows = rows[start:]
-        return [] if not rows or rows[0].operation == "drop" else rows
+        gone = {x for r in rows for x in r.replaces or ()}
+        return [] if not rows or rows[0].operation == "drop" else [r for r in rows if r.load not in gone]
 
     def _next_version(self, table: str) -> int:
         """Versions only grow, also across drop and re-create (old folders are never reused)."""
@@ -218,58 +236,87 @@ class Warehouse:
     def _layout(self, table: str) -> tuple[list[str], int] | None:
         """(keys, number of buckets) of a bucketed table."""
         chain = self._chain(table)
-        if not chain or not chain[0].layout:
-            return None
-        _, n, keys = chain[0].layout.split(":", 2)
-        return keys.split(","), int(n)
+        return _bucketing(chain[0].layout) if chain else None
+
+    def schema(self, table: str) -> T.StructType:
+        """Columns of a table, from the audit."""
+        return T.StructType.fromJson(json.loads(self._chain(table)[-1].columns))
 
-    def read(self, table: str, only_buckets: Sequence[int] | None = None) -> DataFrame:
-        """The table's live rows: of its named loads, and of a bucketed table the newest write of each bucket
-        with what was appended since. Folders are pruned by these conditions."""
+    def read(self, table: str) -> DataFrame:
+        """The table's live rows: those of the loads that the audit names."""
         chain = self._chain(table)
         if not chain:
             raise ValueError(f"table {table} not found in warehouse {self.root}")
-        layout = self._layout(table)
-        folders = [f"{self.path(table, r.version)}/{LOAD}={r.load}" for r in chain]
-        df = self.spark.read.option("basePath", self.path(table, chain[0].version)).parquet(*folders)
-        if not layout:
-            return df.drop(LOAD)
-        keep, replaced = F.lit(False), set()
-        for r in reversed(chain):
-            live = [b for b in range(layout[1]) if b not in replaced and (only_buckets is None or b in only_buckets)]
-            keep = keep | ((F.col(LOAD) == r.load) & F.col(BUCKET).isin(live))
-            replaced |= set(r.buckets or ())  # of an upsert: it holds all live rows of these buckets
-        return df.where(keep).drop(BUCKET, LOAD)
+        schema, out = self.schema(table), None
+        if chain[0].layout:  # the loads appended to a bucketed one are plain
+            out = self._bucketed(chain[0], schema)
+            chain = chain[1:]
+        if chain:
+            folders = [f"{self.path(table, r.version)}/{LOAD}={r.load}" for r in chain]
+            plain = self.spark.read.schema(schema).option("basePath", self.path(table, chain[0].version)).parquet(*folders).select(*[F.col(f"`{c}`") for c in schema.names])
+            out = plain if out is None else out.unionByName(plain)
+        return out
+
+    def _bucketed(self, row: Row, schema: T.StructType) -> DataFrame:
+        """Files of a bucketed load with their bucketing, which only a catalog table can tell Spark."""
+        keys, n = _bucketing(row.layout)
+        name, by = f"martline_{uuid.uuid4().hex}", ", ".join(f"`{k}`" for k in keys)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {n} BUCKETS "
+                       f"LOCATION '{self.path(row.table_name, row.version)}/{LOAD}={row.load}'")
+        df = self.spark.table(name)
+        df.schema  # noqa: B018  the plan is resolved while the name is there
+        self.spark.sql(f"DROP TABLE {name}")  # files of a table with a location stay
+        return df
 
     # ---- writing --------------------------------------------------------------------
     def _publish(self, df: DataFrame, table: str, version: int, operation: str, watermark_column: str | None = None,
                  batch_id: str | None = None, partition_by: Sequence[str] | None = None, layout: str | None = None,
-                 buckets: Sequence[int] | None = None, record_empty: bool = True, extra_metrics: Sequence = ()) -> int:
+                 record_empty: bool = True, high: Sequence[str] = (), **more) -> int:  # noqa: ANN003
         """Write one load folder, then name it in the audit. A batch's folder is called after the batch, so a
-        replay replaces what an earlier attempt wrote. Rows and watermark are observed on the write."""
+        replay replaces what an earlier attempt wrote. Rows, watermark and largest values are observed on the write."""
         load = _load_id(batch_id)
-        rows = self._write(df, table, version, load, watermark_column, partition_by, layout, extra_metrics)
-        wm_col = watermark_column if watermark_column in df.columns else None
+        rows = self._write(df, table, version, load, watermark_column, partition_by, layout, high)
         if rows or record_empty:
-            self._record(table, version, operation, rows, load, layout, buckets, wm_col, self.last_metrics.get("wm"),
-                         df.schema[wm_col].dataType.simpleString() if wm_col else None, batch_id)
+            wm_col = watermark_column if watermark_column in df.columns else None
+            top = {c: self.last_metrics.get(f"high_{c}") for c in high if self.last_metrics.get(f"high_{c}") is not None}
+            self._record(table, version, operation, rows, load, layout=layout, watermark_column=wm_col, watermark=self.last_metrics.get("wm"),
+                         watermark_type=df.schema[wm_col].dataType.simpleString() if wm_col else None, batch_id=batch_id,
+                         columns=df.schema.json(), partition_by=list(partition_by or []) or None, high=top or None, **more)
         return rows
 
     def _write(self, df: DataFrame, table: str, version: int, load: str, watermark_column: str | None = None,
-               partition_by: Sequence[str] | None = None, layout: str | None = None, extra_metrics: Sequence = ()) -> int:
+               partition_by: Sequence[str] | None = None, layout: str | None = None, high: Sequence[str] = ()) -> int:
         obs = Observation(f"load_{table}_{load}_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count(F.lit(1)).alias("rows"), *extra_metrics]
+        metrics = [F.count(F.lit(1)).alias("rows"), *(F.max(c).cast("string").alias(f"high_{c}") for c in high if c in df.columns)]
         if watermark_column and watermark_column in df.columns:
             metrics.append(F.max(F.col(watermark_column)).cast("string").alias("wm"))
-        folders = list(partition_by or [])
-        if layout:
-            _, n, keys = layout.split(":", 2)
-            df, folders = df.withColumn(BUCKET, bucket_of(keys.split(","), int(n))), [BUCKET, *folders]
+        folder = f"{self.path(table, version)}/{LOAD}={load}"
         w = df.observe(obs, *metrics).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (w.partitionBy(*folders) if folders else w).parquet(f"{self.path(table, version)}/{LOAD}={load}")
+        if layout:
+            keys, n = _bucketing(layout)
+            gone = self.spark._jvm.org.apache.hadoop.fs.Path(folder)  # of an attempt that broke off
+            gone.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(gone, True)
+            name = f"martline_{uuid.uuid4().hex}"
+            w.bucketBy(n, *keys).sortBy(*keys).option("path", folder).format("parquet").saveAsTable(name)
+            self.spark.sql(f"DROP TABLE {name}")
+        else:
+            (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
         self.last_metrics = obs.get
         return int(self.last_metrics["rows"])
 
+    def _fitted(self, df: DataFrame, table: str) -> DataFrame:
+        """Rows in the table's columns: absent ones null, narrower whole and floating numbers widened. Columns that the table lacks and
+        other types are refused."""
+        schema = self.schema(table)
+        own = {f.name: f.dataType for f in df.schema}
+        extra = [c for c in own if c not in schema.names]
+        other = [f"{f.name} is {f.dataType.simpleString()}, not {own[f.name].simpleString()}" for f in schema
+                 if f.name in own and own[f.name] != f.dataType and (own[f.name].simpleString(), f.dataType.simpleString()) not in WIDENED]
+        if extra or other:
+            raise ValueError(f"load doesn't fit table {table}: " + "; ".join([f"no column {c}" for c in extra] + other))
+        return df.select(*[(F.col(f"`{f.name}`") if f.name in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
     def _with_load_time(self, df: DataFrame, table: str) -> DataFrame:
         """The DDL's default: a load into a star table that leaves the load time out gets the time of loading."""
         return df.withColumn(LOADED_AT, self._defaults(table)[LOADED_AT]) if LOADED_AT not in df.columns and self._defaults(table) else df
@@ -277,7 +324,7 @@ class Warehouse:
     def _defaults(self, table: str) -> dict[str, Column]:
         if table not in STAR_DDL or not self.exists(table):
             return {}
-        field = next((f for f in self.read(table).schema if f.name == LOADED_AT), None)
+        field = next((f for f in self.schema(table) if f.name == LOADED_AT), None)
         return {LOADED_AT: F.current_timestamp().cast(field.dataType)} if field else {}
 
     # ---- DDL ------------------------------------------------------------------------
@@ -299,20 +346,22 @@ class Warehouse:
                 self._record(t, self.version(t), "drop", 0)
 
     def create_bucketed(self, df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> dict:
-        """Create ``table`` hash-partitioned into ``buckets`` folders on ``keys``
-        (choose ``buckets`` so one folder holds ~128-512 MB)."""
+        """Create ``table`` with its rows in ``buckets`` sorted files by the hash of ``keys`` (choose ``buckets`` so that one holds
+        about 128-512 MB)."""
         if self.exists(table):
             raise ValueError(f"table {table} already exists")
-        rows = self._publish(df, table, self._next_version(table), "create", layout=f"bucketed:{buckets}:{','.join(keys)}")
+        rows = self._publish(df.repartition(buckets, *keys), table, self._next_version(table), "create", layout=f"bucketed:{buckets}:{','.join(keys)}")
         return {"rows_loaded": rows, "status": "success", "table": table}
 
     # ---- loads --------------------------------------------------------------------------
     def load(self, df: DataFrame, table: str, if_exists: str = "append", watermark_column: str | None = None,
-             batch_id: str | None = None, partition_by: Sequence[str] | None = None) -> dict:
+             batch_id: str | None = None, partition_by: Sequence[str] | None = None, high: Sequence[str] = (), reads: Sequence[str] = ()) -> dict:
         """K3: fail / replace / append; an empty frame is skipped. ``batch_id`` makes a load replay-safe: a batch that the
-        audit names is not loaded again, one that broke off before is written over.
-        ``watermark_column`` records the load's high-watermark for K6,
-        ``partition_by`` writes Hive-style partition folders (e.g. a date key) for pruning."""
+        table holds (``has_batch``) is not loaded again, one that broke off before is written over.
+        ``watermark_column`` records the load's high-watermark for K6, ``high`` the largest values of columns (``largest``).
+        ``partition_by`` writes Hive-style partition folders (e.g. a date key) for pruning; appends keep the table's, which a
+        table that is still empty takes over. An append whose columns or types don't fit the table is refused. ``reads`` names
+        what the rows were made from (tables or paths)."""
         if if_exists not in ("fail", "replace", "append"):
             raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
         if batch_id is not None and self.has_batch(table, batch_id):
@@ -321,53 +370,63 @@ class Warehouse:
         if exists and if_exists == "fail":
             raise ValueError(f"table {table} already exists")
         # One pass: write, then look at the observed count; an empty load is not named in the audit.
-        kw = {"watermark_column": watermark_column, "batch_id": batch_id, "partition_by": partition_by, "record_empty": False,
-              "layout": self._chain(table)[0].layout if exists else None}
+        kw = {"watermark_column": watermark_column, "batch_id": batch_id, "record_empty": False, "high": high, "reads": list(reads) or None}
         df = self._with_load_time(df, table)
         if exists and if_exists == "append":
-            rows = self._publish(df, table, self.version(table), "append", **kw)
+            chain, df = self._chain(table), self._fitted(df, table)
+            laid, wanted = list(chain[0].partition_by or []), list(partition_by or [])
+            if wanted and wanted != laid:
+                if any(r.rows for r in chain):
+                    raise ValueError(f"table {table} is partitioned by {laid}, not by {wanted}")
+                rows = self._publish(df, table, self._next_version(table), "rewrite", partition_by=wanted, **kw)  # still empty: laid out anew
+            else:
+                rows = self._publish(df, table, self.version(table), "append", partition_by=laid, **kw)
         else:
-            rows = self._publish(df, table, self._next_version(table), "replace" if exists else "create", **kw)
+            layout = self._chain(table)[0].layout if exists else None
+            if layout:
+                keys, n = _bucketing(layout)
+                df = df.repartition(n, *keys)
+            rows = self._publish(df, table, self._next_version(table), "replace" if exists else "create", partition_by=partition_by, layout=layout, **kw)
         if rows == 0:
             return {"rows_loaded": 0, "status": "skipped"}
         return {"rows_loaded": rows, "status": "success", "table": table}
 
     def has_batch(self, table: str, batch_id: str) -> bool:
-        """Whether the audit names the batch since the table's last rewrite; earlier ones are looked up in the audit."""
-        if any(r.batch_id == batch_id for r in self._chain(table)):
-            return True
-        return not self.audit().where((F.col("table_name") == table) & (F.col("batch_id") == batch_id)).isEmpty()
+        """Whether the table holds the batch: the audit names it, and the table was not dropped or replaced since. (A batch that a
+        replace took away may be loaded again; compaction and upserts keep what was loaded.)"""
+        a = self.audit().where(F.col("table_name") == table)
+        since = a.where(F.col("operation").isin("create", "replace", "drop")).agg(F.max("seq")).first()[0] or 0
+        return not a.where((F.col("seq") >= since) & (F.col("batch_id") == batch_id)).isEmpty()
 
     def upsert(self, df: DataFrame, table: str, conflict_columns: Sequence[str],
                update_columns: Sequence[str] | None = None, order_by: Sequence[str] | None = None,
-               only_if_newer: Sequence[str] | None = None) -> dict:
-        """K4: merge and publish. Without buckets the merged table is a new version; with buckets on the
-        conflict columns only the touched buckets are written, as a load that replaces them. The batch is read once: its
-        rows are counted while it is merged, and an empty batch is not published."""
+               only_if_newer: Sequence[str] | None = None, reads: Sequence[str] = ()) -> dict:
+        """K4: merge and publish the merged table as a new version. The batch is read once: its rows are counted while it is
+        merged, and an empty batch is not published. A table that is bucketed by the conflict columns is merged
+        bucket by bucket: only the batch is shuffled."""
         seen = Observation(f"upsert_{table}_{uuid.uuid4().hex[:8]}")
         order, newer = list(order_by or []), list(only_if_newer or [])
-        layout = self._layout(table)
         if not self.exists(table):  # first load: the deduplicated batch becomes the table
             empty = df.limit(0).select(*[c for c in df.columns if c not in order or c in conflict_columns or c in newer])
             rows = self._publish(merge_upsert(empty, df, conflict_columns, update_columns, order_by, only_if_newer), table,
-                                 self._next_version(table), "create", record_empty=False)
+                                 self._next_version(table), "create", record_empty=False, reads=list(reads) or None)
             return {"rows_upserted": rows, "status": "success", "table": table} if rows else {"rows_upserted": 0, "status": "skipped"}
-        counted, defaults = df.observe(seen, F.count(F.lit(1)).alias("rows")), self._defaults(table)
-        if layout and set(layout[0]) <= set(conflict_columns):
-            keys, n = layout
-            # the touched buckets: at most ``n`` small ints back to the driver
-            touched = sorted(r[0] for r in counted.select(bucket_of(keys, n).alias("b")).distinct().collect())
-            if not touched:
-                return {"rows_upserted": 0, "status": "skipped"}
-            merged = merge_upsert(self.read(table, touched), df, conflict_columns, update_columns, order_by, only_if_newer, defaults)
-            rows = self._publish(merged, table, self.version(table), "upsert", layout=self._chain(table)[0].layout, buckets=touched)
-            return {"rows_upserted": rows, "status": "success", "table": table, "buckets_rewritten": len(touched)}
-        merged = merge_upsert(self.read(table), counted, conflict_columns, update_columns, order_by, only_if_newer, defaults)
-        version, load, kept = self._next_version(table), _load_id(), self._chain(table)[0].layout
-        rows = self._write(merged, table, version, load, layout=kept)
+        first, schema = self._chain(table)[0], self.schema(table)
+        target = self.read(table)
+        layout = _bucketing(first.layout)
+        batch = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        if layout and layout[0] == list(conflict_columns):
+            batch = batch.repartition(layout[1], *layout[0])  # as the table's buckets are: its only shuffle
+        merged = merge_upsert(target, batch, conflict_columns, update_columns, order_by, only_if_newer, self._defaults(table))
+        merged = merged.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+        if layout and (layout[0] != list(conflict_columns) or self.loads(table) > 1):
+            merged = merged.repartition(layout[1], *layout[0])
+        version, load = self._next_version(table), _load_id()
+        rows = self._write(merged, table, version, load, partition_by=first.partition_by, layout=first.layout)
         if not int(seen.get["rows"]):
             return {"rows_upserted": 0, "status": "skipped"}  # the written folder is named nowhere
-        self._record(table, version, "rewrite", rows, load, kept)
+        self._record(table, version, "rewrite", rows, load, layout=first.layout, partition_by=first.partition_by, columns=merged.schema.json(),
+                     reads=list(reads) or None)
         return {"rows_upserted": rows, "status": "success", "table": table}
 
     def loads(self, table: str) -> int:
@@ -376,10 +435,44 @@ class Warehouse:
 
     def compact(self, df: DataFrame, table: str) -> None:
         """Replace the table's loads by one with the rows of ``df``, which are what its readers make of the loads."""
-        loads = self.loads(table)
-        rows = self._publish(df, table, self._next_version(table), "rewrite", layout=self._chain(table)[0].layout)
+        loads, first = self.loads(table), self._chain(table)[0]
+        rows = self._publish(df, table, self._next_version(table), "rewrite", layout=first.layout, partition_by=first.partition_by)
         log.info("compacted %s: %d loads to %d rows", table, loads, rows)
 
+    def merge_small(self, table: str, most: int) -> bool:
+        """If the table has ``most`` loads or more, write its newest ones together: back to the first that is over twice as large as
+        all behind it. So sizes fall by halves, loads stay few (``most`` and the logarithm of the rows), and a row is
+        written again only as often."""
+        chain = self._chain(table)
+        if len(chain) < most:
+            return False
+        at, behind = len(chain) - 1, chain[-1].rows
+        while at > (1 if chain[0].layout else 0) and chain[at - 1].rows <= 2 * behind:
+            at -= 1
+            behind += chain[at].rows
+        some = chain[at:]
+        if len(some) < 2:
+            return False
+        one = len({(r.watermark_column, r.watermark_type) for r in some}) == 1 and some[0].watermark_column
+        schema = self.schema(table)
+        rows = (self.spark.read.schema(schema).option("basePath", self.path(table, some[0].version))
+                .parquet(*[f"{self.path(table, r.version)}/{LOAD}={r.load}" for r in some]).select(*schema.names))
+        high = sorted({c for r in some for c in r.high or {}})
+        self._publish(rows, table, self.version(table), "merge", partition_by=some[0].partition_by, watermark_column=one or None, high=high,
+                      replaces=[r.load for r in some])
+        return True
+
+    def largest(self, table: str, column: str):  # noqa: ANN201
+        """Largest value of a column: from the audit where every live load observed it (``high``), otherwise one scan of the column."""
+        chain = [r for r in self._chain(table) if r.rows]
+        if not chain:
+            return None
+        kind = self.schema(table)[column].dataType.simpleString()
+        if all(column in (r.high or {}) for r in chain):
+            typed = self.spark.createDataFrame([(r.high[column],) for r in chain], "w string")
+            return typed.agg(F.max(F.col("w").cast(kind))).first()[0]
+        return self.read(table).agg(F.max(column)).first()[0]
+
     def watermark(self, table: str, timestamp_column: str):
         """K6: MAX(ts) of the target; None if there is no such table. A column that the table lacks is an error.
 
@@ -388,6 +481,7 @@ class Warehouse:
         chain = self._chain(table)
         if not chain:
             return None
+        chain = [r for r in chain if r.rows] or chain
         if all(r.watermark_column == timestamp_column for r in chain) and len({r.watermark_type for r in chain}) == 1:
             typed = self.spark.createDataFrame([(r.watermark,) for r in chain], "w string")
             return typed.agg(F.max(F.col("w").cast(chain[0].watermark_type))).first()[0]
@@ -411,19 +505,20 @@ class Warehouse:
             return res
         return {"rows_loaded": 0, "status": "skipped" if int(seen.get["rows_in"]) == 0 else "no_new_data"}
 
-    def load_dimension_table(self, df: DataFrame, table: str, key_column: str, buckets: int | None = None) -> dict:
+    def load_dimension_table(self, df: DataFrame, table: str, key_column: str, buckets: int | None = None, reads: Sequence[str] = ()) -> dict:
         """K7: type-1 dimension load = upsert on the key. With ``buckets``, a new
-        dimension is created key-bucketed so later upserts write touched buckets only."""
+        dimension is created key-bucketed so that later upserts shuffle the batch only."""
         if buckets and not self.exists(table):
             first = merge_upsert(df.limit(0), df, [key_column])
             return self.create_bucketed(first, table, [key_column], buckets)
-        return self.upsert(df, table, [key_column])
+        return self.upsert(df, table, [key_column], reads=reads)
 
     def load_fact_table(self, df: DataFrame, table: str, watermark_column: str | None = "created_at",
-                        batch_id: str | None = None, partition_by: Sequence[str] | None = None) -> dict:
+                        batch_id: str | None = None, partition_by: Sequence[str] | None = None, high: Sequence[str] = (),
+                        reads: Sequence[str] = ()) -> dict:
         """K8: append only (records the ``created_at`` high-watermark when present)."""
         return self.load(df, table, "append", watermark_column=watermark_column, batch_id=batch_id,
-                         partition_by=partition_by)
+                         partition_by=partition_by, high=high, reads=reads)
 
     def tables(self) -> list[str]:
         return sorted({r.table_name for r in self._state() if self.exists(r.table_name)})

@@ -85,30 +85,94 @@ def test_drop_and_recreate_uses_new_version(spark):
     assert wh2.version("dim_customers") == 2 and wh2.read("dim_customers").count() == 0
 
 
-def test_bucketed_upsert_rewrites_touched_buckets_only(spark):
+def test_bucketed_upsert_shuffles_the_batch_only(spark):
     wh = Warehouse(spark, tmpdir())
     base = spark.range(0, 200).selectExpr("id", "concat('n', id) AS name", "CAST(id AS DOUBLE) AS price")
     wh.create_bucketed(base, "dim", ["id"], 16)
     batch = spark.createDataFrame([(5, "five", 50.0), (5, "FIVE", 55.0), (500, "new", 1.0)],
                                   "id BIGINT, name STRING, price DOUBLE")
-    res = wh.upsert(batch, "dim", ["id"])
-    assert res["buckets_rewritten"] <= 2
+    plan = merge_upsert(wh.read("dim"), batch.repartition(16, "id"), ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert wh.upsert(batch, "dim", ["id"])["rows_upserted"] == 201
     out = {r.id: (r.name, r.price) for r in wh.read("dim").collect()}
     assert len(out) == 201 and out[500] == ("new", 1.0) and out[7] == ("n7", 7.0)
     assert out[5] in {("five", 50.0), ("FIVE", 55.0)}
-    assert "__bucket" not in wh.read("dim").columns
     wh.upsert(batch, "dim", ["id"])
     assert wh.read("dim").count() == 201          # idempotent
     wh.load(spark.createDataFrame([(900, "app", 1.0)], "id BIGINT, name STRING, price DOUBLE"), "dim", "append")
-    assert wh.read("dim").count() == 202          # append and replace keep to the layout
+    assert wh.read("dim").count() == 202
     wh.upsert(spark.createDataFrame([(900, "app2", 2.0)], "id BIGINT, name STRING, price DOUBLE"), "dim", ["id"])
     out = {r.id: r.name for r in Warehouse(spark, wh.root).read("dim").collect()}
     assert len(out) == 202 and out[900] == "app2" and out[500] == "new"
     wh.load(base.limit(3), "dim", "replace")
     assert wh.read("dim").count() == 3 and wh._layout("dim") == (["id"], 16)
+    assert wh.read("dim").groupBy("id").count().count() == 3
     wh._record("dim", wh.version("dim"), "drop", 0)
     wh.create_bucketed(base, "dim", ["id"], 4)    # a dropped table can be made again
-    assert wh.read("dim").count() == 200
+    assert wh.read("dim").count() == 200 and not [t for t in spark.catalog.listTables() if t.name.startswith("martline")]
+
+
+def test_batches_of_dropped_and_replaced_tables_load_again(spark):
+    """After a drop or a replace the table does not hold the batch any more; a merge, an upsert and a compaction keep it."""
+    root = tmpdir()
+    wh = Warehouse(spark, root)
+    df = spark.range(10).selectExpr("id AS sale_id", "CAST(id AS INT) AS quantity", "CAST(1.5 AS DECIMAL(10,2)) AS unit_price", "CAST(2 AS DECIMAL(10,2)) AS total_amount")
+    for make in (Warehouse(spark, root).create_star_schema, lambda: None):
+        make()
+        wh.refresh()
+        assert wh.load_fact_table(df, "fact_sales", batch_id="b")["rows_loaded"] == 10
+        assert Warehouse(spark, root).load_fact_table(df, "fact_sales", batch_id="b")["status"] == "duplicate_batch"
+        assert wh.read("fact_sales").count() == 10
+        wh.drop_star_schema()
+    assert wh.load_fact_table(df, "fact_sales", batch_id="b")["rows_loaded"] == 10
+    wh.load(df.limit(1), "fact_sales", "replace", batch_id="r")
+    assert wh.load_fact_table(df, "fact_sales", batch_id="b")["rows_loaded"] == 10 and wh.read("fact_sales").count() == 11
+    wh.compact(wh.read("fact_sales"), "fact_sales")
+    wh.upsert(df.limit(2), "fact_sales", ["sale_id"])
+    for b in ("b", "r"):
+        assert Warehouse(spark, root).load_fact_table(df, "fact_sales", batch_id=b)["status"] == "duplicate_batch"
+
+
+def test_loads_that_do_not_fit_are_refused(spark):
+    wh = Warehouse(spark, tmpdir())
+    wh.load(spark.createDataFrame([(1, 1.0)], "i BIGINT, x DOUBLE"), "t")
+    for other, said in (("i BIGINT, x STRING", "x is double, not string"), ("i BIGINT, y DOUBLE", "no column y"), ("i DOUBLE, x DOUBLE", "i is bigint")):
+        with pytest.raises(ValueError, match=said):
+            wh.load(spark.createDataFrame([], other), "t", "append")
+    wh.load(spark.createDataFrame([(2,)], "i INT"), "t", "append")  # narrower, and without x
+    assert rows(Warehouse(spark, wh.root).read("t"), "i") == [(1, 1.0), (2, None)]
+    wh.load(spark.createDataFrame([("a",)], "s STRING"), "t", "replace")  # a replace may change the columns
+    assert wh.read("t").columns == ["s"] and wh.loads("t") == 1
+
+
+def test_partitioned_facts_in_any_order_of_calls(spark):
+    df = spark.createDataFrame([(1, 20240101, 2), (2, 20240102, 3)], "sale_id BIGINT, date_id INT, quantity INT")
+    for partition in (["date_id"], None):
+        wh = Warehouse(spark, tmpdir())
+        wh.create_star_schema()
+        wh.load_fact_table(df, "fact_sales", partition_by=partition)
+        wh.load_fact_table(df, "fact_sales")                       # keeps the layout
+        wh.load_fact_table(df, "fact_sales", partition_by=partition)
+        if not partition:
+            with pytest.raises(ValueError, match="partitioned by"):
+                wh.load_fact_table(df, "fact_sales", partition_by=["date_id"])
+        got = Warehouse(spark, wh.root).read("fact_sales")
+        assert got.columns == [c.split()[0] for c in warehouse.STAR_DDL["fact_sales"].replace("10,2", "10").split(", ")]
+        assert got.where("date_id = 20240102").count() == 3 and got.count() == 6 and dict(got.dtypes)["date_id"] == "int"
+        wh.upsert(spark.createDataFrame([(1, 20240105, 9)], df.schema), "fact_sales", ["sale_id"])
+        assert wh.read("fact_sales").where("quantity = 9 and date_id = 20240105").count() == 3
+
+
+def test_small_loads_are_merged(spark):
+    wh = Warehouse(spark, tmpdir())
+    for i in range(20):
+        wh.load(spark.range(i * 10, i * 10 + 10).selectExpr("id", "CAST(id AS STRING) AS w"), "t", "append", watermark_column="id", batch_id=f"b{i}", high=["id"])
+        wh.merge_small("t", 4)
+        assert wh.loads("t") < 9
+    again = Warehouse(spark, wh.root)
+    assert again.loads("t") == wh.loads("t") and sorted(r.id for r in again.read("t").collect()) == list(range(200))
+    assert again.has_batch("t", "b0") and again.watermark("t", "id") == 199 == again.largest("t", "id")
+    assert again.largest("t", "w") == "99"
 
 
 def test_recorded_watermark_and_replayed_batches(spark):
