@@ -48,7 +48,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.array_join(F.transform(turns, lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return out.select("conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-                      F.length("formatted").cast("long").alias("formatted_chars"))
+                      F.length("formatted").cast("long").alias("formatted_chars"), "valid", F.col("bad_turn").cast("long").alias("bad_turn"))
 
 
 SQL["op5_chat"] = rf"""
@@ -56,15 +56,21 @@ WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '{FORGED}'), (-1, 1, 'assistant', '{FORGED}')
 ), sized AS (
-  SELECT *, 12 + length(role) + len(regexp_extract_all(role, '<\\*\|')) + 1
+  SELECT *, row_number() OVER w AS place, lag(role) OVER w AS before, lead(role) OVER w IS NULL AS last,
+    12 + length(role) + len(regexp_extract_all(role, '<\\*\|')) + 1
     + length(text) + len(regexp_extract_all(text, '<\\*\|')) + 11 AS n FROM rows
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), moved AS (
+  SELECT *, CASE WHEN (coalesce(before, 'start'), role) IN (('start', 'system'), ('start', 'user'), ('system', 'user'), ('user', 'assistant'),
+    ('assistant', 'user'), ('assistant', 'tool'), ('tool', 'assistant')) THEN NULL ELSE place END AS refused FROM sized
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(n)::BIGINT AS formatted_chars
-FROM sized GROUP BY conv_id"""
+  sum(n)::BIGINT AS formatted_chars,
+  count(refused) = 0 AND bool_or(last AND role = 'assistant') AS valid, coalesce(min(refused), 0)::BIGINT AS bad_turn
+FROM moved GROUP BY conv_id"""
 
 
 @query
