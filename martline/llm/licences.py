@@ -7,12 +7,14 @@ match, so they count as larger than all others, on either side. A run of ``GRAM
 template is always found. Templates under ``SHORT`` words may have no such run: all their word pairs are looked up at every place
 of the text, without winnowing.
 
-Fingerprints found are chained by diagonal; around each chain a banded local alignment (a match 2, else -1) finds how
-many of the template's words are matched in order and where in the text.
+Fingerprints found are taken in the order of the text, those that can belong to one occurrence together; around each such cluster a banded
+local alignment (a match 2, else -1) finds how many of the template's words are matched in order and where in the text. Reading goes on
+behind a match, so a text that repeats a notice many times takes time in proportion to its length.
 """
 
 from __future__ import annotations
 
+from bisect import bisect, insort
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,7 +30,7 @@ GRAM, WINDOW, BAND, SHORT = 3, 3, 8, 20
 MAX_WORDS = 200_000
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 
-#: Common notices and headers, by a short name.
+#: Common notices, headers and whole licences, by a short name; names that end in -grant or -conditions stand for a licence's first part.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0",
     "apache-2.0-header": (
@@ -38,6 +40,15 @@ TEMPLATES = {
         "express or implied. See the License for the specific language governing permissions and limitations under the License."),
     "mit-notice": "Released under the MIT License",
     "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+        "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+        "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES "
+        "OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+        "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "mit-grant": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
         "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
         "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
@@ -47,11 +58,23 @@ TEMPLATES = {
     "gpl-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
         "Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that "
-        "it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+        "it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. "
+        "If not, see https://www.gnu.org/licenses/."),
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0",
     "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
     "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS "
+        "IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+        "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+        "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    "bsd-2-clause-conditions": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
         "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
@@ -101,32 +124,59 @@ class Index:
         at = at[~odd[at]]
         return list(zip(at.tolist(), h[at].tolist(), strict=True))
 
-    def chains(self, ids: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(template, first and last place in the text, smallest and greatest diagonal) of fingerprints chained within a band."""
-        seeds = [(k, at - there, at) for at, h in self.winnow(ids) if h in self.places for k, there in self.places[h]]
+    def seeds(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """By template: (place in the text, diagonal) of shared fingerprints, in the order of the text."""
+        found: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        for at, h in self.winnow(ids):
+            for k, there in self.places.get(h, ()):
+                found[k].add((at, at - there))
         known = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
         for at, a, b in zip(known.tolist(), ids[known].tolist(), ids[known + 1].tolist(), strict=True):
-            seeds += [(k, at - there, at) for k, there in self.pairs.get((a, b), ())]
-        seeds.sort()
-        out: list[list[int]] = []
-        for k, diagonal, at in seeds:
-            last = out[-1] if out else None
-            if last and last[0] == k and diagonal - last[3] <= BAND:
-                last[1:] = [min(last[1], at), max(last[2], at), last[3], diagonal]
-            else:
-                out.append([k, at, at, diagonal, diagonal])
-        return [tuple(x) for x in out]
-
-    def align(self, ids: list[int], chain: tuple[int, int, int, int, int]) -> tuple[int, int, int]:
-        """(matched words, first word, word behind the last) of the best local alignment within the band."""
-        k, _, _, low, high = chain
+            for k, there in self.pairs.get((a, b), ()):
+                found[k].add((at, at - there))
+        return {k: sorted(v) for k, v in found.items()}
+
+    def template_matches(self, k: int, seeds: list[tuple[int, int]], ids: list[int], least: float) -> list[tuple[int, int, int]]:
+        """(first word, word behind the last, matched words) of one template's matches, none overlapping.
+
+        Seeds are taken in the order of the text. One and those that go on from it (no further on than the template is long, on
+        diagonals within a band of the one before) are a cluster, which is aligned once, between the matches that are there already.
+        A cluster without a match is done with: its band holds every alignment through its seeds. So a seed is aligned once, or lies in
+        a match, and the work grows with the text, however often it repeats."""
+        size, done, taken = len(self.ids[k]), [False] * len(seeds), []
+        for i, (at, diagonal) in enumerate(seeds):
+            while not done[i]:
+                p = bisect(taken, (at, len(ids) + 1))
+                lo, hi = taken[p - 1][1] if p else 0, taken[p][0] if p < len(taken) else len(ids)
+                if at < lo:  # in a match
+                    break
+                cluster, low, high, last, j = [i], diagonal, diagonal, diagonal, i + 1
+                while j < len(seeds) and seeds[j][0] < min(hi, diagonal + size + BAND):
+                    if not done[j] and abs(seeds[j][1] - last) <= BAND:
+                        cluster.append(j)
+                        last = seeds[j][1]
+                        low, high = min(low, last), max(high, last)
+                    j += 1
+                if lo <= diagonal <= hi - size and ids[diagonal : diagonal + size] == self.ids[k]:
+                    matched, a, b = size, diagonal, diagonal + size  # no alignment is better
+                else:
+                    matched, a, b = self.align(ids, k, low - BAND, high + BAND, lo, hi)
+                if matched and matched / size >= least:
+                    insort(taken, (a, b, matched))
+                else:
+                    for j in cluster:
+                        done[j] = True
+        return taken
+
+    def align(self, ids: list[int], k: int, low: int, high: int, lo: int, hi: int) -> tuple[int, int, int]:
+        """(matched words, first word, word behind the last) of the best local alignment of a template with words lo to hi of the text,
+        on diagonals from ``low`` to ``high``."""
         template = self.ids[k]
-        low, high = low - BAND, high + BAND
         best = (0, 0, 0, 0)  # score, matched, start, end
         before: dict[int, tuple[int, int, int]] = {}  # place behind in the text -> score, matched, start
         for i, w in enumerate(template):
             row: dict[int, tuple[int, int, int]] = {}
-            for j in range(max(0, i + low), min(len(ids), i + high + 1)):
+            for j in range(max(lo, i + low), min(hi, i + high + 1)):
                 s, m, a = before.get(j, (0, 0, j))
                 cell = (s + 2, m + 1, a) if ids[j] == w else (s - 1, m, a)
                 up = before.get(j + 1)
@@ -143,27 +193,12 @@ class Index:
         return best[1:]
 
     def matches(self, text: str, least: float) -> list[tuple[str, int, int, float, int, int]]:
-        """(template, matched, words, coverage, start, end) with character offsets; of overlapping matches of a
-        template the best."""
+        """(template, matched, words, coverage, start, end) with character offsets; matches of one template don't overlap."""
         get = self.word.get
         words = [get(w, 0) for w in _WORD.findall(text.lower())]
         if len(words) < 2 or not any(words):
             return []
-        found = []
-        for chain in self.chains(np.array(words, np.int64)):
-            left = words
-            while True:  # a band may hold a short template more than once
-                matched, a, b = self.align(left, chain)
-                if not matched or matched / len(self.ids[chain[0]]) < least:
-                    break
-                found.append((chain[0], -matched, b - a, a, b))
-                left = [*left[:a], *[0] * (b - a), *left[b:]]
-        taken: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        out = []
-        for k, minus, _, a, b in sorted(found):
-            if all(b <= x or a >= y for x, y in taken[k]):
-                taken[k].append((a, b))
-                out.append((k, -minus, a, b))
+        out = [(k, m, a, b) for k, seeds in self.seeds(np.array(words, np.int64)).items() for a, b, m in self.template_matches(k, seeds, words, least)]
         if not out:
             return []
         spans = [m.span() for m in _WORD.finditer(text)] if text.isascii() else _spans(text)
@@ -186,8 +221,8 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, least: float =
     template's words, with character offsets into the text.
 
     Null and empty texts and those without a match give no rows; rows that repeat give their matches each; a null id
-    stays null; an empty table gives no rows. Of matches of one template that overlap, the one with most words
-    (then the shorter, then the first) stays. Templates of one word are never found. Narrow."""
+    stays null; an empty table gives no rows. Matches of one template don't overlap: where they could, the alignment with the best score
+    (the first of several) takes its words, and what is left beside it is aligned again. Templates of one word are never found. Narrow."""
     small_batches(df.sparkSession)
     chosen = TEMPLATES if templates is None else templates
     Index(chosen)  # an error in the templates shows here, not in a task
