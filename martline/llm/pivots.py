@@ -88,7 +88,7 @@ def roots(n: int, i: np.ndarray, j: np.ndarray, root: np.ndarray) -> np.ndarray:
 
 def _verify(t: pa.Table, least: float) -> pa.RecordBatch:
     """Numbers of links (other null) and joining links (n = 0) of whole cells."""
-    dim = max((len(x) for x in t["v"].to_pylist()[:1]), default=1)
+    dim = len(t["v"][0]) if t.num_rows else 1
     ids, copies = t["id"].to_numpy(), t["copies"].to_numpy()
     key = np.stack([t[c].to_numpy().astype(np.int64) for c in ("label", "a", "b", "cell")])
     change = np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))
