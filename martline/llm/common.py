@@ -86,11 +86,39 @@ def written(df: DataFrame, name: str, group_rows: int | None = None) -> DataFram
     """Write to the shared checkpoint folder and read back: cuts lineage, survives lost executors. ``group_rows``: rows of a row
     group at most, for rows of blobs, as writers and readers hold a group in memory."""
     path = scratch_path(df.sparkSession, name)
+    for t in _TRACKS:
+        t.paths.append(path)
     w = df.write if group_rows is None else df.write.option("parquet.block.row.count.limit", group_rows)
     w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Tracked:
+    """Scratch tables written by ``written`` while it is active; ``clear`` deletes them, but none that a frame still reads."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Tracked:
+        _TRACKS.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:  # noqa: ANN002
+        _TRACKS.remove(self)
+
+    def clear(self, spark: SparkSession, needed: DataFrame) -> None:
+        read = [f.split(":", 1)[-1].replace("//", "/") for f in needed.inputFiles()] if self.paths else []
+        for path in list(self.paths):
+            plain = path.split(":", 1)[-1].replace("//", "/")
+            if not any(f.startswith(f"{plain}/") for f in read):
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+                self.paths.remove(path)
+
+
+_TRACKS: list[Tracked] = []
+
+
 def discard(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files behind a frame made by ``written`` (only below the checkpoint folder)."""
     root = checkpoint_root(spark).split(":", 1)[-1].replace("//", "/")

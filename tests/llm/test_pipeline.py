@@ -70,3 +70,21 @@ def test_rows_are_judged_not_ids(spark):
             (7, a, None, 5, None), (2, d, "with an id", 6, None), (3, None, None, None, None), (4, "", None, None, None), (5, e, None, 7, None), (5, e, None, 7, None)]
     out = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, DOCS).repartition(3), "")
     assert sorted(map(str, out.collect())) == sorted(str(Row(*DOCS.names)(*r)) for r in (rows[0], rows[1], rows[2], rows[6], rows[7], rows[9]))
+
+
+def test_scratch_tables_go_with_the_next_stage(spark):
+    """What a stage left is deleted when the next one begins, unless that one still reads it."""
+    import os
+
+    from martline.llm.common import Tracked, written
+    from tests.llm.helpers import docs
+
+    scratch = Tracked()
+    with scratch:
+        a, b = written(docs(spark), "tracked"), written(docs(spark), "tracked")
+    other = written(docs(spark), "untracked")
+    paths = list(scratch.paths)
+    assert len(paths) == 2
+    scratch.clear(spark, a)
+    assert [os.path.exists(p.split(":", 1)[-1] if p.startswith("file:") else p) for p in paths] == [True, False]
+    assert a.count() == other.count() and b is not None
