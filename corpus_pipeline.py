@@ -7,11 +7,13 @@ predecessor kept.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.llm import packing, quality, repeats, simhash
-from martline.llm.common import written
+from martline.llm.common import Tracked, discard, written
 from martline.llm.queries import tokenizer_path
 
 
@@ -43,8 +45,24 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False, keep_words=150_000).drop("ids")
 
 
-STAGES = [("quality classifier", keep_good), ("SimHash near-dedup", drop_near_copies),
-          ("suffix-array dedup", drop_repeats), ("packing", pack)]
+_SCRATCH: dict[str, Tracked] = {}
+
+
+def _tidy(stage):  # noqa: ANN001, ANN202
+    """A stage that first deletes what earlier ones left in the scratch folder; a table that its own docs still read stays."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        scratch = _SCRATCH.setdefault(spark.sparkContext.applicationId, Tracked())
+        scratch.clear(spark, docs)
+        with scratch:
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [("quality classifier", _tidy(keep_good)), ("SimHash near-dedup", _tidy(drop_near_copies)),
+          ("suffix-array dedup", _tidy(drop_repeats)), ("packing", _tidy(pack))]
 
 #: The stages need tokenizers, hashes and trained models, which SQL can't express.
 ORACLE_SQL = None
@@ -54,5 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents table; each stage's rows are written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(spark, before)  # nothing but tables of the scratch folder
     return STAGES[-1][1](spark, docs, sf_dir)
