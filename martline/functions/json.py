@@ -9,6 +9,7 @@ schema inference as a distributed aggregate, and flattening to dotted names.
 * ``rows_of``          document -> record variants: array -> its elements,
                        object -> itself, ``{"records": [...]}`` unwrap,
                        dict-of-dicts (orient='index') -> entries; scalars raise.
+* ``unnest``           a list column -> one row per element, on request.
 """
 
 from __future__ import annotations
@@ -164,3 +165,14 @@ def records_to_frame(df: DataFrame, record: str = "__rec", keep: Sequence[str] =
         out = df.select(*keep, F.variant_get(F.col(record), "$", ddl(schema)).alias("__obj"))
         return flatten(out.select(*keep, "__obj.*"))
     return df.select(*keep, F.variant_get(F.col(record), "$", ddl(schema)).alias("value"))
+
+
+def unnest(df: DataFrame, column: str, position: str | None = None, keep_empty: bool = True) -> DataFrame:
+    """One row per element of a list column, which takes the element's value; ``position`` names a column for its place from 0. With
+    ``keep_empty`` rows with a null or empty list stay once, with null for both; without it they go. Narrow."""
+    if column not in df.columns or not isinstance(df.schema[column].dataType, T.ArrayType):
+        raise ValueError(f"{column!r} is not a list column")
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    out = df.select(*[F.col(_q(c)) for c in df.columns if c != column], explode(F.col(_q(column))).alias("__at", "__element"))
+    keep = [F.col("__element").alias(c) if c == column else F.col(_q(c)) for c in df.columns]
+    return out.select(*keep, *([F.col("__at").alias(position)] if position else []))

@@ -88,6 +88,10 @@ def fill_ordered(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
         return df
     keys = list(partition_by)
     original = df.columns
+    if any("." in c or "`" in c for c in original):  # names that paths would be read from: others while the work is done
+        safe = {c: f"__c{i}" for i, c in enumerate(original)}
+        return fill_ordered(df.toDF(*safe.values()), [safe[c] for c in cols], [safe[c] for c in order_by], [safe[c] for c in keys],
+                            direction, num_partitions).toDF(*original)
     added_key = False
     if not keys:
         df = df.withColumn("__k", F.lit(0))

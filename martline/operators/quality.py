@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martline.operators.ordered import grouped_exact_median
+
 # Type families accepted by the schema check.
 TYPE_FAMILIES: dict[str, tuple[type, ...]] = {
     "int": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
@@ -70,6 +72,22 @@ def python_rule(column: str, fn: Callable, name: str | None = None) -> Column:
     return _check(F.col(_q(column)))
 
 
+def python_rule_error(column: str, fn: Callable) -> Column:
+    """What a Python rule raised for a value, as text; null where it gave an answer. For ``rule_violations(errors=...)``."""
+
+    @F.pandas_udf(T.StringType())
+    def _said(s: pd.Series) -> pd.Series:
+        def said(v):
+            try:
+                fn(None if not isinstance(v, (list, dict)) and pd.isna(v) else v)
+            except Exception as e:  # noqa: BLE001 - whatever the rule raises is reported
+                return f"{type(e).__name__}: {e}"
+            return None
+        return s.map(said).astype(object)
+
+    return _said(F.col(_q(column)))
+
+
 def violation(rule: str | Column) -> Column:
     """TRUE when the row breaks the rule (FALSE or NULL predicate)."""
     return F.coalesce(~rule_column(rule), F.lit(True))
@@ -157,8 +175,15 @@ def rule_counts(df: DataFrame, rules: Mapping[str, str | Column]) -> DataFrame:
     return agg.select(F.inline(F.array(*entries)))
 
 
-def rule_violations(df: DataFrame, rules: Mapping[str, str | Column], key_columns: Sequence[str]) -> DataFrame:
-    """Violating rows: rule column, the row key columns, the value as text."""
+def rule_violations(df: DataFrame, rules: Mapping[str, str | Column], key_columns: Sequence[str],
+                    errors: Mapping[str, Callable] | None = None) -> DataFrame:
+    """Violating rows: rule column, the row key columns, the value as text. ``errors`` names the Python functions behind rules made by
+    ``python_rule``: a column ``error`` then says what a function raised for the value (null: it was simply broken)."""
+    if errors:
+        out = rule_violations(df.withColumns({f"__e_{c}": python_rule_error(c, fn) for c, fn in errors.items()}), rules,
+                              [*key_columns, *[f"__e_{c}" for c in errors]])
+        said = F.coalesce(*[F.when(F.col("column") == c, F.col(_q(f"__e_{c}"))) for c in errors], F.lit(None).cast("string"))
+        return out.withColumn("error", said).drop(*[f"__e_{c}" for c in errors])
     live = [(c, r) for c, r in rules.items() if c in df.columns]
     if not live:
         raise ValueError("no rule column present")
@@ -231,8 +256,7 @@ def validate_all(df: DataFrame, required_columns: Sequence[str] = DEFAULT_REQUIR
     for i, c in enumerate(live):
         v = F.coalesce(F.col(f"__v{i}"), F.lit(0))
         entries.append(entry("business_rule", c, v, v == 0, True,
-                             F.when(v > 0, F.concat(F.lit(f"Column '{c}' has "), v.cast("string"),
-                                                    F.lit(" rule violations")))))
+                             F.when(v > 0, F.concat(v.cast("string"), F.lit(f" rows break the rule of {c}")))))
     for c in rules:
         if c not in live:
             entries.append(entry("business_rule", c, F.lit(None), F.lit(True), False,
@@ -357,3 +381,25 @@ def quality_dimensions(df: DataFrame, required_columns: Sequence[str], rules: Ma
         F.struct(F.lit("consistency").alias("dimension"), share(F.col("__cons")).alias("score")),
         F.struct(F.lit("accuracy").alias("dimension"), share(F.col("__plaus")).alias("score")),
         F.struct(F.lit("timeliness_days").alias("dimension"), timeliness.alias("score")))))
+
+
+# ---- anomalies (declared in the reference's docs) ---------------------------------
+
+#: Makes the median absolute deviation of normal values their standard deviation.
+MAD_SCALE = 1.4826
+
+
+def outliers(df: DataFrame, column: str, group_by: Sequence[str], least: float = 5.0) -> DataFrame:
+    """Rows of ``df`` whose value is at least ``least`` robust standard deviations from its group's median, with columns ``median``,
+    ``deviation`` (median of the absolute distances) and ``robust_z``.
+
+    Both medians are exact, from counted values in a range shuffle, so a large group spreads over many partitions. Groups with a null
+    key and null values have no outliers; in a group whose deviation is 0 every other value is one (``robust_z`` null)."""
+    keys = list(group_by)
+    value = F.col(_q(column)).cast("double")
+    middle = grouped_exact_median(df.select(*[F.col(_q(k)) for k in keys], value.alias("__v")), keys, "__v", "median")
+    far = df.join(middle, keys).withColumn("__far", F.abs(value - F.col("median")))
+    spread = grouped_exact_median(far.select(*[F.col(_q(k)) for k in keys], "__far"), keys, "__far", "deviation")
+    z = F.try_divide(F.col("__far"), F.col("deviation") * F.lit(MAD_SCALE))
+    out = far.join(spread, keys).where((F.col("__far") > 0) & (F.coalesce(z, F.lit(float("inf"))) >= least))
+    return out.select(*[F.col(_q(c)) for c in df.columns], "median", "deviation", z.alias("robust_z"))

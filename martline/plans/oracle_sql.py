@@ -289,7 +289,7 @@ register("dq_report", "\nUNION ALL ".join(
        CASE WHEN (CASE WHEN count(*) > 0 THEN CAST(count({c}) AS DOUBLE) / count(*) ELSE 0.0 END) < 0.95
             THEN 'Column ''{c}'' below minimum completeness' END FROM orders_feed""" for c in _REPORT_REQ]
     + [f"""SELECT 'business_rule', '{c}', CAST(v AS DOUBLE), v = 0, true,
-       CASE WHEN v > 0 THEN 'Column ''{c}'' has ' || CAST(v AS VARCHAR) || ' rule violations' END
+       CASE WHEN v > 0 THEN CAST(v AS VARCHAR) || ' rows break the rule of {c}' END
        FROM (SELECT sum(CASE WHEN coalesce(NOT ({r}), true) THEN 1 ELSE 0 END) AS v FROM orders_feed)"""
        for c, r in [("quantity", "quantity > 0"), ("unit_price", "unit_price > 0"), ("discount", "discount > 0")]]
     + ["SELECT 'business_rule', 'coupon_code', NULL, true, false, 'no column coupon_code for its rule'"]))
@@ -403,7 +403,7 @@ SELECT count(*) AS rows_extracted,
          AS columns_found,
        false AS is_valid, 'no column coupon_code' AS errors,
        CASE WHEN count(*) <> (SELECT count(*) FROM orders)
-            THEN 'Expected ' || (SELECT count(*) FROM orders) || ' rows, got ' || count(*) ELSE '' END AS warnings
+            THEN count(*) || ' rows, not ' || (SELECT count(*) FROM orders) ELSE '' END AS warnings
 FROM orders_feed""")
 _QUOTED = """SELECT product_id, 'He said "' || product_name || '", ok' AS product_name, category || chr(10) || brand AS label, price FROM products_src"""
 register("src_csv_quoted", _QUOTED)
@@ -412,7 +412,7 @@ register("src_csv_reordered", "SELECT unit_price, quantity, line_number, order_i
 register("src_scan_missing", """
 SELECT count(*) AS rows_extracted, 'order_id,quantity' AS columns_found, false AS is_valid, 'no column coupon_code' AS errors FROM orders_src""")
 register("src_json_odd_keys", "SELECT customer_id AS user_id, customer_name AS first_name, city FROM customers_src")
-register("src_json_scalars", "SELECT customer_id AS value FROM customers_src")
+register("src_json_scalars", "SELECT unnest([customer_id, customer_id * 10]) AS value FROM customers_src")
 register("src_json_records", "SELECT product_id, brand FROM products_src")
 register("src_json_index", "SELECT CAST(customer_id AS VARCHAR) AS index, customer_name, country FROM customers_src")
 register("src_json_object", 'SELECT customer_id, city AS "at.home.city" FROM customers_src')
@@ -481,12 +481,6 @@ UNION ALL SELECT 'dim_products', count(*), 0 FROM dim_products UNION ALL SELECT
 UNION ALL SELECT 'dim_date', 0, 0""")
 register("agg_generic_sorted", """
 SELECT customer_id, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS quantity_sum FROM orders_feed WHERE customer_id IS NOT NULL GROUP BY customer_id""")
-register("bi_all_marts", """
-SELECT 'stats' AS mart, 3 AS columns, 3 AS row_count UNION ALL SELECT 'sales_summary', 5, 1 UNION ALL SELECT 'customer_summary', 3, 1
-UNION ALL SELECT 'product_summary', 4, 1 UNION ALL SELECT 'top_customers', 6, least(10, count(*)) FROM dim_customers
-UNION ALL SELECT 'top_products', 7, least(10, count(*)) FROM dim_products
-UNION ALL SELECT 'daily_sales', 5, count(DISTINCT CAST(created_at AS DATE)) FROM fact
-UNION ALL SELECT 'category_performance', 5, count(DISTINCT category) FROM dim_products""")
 register("load_append_replay", "SELECT * FROM f0", _FACT_NOID)
 
 register("etl_batch_run", "SELECT * FROM fact")
@@ -536,3 +530,80 @@ UNION ALL SELECT 'timeliness_days', CAST(date_diff('day', CAST(newest AS DATE),
 SQL["load_upsert_bucketed"] = SQL["load_upsert"]
 
 register("stream_fact_append", "SELECT * FROM f0", _FACT_NOID)
+
+register("xf_query_language", """
+SELECT * FROM orders_feed WHERE quantity IN (1, 25, 50)
+  OR (line_number NOT IN (1, 2) AND quantity >= 5 AND quantity < 20 AND NOT (coalesce(discount > 4, false) OR coalesce(discount = 2, false)))
+  OR (discount IS DISTINCT FROM 5 AND quantity * quantity > 2000 AND customer_id % 7 = 3)""")
+register("xf_eval_language", """
+SELECT *, abs(remainder - steps) * 2 AS twice FROM (
+  SELECT order_id, line_number, product_id, supplier_id, quantity, discount,
+         CAST(floor((line_number - quantity) / 4.0) AS BIGINT) AS steps,
+         CAST((line_number - quantity) - 4 * floor((line_number - quantity) / 4.0) AS INTEGER) AS remainder,
+         CAST(-quantity * quantity + pow(2, line_number) AS DOUBLE) AS power,
+         NOT coalesce(discount >= 1, false) AS gone, discount IS DISTINCT FROM 3 AS other,
+         coalesce(discount IN (1, 2), false) OR (line_number = 1 AND quantity > 10) AS some
+  FROM orders_feed)""")
+SQL["xf_eval_language"] = SQL["xf_eval_language"].replace("SELECT *, abs(", "SELECT * RENAME (remainder AS \"left\"), abs(")
+register("agg_custom", """
+SELECT category, CAST(sum(quantity) AS BIGINT) AS quantity_sum, round(exp(avg(ln(quantity))), 6) AS quantity_gmean,
+       round(count(*) / sum(1.0::DOUBLE / quantity), 6) AS quantity_hmean, round(count(discount) / sum(1.0::DOUBLE / CAST(discount AS DOUBLE)), 6) AS discount_hmean
+FROM orders_feed JOIN dim_products USING (product_id) WHERE category IS NOT NULL GROUP BY category""")
+register("src_json_unnest", """
+SELECT o_orderkey AS order_id, CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) - 1 AS INTEGER) AS at,
+       CAST(l_quantity AS BIGINT) AS size
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P' AND o_orderpriority NOT LIKE '1%'
+UNION ALL SELECT o_orderkey, NULL, NULL FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority LIKE '1%'
+  OR o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+register("src_csv_rejects", """
+SELECT 'good' AS outcome, '' AS fields, count(*) AS n, CAST(sum(order_id) AS BIGINT) AS ids, CAST(sum(quantity) AS BIGINT) AS quantity
+FROM orders_src WHERE order_id % 101 NOT IN (7, 11, 13, 17)
+UNION ALL SELECT 'fields', '', count(*), CAST(sum(order_id) AS BIGINT), NULL FROM orders_src WHERE order_id % 101 IN (7, 11) HAVING count(*) > 0
+UNION ALL SELECT 'type', 'quantity', count(*), CAST(sum(order_id) AS BIGINT), NULL FROM orders_src WHERE order_id % 101 = 13 HAVING count(*) > 0
+UNION ALL SELECT 'type', 'shipped_at', count(*), CAST(sum(order_id) AS BIGINT), NULL FROM orders_src WHERE order_id % 101 = 17 HAVING count(*) > 0
+UNION ALL SELECT 'counted', '', count(*), count(*) FILTER (order_id % 101 IN (7, 11, 13, 17)), NULL FROM orders_src""")
+_MARTS = {"stats": ("table_name", ["row_count", "total_records"], """SELECT table_name, row_count, sum(row_count) OVER () AS total_records FROM (
+              SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM dim_customers UNION ALL SELECT 'dim_products', count(*) FROM dim_products
+              UNION ALL SELECT 'fact_sales', count(*) FROM fact)"""),
+          "sales_summary": ("'all'", ["total_orders", "total_quantity", "total_revenue", "avg_order_value", "total_discount"], SQL["bi_sales_summary"]),
+          "customer_summary": ("'all'", ["total_customers", "cities", "countries"], SQL["bi_customer_summary"]),
+          "product_summary": ("'all'", ["total_products", "categories", "brands", "avg_price"], SQL["bi_product_summary"]),
+          "top_customers": ("customer_id", ["order_count", "total_revenue"], SQL["bi_top_customers"]),
+          "top_products": ("product_id", ["sales_count", "total_quantity_sold", "total_revenue"], SQL["bi_top_products"]),
+          "daily_sales": ("date", ["order_count", "total_quantity", "total_revenue", "avg_order_value"], SQL["bi_daily_sales"]),
+          "category_performance": ("category", ["sales_count", "total_quantity", "total_revenue", "avg_order_value"], SQL["bi_category_performance"])}
+register("bi_all_marts", " UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, CAST({key} AS VARCHAR) AS key, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({text})"
+    for mart, (key, measures, text) in _MARTS.items() for m in measures))
+register("load_after_drop", "SELECT * FROM f0", _FACT_NOID)
+register("load_partitioned_fact", "SELECT * FROM f0", _FACT_NOID)
+register("load_type_mismatch", "SELECT customer_id, product_id, quantity, 2 AS refused FROM fact")
+register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
+register("stream_dedup_late", "SELECT count(*) AS rows, count(DISTINCT event_id) AS events, 0 AS in_both, true AS some_late FROM events")
+register("stream_sessions", """
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 DAY AS session_end, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS total FROM (
+  SELECT *, sum(CASE WHEN before IS NULL OR ts >= before + INTERVAL 30 DAY THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (
+    SELECT event_id, user_id, ts, CAST(round(value * 100) AS BIGINT) AS cents, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events))
+GROUP BY user_id, session""")
+
+register("bi_quarter_sales", """
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, count(*) AS order_count,
+       CAST(sum(quantity) AS BIGINT) AS total_quantity, CAST(sum(total_amount) AS DOUBLE) AS total_revenue
+FROM (SELECT *, strptime(CAST(date_id AS VARCHAR), '%Y%m%d') AS d FROM fact) WHERE year(d) = 1997 AND quarter(d) IN (2, 3) GROUP BY 1, 2, 3""")
+SQL["xf_sales_bucketed"] = SQL["xf_sales"]
+register("bi_distinct_incremental", """
+SELECT category, count(DISTINCT customer_id) AS n_customers, count(DISTINCT date_id) AS n_days, true AS within
+FROM fact JOIN dim_products USING (product_id) WHERE category IS NOT NULL GROUP BY category""")
+register("lineage_upstream", """
+SELECT * FROM (VALUES ('orders_csv', 1), ('dim_customers', 1), ('dim_products', 1), ('customers_jsonl', 2), ('products_jsonl', 2)) AS t(node, depth)
+WHERE (SELECT count(*) FROM fact) > 0""")
+register("dq_outliers", """
+SELECT event_id, event_type, round(median, 9) AS median, round(deviation, 9) AS deviation FROM (
+  SELECT *, median(abs(value - median)) OVER (PARTITION BY event_type) AS deviation FROM (
+    SELECT *, median(value) OVER (PARTITION BY event_type) AS median FROM (
+      SELECT event_id, event_type, CASE WHEN event_id % 997 = 5 THEN value * 1000 + 100000 ELSE value END AS value FROM events)))
+WHERE abs(value - median) > 0 AND abs(value - median) / (deviation * 1.4826) >= 8""")
+register("stream_sliding_events", """
+SELECT start AS window_start, start + INTERVAL 2 DAY AS window_end, event_type, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS cents FROM (
+  SELECT date_trunc('day', ts) - INTERVAL (k) DAY AS start, event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events, (VALUES (0), (1)) AS t(k))
+GROUP BY 1, 2, 3""")

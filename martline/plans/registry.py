@@ -17,7 +17,9 @@ from martline.operators import calc as _calc
 from martline.operators import clean as _clean
 from martline.operators import joins as _joins
 from martline.operators import quality as _dq
-from martline.operators.ordered import fill_ordered
+from martline.functions import aggregates as _reg
+from martline.functions import json as _json
+from martline.operators.ordered import fill_ordered, global_row_number
 from martline.plans.batch_job import Inputs, JobConfig, Publishing, run_job
 from martline.plans.marts_sql import run_bi_sql
 from martline.plans.warehouse import Warehouse, _load_id
@@ -25,7 +27,7 @@ from martline.session import scratch_path
 from martline.sources import files as _files
 from martline.sources.lake import DataLake
 from martline.sources.payloads import payload_rows
-from martline.plans import marts, star
+from martline.plans import lineage, marts, star
 from martline.sources import testdata as td
 from martline.streaming import incremental as _stream
 
@@ -384,6 +386,31 @@ def xf_filter(spark, sf):
     return _calc.filter_data(feed(spark, sf), "quantity > 25 and discount != 5")
 
 
+@query("xf_query_language")
+def xf_query_language(spark, sf):
+    """P2 in the pandas language on a feed with nulls: lists, powers, parameters, chained comparisons, negations."""
+    text = ("quantity in @sizes or (line_number not in [1, 2] and 5 <= quantity < 20 and not (discount > 4 or discount == 2)) "
+            "| discount != 5 & quantity ** 2 > 2000 & customer_id % 7 == 3")
+    return _calc.filter_data(feed(spark, sf), text, language="pandas", params={"sizes": [1, 25, 50]})
+
+
+@query("xf_eval_language")
+def xf_eval_language(spark, sf):
+    """P1 in the pandas language: precedence, whole division and remainder of negative numbers, truth values of nulls, functions."""
+    return _calc.calculate_fields(feed(spark, sf).select("order_id", "line_number", "product_id", "supplier_id", "quantity", "discount"), {
+        "steps": "(line_number - quantity) // 4", "left": "(line_number - quantity) % 4", "power": "-quantity ** 2 + 2 ** line_number",
+        "gone": "not (discount >= 1)", "other": "discount != 3", "some": "discount in [1, 2] or line_number == 1 and quantity > @q",
+        "twice": "abs(left - steps) * 2"}, language="pandas", params={"q": 10})
+
+
+@query("agg_custom")
+def agg_custom(spark, sf):
+    """§2.13: aggregates written in Python, in parts and merged, beside a built-in one; the hottest key is a category."""
+    f = feed(spark, sf).join(dim_p(spark, sf).select("product_id", "category"), "product_id")
+    out = _agg.aggregate_data(f, ["category"], {"quantity": ["sum", _reg.GEOMETRIC_MEAN, _reg.HARMONIC_MEAN], "discount": [_reg.HARMONIC_MEAN]})
+    return out.select("category", "quantity_sum", *[F.round(c, 6).alias(c) for c in ("quantity_gmean", "quantity_hmean", "discount_hmean")])
+
+
 @query("agg_generic")
 def agg_generic(spark, sf):
     return _agg.aggregate_data(feed(spark, sf), ["customer_id"], {
@@ -498,11 +525,47 @@ def src_json_odd_keys(spark, sf):
 
 @query("src_json_scalars")
 def src_json_scalars(spark, sf):
-    """Arrays of scalars, one document a city."""
-    docs = customers(spark, sf).groupBy("city").agg(F.collect_list("customer_id").alias("ids")).select(F.to_json("ids").alias("value"))
+    """Arrays of scalars, one document a customer."""
+    docs = customers(spark, sf).select(F.to_json(F.array("customer_id", F.col("customer_id") * 10)).alias("value"))
     return _files.extract_json(spark, _write_text(docs, scratch_path(spark, "scalars_jsonl")), lines=True)
 
 
+@query("src_json_unnest")
+def src_json_unnest(spark, sf):
+    """Orders as documents with a list of quantities (empty for pending orders, null for urgent ones), unnested on request."""
+    lines = td.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity"))).alias("s"))
+    o = td.table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    sizes = (F.when(F.col("o_orderstatus") == "P", F.array().cast("array<int>")).when(F.col("o_orderpriority").startswith("1"), F.lit(None))
+             .otherwise(F.transform("s", lambda x: x["l_quantity"].cast("int"))))
+    doc = F.to_json(F.struct(F.col("o_orderkey").alias("order_id"), sizes.alias("sizes")), {"ignoreNullFields": "false"})
+    docs = _files.extract_json(spark, _write_text(o.select(doc.alias("value")), scratch_path(spark, "lists_jsonl")), lines=True)
+    return _json.unnest(docs, "sizes", position="at").select("order_id", "at", F.col("sizes").cast("long").alias("size"))
+
+
+@query("src_csv_rejects")
+def src_csv_rejects(spark, sf):
+    """S1/S2 over files with planted bad lines (a field too many, one too few, text in a number and in a time): good rows and rejects
+    by reason, with checksums of both."""
+    o = orders(spark, sf).select("order_id", "line_number", "quantity", "unit_price", "shipped_at")
+    fields = [F.col(c).cast("string") for c in ("order_id", "line_number", "quantity", "unit_price")] + [F.date_format("shipped_at", "yyyy-MM-dd HH:mm:ss")]
+    line = F.concat_ws(",", *fields)
+    kind = F.col("order_id") % 101
+    text = (F.when(kind == 7, F.concat(line, F.lit(",extra"))).when(kind == 11, F.concat_ws(",", *fields[:4]))
+            .when(kind == 13, F.concat_ws(",", fields[0], fields[1], F.lit("many"), *fields[3:])).when(kind == 17, F.concat_ws(",", *fields[:4], F.lit("soon"))).otherwise(line))
+    base = scratch_path(spark, "rejects")
+    o.select(text.alias("value")).write.text(f"{base}/in")
+    scan = _files.extract_csv_rejects(spark, f"{base}/in", "order_id BIGINT, line_number INT, quantity INT, unit_price DECIMAL(10,2), shipped_at TIMESTAMP_NTZ",
+                                      f"{base}/out", header=False, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    good = scan.good.agg(F.count("*").alias("n"), F.sum("order_id").alias("ids"), F.sum("quantity").alias("quantity")).select(
+        F.lit("good").alias("outcome"), F.lit("").alias("fields"), "n", "ids", "quantity")
+    bad = scan.rejects.groupBy("reason", F.coalesce(F.array_join("fields", ","), F.lit("")).alias("fields")).agg(
+        F.count("*").alias("n"), F.sum(F.split("line", ",")[0].cast("long")).alias("ids")).select(F.col("reason").alias("outcome"), "fields", "n", "ids",
+                                                                                                 F.lit(None).cast("long").alias("quantity"))
+    told = spark.range(1).select(F.lit("counted").alias("outcome"), F.lit("").alias("fields"), F.lit(scan.n_good + scan.n_rejects).cast("long").alias("n"),
+                                 F.lit(scan.n_rejects).cast("long").alias("ids"), F.lit(None).cast("long").alias("quantity"))
+    return good.unionByName(bad).unionByName(told)
+
+
 @query("src_json_records")
 def src_json_records(spark, sf):
     """Documents that wrap their records."""
@@ -721,6 +784,51 @@ def load_append_replay(spark, sf):
     return again.read("fact_sales")
 
 
+@query("load_after_drop")
+def load_after_drop(spark, sf):
+    """A batch loaded, its schema dropped and made again, the batch loaded twice more: the table holds it once. Then a replace by a part
+    takes it away, and the batch comes back by another load."""
+    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), fact(spark, sf)
+    wh.create_star_schema()
+    wh.load_fact_table(f, "fact_sales", batch_id="b")
+    wh.drop_star_schema()
+    wh.create_star_schema()
+    for _ in range(2):
+        Warehouse(spark, wh.root).load_fact_table(f, "fact_sales", batch_id="b")
+    early = _before("created_at", FACT_CUTOFF)
+    again = Warehouse(spark, wh.root)
+    again.load(f.where(early), "fact_sales", "replace", batch_id="early")
+    again.load_fact_table(f.where(~early), "fact_sales", batch_id="b")
+    return again.read("fact_sales").select(*f.columns)
+
+
+@query("load_partitioned_fact")
+def load_partitioned_fact(spark, sf):
+    """K8 in folders by quantity, after ``create_star_schema``: a partitioned load, then one that does not say how the table is laid out."""
+    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), fact(spark, sf)
+    wh.create_star_schema()
+    early = _before("created_at", FACT_CUTOFF)
+    wh.load_fact_table(f.where(early), "fact_sales", partition_by=["quantity"])
+    wh.load_fact_table(f.where(~early), "fact_sales")
+    return wh.read("fact_sales").select(*f.columns)
+
+
+@query("load_type_mismatch")
+def load_type_mismatch(spark, sf):
+    """Loads that don't fit are refused and change nothing: another type, a column too many; a narrower number fits."""
+    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), fact(spark, sf).select("customer_id", "product_id", "quantity")
+    early = F.col("quantity") < 25
+    wh.load(f.where(early), "sales")
+    refused = 0
+    for bad in (f.withColumn("quantity", F.col("quantity").cast("string")), f.withColumn("note", F.lit("x"))):
+        try:
+            wh.load(bad, "sales", "append")
+        except ValueError:
+            refused += 1
+    wh.load(f.where(~early).withColumn("quantity", F.col("quantity").cast("smallint")), "sales", "append")
+    return wh.read("sales").withColumn("refused", F.lit(refused))
+
+
 # ---- X2 batch job -------------------------------------------------------------------
 
 
@@ -737,11 +845,11 @@ def land_sources(spark, sf, base: str) -> dict[str, str]:
     return paths
 
 
-def _job(spark, sf, runs: int):
+def _job(spark, sf, runs: int, dense: bool = False):
     base = scratch_path(spark, "job")
     paths = land_sources(spark, sf, base)
     cfg = JobConfig(inputs=Inputs(**paths, orders_schema=orders(spark, sf).schema, json_lines=True),
-                    lake=f"{base}/lake", warehouse=f"{base}/warehouse", publishing=Publishing(dense_ids=True))
+                    lake=f"{base}/lake", warehouse=f"{base}/warehouse", publishing=Publishing(dense_ids=dense))
     for _ in range(runs):
         run_job(spark, cfg)
     return Warehouse(spark, cfg.warehouse).read("fact_sales")
@@ -749,30 +857,38 @@ def _job(spark, sf, runs: int):
 
 @query("etl_batch_run")
 def etl_batch_run(spark, sf):
-    return _job(spark, sf, 1)
+    """The job as it runs by default: ids rise with the order lines, with gaps, so their ranks are compared."""
+    out = _job(spark, sf, 1)
+    return global_row_number(out.withColumnRenamed("sale_id", "id"), ["id"], "sale_id").drop("id").select(*out.columns)
 
 
 @query("etl_batch_rerun")
 def etl_batch_rerun(spark, sf):
-    """The job run twice on the same files: the second run adds nothing."""
-    return _job(spark, sf, 2)
+    """The job run twice on the same files, with dense ids: the second run adds nothing."""
+    return _job(spark, sf, 2, dense=True)
 
 
 # ---- streaming ----------------------------------------------------------------------
 
 
-#: Rows of a landed file at most, so that even small tables come in several micro-batches.
+#: Rows of a landed file at most, so that even small tables come in several files.
 LANDED_ROWS = 20_000
 
 
+def _part_of(spark, path: str, parts: int = 4) -> int:
+    """Bytes a batch, so that what landed is read in about so many batches, whatever its size."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() // parts + 1
+
+
 @query("stream_daily_sales")
 def stream_daily_sales(spark, sf):
-    """Files landed newest day first, a few a batch, so every batch but the first is late."""
+    """Files landed newest day first, a quarter of them a batch, so every batch but the first is late."""
     base = scratch_path(spark, "stream_daily")
     src = fact(spark, sf).select("created_at", "quantity", "total_amount")
     src.orderBy(F.desc("created_at")).write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
-    _stream.daily_sales_stream(spark, f"{base}/in", src.schema, wh, "daily_sales", f"{base}/checkpoint", max_files_per_trigger=1, compact_every=3)
+    _stream.daily_sales_stream(spark, f"{base}/in", src.schema, wh, "daily_sales", f"{base}/checkpoint", max_bytes_per_trigger=_part_of(spark, f"{base}/in"), compact_every=3)
     return _stream.daily_sales(wh, "daily_sales").withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 
@@ -789,7 +905,7 @@ def stream_customer_activity(spark, sf):
         spark, f"{base}/in", o.schema, wh, "customer_activity", f"{base}/checkpoint", key=["customer_id"],
         columns=["customer_id", F.col("order_date").alias("last_order_date"),
                  F.col("order_id").alias("last_order_id"), F.col("order_total").alias("last_order_total")],
-        newer_by=newer, max_files_per_trigger=1)
+        newer_by=newer, max_bytes_per_trigger=_part_of(spark, f"{base}/in"))
     return _stream.latest_rows(wh, "customer_activity", ["customer_id"], newer)
 
 
@@ -830,12 +946,26 @@ def bi_product_summary_sql(spark, sf):
     return run_bi_sql(spark, "product_summary", _star_views(spark, sf))
 
 
+#: Key and measures of each mart, as ``bi_all_marts`` lists them.
+MART_VALUES = {
+    "stats": ("table_name", ["row_count", "total_records"]),
+    "sales_summary": (None, ["total_orders", "total_quantity", "total_revenue", "avg_order_value", "total_discount"]),
+    "customer_summary": (None, ["total_customers", "cities", "countries"]),
+    "product_summary": (None, ["total_products", "categories", "brands", "avg_price"]),
+    "top_customers": ("customer_id", ["order_count", "total_revenue"]),
+    "top_products": ("product_id", ["sales_count", "total_quantity_sold", "total_revenue"]),
+    "daily_sales": ("date", ["order_count", "total_quantity", "total_revenue", "avg_order_value"]),
+    "category_performance": ("category", ["sales_count", "total_quantity", "total_revenue", "avg_order_value"])}
+
+
 @query("bi_all_marts")
 def bi_all_marts(spark, sf):
-    """A10: every mart from one set of star tables: columns and rows of each."""
-    out = None
-    for name, df in marts.all_marts(_star_views(spark, sf)).items():
-        one = df.select(F.lit(name).alias("mart"), F.lit(len(df.columns)).alias("columns")).groupBy("mart", "columns").agg(F.count("*").alias("row_count"))
+    """A10: every mart from one read of the fact: all values of all marts, one a row."""
+    tables, out = {n: df for n, df in _star_views(spark, sf).items()}, None
+    for name, df in marts.all_marts(tables).items():
+        key, measures = MART_VALUES[name]
+        values = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])).alias("v")
+        one = df.select(F.lit(name).alias("mart"), (F.col(key).cast("string") if key else F.lit("all")).alias("key"), values).select("mart", "key", "v.measure", "v.value")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -861,8 +991,7 @@ def dq_dimensions(spark, sf):
 
 @query("load_upsert_bucketed")
 def load_upsert_bucketed(spark, sf):
-    """K4 on a key-bucketed dimension: only the buckets holding batch keys are written; created by a
-    replace, filled by an append, then upserted."""
+    """K4 on a dimension bucketed by its key: filled by a replace and an append, then upserted."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     before = _products_sold_before(spark, sf)
     cheap = F.col("price") < 1000
@@ -882,5 +1011,120 @@ def stream_fact_append(spark, sf):
     f.write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
     _stream.append_stream(spark, f"{base}/in", f.schema, wh, "fact_sales", f"{base}/checkpoint",
-                          watermark_column="created_at", max_files_per_trigger=1)
+                          watermark_column="created_at", max_bytes_per_trigger=_part_of(spark, f"{base}/in", 6), merge_every=3)
     return wh.read("fact_sales")
+
+
+def _deduplicated(spark, sf):
+    """Events landed newest first in two thirds of the files, oldest first in the rest; every tenth event lands twice."""
+    base = scratch_path(spark, "stream_dedup")
+    e = td.events_source(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
+    twice = e.where(F.col("event_id") % 10 == 3)
+    e.orderBy(F.desc("ts")).write.option("maxRecordsPerFile", LANDED_ROWS // 8).parquet(f"{base}/in")
+    twice.orderBy("ts").write.mode("append").option("maxRecordsPerFile", LANDED_ROWS // 8).parquet(f"{base}/in")
+    wh = Warehouse(spark, f"{base}/warehouse")
+    for _ in range(2):  # the second run, a restart, finds nothing new
+        _stream.dedup_stream(spark, f"{base}/in", e.schema, wh, "events", "late_events", f"{base}/checkpoint", ["event_id"], "ts", delay="2 days",
+                             max_bytes_per_trigger=_part_of(spark, f"{base}/in"))
+    return wh
+
+
+@query("stream_dedup")
+def stream_dedup(spark, sf):
+    """One row of every event, whether it came in time or late."""
+    return _stream.dedup_rows(_deduplicated(spark, sf), "events", "late_events")
+
+
+@query("stream_dedup_late")
+def stream_dedup_late(spark, sf):
+    """What came in time and what came late hold every event once: rows of both, and events in both. Newest first, so some are late."""
+    wh = _deduplicated(spark, sf)
+    kept, late = wh.read("events"), wh.read("late_events")
+    both = kept.join(late, "event_id", "left_semi").agg(F.count("*").alias("in_both"))
+    return kept.select("event_id").unionByName(late.select("event_id")).agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("events")).join(both).join(
+        late.agg((F.count("*") > 0).alias("some_late")))
+
+
+@query("stream_sessions")
+def stream_sessions(spark, sf):
+    """Sessions of users with a gap of 30 days, over batches in the order of time; a last row moves time on, so that all close."""
+    base = scratch_path(spark, "stream_sessions")
+    e = td.events_source(spark, sf).select("user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"), F.lit(False).alias("beat"))
+    e.orderBy("ts").write.option("maxRecordsPerFile", LANDED_ROWS // 8).parquet(f"{base}/in")
+    end = e.agg((F.max("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts")).select(F.lit(None).cast("long").alias("user_id"), "ts", F.lit(0).cast("long").alias("cents"), F.lit(True).alias("beat"))
+    end.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    wh = Warehouse(spark, f"{base}/warehouse")
+    _stream.sessions_stream(spark, f"{base}/in", e.schema, wh, "sessions", f"{base}/checkpoint", "user_id", "ts", "cents", gap="30 days", delay="30 days",
+                            heartbeat="beat", max_bytes_per_trigger=_part_of(spark, f"{base}/in"))
+    return wh.read("sessions")
+
+
+@query("bi_quarter_sales")
+def bi_quarter_sales(spark, sf):
+    """K8 partitioned by month, cut at run time by the filtered date dimension."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.load_dimension_table(star.dim_date(orders(spark, sf), "order_date"), "dim_date", "date_id")
+    f = fact(spark, sf).withColumn("month_id", marts.month_key("date_id"))
+    wh.load_fact_table(f.repartition("month_id"), "fact_sales", partition_by=["month_id"])
+    return marts.period_sales(wh.read("fact_sales"), wh.read("dim_date"), (F.col("year") == 1997) & F.col("quarter").isin(2, 3))
+
+
+def _bucketed_sources(spark, sf, buckets: int = 8):
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    wh.create_bucketed(td.table(spark, sf, "lineitem"), "lineitem", ["l_orderkey"], buckets)
+    wh.create_bucketed(td.table(spark, sf, "orders"), "orders", ["o_orderkey"], buckets)
+    return td.order_lines(wh.read("lineitem"), wh.read("orders"))
+
+
+@query("xf_sales_bucketed")
+def xf_sales_bucketed(spark, sf):
+    """X1 from order lines and headers that are stored bucketed and sorted by the order: their join shuffles nothing."""
+    return star.transform_sales(_bucketed_sources(spark, sf), customers(spark, sf), products(spark, sf))
+
+
+@query("bi_distinct_incremental")
+def bi_distinct_incremental(spark, sf):
+    """Customers and days by category, from distinct sketches that each of three loads wrote and a read merges, against the exact
+    numbers: both within 3 % (over three times the sketches' standard error)."""
+    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), fact(spark, sf).join(dim_p(spark, sf).select("product_id", "category"), "product_id")
+    for i in range(3):
+        part = f.where(F.pmod(F.xxhash64("customer_id", "created_at"), F.lit(3)) == i)
+        wh.load(part.groupBy("category").agg(_reg.distinct_sketch("customer_id").alias("customers"), _reg.distinct_sketch("date_id").alias("days")),
+                "distinct", batch_id=f"part {i}")
+    merged = wh.read("distinct").groupBy("category").agg(_reg.distinct_of("customers").alias("customers"), _reg.distinct_of("days").alias("days"))
+    exact = f.groupBy("category").agg(F.count_distinct("customer_id").alias("n_customers"), F.count_distinct("date_id").alias("n_days"))
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * 0.03 + 1
+    return exact.join(merged, "category").select("category", "n_customers", "n_days", (close("customers", "n_customers") & close("days", "n_days")).alias("within"))
+
+
+@query("lineage_upstream")
+def lineage_upstream(spark, sf):
+    """What the facts of a job were made from, by its audit: a recursive walk from ``fact_sales``."""
+    base = scratch_path(spark, "job")
+    paths = land_sources(spark, sf, base)
+    cfg = JobConfig(inputs=Inputs(**paths, orders_schema=orders(spark, sf).schema, json_lines=True), warehouse=f"{base}/warehouse")
+    run_job(spark, cfg)
+    return lineage.upstream(Warehouse(spark, cfg.warehouse), "fact_sales").select(F.regexp_replace("node", ".*/", "").alias("node"), "depth")
+
+
+def _spiked(spark, sf):
+    return td.events_source(spark, sf).withColumn("value", F.when(F.col("event_id") % 997 == 5, F.col("value") * 1000 + 100_000).otherwise(F.col("value")))
+
+
+@query("dq_outliers")
+def dq_outliers(spark, sf):
+    """Event values far from the median of their type, with planted spikes."""
+    out = _dq.outliers(_spiked(spark, sf).select("event_id", "event_type", "value"), "value", ["event_type"], least=8.0)
+    return out.select("event_id", "event_type", F.round("median", 9).alias("median"), F.round("deviation", 9).alias("deviation"))
+
+
+@query("stream_sliding_events")
+def stream_sliding_events(spark, sf):
+    """Events by type in windows of two days every day, landed newest first: all batches but the first are late."""
+    base = scratch_path(spark, "stream_sliding")
+    e = td.events_source(spark, sf).select("ts", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    e.orderBy(F.desc("ts")).write.option("maxRecordsPerFile", LANDED_ROWS // 8).parquet(f"{base}/in")
+    wh = Warehouse(spark, f"{base}/warehouse")
+    _stream.window_sums_stream(spark, f"{base}/in", e.schema, wh, "sliding", f"{base}/checkpoint", "ts", ["cents"], "2 days", "1 day", ["event_type"],
+                               max_bytes_per_trigger=_part_of(spark, f"{base}/in"), compact_every=2)
+    return _stream.window_sums(wh, "sliding", ["event_type"])

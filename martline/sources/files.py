@@ -10,9 +10,11 @@ DataFrame is evaluated, not at definition time.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -45,13 +47,13 @@ def undecodable(df: DataFrame) -> F.Column:
 def csv_header(spark: SparkSession, path: str, encoding: str = "utf-8", delimiter: str = ",", header: bool | int = True, **options) -> list[str]:
     """Column names of the header line (of the first file); none for files of no bytes."""
     if header is not True and header != 0:
-        line = _numbered(spark, path, encoding).where(F.col("number") == int(header)).first()
+        line = _numbered(spark, path, encoding, int(header)).where(F.col("number") == int(header)).first()
         return [] if line is None else _parse_header(spark, line.value, delimiter, options)
     try:
         return spark.read.options(**_csv_options(encoding, delimiter, True, options)).csv(path).columns
     except AnalysisException as e:
         if _not_found(e):
-            raise FileNotFoundError(f"CSV file not found: {path}") from e
+            raise FileNotFoundError(f"no CSV file at {path}") from e
         raise
 
 
@@ -59,31 +61,35 @@ def _csv_options(encoding: str, delimiter: str, header: bool, options: dict) ->
     return {"header": header, "sep": delimiter, "encoding": encoding, "escape": '"'} | options
 
 
-def _parse_header(spark: SparkSession, line: str, delimiter: str, options: dict) -> list[str]:
-    return spark.read.options(**_csv_options("utf-8", delimiter, True, options)).csv(spark.sparkContext.parallelize([line], 1)).columns
+def _inferred(spark: SparkSession, reader: DataFrameReader, lines: DataFrame) -> DataFrame:
+    """CSV lines with inferred types (the JVM's reader takes them as a typed dataset)."""
+    return DataFrame(reader._jreader.csv(getattr(lines._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())), spark)
 
 
-def _numbered(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Lines with their number from 0 in their file, but only in each file's first block; -1 in the others.
+def _parse_header(spark: SparkSession, line: str, delimiter: str, options: dict) -> list[str]:
+    return spark.read.options(**_csv_options("utf-8", delimiter, True, options)).csv(spark.sparkContext.parallelize([line], 1)).columns
 
-    A file's blocks are read in order, so the first lines of a file are the first of its block that begins at 0."""
-    def number(batches):  # noqa: ANN001, ANN202
-        count: dict[str, int] = {}
-        for b in batches:
-            n = []
-            for name, start in zip(b["file"], b["start"], strict=True):
-                n.append(count.get(name, 0) if start == 0 else -1)
-                count[name] = count.get(name, 0) + 1
-            yield b.assign(number=n)[["value", "number"]]
 
+def _lines(spark: SparkSession, path: str, encoding: str, **more) -> DataFrame:  # noqa: ANN003
     try:
-        lines = spark.read.option("encoding", encoding).text(path)
+        lines = spark.read.options(encoding=encoding, **more).text(path)
     except AnalysisException as e:
         if _not_found(e):
-            raise FileNotFoundError(f"CSV file not found: {path}") from e
+            raise FileNotFoundError(f"no CSV file at {path}") from e
         raise
-    return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")) \
-        .mapInPandas(number, "value string, number long")
+    return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+
+def _numbered(spark: SparkSession, path: str, encoding: str, upto: int) -> DataFrame:
+    """Lines with their number from 0 in their file up to ``upto``; others have null.
+
+    Only the block that begins a file holds its first lines, which a task reads in order: the numbers that tasks give to rows rise
+    through a file, so a line's place is its number less the file's smallest. Few lines are ranked: those with the smallest numbers of
+    each file."""
+    lines = _lines(spark, path, encoding).withColumn("row", F.monotonically_increasing_id())
+    first = lines.where("start = 0").groupBy("file").agg(F.min("row").alias("first"))
+    return lines.join(first, "file").select("value", F.when((F.col("start") == 0) & (F.col("row") - F.col("first") <= upto),
+                                                                         F.col("row") - F.col("first")).alias("number"))
 
 
 def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -102,7 +108,7 @@ def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str | Non
     first = header is True or (header is not False and header == 0)
     names = csv_header(spark, path, encoding, delimiter, header, **options) if header is not False else None
     if names is not None and not names:
-        raise ValueError(f"CSV file is empty: {path}")
+        raise ValueError(f"no columns in {path}")
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     as_read = wanted
     if wanted is not None and names is not None:
@@ -120,18 +126,18 @@ def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str | Non
         reader = spark.read.options(**opts, inferSchema=True)
     try:
         if names is not None and not first:
-            body = _numbered(spark, path, encoding).where((F.col("number") < 0) | (F.col("number") > int(header))).select("value")
-            df = reader.csv(body.rdd.map(lambda r: r.value)) if as_read is None else body.where("value <> ''").select(
+            body = _numbered(spark, path, encoding, int(header)).where("number is null").select("value")
+            df = _inferred(spark, reader, body) if as_read is None else body.where("value <> ''").select(
                 F.from_csv("value", J.ddl(as_read)[len("struct<"):-1].replace("`: ", "` "), {k: str(v) for k, v in opts.items() if k not in ("header", "multiLine", "encoding")}).alias("r")).select("r.*")
             df = df.toDF(*names)
         else:
             df = reader.csv(path)
     except AnalysisException as e:
         if _not_found(e):
-            raise FileNotFoundError(f"CSV file not found: {path}") from e
+            raise FileNotFoundError(f"no CSV file at {path}") from e
         raise
     if not df.columns:
-        raise ValueError(f"CSV file is empty: {path}")
+        raise ValueError(f"no columns in {path}")
     if wanted is not None and names is not None:
         df = df.select(*[F.col(J._q(f.name)) for f in wanted if f.name in names])
     if strict_encoding and _string_cols(df):
@@ -141,16 +147,74 @@ def extract_csv(spark: SparkSession, path: str, schema: T.StructType | str | Non
     return df
 
 
-def scan_report(df: DataFrame, path: str, required_columns: Sequence[str] | None = None,
-                expected_rows: int | None = None, available: Sequence[str] | None = None) -> DataFrame:
+@dataclass
+class CsvScan:
+    """Rows that fit the schema; lines that don't, as (file, block, line, reason, fields); how many of each."""
+
+    good: DataFrame
+    rejects: DataFrame
+    n_good: int
+    n_rejects: int
+
+
+def extract_csv_rejects(spark: SparkSession, path: str, schema: T.StructType | str, out: str, encoding: str = "utf-8", delimiter: str = ",",
+                        header: bool = True, null_value: str | None = None, **options) -> CsvScan:
+    """S1 for files with bad lines: the good rows are kept, the others go to a quarantine. One pass: files are parsed once, and good and bad
+    rows written side by side below ``out`` (a folder of this scan's own, partitioned by ``rejected``), from where both are read.
+
+    A line is rejected if it has more or fewer fields than the header (without a header: than the schema), reason ``fields``, or if some
+    field is not of its type, reason ``type`` with the columns' names. ``block`` is where in the file the line's split begins. Columns
+    are matched by name as in ``extract_csv``; files must not break lines within quotes."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = csv_header(spark, path, encoding, delimiter, True, **options) if header else wanted.names
+    if not names:
+        raise ValueError(f"no columns in {path}")
+    lacking = [c for c in wanted.names if c not in names]
+    if lacking:
+        raise ValueError(f"the header of {path} has no {', '.join(lacking)}")
+    kinds = {f.name: f.dataType for f in wanted}
+    as_text = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("__line", T.StringType())])
+    as_read = T.StructType([*(T.StructField(n, kinds.get(n, T.StringType())) for n in names), as_text["__line"]])
+    # a parser that skips columns would not see that fields are missing
+    opts = _csv_options(encoding, delimiter, header, options) | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__line", "columnPruning": False}
+    if null_value is not None:
+        opts["nullValue"] = null_value
+    try:
+        df = spark.read.schema(as_read).options(**opts, enforceSchema=not header).csv(path)
+    except AnalysisException as e:
+        if _not_found(e):
+            raise FileNotFoundError(f"no CSV file at {path}") from e
+        raise
+    again = F.from_csv("__line", J.ddl(as_text)[len("struct<"):-1].replace("`: ", "` "),
+                       {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in opts.items() if k not in ("header", "encoding")})
+    untyped = [F.when(F.col("__text").getField(n).isNotNull() & F.col(J._q(n)).isNull(), F.lit(n)) for n in names if not isinstance(kinds.get(n, as_text[n].dataType), T.StringType)]
+    bad = F.col("__line").isNotNull()
+    df = (df.withColumns({"__file": F.col("_metadata.file_path"), "__block": F.col("_metadata.file_block_start")})
+          .withColumn("__text", F.when(bad, again))
+          .withColumn("__reason", F.when(bad, F.when(F.col("__text").getField("__line").isNotNull(), "fields").otherwise("type")))
+          .withColumn("__fields", F.when(F.col("__reason") == "type", F.array_compact(F.array(*untyped)) if untyped else F.array().cast("array<string>"))))
+    seen = Observation(f"scan_{uuid.uuid4().hex[:8]}")
+    kept = [F.col(J._q(n)) for n in wanted.names]
+    df = df.select(*kept, "__file", "__block", "__line", "__reason", "__fields", bad.alias("rejected")).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if("rejected").alias("bad"))
+    df.write.partitionBy("rejected").parquet(out)
+    both = spark.read.schema(df.schema).parquet(out)
+    n, n_bad = int(seen.get["rows"]), int(seen.get["bad"])
+    rejects = both.where("rejected").select(F.col("__file").alias("file"), F.col("__block").alias("block"), F.col("__line").alias("line"),
+                                            F.col("__reason").alias("reason"), F.col("__fields").alias("fields"))
+    return CsvScan(both.where("not rejected").select(*kept), rejects, n - n_bad, n_bad)
+
+
+def scan_report(df: DataFrame, path: str, required_columns: Sequence[str] | None = None, expected_rows: int | None = None,
+                available: Sequence[str] | None = None, rejected: int = 0) -> DataFrame:
     """One-row report - rows_extracted (one aggregate), columns_found,
-    is_valid (missing required columns = error), errors, warnings (count mismatch). ``available``: the file's
+    is_valid (missing required columns = error), errors, warnings (count mismatch, lines that a scan rejected). ``available``: the file's
     columns, where ``df`` has only some of them."""
     missing = sorted(set(required_columns or []) - set(df.columns if available is None else available))
     errors = [f"no column {c}" for c in missing]
     rows = F.count(F.lit(1))
     warn = (F.when(rows != F.lit(expected_rows),
-                   F.array(F.concat(F.lit(f"Expected {expected_rows} rows, got "), rows.cast("string"))))
+                   F.array(F.concat(rows.cast("string"), F.lit(f" rows, not {expected_rows}"))))
             .otherwise(F.array().cast("array<string>"))) if expected_rows is not None \
         else F.array().cast("array<string>")
     bad = F.sum(F.when(undecodable(df), 1).otherwise(0))
@@ -162,7 +226,7 @@ def scan_report(df: DataFrame, path: str, required_columns: Sequence[str] | None
                   F.array(*[F.lit(c) for c in df.columns]).cast("array<string>").alias("columns_found"),
                   (F.lit(not errors) & (F.coalesce(bad, F.lit(0)) == 0)).alias("is_valid"),
                   F.concat(F.array(*[F.lit(e) for e in errors]).cast("array<string>"), enc).alias("errors"),
-                  warn.alias("warnings"))
+                  (F.concat(warn, F.array(F.lit(f"{rejected} lines rejected"))) if rejected else warn).alias("warnings"))
 
 
 def extract_csv_with_validation(spark: SparkSession, path: str, required_columns: Sequence[str] | None = None,
@@ -186,7 +250,7 @@ def _documents(spark: SparkSession, path: str, lines: bool, encoding: str) -> Da
             text = spark.read.option("encoding", encoding).text(path, wholetext=True)
     except AnalysisException as e:
         if _not_found(e):
-            raise FileNotFoundError(f"JSON file not found: {path}") from e
+            raise FileNotFoundError(f"no JSON file at {path}") from e
         raise
     return text.select(F.parse_json("value").alias("__doc"))
 

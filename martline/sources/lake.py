@@ -31,7 +31,7 @@ class DataLake:
 
     def _save(self, df: DataFrame, zone: str, name: str, format: str, timestamp) -> str:  # noqa: A002
         if format not in FORMATS:
-            raise ValueError(f"Unsupported format: {format}")
+            raise ValueError(f"no snapshots of kind {format}")
         path = f"{self._dir(zone, name)}/snapshot_ts={snapshot_label(timestamp)}"
         w = df.write.mode("errorifexists").format(format)
         if format == "csv":

@@ -49,8 +49,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines: lineitem joined to its order header (both large: shuffle join)."""
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return order_lines(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+
+
+def order_lines(li: DataFrame, o: DataFrame) -> DataFrame:
+    """Order lines from the two tables; where both are bucketed by the order key, without a shuffle."""
+    o = o.select("o_orderkey", "o_custkey", "o_orderdate")
     # Integer cents / basis points times a DECIMAL(2,2) literal keep the decimals
     # long-backed (precision <= 18); a DOUBLE -> DECIMAL cast goes through BigDecimal.
     cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity") + 0.5)

@@ -99,7 +99,7 @@ def test_batch_job_validation_gate(spark):
     gone = _job(S.ORDERS_CSV, go_on=True, run_id="x")
     gone.inputs.orders += ".gone"
     res = run_job(spark, gone)
-    assert not res.ok and res.names("failed") == ["read"] and "not found" in res.stages[0].error
+    assert not res.ok and res.names("failed") == ["read"] and "no CSV file" in res.stages[0].error
 
 
 def test_batch_job_scale_layouts(spark):

@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from martline.plans.warehouse import Warehouse
-from martline.streaming.incremental import append_stream, daily_sales, daily_sales_stream, latest_per_key_stream, latest_rows
+from martline.streaming.incremental import (append_stream, daily_sales, daily_sales_stream, dedup_rows, dedup_stream, latest_per_key_stream,
+                                             latest_rows, sessions_stream, window_sums, window_sums_stream)
 from tests.helpers import rows, tmpdir
 
 FACT = "created_at TIMESTAMP_NTZ, quantity INT, total_amount DECIMAL(10,2)"
@@ -77,3 +78,50 @@ def test_append_stream_replays_a_lost_batch(spark):
     assert wh.read("f").count() == 10
     wh.load(df.limit(10), "f", "append", batch_id=f"{base}/c#0")     # the batch comes again
     assert wh.read("f").count() == 10
+
+
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, value BIGINT"
+
+
+def _land(spark, base, number, data):
+    spark.createDataFrame(data, EVENTS).coalesce(1).write.mode("append").parquet(f"{base}/in/{number}")
+
+
+def test_dedup_stream_loses_no_event_in_any_order_of_files(spark):
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    parts = [[(1, day(1), 1, 1), (2, day(1, 5), 1, 2), (1, day(1), 1, 1)], [(3, day(9), 2, 3), (2, day(1, 5), 1, 2)], [(4, day(2), 2, 4), (3, day(9), 2, 3), (None, day(3), 2, 9)],
+             [(5, day(20), 3, 5), (1, day(1), 1, 1), (6, None, 3, 6)]]
+    for order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 0, 2)):
+        base = tmpdir()
+        wh = Warehouse(spark, f"{base}/wh")
+        schema = spark.createDataFrame([], EVENTS).schema
+        for n, i in enumerate(order):  # every file is a run of its own: a restart in between
+            _land(spark, base, n, parts[i])
+            dedup_stream(spark, f"{base}/in/*", schema, wh, "kept", "late", f"{base}/ckpt", ["event_id"], "ts", delay="1 day", max_files_per_trigger=1)
+        got = dedup_rows(Warehouse(spark, wh.root), "kept", "late")
+        assert sorted(str(r.event_id) for r in got.collect()) == ["1", "2", "3", "4", "5", "6", "None"]
+        kept, late = ({r.event_id for r in wh.read(t).collect()} for t in ("kept", "late"))
+        assert not kept & late and {None, 6} <= late and (order[0] or 4 in late)
+
+
+def test_sessions_over_batches_are_those_of_one_batch(spark):
+    base, schema = tmpdir(), spark.createDataFrame([], EVENTS + ", beat BOOLEAN").schema
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    files = [[(1, at(0), 1, 1), (2, at(20), 1, 2), (3, at(5), 2, 3)], [(4, at(45), 1, 4), (5, at(76), 1, 5), (6, at(10), 2, 6)], [(7, at(75), 1, 7), (8, at(40), None, 8)],
+             [(None, at(5000), None, 0)]]
+    wh = Warehouse(spark, f"{base}/wh")
+    for n, data in enumerate(files):
+        spark.createDataFrame([(*r, n == 3) for r in data], schema).coalesce(1).write.parquet(f"{base}/in/{n}")
+        sessions_stream(spark, f"{base}/in/*", schema, wh, "sessions", f"{base}/ckpt", "user_id", "ts", "value", gap="30 minutes", delay="2 hours", heartbeat="beat")
+    got = sorted((str(r.user_id), r.session_start, r.session_end, r.n_rows, r.total) for r in wh.read("sessions").collect())
+    assert got == [("1", at(0), at(106), 5, 19), ("2", at(5), at(40), 2, 9), ("None", at(40), at(70), 1, 8)]
+
+
+def test_sliding_windows_add_up_over_late_batches(spark):
+    base, schema = tmpdir(), spark.createDataFrame([], EVENTS).schema
+    for n, data in enumerate([[(1, dt.datetime(2024, 1, 5, 3), 1, 10)], [(2, dt.datetime(2024, 1, 4, 22), 1, 5), (3, None, 1, 9)], [(4, dt.datetime(2024, 1, 5, 1), 2, 7)]]):
+        _land(spark, base, n, data)
+    wh = Warehouse(spark, f"{base}/wh")
+    window_sums_stream(spark, f"{base}/in/*", schema, wh, "w", f"{base}/ckpt", "ts", ["value"], "2 days", "1 day", max_files_per_trigger=1, compact_every=2)
+    day = lambda d: dt.datetime(2024, 1, d)
+    assert rows(window_sums(wh, "w"), "window_start") == [(day(3), day(5), 1, 5), (day(4), day(6), 3, 22), (day(5), day(7), 2, 17)]
