@@ -18,6 +18,7 @@ Labels are a bounded sample (``max_labels``, smallest hashes of ids), so that th
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -40,6 +41,8 @@ PENALTY, STEPS = 0.02, 40
 KEEP_WORDS = 200_000
 _SENTENCE = re.compile(r"[^.!?\n。！？]+")
 _WORD = re.compile(r"[^\W\d_]+")
+#: From the first letter of a sentence to its end: one match a sentence with words.
+_LETTERED = re.compile(r"[^\W\d_][^.!?\n。！？]*")
 
 
 def sentences(text: str) -> list[tuple[int, int, set[str]]]:
@@ -54,36 +57,52 @@ def sentences(text: str) -> list[tuple[int, int, set[str]]]:
     return out
 
 
+def plain_count(text: str, some: Callable[[set[str]], bool]) -> int | None:
+    """How many sentences with words a text has, if ``some`` is false of all its words; null if they must be looked at one by one. (The
+    lower case of a sigma depends on what follows, which may be another sentence.)"""
+    if "\u03a3" in text or some(set(_WORD.findall(text.lower()))):
+        return None
+    return len(_LETTERED.findall(text))
+
+
 def word_features(word: str) -> tuple[int, ...]:
     """Hashes of a word and its starts; a start is not the word that is as long."""
     names = ["w" + word, *("s" + word[:n] for n in STARTS if len(word) >= n)]
     return tuple(xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) >> 1 for x in names)
 
 
+def _packed_features(word: str) -> bytes:
+    return array("q", word_features(word)).tobytes()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(feature, toxic, n): documents of a partition that a feature occurs in, by label. What is counted is given out and begun anew
     when it gets large."""
     at_work("toxicity")
-    cache = Recent(word_features, KEEP_WORDS)
-    counts: list[dict[int, int]] = [{}, {}]
+    cache = Recent(_packed_features, KEEP_WORDS)
+    counts = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
 
-    def out() -> Iterator[pa.RecordBatch]:
-        for label, c in enumerate(counts):
-            if c:
-                yield pa.record_batch([pa.array(list(c), pa.int64()), pa.array([label] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())],
-                                      names=["feature", "toxic", "n"])
-            c.clear()
+    def out(label: int) -> pa.RecordBatch:
+        f, n = counts[label]
+        counts[label] = (f[:0], n[:0])
+        return pa.record_batch([pa.array(f), pa.array(np.full(len(f), label, np.int32)), pa.array(n)], names=["feature", "toxic", "n"])
 
     for batch in batches:
         for part in slices(batch, 0):
             cache.turn()
+            new: list[list[np.ndarray]] = [[], []]
             for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                c = counts[label]
-                for f in {f for w in set(_WORD.findall(text.lower())) for f in cache[w]}:
-                    c[f] = c.get(f, 0) + 1
-            if len(counts[0]) + len(counts[1]) > 500_000:
-                yield from out()
-    yield from out()
+                words = set(_WORD.findall(text.lower()))
+                new[label].append(np.unique(np.frombuffer(b"".join(map(cache.__getitem__, words)), "<i8")))
+            for label, arrays in enumerate(new):
+                f, n = counts[label]
+                f, back = np.unique(np.concatenate([f, *arrays]), return_inverse=True)
+                ones = np.ones(len(back) - len(n), np.int64)
+                counts[label] = f, np.bincount(back, weights=np.concatenate([n, ones]), minlength=len(f)).astype(np.int64)
+                if len(f) > 500_000:
+                    yield out(label)
+    for label in range(2):
+        yield out(label)
     give_back()
 
 
@@ -94,13 +113,15 @@ def _instances(number: dict[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("toxicity")
         cache = Recent(lambda w: [number[f] for f in word_features(w) if f in number], KEEP_WORDS)
+        some = lambda words: any(map(cache.__getitem__, words))
         for batch in batches:
             for part in slices(batch, 0):
                 cache.turn()
                 empty, sizes, features = [], [], []
                 for text in part.column(0).to_pylist():
-                    found = [[f for w in sorted(words) for f in cache[w]] for _, _, words in sentences(text)]
-                    empty.append(sum(not x for x in found))
+                    n = plain_count(text, some)
+                    found = [] if n is not None else [[f for w in sorted(words) for f in cache[w]] for _, _, words in sentences(text)]
+                    empty.append(n if n is not None else sum(not x for x in found))
                     sizes.append([len(x) for x in found if x])
                     features.append([f for x in found for f in x])
                 yield pa.record_batch([part.column(1), pa.array(empty, pa.int64()), pa.array(sizes, pa.list_(pa.int32())), pa.array(features, pa.list_(pa.int32()))],
@@ -245,6 +266,7 @@ def score(docs: DataFrame, model: Model, offending: float = 0.5, id_col: str = "
         at_work("toxicity")
         m = sent.value
         cache = Recent(lambda w: sum(m.weights.get(f, 0.0) for f in word_features(w)), KEEP_WORDS)
+        some = lambda words: any(map(cache.__getitem__, words))
         usual = float(_softplus(np.float64(m.bias)))
         for batch in batches:
             for part in slices(batch):
@@ -252,7 +274,10 @@ def score(docs: DataFrame, model: Model, offending: float = 0.5, id_col: str = "
                 out, spans = [], []
                 for text in part.column(1).to_pylist():
                     total, found = float(_softplus(np.float64(m.leak))), []
-                    for start, end, words in sentences(text):
+                    n = plain_count(text, some)
+                    if n is not None:
+                        total += n * usual if n else 0.0
+                    for start, end, words in sentences(text) if n is None else ():
                         z = sum(map(cache.__getitem__, words))
                         if not z:
                             total += usual

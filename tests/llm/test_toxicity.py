@@ -122,3 +122,13 @@ def test_query_holds_its_contract(spark, sf):
     out = op12_toxicity(spark, sf).collect()
     assert len(out) == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) for r in out)
+
+
+def test_counting_sentences_without_looking_at_them():
+    for text in ["", "  One two. \n x!y\t? 123 ...ÄB ä1b。 zz", "1. 2. 3", "a.b.c d", "...", "é! ñ? 日本。x", "_a_ 1b_ . __"]:
+        assert toxicity.plain_count(text, lambda words: False) == len(toxicity.sentences(text))
+        words = {w for _, _, s in toxicity.sentences(text) for w in s}
+        seen = []
+        toxicity.plain_count(text, lambda w: bool(seen.append(w)))
+        assert seen == [words]
+    assert toxicity.plain_count("ΑΣ.Β", lambda words: False) is None and toxicity.plain_count("a b", lambda words: "b" in words) is None
