@@ -2,7 +2,8 @@
 
 A text's fingerprint is the majority, bit by bit, of the XXH64 (seed 42) of its word shingles. Equal
 fingerprints are brought together first. Different ones within ``radius`` bits agree in at least two of radius + 2
-bit blocks, so each is put into one bucket for every pair of blocks. A bucket with more than ``CELL`` fingerprints
+bit blocks, so each is put into one bucket for every pair of blocks (of three of radius + 3 blocks where there are very many,
+``equal_blocks``). A bucket with more than ``CELL`` fingerprints
 is cut into parts, and every two parts meet in a cell of their own, so no task gets a whole hot bucket.
 
 Within a task the cells stand one after another as vertical bit planes: lane i of shift d is the pair (i, i + d).
@@ -77,12 +78,28 @@ def fingerprints(df: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_c
     return texts(df, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
-def _keys(fp: Column, radius: int) -> list[Column]:
-    """Bucket keys: the bits of two blocks and the number of the pair of blocks."""
-    ends = [64 * i // (radius + 2) for i in range(radius + 3)]
+def _keys(fp: Column, radius: int, equal: int = 2) -> list[Column]:
+    """Bucket keys: the bits of ``equal`` of radius + ``equal`` blocks and the number of the choice. Fingerprints within the radius
+    agree in at least so many."""
+    ends = [64 * i // (radius + equal) for i in range(radius + equal + 1)]
     block = [F.shiftrightunsigned(fp, a).bitwiseAND((1 << b - a) - 1) for a, b in pairwise(ends)]
-    return [F.struct(F.lit(t).alias("t"), F.shiftleft(block[i], 32).bitwiseOR(block[j]).alias("v"))
-            for t, (i, j) in enumerate(combinations(range(radius + 2), 2))]
+
+    def value(chosen: tuple[int, ...]) -> Column:
+        out = block[chosen[0]]
+        for i in chosen[1:]:
+            out = F.shiftleft(out, 64 // (radius + equal) + 1).bitwiseOR(block[i])
+        return out
+
+    return [F.struct(F.lit(t).alias("t"), value(c).alias("v")) for t, c in enumerate(combinations(range(radius + equal), equal))]
+
+
+def equal_blocks(n: int, radius: int) -> int:
+    """In how many blocks close fingerprints are to agree: 2, or more where a bucket of ``n`` spread fingerprints would hold over 64 of
+    them. One more block means more copies of each, but buckets smaller by its bits."""
+    equal = 2
+    while equal < 4 and n >> (64 * equal // (radius + equal)) > 64:
+        equal += 1
+    return equal
 
 
 def planes(fp: np.ndarray) -> np.ndarray:
@@ -162,9 +179,11 @@ def _compare(ids: np.ndarray, fp: np.ndarray, cell: np.ndarray, radius: int) ->
     return list(zip(ids[joined].tolist(), ids[root[joined]].tolist(), strict=True))
 
 
-def links(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """(src, dst) links over (fp, rep), distinct fingerprints, that connect all that are within ``radius`` bits."""
-    keyed = fps.select("fp", "rep", F.explode(F.array(*_keys(F.col("fp"), radius))).alias("k")).select("fp", "rep", "k.t", "k.v")
+def links(fps: DataFrame, radius: int = 4, equal: int | None = None) -> DataFrame:
+    """(src, dst) links over (fp, rep), distinct fingerprints, that connect all that are within ``radius`` bits. ``equal``: see
+    ``equal_blocks``, by default from their number."""
+    equal = equal_blocks(fps.count(), radius) if equal is None else equal
+    keyed = fps.select("fp", "rep", F.explode(F.array(*_keys(F.col("fp"), radius, equal))).alias("k")).select("fp", "rep", "k.t", "k.v")
     rows = meet(keyed, ["t", "v"], "fp", CELL, "simhash").select("fp", "rep", "t", "v", "cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

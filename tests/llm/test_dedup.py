@@ -49,6 +49,21 @@ def test_simhash_null_ids_and_empty(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("equal", [3, 4])
+def test_more_blocks_lose_no_link(spark, monkeypatch, equal):
+    """The keys that very large tables get, on a small one."""
+    monkeypatch.setattr(simhash, "equal_blocks", lambda n, radius: equal)
+    rng = random.Random(6)
+    long = words(rng, 300).split()
+    rows = [r for r in odd_docs() if r[0] is not None] + [(500 + i, " ".join([*long[: 4 * i], "changed", *long[4 * i + 1 :]]), "x", None, None) for i in range(50)]
+    got = [(r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs(spark, rows)).collect()]
+    assert sorted(got) == brute_groups(rows, 4)
+
+
+def test_blocks_grow_with_the_table():
+    assert [simhash.equal_blocks(n, 4) for n in (0, 10**6, 10**8, 10**9, 5 * 10**10)] == [2, 2, 2, 3, 4]
+
+
 def test_close_pairs_find_all_and_only():
     rng = np.random.default_rng(0)
     for radius in (0, 1, 3, 4, 7):
