@@ -197,7 +197,7 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
     return low
 
 
-def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temperature: float = 0.05, max_labels: int = MAX_LABELS,
+def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temperature: float = 1.0, max_labels: int = MAX_LABELS,
              id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """(doc_id, log_weight, gumbel_key, kept[, carried]), one row per input row. ``carried`` is a struct of the columns named by
     ``carry``.
@@ -206,7 +206,7 @@ def resample(docs: DataFrame, labels: DataFrame, keep: int | None = None, temper
     documents are ignored; of an id's repeated labels the smallest counts. Without good labels
     all weights are 1; without rejected ones to compare all are kept. Null text is the empty text, which has weight
     1. Rows that repeat an id have the same noise; ties at the last place are all kept. An empty table gives
-    no rows. The default temperature makes the draw follow the weights closely; at 1 it is sampling in proportion.
+    no rows. At temperature 1 the draw is in proportion to the weights; lower ones follow the weights more closely.
     """
     small_batches(docs.sparkSession)
     told = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("q"), F.col("toxic").cast("int").alias("t"))
