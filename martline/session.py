@@ -63,6 +63,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (spark.sparkContext.getCheckpointDir() or root).rstrip("/")
 
 
+_KEPT: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/martline/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique directory under the shared checkpoint folder, in a folder of the application's own that the driver deletes when
+    it ends (what a killed driver leaves is there by its application's id)."""
+    own = f"{checkpoint_root(spark)}/martline/{spark.sparkContext.applicationId}"
+    if own not in _KEPT:
+        _KEPT.add(own)
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
