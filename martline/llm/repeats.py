@@ -6,10 +6,10 @@ in the same document before. Strings are judged on the input.
 The collection is cut into pieces by anchors (``anchors``), so that equal strings meet under the same anchor:
 
 1. Documents are put into blocks (sorted by id, compressed), written once. A block's pieces are named by anchor and
-   content hash and sent to the buckets of their anchors.
-2. A bucket finds the anchors that occur twice. Of pieces with equal content only the earliest can stay; it
-   stays for certain if its anchor has no other content. The others, with different contents under one anchor, are
-   what the transform is built for.
+   content hash and sent to the buckets of these names.
+2. Aggregates find the anchors with different contents. Of pieces with equal content, which meet in a bucket, only the earliest can
+   stay; it stays for certain if its anchor has no other content. The others, with different contents under one anchor,
+   are what the transform is built for.
 3. Blocks send the text of those pieces. Tasks take whole anchors until they have a bundle, build the
    bundle's transform and common prefixes column by column (``bwt``), and read off which strings begin earlier elsewhere.
    Bundles are bounded, so the sequential files of the construction are sequential arrays of a task here (a folder of one
@@ -47,6 +47,8 @@ MANY = 1 << 14
 _NO_ID = (1 << 63) - 1
 
 REMOVED, MIXED = 0, 1
+#: Stands for a block in rows that name an anchor.
+MIXED_ANCHOR = -1
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -135,7 +137,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
-    """Of each block: anchors, contents, documents and places of its different pieces, by bucket."""
+    """Of each block: anchors, contents, documents and places of its different pieces, by bucket (of anchor and content, so that a
+    frequent anchor's pieces spread over all of them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _begin()
@@ -143,7 +146,7 @@ def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
             for block, ipc in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 b = Block(ipc.as_py(), length, gram)
                 place = np.flatnonzero(~b.again)
-                bucket = (b.anchor[place] >> np.uint64(32)) % np.uint64(buckets)
+                bucket = ((b.anchor[place] * np.uint64(0x9E3779B97F4A7C15) ^ b.content[place]) >> np.uint64(32)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 place, bucket = place[order], bucket[order]
                 rows = []
@@ -158,13 +161,45 @@ def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
     return run
 
 
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, bucket, low, high): each anchor of a named row with its least and greatest content."""
+    _begin()
+    for batch in batches:
+        for bucket, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            anchor, content = np.frombuffer(names, np.uint64).reshape(2, -1)
+            content = content.view(np.int64)
+            order = np.lexsort((content, anchor))
+            a, c = anchor[order], content[order]
+            first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+            last = np.append(first[1:], len(a)) - 1
+            yield pa.record_batch([pa.array(a[first].view(np.int64)), pa.array(np.full(len(first), bucket, np.int32)), pa.array(c[first]), pa.array(c[last])],
+                                  names=["anchor", "bucket", "low", "high"])
+    give_back()
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """(bucket, block, names, docs, places): anchors that have different contents, one a row with block -1, for each bucket with a piece of
+    theirs. Whether an anchor has two contents is a minimum and a maximum, combined on the map side, so a frequent one's pieces never
+    meet; its row goes to each bucket once."""
+    spans = named.select("bucket", "names").mapInArrow(_contents, "anchor long, bucket int, low long, high long")
+    several = written(spans.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("anchor"), "repeats")
+    told = spans.select("anchor", "bucket").join(several, "anchor").distinct()
+    return told.select("bucket", F.lit(MIXED_ANCHOR).cast("long").alias("block"), F.unhex(F.lpad(F.hex("anchor"), 16, "0")).alias("names"),
+                       F.lit(None).cast("binary").alias("docs"), F.lit(None).cast("binary").alias("places"))
+
+
 def _decide(rows: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
-    """Of a bucket's rows (block, names, docs, places): what each block has to remove, and to send as mixed."""
+    """Of a bucket's rows (block, names, docs, places): what each block has to remove, and to send as mixed. Rows with block -1 name
+    the anchors that have different contents."""
+    several = np.array([int.from_bytes(r[1], "big") for r in rows if r[0] == MIXED_ANCHOR], np.uint64)
+    rows = [r for r in rows if r[0] != MIXED_ANCHOR]
+    if not rows:
+        return
     names = [np.frombuffer(r[1], np.uint64).reshape(2, -1) for r in rows]
-    anchor = np.concatenate([n[0] for n in names])
-    _, back, count = np.unique(anchor, return_inverse=True, return_counts=True)
-    keep = count[back] > 1
-    anchor, content = anchor[keep], np.concatenate([n[1] for n in names])[keep]
+    anchor, content = np.concatenate([n[0] for n in names]), np.concatenate([n[1] for n in names])
+    _, back, count = np.unique(content, return_inverse=True, return_counts=True)
+    keep = (count[back] > 1) | np.isin(anchor, several)
+    anchor, content = anchor[keep], content[keep]
     block = np.repeat(np.arange(len(rows)), [n.shape[1] for n in names])[keep]
     doc = np.concatenate([_unpack(r[2], "i8") for r in rows])[keep]
     place = np.concatenate([_unpack(r[3], "u4") for r in rows])[keep]
@@ -175,8 +210,7 @@ def _decide(rows: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
     a, c = anchor[order], content[order]
     new_anchor = np.concatenate([[True], a[1:] != a[:-1]])
     new_piece = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])
-    contents = np.bincount(np.cumsum(new_anchor) - 1, weights=new_piece)[np.cumsum(new_anchor) - 1]
-    for what, chosen in ((REMOVED, ~new_piece), (MIXED, new_piece & (contents > 1))):
+    for what, chosen in ((REMOVED, ~new_piece), (MIXED, new_piece & np.isin(a, several))):
         at = order[chosen]
         at = at[np.argsort(block[at], kind="stable")]
         for lo, hi in _runs(block[at]):
@@ -394,11 +428,14 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text:
     blocks = written(rows.mapInArrow(_blocks, "block long, ipc binary, size long"), "repeats", group_rows=8)
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
-    told = (blocks.select("block", "ipc").mapInArrow(_name(buckets, length, gram), "bucket int, block long, names binary, docs binary, places binary")
-            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_buckets, "block long, what int, places binary"))
+    named = written(blocks.select("block", "ipc").mapInArrow(_name(buckets, length, gram), "bucket int, block long, names binary, docs binary, places binary"),
+                    "repeats", group_rows=4096)
+    told = (named.unionByName(_mixed(named)).repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_buckets, "block long, what int, places binary"))
     parts = written(blocks.select("block", "ipc").groupBy("block").cogroup(told.groupBy("block"))
                     .applyInArrow(lambda a, b: _second(a, b, length, gram, text, step), f"{STEP}, {RESULT}{carried}"), "repeats")
     discard(spark, blocks)
+    discard(spark, named)
     masks = _masks(parts.where(F.col("kind") == PIECE).select("anchor", "piece", "doc_id", "block", "place"), length)
     rest = parts.where(F.col("kind") == REST).select("block", "blob")
     last = rest.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(lambda a, b: _third(a, b, length, text, result), RESULT + carried)
