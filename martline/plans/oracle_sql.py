@@ -607,3 +607,29 @@ register("stream_sliding_events", """
 SELECT start AS window_start, start + INTERVAL 2 DAY AS window_end, event_type, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS cents FROM (
   SELECT date_trunc('day', ts) - INTERVAL (k) DAY AS start, event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events, (VALUES (0), (1)) AS t(k))
 GROUP BY 1, 2, 3""")
+
+register("src_json_report", """
+SELECT count(*) AS rows_extracted, 'city,customer_id' AS columns_found, false AS is_valid, 'no column phone' AS errors, count(*) || ' rows, not 1' AS warnings
+FROM customers_src""")
+register("clean_null_skip", "SELECT * FROM orders_feed")
+register("xf_head", "SELECT * FROM orders_src ORDER BY quantity DESC, order_id, line_number, product_id, supplier_id LIMIT 25")
+_MATH = {"sin": "sin(x)", "cos": "cos(x)", "arctan": "atan(x)", "tanh": "tanh(x)", "arcsinh": "asinh(x)", "exp": "exp(x)", "expm1": "exp(x) - 1", "log": "ln(x)",
+         "log10": "log10(x)", "log1p": "ln(1 + x)", "sqrt": "sqrt(x)", "floor": "floor(x)", "ceil": "ceil(x)", "angle": "atan2(q, 3) + abs(1 - q)"}
+register("xf_math", "SELECT order_id, line_number, product_id, supplier_id, " + ", ".join(f"round({e}, 6) AS {n}" for n, e in _MATH.items())
+         + " FROM (SELECT *, CAST(quantity AS DOUBLE) AS q, CAST(quantity AS DOUBLE) / 8 AS x FROM orders_src)")
+register("dq_python_rule", """
+SELECT 'discount' AS column, CASE WHEN discount IS NULL THEN 'ValueError: no discount' END AS error, count(*) AS violations, CAST(sum(order_id) AS BIGINT) AS ids
+FROM orders_feed WHERE discount IS NULL OR discount > 5 GROUP BY 2""")
+register("load_audit", """
+SELECT 'dim_customers' AS table_name, 'create' AS operation, 0 AS version, count(*) AS rows, NULL AS batch_id, NULL AS watermark_column, CAST(NULL AS DATE) AS watermark_day FROM dim_customers
+UNION ALL SELECT 'dim_customers', 'rewrite', 1, count(*), NULL, NULL, NULL FROM dim_customers
+UNION ALL SELECT 'fact_sales', 'create', 0, count(*), 'early', 'created_at', CAST(max(created_at) AS DATE) FROM fact WHERE created_at < TIMESTAMP '1999-01-01'
+UNION ALL SELECT 'fact_sales', 'append', 0, count(*), 'late', 'created_at', CAST(max(created_at) AS DATE) FROM fact WHERE NOT created_at < TIMESTAMP '1999-01-01'""")
+register("etl_step_metrics", """
+SELECT s.stage, 'done' AS state, s.counted, s.rows FROM (
+  SELECT 'read' AS stage, '' AS counted, CAST(NULL AS BIGINT) AS rows UNION ALL SELECT 'land', 'orders', (SELECT count(*) FROM orders_src)
+  UNION ALL SELECT 'land', 'customers', (SELECT count(*) FROM customers_src) UNION ALL SELECT 'land', 'products', (SELECT count(*) FROM products_src)
+  UNION ALL SELECT 'clean', '', NULL UNION ALL SELECT 'enrich', '', NULL UNION ALL SELECT 'store', 'rows', (SELECT count(*) FROM orders_src)
+  UNION ALL SELECT 'store', 'cleaned', (SELECT count(*) FROM orders_src) UNION ALL SELECT 'publish', 'dim_customers', (SELECT count(*) FROM customers_src)
+  UNION ALL SELECT 'publish', 'dim_products', (SELECT count(*) FROM products_src) UNION ALL SELECT 'publish', 'dim_date', (SELECT count(*) FROM dim_date)
+  UNION ALL SELECT 'publish', 'fact_sales', (SELECT count(*) FROM fact) UNION ALL SELECT 'check', 'checks', 19) AS s""")

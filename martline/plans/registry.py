@@ -1128,3 +1128,70 @@ def stream_sliding_events(spark, sf):
     _stream.window_sums_stream(spark, f"{base}/in", e.schema, wh, "sliding", f"{base}/checkpoint", "ts", ["cents"], "2 days", "1 day", ["event_type"],
                                max_bytes_per_trigger=_part_of(spark, f"{base}/in"), compact_every=2)
     return _stream.window_sums(wh, "sliding", ["event_type"])
+
+
+@query("src_json_report")
+def src_json_report(spark, sf):
+    """Rows of JSON documents with a report: a field that none has, and a wrong number expected."""
+    path = _write_text(customers(spark, sf).select(F.to_json(F.struct("customer_id", "city")).alias("value")), scratch_path(spark, "report_jsonl"))
+    _, rep = _files.extract_json_with_validation(spark, path, ["customer_id", "phone"], expected_count=1, lines=True)
+    return rep.select("rows_extracted", F.array_join("columns_found", ",").alias("columns_found"), "is_valid", F.array_join("errors", "; ").alias("errors"),
+                      F.array_join("warnings", "; ").alias("warnings"))
+
+
+@query("clean_null_skip")
+def clean_null_skip(spark, sf):
+    """Nulls are left as they are."""
+    return _clean.handle_nulls(feed(spark, sf), "skip")
+
+
+@query("xf_head")
+def xf_head(spark, sf):
+    """The first rows in an order."""
+    return _calc.head(orders(spark, sf), 25, [F.desc("quantity"), "order_id", "line_number", "product_id", "supplier_id"])
+
+
+@query("xf_math")
+def xf_math(spark, sf):
+    """§2.12: the mathematical functions of the eval language."""
+    base = orders(spark, sf).select("order_id", "line_number", "product_id", "supplier_id", F.col("quantity").cast("double").alias("q"))
+    names = ["sin", "cos", "arctan", "tanh", "arcsinh", "exp", "expm1", "log", "log10", "log1p", "sqrt", "floor", "ceil"]
+    out = _calc.calculate_fields(base, {n: f"{n}(q / 8)" for n in names} | {"angle": "arctan2(q, 3) + abs(1 - q)"}, language="pandas")
+    return out.select("order_id", "line_number", "product_id", "supplier_id", *[F.round(F.col(n).cast("double"), 6).alias(n) for n in [*names, "angle"]])
+
+
+def _small_discount(value):
+    if value is None:
+        raise ValueError("no discount")
+    return value <= 5
+
+
+@query("dq_python_rule")
+def dq_python_rule(spark, sf):
+    """§2.13: violations of a rule that is a Python function, by what it raised."""
+    f = feed(spark, sf).select("order_id", "line_number", F.col("discount").cast("double").alias("discount"))
+    out = _dq.rule_violations(f, {"discount": _dq.python_rule("discount", _small_discount)}, ["order_id"], errors={"discount": _small_discount})
+    return out.groupBy("column", "error").agg(F.count("*").alias("violations"), F.sum("order_id").alias("ids"))
+
+
+@query("load_audit")
+def load_audit(spark, sf):
+    """§2.14: what the audit says of a replace, an append, a batch that came twice, and an upsert."""
+    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), fact(spark, sf)
+    early = _before("created_at", FACT_CUTOFF)
+    wh.load(dim_c(spark, sf), "dim_customers", "replace")
+    wh.load_fact_table(f.where(early), "fact_sales", batch_id="early")
+    for _ in range(2):
+        wh.load_fact_table(f.where(~early), "fact_sales", batch_id="late")
+    wh.upsert(_cleaned_customers(spark, sf), "dim_customers", ["customer_id"])
+    return wh.audit().select("table_name", "operation", "version", "rows", "batch_id", "watermark_column", F.to_date("watermark").alias("watermark_day"))
+
+
+@query("etl_step_metrics")
+def etl_step_metrics(spark, sf):
+    """The records of a job's stages: state and counted rows."""
+    base = scratch_path(spark, "job")
+    paths = land_sources(spark, sf, base)
+    report = run_job(spark, JobConfig(inputs=Inputs(**paths, orders_schema=orders(spark, sf).schema, json_lines=True), lake=f"{base}/lake", warehouse=f"{base}/warehouse"))
+    rows = [(s.name, s.state, k, n) for s in report.stages for k, n in (s.rows or {"": None}).items()]  # one or two a stage
+    return spark.createDataFrame(rows, "stage string, state string, counted string, rows long")

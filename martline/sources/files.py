@@ -230,8 +230,12 @@ def scan_report(df: DataFrame, path: str, required_columns: Sequence[str] | None
 
 
 def extract_csv_with_validation(spark: SparkSession, path: str, required_columns: Sequence[str] | None = None,
-                                expected_rows: int | None = None, **kwargs) -> tuple[DataFrame, DataFrame]:
-    """The rows and their report; columns of a schema that the header lacks are reported, not read."""
+                                expected_rows: int | None = None, rejects_to: str | None = None, **kwargs) -> tuple[DataFrame, DataFrame]:
+    """The rows and their report; columns of a schema that the header lacks are reported, not read. With ``rejects_to`` (a folder
+    for the scan's rows, see ``extract_csv_rejects``) bad lines don't fail the scan: the report counts them."""
+    if rejects_to is not None:
+        scan = extract_csv_rejects(spark, path, out=rejects_to, **kwargs)
+        return scan.good, scan_report(scan.good, path, required_columns, expected_rows, rejected=scan.n_rejects)
     schema = kwargs.get("schema")
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     df = extract_csv(spark, path, **({"absent": "skip"} | kwargs))
