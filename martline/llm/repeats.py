@@ -6,10 +6,11 @@ in the same document before. Strings are judged on the input.
 The collection is cut into pieces by anchors (``anchors``), so that equal strings meet under the same anchor:
 
 1. Documents are put into blocks (sorted by id, compressed), written once. A block's pieces are named by anchor and
-   content hash and sent to the buckets of these names.
-2. Aggregates find the anchors with different contents. Of pieces with equal content, which meet in a bucket, only the earliest can
-   stay; it stays for certain if its anchor has no other content. The others, with different contents under one anchor,
-   are what the transform is built for.
+   content hash and sent to the buckets of their anchors; pieces of hot anchors (at most ``HOT``, from a sample of blocks) to the buckets
+   of anchor and content.
+2. A bucket finds the anchors that occur twice. Of pieces with equal content only the earliest can stay; it
+   stays for certain if its anchor has no other content, which for hot anchors an aggregate tells. The others, with different contents
+   under one anchor, are what the transform is built for.
 3. Blocks send the text of those pieces. Tasks take whole anchors until they have a bundle, build the
    bundle's transform and common prefixes column by column (``bwt``), and read off which strings begin earlier elsewhere.
    Bundles are bounded, so the sequential files of the construction are sequential arrays of a task here (a folder of one
@@ -47,8 +48,8 @@ MANY = 1 << 14
 _NO_ID = (1 << 63) - 1
 
 REMOVED, MIXED = 0, 1
-#: Stands for a block in rows that name an anchor.
-MIXED_ANCHOR = -1
+#: Blocks that are looked at for hot anchors, and of which share of their pieces an anchor is hot (one of HOT).
+SAMPLE, HOT = 16, 1000
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -136,9 +137,35 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
-def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
-    """Of each block: anchors, contents, documents and places of its different pieces, by bucket (of anchor and content, so that a
-    frequent anchor's pieces spread over all of them)."""
+def _frequent(length: int, gram: int):  # noqa: ANN202
+    """(anchor, n) of the anchors of some blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
+        for batch in batches:
+            for ipc in batch.column(0):
+                b = Block(ipc.as_py(), length, gram, name_all=False)
+                anchor, n = np.unique(b.anchor[~b.again], return_counts=True)
+                yield pa.record_batch([pa.array(anchor.view(np.int64)), pa.array(n)], names=["anchor", "n"])
+        give_back()
+
+    return run
+
+
+def _hot(blocks: DataFrame, length: int, gram: int) -> np.ndarray:
+    """Anchors with at least one of ``HOT`` of the pieces of ``SAMPLE`` blocks: at most ``HOT``. A sample does, as it only decides how
+    pieces are dealt out."""
+    some = blocks.orderBy(F.xxhash64("block"), "block").limit(SAMPLE).select("ipc").mapInArrow(_frequent(length, gram), "anchor long, n long")
+    counts = written(some.groupBy("anchor").agg(F.sum("n").alias("n")), "repeats")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = counts.where(F.col("n") >= F.lit(max(2, -(-total // HOT)))).select("anchor").collect()
+    discard(blocks.sparkSession, counts)
+    return np.sort(np.array([r.anchor for r in found], np.int64).view(np.uint64))
+
+
+def _name(buckets: int, length: int, gram: int, hot: np.ndarray):  # noqa: ANN202
+    """Of each block: anchors, contents, documents and places of its different pieces, by bucket: of the anchor, of a hot one's pieces of
+    anchor and content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _begin()
@@ -146,7 +173,8 @@ def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
             for block, ipc in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 b = Block(ipc.as_py(), length, gram)
                 place = np.flatnonzero(~b.again)
-                bucket = ((b.anchor[place] * np.uint64(0x9E3779B97F4A7C15) ^ b.content[place]) >> np.uint64(32)) % np.uint64(buckets)
+                by = np.where(np.isin(b.anchor[place], hot), b.anchor[place] * np.uint64(0x9E3779B97F4A7C15) ^ b.content[place], b.anchor[place])
+                bucket = (by >> np.uint64(32)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 place, bucket = place[order], bucket[order]
                 rows = []
@@ -161,44 +189,39 @@ def _name(buckets: int, length: int, gram: int):  # noqa: ANN202
     return run
 
 
-def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, bucket, low, high): each anchor of a named row with its least and greatest content."""
-    _begin()
-    for batch in batches:
-        for bucket, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            anchor, content = np.frombuffer(names, np.uint64).reshape(2, -1)
-            content = content.view(np.int64)
-            order = np.lexsort((content, anchor))
-            a, c = anchor[order], content[order]
-            first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-            last = np.append(first[1:], len(a)) - 1
-            yield pa.record_batch([pa.array(a[first].view(np.int64)), pa.array(np.full(len(first), bucket, np.int32)), pa.array(c[first]), pa.array(c[last])],
-                                  names=["anchor", "bucket", "low", "high"])
-    give_back()
+def _hot_contents(hot: np.ndarray):  # noqa: ANN202
+    """(anchor, low, high): the hot anchors of a partition with their least and greatest content."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = np.iinfo(np.int64)
+        low, high = np.full(len(hot), top.max), np.full(len(hot), top.min)
+        for batch in batches:
+            for names in batch.column(0).to_pylist():
+                anchor, content = np.frombuffer(names, np.uint64).reshape(2, -1)
+                at = np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)
+                some = hot[at] == anchor
+                np.minimum.at(low, at[some], content[some].view(np.int64))
+                np.maximum.at(high, at[some], content[some].view(np.int64))
+        seen = low <= high
+        yield pa.record_batch([pa.array(hot[seen].view(np.int64)), pa.array(low[seen]), pa.array(high[seen])], names=["anchor", "low", "high"])
 
+    return run
 
-def _mixed(named: DataFrame) -> DataFrame:
-    """(bucket, block, names, docs, places): anchors that have different contents, one a row with block -1, for each bucket with a piece of
-    theirs. Whether an anchor has two contents is a minimum and a maximum, combined on the map side, so a frequent one's pieces never
-    meet; its row goes to each bucket once."""
-    spans = named.select("bucket", "names").mapInArrow(_contents, "anchor long, bucket int, low long, high long")
-    several = written(spans.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("anchor"), "repeats")
-    told = spans.select("anchor", "bucket").join(several, "anchor").distinct()
-    return told.select("bucket", F.lit(MIXED_ANCHOR).cast("long").alias("block"), F.unhex(F.lpad(F.hex("anchor"), 16, "0")).alias("names"),
-                       F.lit(None).cast("binary").alias("docs"), F.lit(None).cast("binary").alias("places"))
 
+def _mixed(named: DataFrame, hot: np.ndarray) -> np.ndarray:
+    """The hot anchors that have different contents: a minimum and a maximum each, so their pieces never meet."""
+    spans = named.select("names").mapInArrow(_hot_contents(hot), "anchor long, low long, high long")
+    found = spans.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("anchor").collect()  # at most HOT
+    return np.sort(np.array([r.anchor for r in found], np.int64).view(np.uint64))
 
-def _decide(rows: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
-    """Of a bucket's rows (block, names, docs, places): what each block has to remove, and to send as mixed. Rows with block -1 name
-    the anchors that have different contents."""
-    several = np.array([int.from_bytes(r[1], "big") for r in rows if r[0] == MIXED_ANCHOR], np.uint64)
-    rows = [r for r in rows if r[0] != MIXED_ANCHOR]
-    if not rows:
-        return
+
+def _decide(rows: list[tuple], hot: np.ndarray, mixed: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """Of a bucket's rows (block, names, docs, places): what each block has to remove, and to send as mixed. Of hot anchors, whose
+    pieces are in many buckets, ``mixed`` are those with different contents."""
     names = [np.frombuffer(r[1], np.uint64).reshape(2, -1) for r in rows]
     anchor, content = np.concatenate([n[0] for n in names]), np.concatenate([n[1] for n in names])
-    _, back, count = np.unique(content, return_inverse=True, return_counts=True)
-    keep = (count[back] > 1) | np.isin(anchor, several)
+    _, back, count = np.unique(anchor, return_inverse=True, return_counts=True)
+    keep = (count[back] > 1) | np.isin(anchor, mixed)
     anchor, content = anchor[keep], content[keep]
     block = np.repeat(np.arange(len(rows)), [n.shape[1] for n in names])[keep]
     doc = np.concatenate([_unpack(r[2], "i8") for r in rows])[keep]
@@ -210,33 +233,39 @@ def _decide(rows: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
     a, c = anchor[order], content[order]
     new_anchor = np.concatenate([[True], a[1:] != a[:-1]])
     new_piece = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])
-    for what, chosen in ((REMOVED, ~new_piece), (MIXED, new_piece & np.isin(a, several))):
+    contents = np.bincount(np.cumsum(new_anchor) - 1, weights=new_piece)[np.cumsum(new_anchor) - 1]
+    several = np.where(np.isin(a, hot), np.isin(a, mixed), contents > 1)
+    for what, chosen in ((REMOVED, ~new_piece), (MIXED, new_piece & several)):
         at = order[chosen]
         at = at[np.argsort(block[at], kind="stable")]
         for lo, hi in _runs(block[at]):
             yield rows[block[at[lo]]][0], what, _pack(np.sort(place[at[lo:hi]]).astype(np.uint32))
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buckets(hot: np.ndarray, mixed: np.ndarray):  # noqa: ANN202
     """Rows sorted by bucket, one bucket at a time."""
-    _begin()
-    now, held = None, []
 
-    def out() -> Iterator[pa.RecordBatch]:
-        got = list(_decide(held)) if held else []
-        if got:
-            b, w, p = zip(*got, strict=True)
-            yield pa.record_batch([pa.array(b, pa.int64()), pa.array(w, pa.int32()), pa.array(p, pa.binary())], names=["block", "what", "places"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
+        now, held = None, []
 
-    for batch in batches:
-        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if bucket != now:
-                yield from out()
-                now, held = bucket, []
-            held.append(tuple(row))
-    yield from out()
-    held.clear()
-    give_back()
+        def out() -> Iterator[pa.RecordBatch]:
+            got = list(_decide(held, hot, mixed)) if held else []
+            if got:
+                b, w, p = zip(*got, strict=True)
+                yield pa.record_batch([pa.array(b, pa.int64()), pa.array(w, pa.int32()), pa.array(p, pa.binary())], names=["block", "what", "places"])
+
+        for batch in batches:
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now:
+                    yield from out()
+                    now, held = bucket, []
+                held.append(tuple(row))
+        yield from out()
+        held.clear()
+        give_back()
+
+    return run
 
 
 def _cover(size: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -428,14 +457,17 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text:
     blocks = written(rows.mapInArrow(_blocks, "block long, ipc binary, size long"), "repeats", group_rows=8)
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
-    named = written(blocks.select("block", "ipc").mapInArrow(_name(buckets, length, gram), "bucket int, block long, names binary, docs binary, places binary"),
-                    "repeats", group_rows=4096)
-    told = (named.unionByName(_mixed(named)).repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(_buckets, "block long, what int, places binary"))
+    hot, mixed = _hot(blocks, length, gram), np.zeros(0, np.uint64)
+    named = blocks.select("block", "ipc").mapInArrow(_name(buckets, length, gram, hot), "bucket int, block long, names binary, docs binary, places binary")
+    if len(hot):
+        named = written(named, "repeats")
+        mixed = _mixed(named, hot)
+    told = named.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_buckets(hot, mixed), "block long, what int, places binary")
     parts = written(blocks.select("block", "ipc").groupBy("block").cogroup(told.groupBy("block"))
                     .applyInArrow(lambda a, b: _second(a, b, length, gram, text, step), f"{STEP}, {RESULT}{carried}"), "repeats")
     discard(spark, blocks)
-    discard(spark, named)
+    if len(hot):
+        discard(spark, named)
     masks = _masks(parts.where(F.col("kind") == PIECE).select("anchor", "piece", "doc_id", "block", "place"), length)
     rest = parts.where(F.col("kind") == REST).select("block", "blob")
     last = rest.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(lambda a, b: _third(a, b, length, text, result), RESULT + carried)

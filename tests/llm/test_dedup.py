@@ -141,10 +141,10 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("many,block,bundle", [(repeats.MANY, repeats.BLOCK, repeats.BUNDLE), (2, 2000, 500)])
-def test_repeats_equal_brute_force(spark, monkeypatch, many, block, bundle):
-    for name, value in (("MANY", many), ("BLOCK", block), ("BUNDLE", bundle)):
-        monkeypatch.setattr(repeats, name, value)  # also with small blocks and bundles, and anchors done string by string
+@pytest.mark.parametrize("many,block,bundle,sample", [(repeats.MANY, repeats.BLOCK, repeats.BUNDLE, 0), (repeats.MANY, 8000, repeats.BUNDLE, 3), (2, 2000, 500, 16)])
+def test_repeats_equal_brute_force(spark, monkeypatch, many, block, bundle, sample):
+    for name, value in (("MANY", many), ("BLOCK", block), ("BUNDLE", bundle), ("SAMPLE", sample)):
+        monkeypatch.setattr(repeats, name, value)  # also with small blocks and bundles, anchors done string by string, without and with hot anchors
     rng = random.Random(8)
     passage = words(rng, 30)
     rows = [r for r in odd_docs()[:-4]]  # one row an id
