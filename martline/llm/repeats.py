@@ -155,7 +155,8 @@ def _frequent(length: int, gram: int):  # noqa: ANN202
 def _hot(blocks: DataFrame, length: int, gram: int) -> np.ndarray:
     """Anchors with at least one of ``HOT`` of the pieces of ``SAMPLE`` blocks: at most ``HOT``. A sample does, as it only decides how
     pieces are dealt out."""
-    some = blocks.orderBy(F.xxhash64("block"), "block").limit(SAMPLE).select("ipc").mapInArrow(_frequent(length, gram), "anchor long, n long")
+    chosen = [r.block for r in blocks.select("block").orderBy(F.xxhash64("block"), "block").limit(SAMPLE).collect()]  # numbers only: blobs stay where they are
+    some = blocks.where(F.col("block").isin(chosen)).select("ipc").mapInArrow(_frequent(length, gram), "anchor long, n long")
     counts = written(some.groupBy("anchor").agg(F.sum("n").alias("n")), "repeats")
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.where(F.col("n") >= F.lit(max(2, -(-total // HOT)))).select("anchor").collect()
