@@ -20,7 +20,7 @@ def test_registry_contract():
     assert set(sql) <= set(q)
     assert len(q) >= 70
     optional = [k for k in q if k == "pipeline" or k.startswith("op")]
-    assert len(optional) in (0, 11)              # the training-data subpackage is there or not
+    assert len(optional) in (0, 14)              # the training-data subpackage is there or not
 
 
 def test_cli_runs_sample(spark):

@@ -115,6 +115,9 @@ def test_rejects_of_a_file_with_a_header(spark):
     assert all(r.file.endswith("x.csv") and r.block == 0 for r in scan.rejects.collect())
     report = files.scan_report(scan.good, path, expected_rows=6, rejected=scan.n_rejects).first()
     assert report.is_valid and report.warnings == ["3 rows, not 6", "3 lines rejected"]
+    _, report = files.extract_csv_with_validation(spark, path, ["id", "phone"], rejects_to=scratch_path(spark, "scan"), schema="id INT, day DATE", null_value="NA")
+    report = report.first()
+    assert (report.rows_extracted, report.is_valid, report.errors, report.warnings) == (3, False, ["no column phone"], ["3 lines rejected"])
     clean = files.extract_csv_rejects(spark, write(base, "y.csv", "id,day\n1,2024-01-01\n"), "id INT, day DATE", scratch_path(spark, "scan"))
     assert clean.good.count() == 1 and clean.rejects.count() == 0
     with pytest.raises(FileNotFoundError):
