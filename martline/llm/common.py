@@ -107,10 +107,9 @@ class Tracked:
         _TRACKS.remove(self)
 
     def clear(self, spark: SparkSession, needed: DataFrame) -> None:
-        read = [f.split(":", 1)[-1].replace("//", "/") for f in needed.inputFiles()] if self.paths else []
+        read = {f.rsplit("/", 2)[-2] for f in needed.inputFiles()} if self.paths else set()  # names of the files' folders, which are unique
         for path in list(self.paths):
-            plain = path.split(":", 1)[-1].replace("//", "/")
-            if not any(f.startswith(f"{plain}/") for f in read):
+            if path.rsplit("/", 1)[-1] not in read:
                 p = spark._jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
                 self.paths.remove(path)
