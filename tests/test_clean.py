@@ -114,3 +114,17 @@ def test_clean_all_chain(spark):
     out = rows(clean.clean_all(df, standardize_emails_=["email"]), "id")
     assert out == [(1, "a@b.c"), (2, None)]
     assert F is not None
+
+
+def test_only_text_of_a_forms_shape_is_parsed(spark):
+    """Nothing that a form parses is left out by its shape; text of another shape never reaches the parser, where it costs an exception."""
+    from martline.functions import dates
+
+    texts = ["2024-01-02 03:04:05", "2024-01-02t03:04:05z", "2024-01-02 03:04:05.1-09:30", "+12345-01-02", "0001-01-01", "2024/01/02", "001/0002/2024",
+             "13/02/2024", "31.2.2023", "20240102", "JAN 2, 2024", "ſep 2, 2024", "2 May 2024", " 2024-01-02 ", "2024-01-02 24:00:00", "2024-02-30", "n/a", "", None]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    for form in [*(f for fs in dates.FORMATS.values() for f in fs), "[yyyy]-MM-dd"]:
+        plain = F.try_to_timestamp(F.trim("x"), F.lit(form)).cast("timestamp_ntz")
+        assert df.where(~plain.eqNullSafe(dates.parse_timestamp("x", form))).count() == 0, form
+    assert all(dates.shape(f) for fs in dates.FORMATS.values() for f in fs) and dates.shape("[yyyy]-MM-dd") is None
+    assert df.where(F.col("x").rlike(dates.shape("yyyy-MM-dd"))).count() == 3
