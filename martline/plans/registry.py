@@ -871,8 +871,13 @@ def etl_batch_rerun(spark, sf):
 # ---- streaming ----------------------------------------------------------------------
 
 
-#: Rows of a landed file at most, so that even small tables come in several files.
-LANDED_ROWS = 20_000
+#: Rows of a landed file at most, so that even small tables come in several files; a large table comes in about so many.
+LANDED_ROWS, LANDED_FILES = 20_000, 200
+
+
+def _file_rows(table: DataFrame, least: int = LANDED_ROWS) -> int:
+    """Rows of a landed file of a table (counted by its footers): files grow with the table, not in number."""
+    return max(least, -(-table.count() // LANDED_FILES))
 
 
 def _part_of(spark, path: str, parts: int = 4) -> int:
@@ -886,7 +891,7 @@ def stream_daily_sales(spark, sf):
     """Files landed newest day first, a quarter of them a batch, so every batch but the first is late."""
     base = scratch_path(spark, "stream_daily")
     src = fact(spark, sf).select("created_at", "quantity", "total_amount")
-    src.orderBy(F.desc("created_at")).write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")
+    src.orderBy(F.desc("created_at")).write.option("maxRecordsPerFile", _file_rows(td.table(spark, sf, "lineitem"))).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
     _stream.daily_sales_stream(spark, f"{base}/in", src.schema, wh, "daily_sales", f"{base}/checkpoint", max_bytes_per_trigger=_part_of(spark, f"{base}/in"), compact_every=3)
     return _stream.daily_sales(wh, "daily_sales").withColumn("total_revenue", F.col("total_revenue").cast("double"))
@@ -898,7 +903,7 @@ def stream_customer_activity(spark, sf):
     o = td.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"), F.col("o_totalprice").alias("order_total"))
-    o.orderBy(F.xxhash64("order_id")).write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")  # customers in every file
+    o.orderBy(F.xxhash64("order_id")).write.option("maxRecordsPerFile", _file_rows(o)).parquet(f"{base}/in")  # customers in every file
     wh = Warehouse(spark, f"{base}/warehouse")
     newer = ["last_order_date", "last_order_id"]
     _stream.latest_per_key_stream(
@@ -1008,7 +1013,7 @@ def stream_fact_append(spark, sf):
     """Fact rows landed as several files, appended micro-batch by micro-batch."""
     base = scratch_path(spark, "stream_fact")
     f = fact(spark, sf)
-    f.write.option("maxRecordsPerFile", LANDED_ROWS).parquet(f"{base}/in")
+    f.write.option("maxRecordsPerFile", _file_rows(td.table(spark, sf, "lineitem"))).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
     _stream.append_stream(spark, f"{base}/in", f.schema, wh, "fact_sales", f"{base}/checkpoint",
                           watermark_column="created_at", max_bytes_per_trigger=_part_of(spark, f"{base}/in", 6), merge_every=3)
@@ -1020,8 +1025,9 @@ def _deduplicated(spark, sf):
     base = scratch_path(spark, "stream_dedup")
     e = td.events_source(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
     twice = e.where(F.col("event_id") % 10 == 3)
-    e.orderBy(F.desc("ts")).write.option("maxRecordsPerFile", LANDED_ROWS // 40).parquet(f"{base}/in")
-    twice.orderBy("ts").write.mode("append").option("maxRecordsPerFile", LANDED_ROWS // 40).parquet(f"{base}/in")
+    rows = _file_rows(e, LANDED_ROWS // 40)
+    e.orderBy(F.desc("ts")).write.option("maxRecordsPerFile", rows).parquet(f"{base}/in")
+    twice.orderBy("ts").write.mode("append").option("maxRecordsPerFile", rows).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
     for _ in range(2):  # the second run, a restart, finds nothing new
         _stream.dedup_stream(spark, f"{base}/in", e.schema, wh, "events", "late_events", f"{base}/checkpoint", ["event_id"], "ts", delay="2 days",
@@ -1051,7 +1057,7 @@ def stream_sessions(spark, sf):
     """Sessions of users with a gap of 30 days, over batches in the order of time; a last row moves time on, so that all close."""
     base = scratch_path(spark, "stream_sessions")
     e = td.events_source(spark, sf).select("user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"), F.lit(False).alias("beat"))
-    e.orderBy("ts").write.option("maxRecordsPerFile", LANDED_ROWS // 8).parquet(f"{base}/in")
+    e.orderBy("ts").write.option("maxRecordsPerFile", _file_rows(e, LANDED_ROWS // 8)).parquet(f"{base}/in")
     end = e.agg((F.max("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts")).select(F.lit(None).cast("long").alias("user_id"), "ts", F.lit(0).cast("long").alias("cents"), F.lit(True).alias("beat"))
     end.coalesce(1).write.mode("append").parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
@@ -1124,7 +1130,7 @@ def stream_sliding_events(spark, sf):
     """Events by type in windows of two days every day, landed newest first: all batches but the first are late."""
     base = scratch_path(spark, "stream_sliding")
     e = td.events_source(spark, sf).select("ts", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"))
-    e.orderBy(F.desc("ts")).write.option("maxRecordsPerFile", LANDED_ROWS // 8).parquet(f"{base}/in")
+    e.orderBy(F.desc("ts")).write.option("maxRecordsPerFile", _file_rows(e, LANDED_ROWS // 8)).parquet(f"{base}/in")
     wh = Warehouse(spark, f"{base}/warehouse")
     _stream.window_sums_stream(spark, f"{base}/in", e.schema, wh, "sliding", f"{base}/checkpoint", "ts", ["cents"], "2 days", "1 day", ["event_type"],
                                max_bytes_per_trigger=_part_of(spark, f"{base}/in"), compact_every=2)

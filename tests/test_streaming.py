@@ -125,3 +125,11 @@ def test_sliding_windows_add_up_over_late_batches(spark):
     window_sums_stream(spark, f"{base}/in/*", schema, wh, "w", f"{base}/ckpt", "ts", ["value"], "2 days", "1 day", max_files_per_trigger=1, compact_every=2)
     day = lambda d: dt.datetime(2024, 1, d)
     assert rows(window_sums(wh, "w"), "window_start") == [(day(3), day(5), 1, 5), (day(4), day(6), 3, 22), (day(5), day(7), 2, 17)]
+
+
+def test_landed_files_grow_with_the_table_not_in_number(spark):
+    from martline.plans import registry
+
+    assert registry._file_rows(spark.range(1000), 500) == 500
+    assert registry._file_rows(spark.range(registry.LANDED_FILES * 1000), 500) == 1000
+    assert registry._file_rows(spark.range(registry.LANDED_FILES * 1000 + 1), 500) == 1001
