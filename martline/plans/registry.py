@@ -1076,8 +1076,17 @@ def bi_quarter_sales(spark, sf):
     return marts.period_sales(wh.read("fact_sales"), wh.read("dim_date"), (F.col("year") == 1997) & F.col("quarter").isin(2, 3))
 
 
-def _bucketed_sources(spark, sf, buckets: int = 8):
+#: Rows of a bucket of order lines at most, about: one task sorts them, in some 170 bytes each.
+BUCKET_ROWS = 1_500_000
+
+
+def _buckets(lines: int, least: int = 8) -> int:
+    return max(least, -(-lines // BUCKET_ROWS))
+
+
+def _bucketed_sources(spark, sf, buckets: int | None = None):
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    buckets = buckets or _buckets(td.table(spark, sf, "lineitem").count())
     wh.create_bucketed(td.table(spark, sf, "lineitem"), "lineitem", ["l_orderkey"], buckets)
     wh.create_bucketed(td.table(spark, sf, "orders"), "orders", ["o_orderkey"], buckets)
     return td.order_lines(wh.read("lineitem"), wh.read("orders"))

@@ -177,3 +177,8 @@ def test_header_after_other_lines(spark):
     for schema in ("id INT, name STRING", None):
         df = files.extract_csv(spark, base, schema=schema, header=2)
         assert rows(df, "id") == [(1, "a"), (1, "a"), (2, "b"), (2, "b")] and "Python" not in plan_of(df)
+
+
+def test_buckets_grow_with_the_order_lines():
+    assert registry._buckets(1000) == 8
+    assert registry._buckets(8 * registry.BUCKET_ROWS + 1) == 9
