@@ -157,6 +157,17 @@ class CsvScan:
     n_rejects: int
 
 
+def _write_split(df: DataFrame, flag: str, out: str) -> None:
+    """Rows in two folders by a boolean. A task keeps both files open, where Spark would else sort all its rows by the folder."""
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name, "0")
+    conf.set(name, str(max(3, int(before))))  # true, false, null
+    try:
+        df.write.partitionBy(flag).parquet(out)
+    finally:
+        conf.set(name, before)
+
+
 def extract_csv_rejects(spark: SparkSession, path: str, schema: T.StructType | str, out: str, encoding: str = "utf-8", delimiter: str = ",",
                         header: bool = True, null_value: str | None = None, **options) -> CsvScan:
     """S1 for files with bad lines: the good rows are kept, the others go to a quarantine. One pass: files are parsed once, and good and bad
@@ -197,7 +208,7 @@ def extract_csv_rejects(spark: SparkSession, path: str, schema: T.StructType | s
     kept = [F.col(J._q(n)) for n in wanted.names]
     df = df.select(*kept, "__file", "__block", "__line", "__reason", "__fields", bad.alias("rejected")).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if("rejected").alias("bad"))
-    df.write.partitionBy("rejected").parquet(out)
+    _write_split(df, "rejected", out)
     both = spark.read.schema(df.schema).parquet(out)
     n, n_bad = int(seen.get["rows"]), int(seen.get["bad"])
     rejects = both.where("rejected").select(F.col("__file").alias("file"), F.col("__block").alias("block"), F.col("__line").alias("line"),

@@ -147,3 +147,21 @@ def test_csv_bad_encoding(spark):
     _, rep = files.extract_csv_with_validation(spark, p)
     r = rep.first()
     assert not r.is_valid and "invalid in the file encoding" in r.errors[0]
+
+
+def test_rows_are_written_in_two_folders_without_a_sort(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 1).selectExpr("id", "IF(id % 10 = 9, null, id % 3 = 0) AS rejected")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")
+    seen = []
+    keep = df.write.__class__.parquet
+
+    def parquet(self, *a, **k):
+        seen.append(int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        return keep(self, *a, **k)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(df.write.__class__, "parquet", parquet)
+        files._write_split(df, "rejected", str(tmp_path / "out"))
+    assert seen == [3] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == before
+    assert spark.read.schema(df.schema).parquet(str(tmp_path / "out")).exceptAll(df).count() == 0
+    assert len(list((tmp_path / "out").glob("rejected=*/*.parquet"))) == 3
