@@ -3,6 +3,7 @@
 Layout: ``<base>/<zone>/<name>/snapshot_ts=YYYYmmdd_HHMMSS/part-*.<fmt>`` with
 zone ``raw`` or ``processed``. Each save writes one new partition directory
 (no rewrite of older ones); the latest snapshot is found by folder name and read alone.
+Files are compressed, also text (parquet as zstd, text as gzip: a file is read by one task, as one wrote it).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 FORMATS = ("parquet", "csv", "json")
+CODECS = {"parquet": "zstd", "csv": "gzip", "json": "gzip"}
 _SNAP = re.compile(r"snapshot_ts=(\d{8}_\d{6})")
 
 
@@ -33,7 +35,7 @@ class DataLake:
         if format not in FORMATS:
             raise ValueError(f"no snapshots of kind {format}")
         path = f"{self._dir(zone, name)}/snapshot_ts={snapshot_label(timestamp)}"
-        w = df.write.mode("errorifexists").format(format)
+        w = df.write.mode("errorifexists").format(format).option("compression", CODECS[format])
         if format == "csv":
             w = w.option("header", True).option("escape", '"')
         w.save(path)

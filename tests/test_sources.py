@@ -165,3 +165,16 @@ def test_rows_are_written_in_two_folders_without_a_sort(spark, tmp_path):
     assert seen == [3] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == before
     assert spark.read.schema(df.schema).parquet(str(tmp_path / "out")).exceptAll(df).count() == 0
     assert len(list((tmp_path / "out").glob("rejected=*/*.parquet"))) == 3
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "parquet"])
+def test_lake_snapshots_are_compressed(spark, tmp_path, fmt):
+    df = spark.range(0, 20_000, 1, 2).selectExpr("id", "concat('name ', id % 7) AS name")
+    lake = DataLake(spark, str(tmp_path))
+    path = lake.save_raw(df, "names", fmt, dt.datetime(2024, 1, 15, 9, 0, 0))
+    back = lake.latest("raw", "names", fmt, schema=df.schema)
+    assert back.exceptAll(df).count() == 0 and back.count() == 20_000
+    ends = {"json": ".json.gz", "csv": ".csv.gz", "parquet": ".zstd.parquet"}[fmt]
+    from pathlib import Path
+
+    assert all(f.name.endswith(ends) for f in Path(path).glob("part-*"))
