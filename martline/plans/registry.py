@@ -60,6 +60,13 @@ def fact(spark, sf, with_sale_id=False):
     return star.fact_sales(orders(spark, sf), with_sale_id=with_sale_id)
 
 
+def _landed(spark, df, name: str):
+    """A frame that several loads read, derived once: its rows as files in the scratch folder."""
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def dim_c(spark, sf):
     return star.dim_customers(customers(spark, sf))
 
@@ -788,7 +795,7 @@ def load_append_replay(spark, sf):
 def load_after_drop(spark, sf):
     """A batch loaded, its schema dropped and made again, the batch loaded twice more: the table holds it once. Then a replace by a part
     takes it away, and the batch comes back by another load."""
-    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), fact(spark, sf)
+    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), _landed(spark, fact(spark, sf), "fact")
     wh.create_star_schema()
     wh.load_fact_table(f, "fact_sales", batch_id="b")
     wh.drop_star_schema()

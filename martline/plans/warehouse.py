@@ -292,7 +292,7 @@ class Warehouse:
         if watermark_column and watermark_column in df.columns:
             metrics.append(F.max(F.col(watermark_column)).cast("string").alias("wm"))
         folder = f"{self.path(table, version)}/{LOAD}={load}"
-        w = df.observe(obs, *metrics).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        w = df.observe(obs, *metrics).write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
         if layout:
             keys, n = _bucketing(layout)
             gone = self.spark._jvm.org.apache.hadoop.fs.Path(folder)  # of an attempt that broke off

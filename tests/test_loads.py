@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from martline.plans import warehouse
+from martline.plans import registry, warehouse
 from martline.plans.warehouse import Warehouse, _load_id, create_table_sql, incremental_rows, merge_upsert
 from tests.helpers import rows, tmpdir
 
@@ -241,3 +241,30 @@ def test_created_table_fills_the_default(spark):
     spark.sql(f"INSERT INTO {name} (product_id, product_name) VALUES (1, 'x')")
     assert spark.table(name).first().created_at is not None
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_loads_of_one_fact_derive_it_once(spark, sf, monkeypatch):
+    """What several loads read is joined once; the loads read its files."""
+    landed = []
+    keep = registry._landed
+
+    def record(spark, df, name):
+        landed.append((name, keep(spark, df, name)))
+        return landed[-1][1]
+
+    monkeypatch.setattr(registry, "_landed", record)
+    for q in ("load_after_drop", "bi_distinct_incremental"):
+        registry.QUERIES[q](spark, sf).limit(1).collect()
+    assert [n for n, _ in landed] == ["fact", "categories"]
+    assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for _, df in landed)
+    assert all(df.count() == registry.fact(spark, sf).count() for _, df in landed)
+
+
+def test_a_jobs_files_are_compressed(spark, sf, tmp_path):
+    from pathlib import Path
+
+    paths = registry.land_sources(spark, sf, str(tmp_path))
+    assert all(f.name.endswith(".gz") for p in paths.values() for f in Path(p).glob("part-*"))
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    wh.load(spark.range(10), "t")
+    assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / "warehouse" / "t").rglob("part-*"))
