@@ -1109,7 +1109,8 @@ def xf_sales_bucketed(spark, sf):
 def bi_distinct_incremental(spark, sf):
     """Customers and days by category, from distinct sketches that each of three loads wrote and a read merges, against the exact
     numbers: both within 3 % (over three times the sketches' standard error)."""
-    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), fact(spark, sf).join(dim_p(spark, sf).select("product_id", "category"), "product_id")
+    f = fact(spark, sf).join(dim_p(spark, sf).select("product_id", "category"), "product_id").select("customer_id", "created_at", "date_id", "category")
+    wh, f = Warehouse(spark, scratch_path(spark, "warehouse")), _landed(spark, f, "categories")
     for i in range(3):
         part = f.where(F.pmod(F.xxhash64("customer_id", "created_at"), F.lit(3)) == i)
         wh.load(part.groupBy("category").agg(_reg.distinct_sketch("customer_id").alias("customers"), _reg.distinct_sketch("date_id").alias("days")),
