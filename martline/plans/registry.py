@@ -840,15 +840,15 @@ def load_type_mismatch(spark, sf):
 
 
 def land_sources(spark, sf, base: str) -> dict[str, str]:
-    """Land the driver-derived sources as files: orders CSV, customers and
+    """Land the driver-derived sources as gzip files: orders CSV, customers and
     products JSON Lines (products under a ``products`` key)."""
     o = orders(spark, sf)
     paths = {"orders": f"{base}/orders_csv", "customers": f"{base}/customers_jsonl",
              "products": f"{base}/products_jsonl"}
-    o.write.option("header", True).csv(paths["orders"])
-    customers(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.text(paths["customers"])
+    o.write.option("header", True).option("compression", "gzip").csv(paths["orders"])
+    customers(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.option("compression", "gzip").text(paths["customers"])
     p = products(spark, sf).select(F.to_json(F.struct(F.array(F.struct("*")).alias("products"))).alias("value"))
-    p.write.text(paths["products"])
+    p.write.option("compression", "gzip").text(paths["products"])
     return paths
 
 
