@@ -71,6 +71,22 @@ def word_features(word: str) -> tuple[int, ...]:
     return tuple(xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) >> 1 for x in names)
 
 
+def any_kept(cache: Recent) -> Callable[[set[str]], bool]:
+    """Whether some word has a value other than zero or nothing in ``cache``. Words without are remembered, so that a text of such words takes one
+    comparison of sets."""
+    plain: set[str] = set()
+
+    def some(words: set[str]) -> bool:
+        new = words - plain
+        found = [w for w in new if cache[w]]
+        if len(plain) > cache.keep:
+            plain.clear()
+        plain.update(w for w in new.difference(found) if len(w) <= cache.LONG)
+        return bool(found)
+
+    return some
+
+
 def _packed_features(word: str) -> bytes:
     return array("q", word_features(word)).tobytes()
 
@@ -113,7 +129,7 @@ def _instances(number: dict[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("toxicity")
         cache = Recent(lambda w: [number[f] for f in word_features(w) if f in number], KEEP_WORDS)
-        some = lambda words: any(map(cache.__getitem__, words))
+        some = any_kept(cache)
         for batch in batches:
             for part in slices(batch, 0):
                 cache.turn()
@@ -266,7 +282,7 @@ def score(docs: DataFrame, model: Model, offending: float = 0.5, id_col: str = "
         at_work("toxicity")
         m = sent.value
         cache = Recent(lambda w: sum(m.weights.get(f, 0.0) for f in word_features(w)), KEEP_WORDS)
-        some = lambda words: any(map(cache.__getitem__, words))
+        some = any_kept(cache)
         usual = float(_softplus(np.float64(m.bias)))
         for batch in batches:
             for part in slices(batch):
