@@ -132,3 +132,36 @@ def test_counting_sentences_without_looking_at_them():
         toxicity.plain_count(text, lambda w: bool(seen.append(w)))
         assert seen == [words]
     assert toxicity.plain_count("ΑΣ.Β", lambda words: False) is None and toxicity.plain_count("a b", lambda words: "b" in words) is None
+
+
+MIXED = ["", "  One two. \n x!y\t? 123 ...ÄB ä1b。 zz", "İstanbul’da a1b. İ!", "ΑΣ.Β ΑΣ", "é! ñ²? 日本。x", "_a_ 1b_ . __", "a\u00a0b\x85c\r\nd\u2028e — f.", "ǅ ß ſ K. 𝔘𝔫𝔦"]
+
+
+def test_words_come_apart_as_the_pattern_has_them():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for text in [*MIXED, "".join(every[:256]), " ".join(every[:256]), "".join(every), "a".join(every)]:
+        flat = toxicity.spread(text)
+        assert flat.split() == toxicity._WORD.findall(text.lower())
+        assert [x.split() for x in flat.split("\n") if x.strip()] == [w for s in toxicity._SENTENCE.findall(text.lower()) if (w := toxicity._WORD.findall(s))]
+
+
+def test_sentences_with_told_words_and_number_of_the_others():
+    for value in [lambda w: len(w) > 1, lambda w: "b" in w or not w.isascii(), lambda w: True, lambda w: False]:
+        for text in MIXED:
+            plain, told = toxicity.told_sentences(text, toxicity.Recent(value, 100))
+            all_of_it = [(text[a:b], {w for w in words if value(w)}) for a, b, words in toxicity.sentences(text)]
+            assert [(text[a:b].strip(), set(w)) for a, b, w in told] == [x for x in all_of_it if x[1]]
+            assert plain == sum(not w for _, w in all_of_it)
+
+
+def test_starts_that_words_share_are_hashed_once(monkeypatch):
+    hashed, feature = [], toxicity._feature
+    monkeypatch.setattr(toxicity, "_feature", lambda name: (hashed.append(name), feature(name))[1])
+    words = ["a", "walk", "walking", "walked", "walkingstick", "walkingsticks", "größenwahn", "größe"]
+    cache = toxicity.Words(lambda f: (f,), 100)
+    assert [cache[w] for w in words * 2] == [toxicity.word_features(w) for w in words * 2]
+    hashed.clear()
+    cache = toxicity.Words(lambda f: (f,), 100)
+    for w in words * 2:
+        cache[w]
+    assert len(hashed) == len(set(hashed)) == len({x for w in words for x in ["w" + w, *("s" + w[:n] for n in toxicity.STARTS if len(w) >= n)]})
