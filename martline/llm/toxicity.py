@@ -99,8 +99,7 @@ def plain_count(text: str, some: Callable[[set[str]], bool]) -> int | None:
 def told_sentences(text: str, cache: Recent) -> tuple[int, list[tuple[int, int, list[str]]]]:
     """How many sentences with words have none with a value in ``cache``; (start, end, different words with a value) of the others,
     white space around them included."""
-    flat = spread(text)
-    if "\u03a3" in text or len(flat) != len(text):  # places are not those of the lower case
+    if "\u03a3" in text or len(flat := spread(text)) != len(text):  # places are not those of the lower case
         parts = sentences(text)
     else:
         lines = flat.split("\n")
