@@ -8,6 +8,7 @@ partial aggregation, so one hot key does not land whole in one task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
@@ -24,12 +25,26 @@ def _q(c: str) -> str:
     return f"`{c}`"
 
 
+#: Different rows with copies, up to which ``remove_duplicates`` compares only those rows whole.
+MAX_COPIED = 100_000
+
+
+#: Types whose equal values have one ``xxhash64`` (text that is collated has not).
+HASHED = (T.NumericType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _by_hashes(df: DataFrame) -> bool:
+    """Whether rows that Spark groups together also have one ``xxhash64``."""
+    return all(isinstance(f.dataType, HASHED) or f.dataType.simpleString() == "string" for f in df.schema)
+
+
 def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep: str | bool = "first",
-                      order_by: Sequence[str] | None = None) -> DataFrame:
+                      order_by: Sequence[str] | None = None, reread: bool = False) -> DataFrame:
     """Drop duplicate rows on ``subset`` (all columns when None); NULLs compare equal.
 
     keep='first'/'last' keeps the row that is first/last in ``order_by``
     (required with a subset); keep=False drops every member of a duplicated group.
+    ``reread`` says that ``df`` is cheap to read again and gives the same rows (as files do): see ``_drop_copies``.
     """
     cols = df.columns
     keys = list(subset) if subset else list(cols)
@@ -45,7 +60,7 @@ def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep:
             *([F.any_value(F.struct(*[F.col(_q(c)) for c in rest])).alias("__r")] if rest else []))
         g = g.where(F.col("__n") == 1)
     elif not rest:
-        return df.dropDuplicates()
+        return _drop_copies(df) if reread and _by_hashes(df) else df.dropDuplicates()
     else:
         if not order_by:
             raise ValueError("keep='first'/'last' on a subset needs order_by")
@@ -56,6 +71,25 @@ def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep:
     return g.select(*[F.col(_q(c)) if c in keys else F.col(f"__r.{_q(c)}").alias(c) for c in cols])
 
 
+def _drop_copies(df: DataFrame) -> DataFrame:
+    """``df.dropDuplicates()`` that moves only the rows' hashes, in a job of its own, and then only rows whose hash comes more than
+    once (copies have one hash; different rows that share one are told apart by the whole row). The other rows stay where they
+    are, so what follows needs no shuffle for the duplicates. With more than ``MAX_COPIED`` such hashes all rows are shuffled."""
+    h = f"__h_{uuid.uuid4().hex[:8]}"
+    names = [F.col(_q(c)) for c in df.columns]
+    # as grouping does: no negative zeros
+    plain = df.select(*[(F.col(_q(f.name)) + F.lit(0).cast(f.dataType)).alias(f.name) if isinstance(f.dataType, (T.FloatType, T.DoubleType))
+                        else F.col(_q(f.name)) for f in df.schema])
+    copied = df.groupBy(F.xxhash64(*names).alias(h)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(h).limit(MAX_COPIED + 1).collect()
+    if not copied:
+        return plain
+    if len(copied) > MAX_COPIED:
+        return df.dropDuplicates()
+    hashes = F.broadcast(df.sparkSession.createDataFrame(copied, T.StructType([T.StructField(h, T.LongType())])))
+    tagged = plain.withColumn(h, F.xxhash64(*names))
+    return tagged.join(hashes, h, "left_anti").drop(h).unionByName(tagged.join(hashes, h, "left_semi").drop(h).dropDuplicates())
+
+
 def _numeric(dt: T.DataType) -> bool:
     return isinstance(dt, T.NumericType)
 
@@ -180,11 +214,11 @@ def standardize_emails(df: DataFrame, email_columns: Sequence[str]) -> DataFrame
 def clean_all(df: DataFrame, remove_duplicates_: bool = True, handle_nulls_: bool = True,
               null_strategy: str = "fill", trim_whitespace_: bool = True,
               standardize_dates_: Sequence[str] | None = None,
-              standardize_emails_: Sequence[str] | None = None, **null_options: Any) -> DataFrame:
-    """C11: dedupe (all columns) -> nulls -> trim -> dates -> emails, each switchable."""
+              standardize_emails_: Sequence[str] | None = None, reread: bool = False, **null_options: Any) -> DataFrame:
+    """C11: dedupe (all columns) -> nulls -> trim -> dates -> emails, each switchable. ``reread`` as in ``remove_duplicates``."""
     out = df
     if remove_duplicates_:
-        out = remove_duplicates(out)
+        out = remove_duplicates(out, reread=reread)
     if handle_nulls_:
         out = handle_nulls(out, strategy=null_strategy, **null_options)
     if trim_whitespace_:

@@ -37,18 +37,28 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "row_number",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, columns: Sequence[str] | None = None,
+                      copy_to: str | None = None) -> DataFrame:
     """Append ``name`` = 1..n following ``order`` (make it total for determinism).
 
     One range shuffle; the per-partition counts (one row per partition) give
-    each partition its offset, which is broadcast back.
+    each partition its offset, which is broadcast back. ``columns`` are the ones to
+    keep (default: all); others are not materialized. With ``copy_to`` the tagged rows go
+    to compressed parquet files in that folder instead of a checkpoint, whose rows are
+    about three times as large; who names the folder deletes it after the last use.
     """
     n = _partitions(df, num_partitions)
     order = list(order)
     tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("__mono", F.monotonically_increasing_id())
                 .withColumn("__pid", F.shiftright("__mono", 33)))
-    tagged = _materialize(tagged)
+    if columns is not None:
+        tagged = tagged.select(*[F.col(f"`{c}`") for c in columns], "__mono", "__pid")
+    if copy_to:
+        tagged.write.option("compression", "zstd").parquet(copy_to)
+        tagged = df.sparkSession.read.schema(tagged.schema).parquet(copy_to)
+    else:
+        tagged = _materialize(tagged)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: ordering this tiny table in one task is bounded.
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from martline.operators import clean, quality
 from martline.plans import star
 from martline.plans.warehouse import Warehouse
+from martline.session import remove_path, scratch_path, short_lived_shuffles
 from martline.sources import files
 from martline.sources.lake import DataLake
 
@@ -155,7 +156,8 @@ class SalesJob:
 
     def clean(self) -> dict[str, int]:
         c = self.config.cleaning
-        orders = clean.clean_all(self.frames["orders"], remove_duplicates_=c.duplicates, handle_nulls_=c.nulls, null_strategy=c.strategy)
+        orders = clean.clean_all(self.frames["orders"], remove_duplicates_=c.duplicates, handle_nulls_=c.nulls, null_strategy=c.strategy,
+                                 reread=self.lake is not None)  # the landed snapshot
         if self.lake and self.config.enrich:  # counted while the processed snapshot is written
             self.cleaned = Observation(f"cleaned_{uuid.uuid4().hex[:8]}")
             orders = orders.observe(self.cleaned, F.count(F.lit(1)).alias("rows"))
@@ -186,9 +188,14 @@ class SalesJob:
             if wh.has_batch("fact_sales", self.report.run_id) if wh.exists("fact_sales") else False:
                 return {k: r.get("rows_upserted", r.get("rows_loaded", 0)) for k, r in out.items()} | {"fact_sales": 0}
             first = 1 + (wh.largest("fact_sales", "sale_id") or 0 if wh.exists("fact_sales") else 0)
-            fact = star.fact_sales(sales, with_sale_id=True, first_id=first, dense_ids=p.dense_ids)
-            out["fact_sales"] = wh.load_fact_table(fact, "fact_sales", batch_id=self.report.run_id, partition_by=p.partition_by,
-                                                   high=["sale_id"], reads=[i.orders, "dim_customers", "dim_products"])
+            copy = scratch_path(self.spark, "fact-copy") if p.dense_ids else None
+            try:
+                fact = star.fact_sales(sales, with_sale_id=True, first_id=first, dense_ids=p.dense_ids, copy_to=copy)
+                out["fact_sales"] = wh.load_fact_table(fact, "fact_sales", batch_id=self.report.run_id, partition_by=p.partition_by,
+                                                       high=["sale_id"], reads=[i.orders, "dim_customers", "dim_products"])
+            finally:
+                if copy:
+                    remove_path(self.spark, copy)
         return {k: r.get("rows_upserted", r.get("rows_loaded", 0)) for k, r in out.items()}
 
     def _snapshot(self, zone: str, name: str, saved_as: str | None = None) -> int:
@@ -208,7 +215,11 @@ class SalesJob:
 
     def run(self) -> JobReport:
         """Run the planned stages. A failed check is passed over with ``go_on``; any other failure ends the run,
-        and is raised unless ``go_on``."""
+        and is raised unless ``go_on``. A stage goes on from written files, so the shuffles of its queries end with them."""
+        with short_lived_shuffles(self.spark):
+            return self._run()
+
+    def _run(self) -> JobReport:
         for name in self.plan():
             began = time.monotonic()
             try:

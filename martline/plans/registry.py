@@ -23,7 +23,7 @@ from martline.operators.ordered import fill_ordered, global_row_number
 from martline.plans.batch_job import Inputs, JobConfig, Publishing, run_job
 from martline.plans.marts_sql import run_bi_sql
 from martline.plans.warehouse import Warehouse, _load_id
-from martline.session import scratch_path
+from martline.session import scratch_path, short_lived_shuffles
 from martline.sources import files as _files
 from martline.sources.lake import DataLake
 from martline.sources.payloads import payload_rows
@@ -845,10 +845,11 @@ def land_sources(spark, sf, base: str) -> dict[str, str]:
     o = orders(spark, sf)
     paths = {"orders": f"{base}/orders_csv", "customers": f"{base}/customers_jsonl",
              "products": f"{base}/products_jsonl"}
-    o.write.option("header", True).option("compression", "gzip").csv(paths["orders"])
-    customers(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.option("compression", "gzip").text(paths["customers"])
     p = products(spark, sf).select(F.to_json(F.struct(F.array(F.struct("*")).alias("products"))).alias("value"))
-    p.write.option("compression", "gzip").text(paths["products"])
+    with short_lived_shuffles(spark):
+        o.write.option("header", True).option("compression", "gzip").csv(paths["orders"])
+        customers(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.option("compression", "gzip").text(paths["customers"])
+        p.write.option("compression", "gzip").text(paths["products"])
     return paths
 
 

@@ -55,12 +55,13 @@ def date_key(c) -> F.Column:
 
 
 def fact_sales(sales: DataFrame, with_sale_id: bool = True, created_at: str = "shipped_at",
-               first_id: int = 1, dense_ids: bool = True) -> DataFrame:
+               first_id: int = 1, dense_ids: bool = True, copy_to: str | None = None) -> DataFrame:
     """Fact rows from order lines carrying the sales amounts.
 
     ``sale_id`` (SERIAL) follows order-line order. ``dense_ids=True`` numbers
     1..n exactly (one range shuffle + a reliable checkpoint of the tagged rows,
-    i.e. the fact is written twice). ``dense_ids=False`` is one pass for very
+    i.e. the fact is written twice; ``copy_to`` names a folder for compressed files
+    in its place, which the caller deletes). ``dense_ids=False`` is one pass for very
     large loads: ids are unique and increasing in the same order but with gaps
     between partitions (as a sequence has after rollbacks); they are stable
     under task retries because each partition is sorted before numbering.
@@ -86,7 +87,7 @@ def fact_sales(sales: DataFrame, with_sale_id: bool = True, created_at: str = "s
         return fact.select(*FACT_COLUMNS)
     if with_sale_id:
         order = [c for c in SALE_ORDER if c in fact.columns]
-        fact = global_row_number(fact, order, "sale_id")
+        fact = global_row_number(fact, order, "sale_id", columns=[c for c in FACT_COLUMNS if c != "sale_id"], copy_to=copy_to)
         if first_id != 1:
             fact = fact.withColumn("sale_id", F.col("sale_id") + F.lit(first_id - 1))
         return fact.select(*FACT_COLUMNS)

@@ -8,10 +8,12 @@ folder of its own, removed when the process ends; on a cluster that is an error.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -77,3 +79,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         fs.mkdirs(path)
         fs.deleteOnExit(path)
     return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder (of a scratch path that nothing reads any more); none is no error."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffles' files when they end; otherwise Spark keeps them until the driver collects its
+    garbage, so those of many steps lie on the disks together. A frame that runs twice inside writes its shuffles twice."""
+    was = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if was is None else spark.conf.set(SHUFFLE_CLEANUP, was)

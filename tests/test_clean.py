@@ -18,6 +18,33 @@ def test_dedupe_all_columns_nulls_equal(dups):
     assert clean.remove_duplicates(dups).count() == 5
 
 
+def test_dedupe_by_hashes_as_by_whole_rows(spark, monkeypatch):
+    nan = float("nan")
+    data = [(0.0, 1, "a", None), (-0.0, 1, "a", None), (-0.0, 2, "a", None), (nan, 1, None, b"x"), (nan, 1, None, b"x"), (None,) * 4, (None,) * 4]
+    df = spark.createDataFrame(data, "x DOUBLE, n INT, `c.d` STRING, b BINARY").withColumn("f", F.col("x").cast("float"))
+    want = sorted(str(r) for r in clean.remove_duplicates(df).collect())
+    assert len(want) == 4
+    for most in (clean.MAX_COPIED, 1):                        # three rows have copies: compared alone, or with all rows
+        monkeypatch.setattr(clean, "MAX_COPIED", most)
+        got = clean.remove_duplicates(df, reread=True)
+        assert sorted(str(r) for r in got.collect()) == want and got.columns == df.columns
+    for single in (df.where("n = 2"), df.limit(0)):           # no copies: the rows are not shuffled
+        out = clean.remove_duplicates(single, reread=True)
+        assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert [str(r) for r in out.collect()] == [str(r) for r in clean.remove_duplicates(single).collect()]
+
+
+def test_dedupe_different_rows_with_one_hash(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None)], "k INT, v STRING")
+    monkeypatch.setattr(clean.F, "xxhash64", lambda *_: F.lit(7).cast("long"))
+    assert rows(clean.remove_duplicates(df, reread=True), "k") == [(1, "a"), (2, "b"), (3, None)]
+
+
+def test_dedupe_collated_text_by_whole_rows(spark):
+    df = spark.sql("SELECT a COLLATE UTF8_LCASE AS a FROM VALUES ('A'), ('a'), ('b') t(a)")
+    assert clean.remove_duplicates(df, reread=True).count() == 2
+
+
 def test_dedupe_subset_first_last_none(dups):
     first = rows(clean.remove_duplicates(dups, ["k", "k2"], "first", ["seq"]), "k")
     last = rows(clean.remove_duplicates(dups, ["k", "k2"], "last", ["seq"]), "k")

@@ -26,6 +26,17 @@ def test_row_number_dense_and_ordered(spark):
     assert out["rn"].tolist() == list(range(1, len(pdf) + 1))
 
 
+def test_row_number_by_files(spark, tmp_path):
+    pdf, df = _skewed(spark)
+    out = global_row_number(df, ["k", "t"], "rn", num_partitions=5, columns=["t", "v"], copy_to=str(tmp_path / "copy"))
+    assert out.columns == ["t", "v", "rn"] and list((tmp_path / "copy").glob("part-*.zstd.parquet"))
+    got = out.toPandas().sort_values("rn")
+    want = pdf.sort_values(["k", "t"])
+    assert got["rn"].tolist() == list(range(1, len(pdf) + 1)) and got["t"].tolist() == want["t"].tolist()
+    assert np.allclose(got["v"].values, want["v"].values, equal_nan=True)
+    assert global_row_number(df.limit(0), ["k", "t"], "rn", copy_to=str(tmp_path / "none")).count() == 0
+
+
 def test_fill_forward_backward_hot_key_matches_pandas(spark):
     pdf, df = _skewed(spark)
     for direction, method in (("forward", "ffill"), ("backward", "bfill")):

@@ -1,14 +1,17 @@
 """Goldens on the reference's sample rows (FIXTURES.md section 3)."""
 
+import time
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from martline.operators.aggregate import aggregate_daily_sales
 from martline.plans import marts, star
-from martline.plans.batch_job import Inputs, JobConfig, Publishing, run_job
+from martline.plans.batch_job import Inputs, JobConfig, Publishing, SalesJob, run_job
 from martline.plans.warehouse import Warehouse
+from martline.session import SHUFFLE_CLEANUP, checkpoint_root, short_lived_shuffles
 from martline.sources import files
 from tests import sample_data as S
 from tests.helpers import tmpdir, write
@@ -90,6 +93,32 @@ def test_batch_job_end_to_end(spark):
     assert Warehouse(spark, cfg.warehouse).read("dim_customers").count() == 5
 
 
+def test_a_jobs_scratch_data_is_small_and_short_lived(spark):
+    def kept():  # shuffles of ended queries, folders of checkpoints and copies
+        env, root = spark._jvm.org.apache.spark.SparkEnv.get(), Path(checkpoint_root(spark).removeprefix("file:"))
+        files_ = list(env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+        return {f for f in files_ if "/shuffle_" in f} | {str(d) for d in [*root.glob("rdd-*"), *root.glob("martline/*/*")]}
+
+    twice = S.ORDERS_CSV + S.ORDERS_CSV.split("\n", 1)[1]
+    cfg = _job(twice, publishing=Publishing(dense_ids=True))
+    job = SalesJob(spark, cfg)
+    before, res = kept(), job.run()
+    until = time.monotonic() + 10  # files go in the background
+    while kept() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert kept() <= before and spark.conf.get(SHUFFLE_CLEANUP, None) is None
+    assert [res.rows()[k] for k in ("land.orders", "store.cleaned", "publish.fact_sales")] == [20, 10, 10]
+    f = Warehouse(spark, cfg.warehouse).read("fact_sales").orderBy("sale_id").collect()
+    assert [r.sale_id for r in f] == list(range(1, 11)) and f[0].customer_id == 101 and f[9].product_id == 206
+    # rows without copies are not shuffled for them
+    job = SalesJob(spark, _job(S.ORDERS_CSV))
+    job.read(), job.land(), job.clean()
+    assert "Aggregate" not in job.frames["orders"]._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError), short_lived_shuffles(spark):
+        raise ValueError
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
 def test_batch_job_validation_gate(spark):
     bad = S.ORDERS_CSV.replace("1,101,201,2024-01-15,2,", "1,101,201,2024-01-15,0,")
     with pytest.raises(ValueError, match=r"business_rule\(quantity\)"):
