@@ -80,12 +80,13 @@ def _drop_copies(df: DataFrame) -> DataFrame:
     # as grouping does: no negative zeros
     plain = df.select(*[(F.col(_q(f.name)) + F.lit(0).cast(f.dataType)).alias(f.name) if isinstance(f.dataType, (T.FloatType, T.DoubleType))
                         else F.col(_q(f.name)) for f in df.schema])
-    copied = df.groupBy(F.xxhash64(*names).alias(h)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(h).limit(MAX_COPIED + 1).collect()
+    counts = df.groupBy(F.xxhash64(*names).alias(h)).agg(F.count(F.lit(1)).alias("n"))
+    copied = counts.where("n > 1").limit(MAX_COPIED + 1).agg(F.collect_list(h)).first()[0]  # all partitions at once
     if not copied:
         return plain
     if len(copied) > MAX_COPIED:
         return df.dropDuplicates()
-    hashes = F.broadcast(df.sparkSession.createDataFrame(copied, T.StructType([T.StructField(h, T.LongType())])))
+    hashes = F.broadcast(df.sparkSession.createDataFrame([(x,) for x in copied], f"{h} long"))
     tagged = plain.withColumn(h, F.xxhash64(*names))
     return tagged.join(hashes, h, "left_anti").drop(h).unionByName(tagged.join(hashes, h, "left_semi").drop(h).dropDuplicates())
 
